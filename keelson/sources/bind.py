@@ -204,11 +204,50 @@ FROM {tasks}
 # Commit rows (one per commit) derived from file changes.
 BINDINGS["commits"] = """
 SELECT project, branch, sha,
-       'bd-' || substr(branch, 12, length(branch) - 16) || ': change ' || substr(sha, 1, 7) AS subject,
-       max(ts) AS ts,
-       bool_and(on_base) AS on_base
-FROM {file_changes}
-GROUP BY project, branch, sha
+       CASE WHEN substr(sha, 1, 1) < '6' THEN tid || ': change ' || substr(sha, 1, 7)
+            WHEN substr(sha, 1, 1) < 'b' THEN '[' || tid || '] change ' || substr(sha, 1, 7)
+            ELSE 'change ' || substr(sha, 1, 7) || chr(10) || chr(10) || 'Bead: ' || tid END AS subject,
+       ts, on_base
+FROM (SELECT project, branch, sha,
+             'bd-' || substr(branch, 12, length(branch) - 16) AS tid,
+             max(ts) AS ts, bool_and(on_base) AS on_base
+      FROM {file_changes} GROUP BY project, branch, sha) c
+"""
+
+
+# The current checkout of every project: the branch of its latest task, with
+# the tracking header line `git status -sb` would print (ahead/behind derived
+# from the task's position and priority).
+BINDINGS["checkouts"] = """
+SELECT t.project AS project,
+       'feature/' || t.task_id || '-work' AS branch,
+       '## feature/' || t.task_id || '-work...origin/feature/' || t.task_id || '-work' ||
+         CASE WHEN t.seq % 3 > 0 AND t.priority > 1 THEN ' [ahead ' || CAST(t.seq % 3 AS STRING) || ', behind ' || CAST(t.priority AS STRING) || ']'
+              WHEN t.seq % 3 > 0 THEN ' [ahead ' || CAST(t.seq % 3 AS STRING) || ']'
+              WHEN t.priority > 1 THEN ' [behind ' || CAST(t.priority AS STRING) || ']'
+              ELSE '' END AS header
+FROM {tasks} t
+JOIN (SELECT project, max(seq) AS n FROM {tasks} GROUP BY project) m
+  ON t.project = m.project AND t.seq = m.n
+"""
+
+# `git stash list` lines per project.
+BINDINGS["stashes"] = """
+SELECT project, 'stash@{{' || CAST(event_id AS STRING) || '}}: WIP on ' || task_id AS line
+FROM {status_events} WHERE status = 'open'
+"""
+
+# Text the task tracker prints: list lines ("id  title  [status]") and show
+# blocks ("Title: ...\nStatus: ...") — parsed back by the context jobs.
+BINDINGS["task_list_lines"] = """
+SELECT project, seq, status, task_id || '  ' || title || '  [' || status || ']' AS line
+FROM {tasks}
+"""
+
+BINDINGS["task_show_blocks"] = """
+SELECT project, task_id,
+       'Title: ' || title || chr(10) || 'Status: ' || status || chr(10) || 'Priority: ' || CAST(priority AS STRING) AS block
+FROM {tasks}
 """
 
 
