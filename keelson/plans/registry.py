@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from keelson.plans import graph_jobs, graph_oracle, work_jobs, work_oracle
+from keelson.plans import coord_jobs, coord_oracle, graph_jobs, graph_oracle, work_jobs, work_oracle
 
 JOBS: dict = {}
 ORACLES: dict = {}
 
-for _mod in (graph_jobs, work_jobs):
+for _mod in (graph_jobs, work_jobs, coord_jobs):
     JOBS.update(_mod.JOBS)
-for _mod in (graph_oracle, work_oracle):
+for _mod in (graph_oracle, work_oracle, coord_oracle):
     ORACLES.update(_mod.ORACLES)

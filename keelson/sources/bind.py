@@ -251,6 +251,43 @@ FROM {tasks}
 """
 
 
+# Review documents (Markdown in the protocol's section layout) posted on the
+# review thread of each conversation; items are words of the reply text.
+BINDINGS["review_posts"] = """
+SELECT 'bd-' || CAST(conv_id AS STRING) || '-review' AS thread_id,
+       conv_id * 8 + turn AS msg_id,
+       '## Code Review: bd-' || CAST(conv_id AS STRING) || chr(10) ||
+       '**Reviewer**: u' || CAST(turn AS STRING) || chr(10) ||
+       '**Verdict**: ' || CASE conv_id % 3 WHEN 0 THEN 'Changes Requested' WHEN 1 THEN 'Approved with Comments'
+                               ELSE 'Approved' END || chr(10) || chr(10) ||
+       '### Summary' || chr(10) || text || chr(10) || chr(10) ||
+       CASE WHEN conv_id % 3 = 0 THEN '### Blocking Issues' || chr(10) || '1. **Bug**: ' || split_part(text, ' ', 1)
+                                      || chr(10) || chr(10) ELSE '' END ||
+       CASE WHEN conv_id % 3 < 2 THEN '### Suggestions' || chr(10) || '2. ' || split_part(text, ' ', 2) || chr(10) ||
+                                      '3. ' || split_part(text, ' ', 3) || chr(10) || chr(10) ELSE '' END ||
+       '### Questions' || chr(10) || '4. Why ' || split_part(text, ' ', 4) || '?' || chr(10) || chr(10) ||
+       '### Nitpicks' || chr(10) || '5. ' || split_part(text, ' ', 5) || chr(10) || chr(10) ||
+       '### Highlights' || chr(10) || '6. ' || split_part(text, ' ', 6) AS body
+FROM {conversations} WHERE role = 'assistant'
+"""
+
+# Follow-up messages that tick off review items ('- [x] #n').
+BINDINGS["resolution_posts"] = """
+SELECT 'bd-' || CAST(conv_id AS STRING) || '-review' AS thread_id,
+       conv_id * 8 + turn AS msg_id,
+       'Feedback Addressed' || chr(10) || '- [x] #' || CAST(turn AS STRING) || ' done' || chr(10) ||
+       '- [ ] #' || CAST(turn + 1 AS STRING) || ' later' AS body
+FROM {conversations} WHERE role = 'user' AND turn > 0
+"""
+
+# Checkpoint commits of agent loops: one per passing run.
+BINDINGS["loop_commits"] = """
+SELECT project, iteration AS seq,
+       'ralph: iteration ' || CAST(iteration AS STRING) || ' - ' || output AS subject
+FROM {loop_runs} WHERE exit_code = 0
+"""
+
+
 def dependencies(sql: str) -> list[str]:
     """Placeholder names in a binding text, in order of first use."""
     seen: list[str] = []
