@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from keelson.plans import ingest_jobs, coord_jobs, coord_oracle, graph_jobs, graph_oracle, work_jobs, work_oracle
+from keelson.plans import ingest_jobs, coord_jobs, coord_oracle, graph_jobs, graph_oracle, ingest_oracle, work_jobs, work_oracle
 
 JOBS: dict = {}
 ORACLES: dict = {}
 
 for _mod in (graph_jobs, work_jobs, coord_jobs, ingest_jobs):
     JOBS.update(_mod.JOBS)
-for _mod in (graph_oracle, work_oracle, coord_oracle):
+for _mod in (graph_oracle, work_oracle, coord_oracle, ingest_oracle):
     ORACLES.update(_mod.ORACLES)
