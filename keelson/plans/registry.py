@@ -7,7 +7,10 @@ from keelson.plans import ingest_jobs, coord_jobs, coord_oracle, graph_jobs, gra
 JOBS: dict = {}
 ORACLES: dict = {}
 
-for _mod in (graph_jobs, work_jobs, coord_jobs, ingest_jobs):
+from keelson.streaming import jobs as stream_jobs  # noqa: E402
+from keelson.plans import stream_oracle  # noqa: E402
+
+for _mod in (graph_jobs, work_jobs, coord_jobs, ingest_jobs, stream_jobs):
     JOBS.update(_mod.JOBS)
-for _mod in (graph_oracle, work_oracle, coord_oracle, ingest_oracle):
+for _mod in (graph_oracle, work_oracle, coord_oracle, ingest_oracle, stream_oracle):
     ORACLES.update(_mod.ORACLES)
