@@ -39,11 +39,12 @@ def scan_task_docs(spark: SparkSession, path: str) -> DataFrame:
 def _decode_batches(it):
     import yaml  # imported on the executor
 
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)  # libyaml when present
     for pdf in it:
         docs, errs = [], []
         for text in pdf["text"]:
             try:
-                data = yaml.safe_load(text) if text is not None else None
+                data = yaml.load(text, Loader=loader) if text is not None else None
                 if not isinstance(data, dict):
                     raise ValueError("top level is not a mapping")
                 docs.append(json.dumps(data, default=str))
