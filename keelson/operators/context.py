@@ -264,3 +264,44 @@ def detect_test_command(repo_files: DataFrame) -> DataFrame:
         cmd = F.when(cond, val) if cmd is None else cmd.when(cond, val)
     cmd = cmd.otherwise(F.lit(X.NO_TEST_RUNNER))
     return flags.select("project", cmd.alias("test_command"))
+
+
+# ---------------------------------------------------------------- W24, W25 context tables
+
+def context_next(current: DataFrame, counts: DataFrame, recent: DataFrame, nxt: DataFrame) -> DataFrame:
+    """W24 'next': per checkout — current task, working-tree text, latest
+    commit and the recommended next task. All inputs are one row per project
+    (or per checkout), so the joins never fan out."""
+    return (current.select("project", "branch", "task_id", "title")
+            .join(counts.select("project", "status_text"), "project", "left")
+            .join(recent.select("project", F.col("summary").alias("recent_commit")), "project", "left")
+            .join(nxt.select("project", F.col("task_id").alias("recommended_task"),
+                             F.col("title").alias("recommended_title")), "project", "left")
+            .fillna("", ["status_text"]))
+
+
+def context_feedback(current: DataFrame, base: DataFrame, diff: DataFrame) -> DataFrame:
+    """W24 'feedback': review thread of the current task (W22), base branch
+    (W12) and the diff summary of the checked-out branch (W13)."""
+    return (current.select("project", "branch", "task_id")
+            .withColumn("review_thread", X.review_thread(F.col("task_id")))
+            .join(base, "project", "left")
+            .join(diff.select("project", "branch", "files", "insertions", "deletions", "summary"),
+                  ["project", "branch"], "left"))
+
+
+def context_loop(nxt: DataFrame, ready_counts: DataFrame, test_cmd: DataFrame,
+                 goal: str | None = None, autopilot: bool = False) -> DataFrame:
+    """W24 'loop' + W25: objective mode (goal text > autopilot > single task),
+    the task of a single-task loop with a shell-safe title (W20), the number
+    of ready tasks an autopilot loop would walk, and the test command (W19)."""
+    mode = "goal" if goal else ("autopilot" if autopilot else "single")
+    return (nxt.select("project", "task_id", X.sanitize(F.col("title")).alias("safe_title"))
+            .join(ready_counts, "project", "left")
+            .join(test_cmd, "project", "left")
+            .select("project", F.lit(mode).alias("mode"),
+                    F.when(F.lit(mode == "single"), F.col("task_id")).alias("task_id"),
+                    F.when(F.lit(mode == "single"), F.col("safe_title")).alias("safe_title"),
+                    F.coalesce("ready_tasks", F.lit(0)).cast("bigint").alias("ready_tasks"),
+                    F.coalesce("test_command", F.lit(X.NO_TEST_RUNNER)).alias("test_command"),
+                    F.lit(X.COMPLETION_PROMISE).alias("completion_promise")))

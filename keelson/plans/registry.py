@@ -8,9 +8,9 @@ JOBS: dict = {}
 ORACLES: dict = {}
 
 from keelson.streaming import jobs as stream_jobs  # noqa: E402
-from keelson.plans import stream_oracle  # noqa: E402
+from keelson.plans import context_oracle, stream_oracle  # noqa: E402
 
 for _mod in (graph_jobs, work_jobs, coord_jobs, ingest_jobs, stream_jobs):
     JOBS.update(_mod.JOBS)
-for _mod in (graph_oracle, work_oracle, coord_oracle, ingest_oracle, stream_oracle):
+for _mod in (graph_oracle, work_oracle, coord_oracle, ingest_oracle, stream_oracle, context_oracle):
     ORACLES.update(_mod.ORACLES)

@@ -118,7 +118,31 @@ def review_context_job(spark, sf_dir):
     return P.review_context(Fleet(spark, sf_dir).file_changes)
 
 
+def context_next_job(spark, sf_dir):
+    from keelson.operators import graph as g
+    f = Fleet(spark, sf_dir)
+    nxt = g.next_tasks(g.ready_tasks(f.tasks, f.task_deps), 1)
+    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, AS_OF), nxt)
+
+
+def context_feedback_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    diff = W.branch_diff_stats(f.file_changes, _base(f)).drop("base_branch")
+    return W.context_feedback(_current(f), _base(f), diff)
+
+
+def context_loop_job(spark, sf_dir):
+    from keelson.operators import graph as g
+    f = Fleet(spark, sf_dir)
+    ready = g.ready_tasks(f.tasks, f.task_deps)
+    counts = ready.groupBy("project").agg(F.count(F.lit(1)).alias("ready_tasks"))
+    return W.context_loop(g.next_tasks(ready, 1), counts, W.detect_test_command(f.repo_files))
+
+
 JOBS = {
+    "context_next": context_next_job,
+    "context_feedback": context_feedback_job,
+    "context_loop": context_loop_job,
     "current_task": current_task_job,
     "worktree_summary": worktree_summary_job,
     "branch_commits": branch_commits_job,
