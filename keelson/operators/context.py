@@ -233,7 +233,8 @@ def log_digest(logs: DataFrame, max_lines: int = 50) -> DataFrame:
     of the whole output and the head excerpt (cut at ``max_lines``)."""
     heading = X._lookup(F.col("tool"), X.ERROR_HEADINGS, F.concat(F.col("tool"), F.lit(":")))
     f = logs.filter((F.col("exit_code") != 0) & (F.col("output") != ""))
-    return f.select("log_id", "tool", heading.alias("heading"),
+    keep = [c for c in ("project",) if c in logs.columns]
+    return f.select("log_id", *keep, "tool", heading.alias("heading"),
                     X.count_lines(F.col("output")).alias("n_lines"),
                     F.concat(heading, F.lit("\n"), X.truncate_lines(F.col("output"), max_lines)).alias("excerpt"))
 
@@ -305,3 +306,96 @@ def context_loop(nxt: DataFrame, ready_counts: DataFrame, test_cmd: DataFrame,
                     F.coalesce("ready_tasks", F.lit(0)).cast("bigint").alias("ready_tasks"),
                     F.coalesce("test_command", F.lit(X.NO_TEST_RUNNER)).alias("test_command"),
                     F.lit(X.COMPLETION_PROMISE).alias("completion_promise")))
+
+
+def diff_sections(porcelain: DataFrame, max_lines: int = 100) -> DataFrame:
+    """W15 (+W16): per project, 'Staged:' and 'Unstaged:' path lists joined
+    by a blank line, empty parts skipped. Each list keeps its first
+    ``max_lines`` paths (the source cuts the digest to 100 lines) and notes
+    how many were left out; the cut is a partial top-k before the shuffle."""
+    x = F.substring("xy", 1, 1)
+    y = F.substring("xy", 2, 1)
+    rows = porcelain.filter(F.length("xy") >= 2).select(
+        "project", "path", ((x != "?") & (x != " ")).alias("staged"), ((y != " ") & (y != "?")).alias("unstaged"))
+    parts = []
+    for kind in ("staged", "unstaged"):
+        r = rows.filter(F.col(kind)).select("project", "path").distinct()
+        n = r.groupBy("project").agg(F.count(F.lit(1)).alias(f"n_{kind}"))
+        w = Window.partitionBy("project").orderBy("path")
+        top = (r.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max_lines)
+               .groupBy("project").agg(F.array_join(F.array_sort(F.collect_list("path")), "\n").alias(f"l_{kind}")))
+        parts.append(n.join(top, "project"))
+    s = parts[0].join(parts[1], "project", "full").fillna(0, ["n_staged", "n_unstaged"])
+
+    def section(kind, title):
+        more = F.when(F.col(f"n_{kind}") > max_lines,
+                      F.concat(F.lit("\n... ("), (F.col(f"n_{kind}") - max_lines).cast("string"), F.lit(" more lines)")))
+        return F.when(F.col(f"n_{kind}") > 0,
+                      F.concat(F.lit(title + ":\n"), F.col(f"l_{kind}"), F.coalesce(more, F.lit(""))))
+
+    return s.select("project", "n_staged", "n_unstaged",
+                    F.concat_ws("\n\n", section("staged", "Staged"), section("unstaged", "Unstaged")).alias("diff"))
+
+
+def _commit_counts(branch_rows: DataFrame) -> DataFrame:
+    return branch_rows.groupBy("project", "branch").agg(F.count(F.lit(1)).alias("commits_on_branch"))
+
+
+def context_done(current: DataFrame, branch_rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """W24 'done': task, commits on the branch, working-tree text."""
+    return (current.select("project", "branch", "task_id", "title", "status")
+            .join(_commit_counts(branch_rows), ["project", "branch"], "left")
+            .join(counts.select("project", "status_text"), "project", "left")
+            .fillna(0, ["commits_on_branch"]).fillna("", ["status_text"]))
+
+
+def context_resume(current: DataFrame, worktree: DataFrame, branch_rows: DataFrame) -> DataFrame:
+    """W24 'resume': task, uncommitted work, commits and attention items."""
+    return (current.select("project", "branch", "task_id", "title", "status")
+            .join(worktree.select("project", "branch", "status_text", "pending_items"), ["project", "branch"], "left")
+            .join(_commit_counts(branch_rows), ["project", "branch"], "left")
+            .fillna(0, ["commits_on_branch"]))
+
+
+def context_pr(current: DataFrame, base: DataFrame, open_pr: DataFrame, branch_rows: DataFrame,
+               diff: DataFrame, changed: DataFrame, counts: DataFrame) -> DataFrame:
+    """W24 'pr': base branch, existing PR, commits, diff summary, files
+    changed and working-tree text of every checkout."""
+    files = changed.groupBy("project", "branch").agg(F.count(F.lit(1)).alias("files_changed"))
+    return (current.select("project", "branch", "task_id", "title")
+            .join(base, "project", "left")
+            .join(open_pr.select("project", F.col("head_ref").alias("branch"), F.col("number").alias("pr_number")),
+                  ["project", "branch"], "left")
+            .join(_commit_counts(branch_rows), ["project", "branch"], "left")
+            .join(diff.select("project", "branch", F.col("summary").alias("diff_summary")), ["project", "branch"], "left")
+            .join(files, ["project", "branch"], "left")
+            .join(counts.select("project", "status_text"), "project", "left")
+            .fillna(0, ["commits_on_branch", "files_changed"]).fillna("", ["status_text"]))
+
+
+def context_prfix(checkouts: DataFrame, open_pr: DataFrame, check_counts: DataFrame, issues: DataFrame,
+                  review_counts: DataFrame) -> DataFrame:
+    """W24 'pr-fix': the open PR of each checkout with check counts, review
+    count, mergeable label, ordered issues and merge readiness; checkouts
+    without a PR keep a row with ``has_pr`` false."""
+    pr = open_pr.select("project", F.col("head_ref").alias("branch"), "number")
+    return (checkouts.select("project", "branch").join(pr, ["project", "branch"], "left")
+            .join(check_counts.select("number", "passing", "failing", "pending"), "number", "left")
+            .join(review_counts.select("number", "reviews"), "number", "left")
+            .join(issues.select("number", "mergeable_label", "issues", "merge_ready"), "number", "left")
+            .withColumn("has_pr", F.col("number").isNotNull())
+            .fillna(0, ["passing", "failing", "pending", "reviews"]))
+
+
+def context_stuck(current: DataFrame, counts: DataFrame, sections: DataFrame, branch_rows: DataFrame,
+                  errors: DataFrame) -> DataFrame:
+    """W24 'stuck': task, working-tree text, diff sections, commits and the
+    failed tool runs of the project (count and the first excerpt)."""
+    err = errors.groupBy("project").agg(F.count(F.lit(1)).alias("failed_runs"),
+                                        F.min_by("excerpt", "log_id").alias("first_error"))
+    return (current.select("project", "branch", "task_id", "title")
+            .join(counts.select("project", "status_text"), "project", "left")
+            .join(sections.select("project", "diff"), "project", "left")
+            .join(_commit_counts(branch_rows), ["project", "branch"], "left")
+            .join(err, "project", "left")
+            .fillna(0, ["commits_on_branch", "failed_runs"]).fillna("", ["status_text", "diff"]))

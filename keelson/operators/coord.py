@@ -339,3 +339,26 @@ def loop_completion(runs: DataFrame, max_iterations: int = 30) -> DataFrame:
               .otherwise(0)).cast("bigint").alias("promise_without_tests"))
     return a.withColumn("over_limit", F.coalesce(F.col("completed_at"), F.col("iterations")) > max_iterations) \
         .withColumn("completed", F.col("completed_at").isNotNull())
+
+
+# ---------------------------------------------------------------- delivery policy
+
+def delivery_check(messages: DataFrame, policies: DataFrame, contacts: DataFrame) -> DataFrame:
+    """May a message reach its recipient (the previous sender in the
+    thread)? open -> yes; auto -> yes (same thread); contacts_only -> only
+    when the sender is an approved contact of the recipient; block_all -> no.
+    Agents without a policy are treated as auto."""
+    w = Window.partitionBy("project", "thread_id").orderBy("ts", "msg_id")
+    m = (messages.select("project", "thread_id", "msg_id", "from_agent", "ts",
+                         F.lag("from_agent").over(w).alias("recipient"))
+         .filter(F.col("recipient").isNotNull() & (F.col("recipient") != F.col("from_agent"))))
+    c = contacts.select(F.col("agent").alias("recipient"), F.col("contact").alias("from_agent"),
+                        F.lit(True).alias("is_contact")).distinct()
+    p = policies.select(F.col("agent").alias("recipient"), "contact_policy")
+    j = m.join(p, "recipient", "left").join(c, ["recipient", "from_agent"], "left")
+    pol = F.coalesce(F.col("contact_policy"), F.lit("auto"))
+    allowed = (F.when(pol == "open", True).when(pol == "auto", True)
+               .when(pol == "contacts_only", F.coalesce(F.col("is_contact"), F.lit(False)))
+               .otherwise(False))
+    return j.select("project", "thread_id", "msg_id", "from_agent", "recipient", pol.alias("policy"),
+                    allowed.alias("allowed"))

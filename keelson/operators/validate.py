@@ -117,3 +117,11 @@ def multi_claims(status_events: DataFrame) -> DataFrame:
     c = claims.withColumn("prev_end", F.max(F.coalesce("end_ts", far)).over(wa))
     return (c.filter(F.col("prev_end") > F.col("start_ts"))
             .select("project", "task_id", "event_id", "start_ts", "end_ts"))
+
+
+def new_task_status(file_tasks: DataFrame, tracker: DataFrame) -> DataFrame:
+    """V7: a task that is in the files but not yet in the tracker is new; its
+    status in the file must be 'pending'."""
+    new = file_tasks.join(tracker.select("project", "task_id"), ["project", "task_id"], "left_anti")
+    bad = new.filter(F.lower(F.coalesce("raw_status", F.lit("pending"))) != "pending")
+    return _v(bad, "V7_new_task_not_pending", F.coalesce(F.col("raw_status"), F.lit("")))

@@ -46,3 +46,77 @@ FROM ({G["next_tasks"]}) n
 LEFT JOIN ({oracle_with(T, "SELECT project, count(*) AS k FROM (" + READY + ") GROUP BY project")}) rc
   ON rc.project = n.project
 LEFT JOIN ({WO["test_command_by_repo"]}) tc ON tc.project = n.project"""
+
+
+def _kind(cond):
+    return f"""SELECT project, count(*) AS n,
+        string_agg(path, chr(10) ORDER BY path) FILTER (WHERE rn <= 100) AS l
+      FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY path) AS rn
+            FROM (SELECT DISTINCT project, path FROM porcelain_lines WHERE length(xy) >= 2 AND {cond}))
+      GROUP BY project"""
+
+
+def _section(alias, title):
+    return (f"CASE WHEN coalesce({alias}.n, 0) > 0 THEN '{title}:' || chr(10) || {alias}.l || "
+            f"CASE WHEN {alias}.n > 100 THEN chr(10) || '... (' || CAST({alias}.n - 100 AS VARCHAR) || ' more lines)' "
+            f"ELSE '' END END")
+
+
+DIFF = oracle_with(["porcelain_lines"], f"""
+SELECT coalesce(sa.project, ua.project) AS project, coalesce(sa.n, 0) AS n_staged, coalesce(ua.n, 0) AS n_unstaged,
+       concat_ws(chr(10) || chr(10), {_section("sa", "Staged")}, {_section("ua", "Unstaged")}) AS diff
+FROM ({_kind("substr(xy, 1, 1) NOT IN ('?', ' ')")}) sa
+FULL JOIN ({_kind("substr(xy, 2, 1) NOT IN (' ', '?')")}) ua ON sa.project = ua.project""")
+
+ORACLES["diff_sections"] = DIFF
+
+COMMITS_ON_BRANCH = f"SELECT project, branch, count(*) AS n FROM ({WO['branch_commits']}) GROUP BY project, branch"
+STATUS = oracle_with(["porcelain_lines"], STATUS_TEXT)
+
+ORACLES["context_done"] = f"""
+SELECT c.project, c.branch, c.task_id, c.title, c.status, coalesce(bc.n, 0) AS commits_on_branch,
+       coalesce(s.status_text, '') AS status_text
+FROM ({WO["current_task"]}) c
+LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch
+LEFT JOIN ({STATUS}) s ON s.project = c.project"""
+
+ORACLES["context_resume"] = f"""
+SELECT c.project, c.branch, c.task_id, c.title, c.status, w.status_text, w.pending_items,
+       coalesce(bc.n, 0) AS commits_on_branch
+FROM ({WO["current_task"]}) c
+LEFT JOIN ({WO["worktree_summary"]}) w ON w.project = c.project AND w.branch = c.branch
+LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch"""
+
+ORACLES["context_pr"] = f"""
+SELECT c.project, c.branch, c.task_id, c.title, b.base_branch, p.number AS pr_number,
+       coalesce(bc.n, 0) AS commits_on_branch, d.summary AS diff_summary, coalesce(fc.n, 0) AS files_changed,
+       coalesce(s.status_text, '') AS status_text
+FROM ({WO["current_task"]}) c
+LEFT JOIN ({oracle_with(["tasks", "base_branches"], BASE)}) b ON b.project = c.project
+LEFT JOIN ({WO["open_pr_by_branch"]}) p ON p.project = c.project AND p.head_ref = c.branch
+LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch
+LEFT JOIN ({WO["branch_diff_stats"]}) d ON d.project = c.project AND d.branch = c.branch
+LEFT JOIN (SELECT project, branch, count(*) AS n FROM ({WO["files_changed"]}) GROUP BY project, branch) fc
+  ON fc.project = c.project AND fc.branch = c.branch
+LEFT JOIN ({STATUS}) s ON s.project = c.project"""
+
+ORACLES["context_prfix"] = f"""
+SELECT k.project, k.branch, p.number, coalesce(cc.passing, 0) AS passing, coalesce(cc.failing, 0) AS failing,
+       coalesce(cc.pending, 0) AS pending, coalesce(rs.reviews, 0) AS reviews, i.mergeable_label, i.issues,
+       i.merge_ready, p.number IS NOT NULL AS has_pr
+FROM ({oracle_with(["checkouts"], "SELECT project, branch FROM checkouts")}) k
+LEFT JOIN ({WO["open_pr_by_branch"]}) p ON p.project = k.project AND p.head_ref = k.branch
+LEFT JOIN ({WO["check_counts"]}) cc ON cc.number = p.number
+LEFT JOIN ({WO["review_summary"]}) rs ON rs.number = p.number
+LEFT JOIN ({WO["pr_issues"]}) i ON i.number = p.number"""
+
+ORACLES["context_stuck"] = f"""
+SELECT c.project, c.branch, c.task_id, c.title, coalesce(s.status_text, '') AS status_text,
+       coalesce(d.diff, '') AS diff, coalesce(bc.n, 0) AS commits_on_branch,
+       coalesce(e.failed_runs, 0) AS failed_runs, e.first_error
+FROM ({WO["current_task"]}) c
+LEFT JOIN ({STATUS}) s ON s.project = c.project
+LEFT JOIN ({DIFF}) d ON d.project = c.project
+LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch
+LEFT JOIN (SELECT project, count(*) AS failed_runs, arg_min(excerpt, log_id) AS first_error
+           FROM ({WO["log_digest"]}) GROUP BY project) e ON e.project = c.project"""

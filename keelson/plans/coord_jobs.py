@@ -76,7 +76,13 @@ def loop_completion_job(spark, sf_dir):
     return M.loop_completion(Fleet(spark, sf_dir).loop_runs, max_iterations=30)
 
 
+def delivery_check_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return M.delivery_check(f.messages, f.agent_policies, f.agent_contacts)
+
+
 JOBS = {
+    "delivery_check": delivery_check_job,
     "inbox_summary": inbox_summary_job,
     "thread_messages": thread_messages_job,
     "search_messages": search_messages_job,

@@ -173,3 +173,13 @@ SELECT *, coalesce(completed_at, iterations) > 30 AS over_limit, completed_at IS
     CAST(sum(CASE WHEN contains(output, '<promise>COMPLETE</promise>') AND exit_code <> 0 THEN 1 ELSE 0 END) AS BIGINT)
       AS promise_without_tests
   FROM loop_runs GROUP BY project)""")
+
+ORACLES["delivery_check"] = oracle_with(["messages", "agent_policies", "agent_contacts"], """
+SELECT m.project, m.thread_id, m.msg_id, m.from_agent, m.recipient, coalesce(p.contact_policy, 'auto') AS policy,
+  CASE coalesce(p.contact_policy, 'auto') WHEN 'open' THEN true WHEN 'auto' THEN true
+       WHEN 'contacts_only' THEN EXISTS (SELECT 1 FROM agent_contacts c WHERE c.agent = m.recipient AND c.contact = m.from_agent)
+       ELSE false END AS allowed
+FROM (SELECT project, thread_id, msg_id, from_agent,
+        lag(from_agent) OVER (PARTITION BY project, thread_id ORDER BY ts, msg_id) AS recipient FROM messages) m
+LEFT JOIN agent_policies p ON p.agent = m.recipient
+WHERE m.recipient IS NOT NULL AND m.recipient <> m.from_agent""")

@@ -107,7 +107,13 @@ def multi_claims_job(spark, sf_dir):
     return V.multi_claims(Fleet(spark, sf_dir).status_events)
 
 
+def new_task_status_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return V.new_task_status(_normalized(f), f.tasks)
+
+
 JOBS = {
+    "new_task_status": new_task_status_job,
     "normalize_tasks": normalize_tasks_job,
     "dependency_edges": file_dependency_edges_job,
     "migration_actions": migration_actions_job,

@@ -165,3 +165,8 @@ SELECT project, task_id, event_id, start_ts, end_ts FROM (
           SELECT *, lead(ts) OVER (PARTITION BY project, task_id ORDER BY ts, event_id) AS next_ts FROM status_events)
         WHERE status = 'in_progress'))
 WHERE prev_end > start_ts""")
+
+ORACLES["new_task_status"] = oracle_with(T, """
+SELECT n.project, 'V7_new_task_not_pending' AS rule, n.task_id, coalesce(n.raw_status, '') AS detail FROM norm n
+WHERE NOT EXISTS (SELECT 1 FROM tasks t WHERE t.project = n.project AND t.task_id = n.task_id)
+  AND lower(coalesce(n.raw_status, 'pending')) <> 'pending'""", ctes=NORM)

@@ -139,7 +139,52 @@ def context_loop_job(spark, sf_dir):
     return W.context_loop(g.next_tasks(ready, 1), counts, W.detect_test_command(f.repo_files))
 
 
+def _branch_rows(f: Fleet):
+    return W.branch_commits(f.commits, f.checkouts)
+
+
+def diff_sections_job(spark, sf_dir):
+    return W.diff_sections(Fleet(spark, sf_dir).porcelain_lines)
+
+
+def context_done_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_done(_current(f), _branch_rows(f), W.status_counts(f.porcelain_lines))
+
+
+def context_resume_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    wt = W.worktree_summary(f.checkouts, f.porcelain_lines, f.stashes, _current(f))
+    return W.context_resume(_current(f), wt, _branch_rows(f))
+
+
+def context_pr_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_pr(_current(f), _base(f), P.existing_pr(f.pull_requests), _branch_rows(f),
+                        W.branch_diff_stats(f.file_changes, _base(f)), W.files_changed(f.file_changes),
+                        W.status_counts(f.porcelain_lines))
+
+
+def context_prfix_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    issues = P.pr_issues(f.pull_requests, f.pr_checks, f.pr_reviews, f.pr_comments)
+    return W.context_prfix(f.checkouts, P.existing_pr(f.pull_requests), P.check_counts(f.pr_checks), issues,
+                           P.review_summary(f.pr_reviews))
+
+
+def context_stuck_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_stuck(_current(f), W.status_counts(f.porcelain_lines), W.diff_sections(f.porcelain_lines),
+                           _branch_rows(f), W.log_digest(f.log_blobs))
+
+
 JOBS = {
+    "diff_sections": diff_sections_job,
+    "context_done": context_done_job,
+    "context_resume": context_resume_job,
+    "context_pr": context_pr_job,
+    "context_prfix": context_prfix_job,
+    "context_stuck": context_stuck_job,
     "context_next": context_next_job,
     "context_feedback": context_feedback_job,
     "context_loop": context_loop_job,

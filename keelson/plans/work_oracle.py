@@ -141,10 +141,10 @@ _HEAD = """CASE tool WHEN 'go build' THEN 'Go build errors:' WHEN 'go vet' THEN
   WHEN 'tsc' THEN 'TypeScript errors:' WHEN 'py_compile' THEN 'Python syntax error' ELSE tool || ':' END"""
 
 ORACLES["log_digest"] = oracle_with(["log_blobs"], f"""
-SELECT log_id, tool, heading, n_lines,
+SELECT log_id, project, tool, heading, n_lines,
   heading || chr(10) || CASE WHEN len(parts) <= 50 THEN output
      ELSE array_to_string(list_slice(parts, 1, 50), chr(10)) || chr(10) || '... (' || CAST(len(parts) - 50 AS VARCHAR) || ' more lines)' END AS excerpt
-FROM (SELECT log_id, tool, output, {_HEAD} AS heading, string_split(output, chr(10)) AS parts,
+FROM (SELECT log_id, project, tool, output, {_HEAD} AS heading, string_split(output, chr(10)) AS parts,
         CAST(CASE WHEN output = '' THEN 0
              ELSE len(string_split(regexp_replace(output, '^\\s+|\\s+$', '', 'g'), chr(10))) END AS BIGINT) AS n_lines
       FROM log_blobs WHERE exit_code <> 0 AND output <> '')""")

@@ -177,6 +177,7 @@ FROM {events}
 
 BINDINGS["log_blobs"] = """
 SELECT doc_id AS log_id,
+       'p' || CAST(doc_id % 1500 + 1 AS STRING) AS project,
        CASE doc_id % 4 WHEN 0 THEN 'go build' WHEN 1 THEN 'go vet' WHEN 2 THEN 'tsc' ELSE 'py_compile' END AS tool,
        CAST(doc_id % 3 = 0 AS INT) AS exit_code,
        text AS output
@@ -288,6 +289,21 @@ FROM {loop_runs} WHERE exit_code = 0
 """
 
 
+# Contact policy of every agent (M13 input).
+BINDINGS["agent_policies"] = """
+SELECT DISTINCT 'u' || CAST(user_id AS STRING) AS agent,
+       CASE user_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'auto' WHEN 2 THEN 'contacts_only' ELSE 'block_all' END
+         AS contact_policy
+FROM {events}
+"""
+
+# Approved contacts: reviewers who reviewed the same PR one after the other.
+BINDINGS["agent_contacts"] = """
+SELECT DISTINCT a.author AS agent, b.author AS contact
+FROM {pr_reviews} a JOIN {pr_reviews} b ON a.number = b.number AND b.seq = a.seq + 1
+"""
+
+
 def dependencies(sql: str) -> list[str]:
     """Placeholder names in a binding text, in order of first use."""
     seen: list[str] = []
