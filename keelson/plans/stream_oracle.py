@@ -47,3 +47,12 @@ ORACLES["stream_review_outcomes"] = oracle_with(["pr_reviews"], """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
        count(*) AS reviews, CAST(sum(CASE WHEN upper(state) = 'CHANGES_REQUESTED' THEN 1 ELSE 0 END) AS BIGINT) AS changes_requested
 FROM pr_reviews GROUP BY ALL""")
+
+ORACLES["stream_unclaimed_reviews"] = oracle_with(["messages"], """
+SELECT r.project, r.thread_id, r.msg_id, r.from_agent, r.ts AS requested_ts FROM cm r
+WHERE r.msg_kind = 'review_request'
+  AND NOT EXISTS (SELECT 1 FROM cm c WHERE c.msg_kind = 'review_claimed' AND c.project = r.project
+                    AND c.thread_id = r.thread_id AND c.ts >= r.ts AND c.ts <= r.ts + INTERVAL 24 HOUR)
+  AND r.ts + INTERVAL 24 HOUR < (SELECT least(max(ts) FILTER (WHERE msg_kind = 'review_request'),
+                                              max(ts) FILTER (WHERE msg_kind = 'review_claimed')) - INTERVAL 1 HOUR FROM cm)""",
+    ctes=[("cm", CLASSIFY)])

@@ -123,6 +123,37 @@ def closed_sessions(reservations: DataFrame, gap: str = SESSION_GAP, delay: str
             .drop("_k", "wm"))
 
 
+def unclaimed_after(messages: DataFrame, hours: int = 24) -> DataFrame:
+    """S3: review requests with no claim within ``hours`` — a stream-stream
+    left outer join on the thread with an event-time range condition; the
+    unmatched row is emitted once the watermark passes the end of the range."""
+    c = M.classify_messages(messages).withColumn("ts", _event_time("ts"))
+    req = c.filter(F.col("msg_kind") == "review_request").select(
+        "project", "thread_id", "msg_id", "from_agent", F.col("ts").alias("requested_ts"))
+    clm = c.filter(F.col("msg_kind") == "review_claimed").select(
+        F.col("project").alias("c_project"), F.col("thread_id").alias("c_thread"),
+        F.col("ts").alias("claim_ts"), F.col("msg_id").alias("claim_id"))
+    if messages.isStreaming:
+        req, clm = req.withWatermark("requested_ts", WATERMARK), clm.withWatermark("claim_ts", WATERMARK)
+    cond = F.expr(f"c_project = project AND c_thread = thread_id AND claim_ts >= requested_ts "
+                  f"AND claim_ts <= requested_ts + INTERVAL {hours} HOURS")
+    return (req.join(clm, cond, "leftOuter").filter(F.col("claim_id").isNull())
+            .select("project", "thread_id", "msg_id", "from_agent", "requested_ts"))
+
+
+def unclaimed_after_twin(messages: DataFrame, hours: int = 24) -> DataFrame:
+    """Batch twin of S3: the same unmatched requests, limited to those whose
+    range has closed before the final watermark (the smaller of the two
+    inputs' latest event times, minus the watermark delay)."""
+    c = M.classify_messages(messages).withColumn("ts", _event_time("ts"))
+    bound = c.agg(F.least(F.max(F.when(F.col("msg_kind") == "review_request", F.col("ts"))),
+                          F.max(F.when(F.col("msg_kind") == "review_claimed", F.col("ts"))))
+                  .alias("m")).select((F.col("m") - F.expr(f"INTERVAL {WATERMARK}")).alias("wm"), F.lit(1).alias("_k"))
+    u = unclaimed_after(messages, hours).withColumn("_k", F.lit(1))
+    return (u.join(F.broadcast(bound), "_k")
+            .filter(F.col("requested_ts") + F.expr(f"INTERVAL {hours} HOURS") < F.col("wm")).drop("_k", "wm"))
+
+
 def message_volume(messages: DataFrame, slide: str | None = None) -> DataFrame:
     """Messages per (project, kind) in tumbling (or sliding) 1-hour windows."""
     m = M.classify_messages(messages).withColumn("ts", _event_time("ts"))
@@ -162,6 +193,11 @@ def stream_agent_sessions_job(spark, sf_dir):
     return run_stream(agent_sessions(f.reservations), "agent_sessions", "append")
 
 
+def stream_unclaimed_reviews_job(spark, sf_dir):
+    f = streaming_fleet(spark, sf_dir)
+    return run_stream(unclaimed_after(f.messages), "unclaimed_reviews", "append")
+
+
 def stream_message_volume_job(spark, sf_dir):
     f = streaming_fleet(spark, sf_dir)
     return run_stream(message_volume(f.messages), "message_volume", "update",
@@ -183,6 +219,7 @@ JOBS = {
     "stream_current_status": stream_current_status_job,
     "stream_review_requests": stream_review_requests_job,
     "stream_agent_sessions": stream_agent_sessions_job,
+    "stream_unclaimed_reviews": stream_unclaimed_reviews_job,
     "stream_message_volume": stream_message_volume_job,
     "stream_message_volume_sliding": stream_message_volume_sliding_job,
     "stream_review_outcomes": stream_review_outcomes_job,
@@ -193,6 +230,7 @@ BATCH_TWINS = {
     "stream_current_status": lambda spark, d: current_status(Fleet(spark, d).status_events),
     "stream_review_requests": lambda spark, d: review_requests(Fleet(spark, d).messages),
     "stream_agent_sessions": lambda spark, d: closed_sessions(Fleet(spark, d).reservations),
+    "stream_unclaimed_reviews": lambda spark, d: unclaimed_after_twin(Fleet(spark, d).messages),
     "stream_message_volume": lambda spark, d: message_volume(Fleet(spark, d).messages),
     "stream_message_volume_sliding": lambda spark, d: message_volume(Fleet(spark, d).messages, "15 minutes"),
     "stream_review_outcomes": lambda spark, d: review_outcomes_per_hour(Fleet(spark, d).pr_reviews),
