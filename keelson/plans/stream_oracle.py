@@ -56,3 +56,10 @@ WHERE r.msg_kind = 'review_request'
   AND r.ts + INTERVAL 24 HOUR < (SELECT least(max(ts) FILTER (WHERE msg_kind = 'review_request'),
                                               max(ts) FILTER (WHERE msg_kind = 'review_claimed')) - INTERVAL 1 HOUR FROM cm)""",
     ctes=[("cm", CLASSIFY)])
+
+ORACLES["stream_review_load"] = oracle_with(["messages"], """
+SELECT agent, msg_id, ts, load FROM (
+  SELECT from_agent AS agent, msg_id, ts,
+    CAST(sum(CASE WHEN msg_kind = 'review_claimed' THEN 1 ELSE -1 END)
+         OVER (PARTITION BY from_agent ORDER BY ts, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS load
+  FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete')) WHERE load > 3""", ctes=[("cm", CLASSIFY)])

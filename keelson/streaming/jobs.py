@@ -154,6 +154,34 @@ def unclaimed_after_twin(messages: DataFrame, hours: int = 24) -> DataFrame:
             .filter(F.col("requested_ts") + F.expr(f"INTERVAL {hours} HOURS") < F.col("wm")).drop("_k", "wm"))
 
 
+def _load_alarm(cap: int):
+    def fn(key, pdfs, state):
+        import pandas as pd
+
+        load = state.get[0] if state.exists else 0
+        # rows of one agent in one micro-batch (bounded by the trigger size), in event order
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "msg_id"], kind="mergesort")
+        loads = load + pdf["delta"].cumsum()
+        state.update((int(loads.iloc[-1]) if len(loads) else load,))
+        hit = pdf.assign(load=loads)[loads > cap]
+        yield hit[["agent", "msg_id", "ts", "load"]]
+    return fn
+
+
+def review_load_alarm(messages: DataFrame, cap: int = 3) -> DataFrame:
+    """Reviewer load (+1 claim, -1 completion) carried across
+    micro-batches in per-agent state; emits the events where the load
+    exceeds ``cap``. Batch twin: ``coord.review_load``."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    c = (M.classify_messages(messages).filter(F.col("msg_kind").isin("review_claimed", "review_complete"))
+         .select(F.col("from_agent").alias("agent"), "msg_id", _event_time("ts"),
+                 F.when(F.col("msg_kind") == "review_claimed", 1).otherwise(-1).cast("bigint").alias("delta")))
+    return c.groupBy("agent").applyInPandasWithState(
+        _load_alarm(cap), "agent string, msg_id bigint, ts timestamp, load bigint", "load bigint",
+        "append", GroupStateTimeout.NoTimeout)
+
+
 def message_volume(messages: DataFrame, slide: str | None = None) -> DataFrame:
     """Messages per (project, kind) in tumbling (or sliding) 1-hour windows."""
     m = M.classify_messages(messages).withColumn("ts", _event_time("ts"))
@@ -198,6 +226,11 @@ def stream_unclaimed_reviews_job(spark, sf_dir):
     return run_stream(unclaimed_after(f.messages), "unclaimed_reviews", "append")
 
 
+def stream_review_load_job(spark, sf_dir):
+    f = streaming_fleet(spark, sf_dir)
+    return run_stream(review_load_alarm(f.messages, cap=3), "review_load", "append")
+
+
 def stream_message_volume_job(spark, sf_dir):
     f = streaming_fleet(spark, sf_dir)
     return run_stream(message_volume(f.messages), "message_volume", "update",
@@ -220,6 +253,7 @@ JOBS = {
     "stream_review_requests": stream_review_requests_job,
     "stream_agent_sessions": stream_agent_sessions_job,
     "stream_unclaimed_reviews": stream_unclaimed_reviews_job,
+    "stream_review_load": stream_review_load_job,
     "stream_message_volume": stream_message_volume_job,
     "stream_message_volume_sliding": stream_message_volume_sliding_job,
     "stream_review_outcomes": stream_review_outcomes_job,
@@ -231,6 +265,8 @@ BATCH_TWINS = {
     "stream_review_requests": lambda spark, d: review_requests(Fleet(spark, d).messages),
     "stream_agent_sessions": lambda spark, d: closed_sessions(Fleet(spark, d).reservations),
     "stream_unclaimed_reviews": lambda spark, d: unclaimed_after_twin(Fleet(spark, d).messages),
+    "stream_review_load": lambda spark, d: M.review_load(Fleet(spark, d).messages, cap=3)
+    .withColumn("ts", F.col("ts").cast("timestamp")),
     "stream_message_volume": lambda spark, d: message_volume(Fleet(spark, d).messages),
     "stream_message_volume_sliding": lambda spark, d: message_volume(Fleet(spark, d).messages, "15 minutes"),
     "stream_review_outcomes": lambda spark, d: review_outcomes_per_hour(Fleet(spark, d).pr_reviews),
