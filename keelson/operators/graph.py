@@ -355,8 +355,10 @@ def triage(tasks: DataFrame, deps: DataFrame, k: int = 5) -> DataFrame:
              .agg(F.countDistinct("dependent").cast("double").alias("unblocks")))
     pr = pagerank(tasks, deps)
     t = ready.join(trans, KEY, "left").join(pr, KEY).fillna(0.0, ["unblocks"])
-    w = Window.partitionBy("project")
-    t = (t.withColumn("max_u", F.max("unblocks").over(w)).withColumn("max_r", F.max("rank").over(w))
+    # per-project maxima as a partial aggregate joined back (a hot project is
+    # reduced map-side instead of being gathered into one window task)
+    mx = t.groupBy("project").agg(F.max("unblocks").alias("max_u"), F.max("rank").alias("max_r"))
+    t = (t.join(mx, "project")
          .withColumn("t_unblock", F.when(F.col("max_u") > 0, 0.4 * F.col("unblocks") / F.col("max_u")).otherwise(0.0))
          .withColumn("t_rank", F.when(F.col("max_r") > 0, 0.3 * F.col("rank") / F.col("max_r")).otherwise(0.0))
          .withColumn("t_prio", 0.3 * (3 - F.col("priority")) / 3.0)
