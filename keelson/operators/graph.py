@@ -255,31 +255,47 @@ def critical_path(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -
     return path.select("project", "pos", "task_id", "length")
 
 
+def weak_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100000) -> DataFrame:
+    """Smallest node id of every node's weakly connected component.
+
+    Min-label propagation with pointer jumping: each round a node takes the
+    smallest label among itself and its neighbours, then the label of that
+    label. Jumping collapses long dependency chains in a number of rounds
+    that grows with the log of the chain length instead of its length.
+    ``nodes(project, task_id)``, ``edges(project, a, b)`` (either direction).
+    """
+    und = _cut(edges.select("project", "a", "b")
+               .unionByName(edges.select("project", F.col("b").alias("a"), F.col("a").alias("b")))
+               .distinct())
+    label = _cut(nodes.select(*KEY, F.col("task_id").alias("label")))
+    for _ in range(max_rounds):
+        nb = (und.join(label.select("project", F.col("task_id").alias("b"), F.col("label").alias("lb")),
+                       ["project", "b"])
+              .groupBy("project", F.col("a").alias("task_id")).agg(F.min("lb").alias("nb")))
+        hop = (label.join(nb, KEY, "left")
+               .select(*KEY, F.least("label", F.coalesce("nb", "label")).alias("m")))
+        jump = (hop.join(hop.select("project", F.col("task_id").alias("m"), F.col("m").alias("mm")),
+                         ["project", "m"], "left")
+                .select(*KEY, F.least("m", F.coalesce("mm", "m")).alias("new")))
+        new = _cut(jump.join(label, KEY).select(*KEY, "new", "label"))
+        if new.filter(F.col("new") != F.col("label")).isEmpty():
+            break
+        label = new.select(*KEY, F.col("new").alias("label"))  # already cut with ``new``
+    return label
+
+
 def parallel_tracks(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
     """G8 (*ours*): level and track of every not-closed, non-cyclic task.
 
     track = smallest task_id of the weakly connected component of the open
-    graph (min-label propagation; only changed nodes send labels).
+    graph (``weak_components``).
     """
     lv = task_levels(tasks, deps).select(*KEY, "level")
     e = open_edges(tasks, deps).join(lv.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi") \
         .join(lv.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi")
-    und = _cut(e.select("project", F.col("child").alias("a"), F.col("parent").alias("b"))
-               .unionByName(e.select("project", F.col("parent").alias("a"), F.col("child").alias("b")))
-               .repartition("project", "a"))
-    label = _cut(lv.select(*KEY, F.col("task_id").alias("track")))
-    frontier = label
-    for _ in range(max_rounds):
-        msg = (frontier.select("project", F.col("task_id").alias("a"), "track")
-               .join(und, ["project", "a"])
-               .groupBy("project", F.col("b").alias("task_id")).agg(F.min("track").alias("ntrack")))
-        upd = _cut(msg.join(label, KEY).filter(F.col("ntrack") < F.col("track"))
-                   .select(*KEY, F.col("ntrack").alias("track")))
-        if upd.isEmpty():
-            break
-        label = _cut(label.join(upd, KEY, "left_anti").unionByName(upd))
-        frontier = upd
-    return lv.join(label, KEY)
+    comp = weak_components(lv.select(*KEY), e.select("project", F.col("child").alias("a"), F.col("parent").alias("b")),
+                           max_rounds)
+    return lv.join(comp.withColumnRenamed("label", "track"), KEY)
 
 
 # ---------------------------------------------------------------- G10, G11
