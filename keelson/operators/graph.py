@@ -318,13 +318,50 @@ def descendants(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
     return reach.filter(F.col("task_id") != F.col("dependent"))
 
 
-def blockers_to_clear(tasks: DataFrame, deps: DataFrame) -> DataFrame:
+def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12,
+                            max_rounds: int = 100000) -> DataFrame:
+    """Approximate number of transitive open dependents per task, for graphs
+    where the exact (task, dependent) pairs would be too many.
+
+    Each task holds an HLL sketch of its dependents, the union over its
+    children of (child id + child's sketch); only tasks whose sketch changed
+    send it on in the next round. State is one fixed-size sketch per task
+    (small sets are held exactly in the sketch's list mode), so the work per
+    round grows with the edges, not with the square of chain length.
+    """
+    e = _cut(open_edges(tasks, deps).distinct())
+    own = e.groupBy("project", F.col("parent").alias("task_id")).agg(
+        F.hll_sketch_agg("child", lg_k).alias("own"))
+    sk = _cut(own.select(*KEY, F.col("own").alias("s")))
+    own = _cut(own)
+    frontier = sk
+    for _ in range(max_rounds):
+        msg = (frontier.select("project", F.col("task_id").alias("child"), "s")
+               .join(e, ["project", "child"])
+               .groupBy("project", F.col("parent").alias("task_id")).agg(F.hll_union_agg("s").alias("m")))
+        upd = (msg.join(sk, KEY).join(own, KEY)
+               .select(*KEY, F.hll_union(F.hll_union("s", "m"), "own").alias("ns"), "s")
+               .filter(F.col("ns") != F.col("s")))
+        upd = _cut(upd.select(*KEY, F.col("ns").alias("s")))
+        if upd.isEmpty():
+            break
+        sk = _cut(sk.join(upd.select(*KEY), KEY, "left_anti").unionByName(upd))
+        frontier = upd
+    return sk.select(*KEY, F.hll_sketch_estimate("s").alias("transitive_dependents"))
+
+
+def blockers_to_clear(tasks: DataFrame, deps: DataFrame, method: str = "exact") -> DataFrame:
     """Not-closed tasks with direct and transitive open dependents,
-    ranked per project (most transitive dependents first, then task_id)."""
+    ranked per project (most transitive dependents first, then task_id).
+    ``method="sketch"`` counts transitive dependents with HLL sketches
+    (``dependent_counts_sketch``) instead of exact pairs."""
     direct = (open_edges(tasks, deps).groupBy("project", F.col("parent").alias("task_id"))
               .agg(F.countDistinct("child").alias("direct_dependents")))
-    trans = (descendants(tasks, deps).groupBy(*KEY)
-             .agg(F.countDistinct("dependent").alias("transitive_dependents")))
+    if method == "sketch":
+        trans = dependent_counts_sketch(tasks, deps)
+    else:
+        trans = (descendants(tasks, deps).groupBy(*KEY)
+                 .agg(F.countDistinct("dependent").alias("transitive_dependents")))
     out = (not_closed(tasks).select(*KEY, "status", "priority")
            .join(direct, KEY, "left").join(trans, KEY, "left")
            .fillna(0, ["direct_dependents", "transitive_dependents"])

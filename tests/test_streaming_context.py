@@ -26,3 +26,13 @@ def test_diff_sections_truncate(spark):
     p = out["p"].diff
     assert p.startswith("Staged:\nf000.py") and "... (5 more lines)" in p and p.endswith("Unstaged:\ng.py")
     assert "q" not in out  # untracked files are neither staged nor modified
+
+
+def test_dependent_counts_sketch_equals_exact(spark):
+    from keelson.operators import graph as g
+
+    f = Fleet(spark, SF)
+    exact = {(r.project, r.task_id): r.transitive_dependents for r in g.blockers_to_clear(f.tasks, f.task_deps).collect()}
+    sk = {(r.project, r.task_id): r.transitive_dependents
+          for r in g.blockers_to_clear(f.tasks, f.task_deps, method="sketch").collect()}
+    assert exact == sk and len(exact) > 0
