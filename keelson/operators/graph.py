@@ -183,19 +183,11 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
 
 # ---------------------------------------------------------------- levels
 
-def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
-    """Level of every not-closed task: 1 for a task without open parents,
-    else 1 + max(level of open parents). Cycle members are removed first.
-
-    Returns (project, task_id, level).
-    """
-    edges = open_edges(tasks, deps)
-    cyc = cycle_members(edges)
-    nodes = not_closed(tasks).select(*KEY).join(cyc, KEY, "left_anti")
-    edges = (edges.join(cyc.withColumnRenamed("task_id", "child"), ["project", "child"], "left_anti")
-             .join(cyc.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_anti"))
+def _longest_levels(level: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
+    """Raise lower-bound levels to longest-path levels over an acyclic edge
+    set: level(child) >= 1 + level(parent); only raised nodes send again."""
     edges = _cut(edges.repartition("project", "parent"))
-    level = _cut(nodes.withColumn("level", F.lit(1).cast("bigint")))
+    level = _cut(level)
     frontier = level
     for _ in range(max_rounds):
         cand = (frontier.select("project", F.col("task_id").alias("parent"), "level")
@@ -211,6 +203,49 @@ def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
     return level
 
 
+def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+    """Level of every not-closed task: 1 for a task without open parents,
+    else 1 + max(level of open parents). Cycle members are left out.
+
+    Layer peeling (Kahn): a task gets level r when its last open parent was
+    levelled in round r-1, so one loop both levels an acyclic graph and
+    proves it acyclic. Only when tasks remain (cycles and what depends on
+    them) does cycle detection run, on that remainder alone; the tasks below
+    a cycle are then levelled by ``_longest_levels`` from the known levels.
+    Returns (project, task_id, level).
+    """
+    nodes = not_closed(tasks).select(*KEY)
+    e = _cut(open_edges(tasks, deps).distinct())
+    indeg = e.groupBy("project", F.col("child").alias("task_id")).agg(F.count(F.lit(1)).alias("indeg"))
+    rem = _cut(nodes.join(indeg, KEY, "left").fillna(0, ["indeg"]))
+    frontier = _cut(rem.filter(F.col("indeg") == 0).select(*KEY, F.lit(1).cast("bigint").alias("level")))
+    assigned = frontier
+    for r in range(2, max_rounds):
+        dec = (frontier.select("project", F.col("task_id").alias("parent")).join(e, ["project", "parent"])
+               .groupBy("project", F.col("child").alias("task_id")).agg(F.count(F.lit(1)).alias("d")))
+        touched = _cut(rem.join(dec, KEY).select(*KEY, (F.col("indeg") - F.col("d")).alias("indeg")))
+        # a filter of the cut frame: reads the checkpoint, needs no cut of its own
+        frontier = touched.filter(F.col("indeg") == 0).select(*KEY, F.lit(r).cast("bigint").alias("level"))
+        if frontier.isEmpty():
+            break
+        rem = _cut(rem.join(touched.select(*KEY), KEY, "left_anti").unionByName(touched))
+        assigned = assigned.unionByName(frontier)  # union of checkpoint scans: shallow lineage
+    assigned = _cut(assigned)
+    rest = nodes.join(assigned.select(*KEY), KEY, "left_anti")
+    if rest.isEmpty():
+        return assigned
+    # cycles: detect them among the remaining tasks only, then level what lies below them
+    rest_edges = (e.join(rest.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi")
+                  .join(rest.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi"))
+    cyc = cycle_members(rest_edges)
+    keep = nodes.join(cyc, KEY, "left_anti")
+    start = (keep.join(assigned, KEY, "left")
+             .select(*KEY, F.coalesce("level", F.lit(1)).cast("bigint").alias("level")))
+    acyclic = (e.join(cyc.withColumnRenamed("task_id", "child"), ["project", "child"], "left_anti")
+               .join(cyc.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_anti"))
+    return _longest_levels(start, acyclic, max_rounds)
+
+
 def _with_pred(level: DataFrame, deps_open: DataFrame) -> DataFrame:
     """Add ``pred``: the smallest-id open parent exactly one level up (the
     previous task on a longest chain); null for level-1 tasks."""
