@@ -142,14 +142,18 @@ def priority_distribution(tasks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G17 cycles
 
-def cycle_members(deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def cycle_members(deps: DataFrame, max_rounds: int = 100000, method: str = "closure") -> DataFrame:
     """Tasks that lie on a dependency cycle.
 
     1. Peel (Kahn both ways): drop edges touching a node without incoming or
        without outgoing edges, until nothing changes. Survivors lie on cycles
        or on paths between cycles.
-    2. On the survivors only, propagate reachability and keep nodes that reach
-       themselves.
+    2. On the survivors only, keep the tasks that reach themselves:
+       ``method="closure"`` (default) expands (source, target) pairs, cheapest
+       when cycles are small (the usual case: a cycle is a planning error);
+       ``method="coloring"`` finds strongly connected components by
+       forward/backward colouring (``_scc_members``) with O(1) state per
+       task, for graphs with large cycles.
     """
     e = deps.select("project", "child", "parent").distinct()
     e = _cut(e)
@@ -165,6 +169,8 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
         if n2 == n:
             break
         e, n = e2, n2
+    if method == "coloring":
+        return _scc_members(e, max_rounds)
     # reachability among survivors: (src, dst) pairs, frontier-expanded
     reach = _cut(e.select("project", F.col("child").alias("src"), F.col("parent").alias("dst")))
     frontier = reach
@@ -181,6 +187,59 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
             .select("project", F.col("src").alias("task_id")).distinct())
 
 
+def _propagate_min(label: DataFrame, edges: DataFrame, src: str, dst: str, max_rounds: int) -> DataFrame:
+    """Frontier loop: label(dst) = min(label(dst), label(src)) along edges
+    (project, src, dst) until nothing changes. ``label(project, node, l)``."""
+    label = _cut(label)
+    frontier = label
+    for _ in range(max_rounds):
+        msg = (frontier.select("project", F.col("node").alias(src), "l").join(edges, ["project", src])
+               .filter(F.col("l").isNotNull())
+               .groupBy("project", F.col(dst).alias("node")).agg(F.min("l").alias("nl")))
+        upd = _cut(msg.join(label, ["project", "node"])
+                   .filter(F.col("l").isNull() | (F.col("nl") < F.col("l")))
+                   .select("project", "node", F.col("nl").alias("l")))
+        if upd.isEmpty():
+            break
+        label = _cut(label.join(upd.select("project", "node"), ["project", "node"], "left_anti").unionByName(upd))
+        frontier = upd
+    return label
+
+
+def _scc_members(e: DataFrame, max_rounds: int) -> DataFrame:
+    """Tasks in a strongly connected component of more than one task (or
+    with a self edge), by forward/backward colouring — no node pairs:
+    colour = smallest id that reaches a task; each colour's root collects,
+    backwards within its colour, the tasks that reach it (its component);
+    found components are removed and the rest coloured again."""
+    e = _cut(e.select("project", "child", "parent").distinct())
+    selfloop = e.filter(F.col("child") == F.col("parent")).select("project", F.col("child").alias("task_id"))
+    e = _cut(e.filter(F.col("child") != F.col("parent")))
+    nodes = _cut(e.select("project", F.col("child").alias("node"))
+                 .unionByName(e.select("project", F.col("parent").alias("node"))).distinct())
+    found = selfloop
+    for _ in range(max_rounds):
+        if nodes.isEmpty():
+            break
+        # colour: smallest id among tasks that reach this one (child reaches parent)
+        col = _propagate_min(nodes.withColumn("l", F.col("node")), e, "child", "parent", max_rounds)
+        col = _cut(col.withColumnRenamed("l", "c"))
+        same = (e.join(col.select("project", F.col("node").alias("child"), F.col("c").alias("cc")), ["project", "child"])
+                .join(col.select("project", F.col("node").alias("parent"), F.col("c").alias("cp")), ["project", "parent"])
+                .filter(F.col("cc") == F.col("cp")).select("project", "child", "parent"))
+        # back from each root (colour == own id) over same-colour edges: who reaches the root
+        start = col.select("project", "node", F.when(F.col("c") == F.col("node"), F.col("node")).alias("l"))
+        back = _propagate_min(start, same, "parent", "child", max_rounds)
+        comp = _cut(back.filter(F.col("l").isNotNull()).select("project", "node", F.col("l").alias("root")))
+        big = comp.groupBy("project", "root").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+        found = found.unionByName(comp.join(big, ["project", "root"], "left_semi")
+                                  .select("project", F.col("node").alias("task_id")))
+        nodes = _cut(nodes.join(comp.select("project", "node"), ["project", "node"], "left_anti"))
+        e = _cut(e.join(comp.select("project", F.col("node").alias("child")), ["project", "child"], "left_anti")
+                 .join(comp.select("project", F.col("node").alias("parent")), ["project", "parent"], "left_anti"))
+    return _cut(found.distinct())
+
+
 # ---------------------------------------------------------------- levels
 
 def _longest_levels(level: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:

@@ -36,3 +36,13 @@ def test_dependent_counts_sketch_equals_exact(spark):
     sk = {(r.project, r.task_id): r.transitive_dependents
           for r in g.blockers_to_clear(f.tasks, f.task_deps, method="sketch").collect()}
     assert exact == sk and len(exact) > 0
+
+
+def test_cycle_methods_agree(spark):
+    from keelson.operators import graph as g
+
+    f = Fleet(spark, SF)
+    deps = f.task_deps.unionByName(f.back_edges)
+    a = sorted(map(tuple, g.cycle_members(deps).collect()))
+    b = sorted(map(tuple, g.cycle_members(deps, method="coloring").collect()))
+    assert a == b and len(a) > 0
