@@ -7,3 +7,15 @@ Subpackages: ``sources`` (fleet tables, task-file scan), ``functions``
 """
 
 __version__ = "0.1.0"
+
+# The few functions that run in Python workers (task-file decode, the
+# stateful stream) are shipped by value, so executors need no installed copy
+# of this package.
+try:  # pragma: no cover - depends on the PySpark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
