@@ -29,18 +29,35 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster profile for fleet-scale inputs (~100 TB): start shuffles wide and let
+# AQE coalesce them to ~256 MB partitions (and split skewed ones), read files
+# in 512 MB splits, and keep the auto-broadcast limit at a size every executor
+# can hold — broadcasts are only ever chosen by this size check.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "keelson",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; the
-    cluster's own ``spark.checkpoint.dir`` is then used by graph jobs.
+    On a cluster pass ``master=None`` and ``cluster=True`` and let
+    spark-submit decide the rest; the cluster's own ``spark.checkpoint.dir``
+    is then used by graph jobs.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
