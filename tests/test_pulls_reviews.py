@@ -51,7 +51,7 @@ def test_decode_json(spark):
 
 REVIEW = """## Review: bd-1-review
 
-**Reviewer**: RedOwl
+**Reviewer**: Kestrel
 **Verdict**: Changes Requested
 
 ### Blocking Issues
