@@ -184,12 +184,12 @@ SELECT doc_id AS log_id,
 FROM {documents}
 """
 
-# Base-branch rule per project (W12 input): names that exist in each checkout.
-# Project number ending in 8 has only master, ending in 9 has neither.
+# Base-branch names that exist in each checkout (W12 input), decided by the
+# project's first task: label 'low' -> only master, 'not specified' -> neither,
+# otherwise main.
 BINDINGS["base_branches"] = """
-SELECT DISTINCT project,
-       CASE WHEN project LIKE '%8' THEN 'master' ELSE 'main' END AS name
-FROM {tasks} WHERE project NOT LIKE '%9'
+SELECT project, CASE WHEN label = 'low' THEN 'master' ELSE 'main' END AS name
+FROM {tasks} WHERE seq = 1 AND label <> 'not specified'
 """
 
 # Root-level marker files per project (W19 input), derived from the task
