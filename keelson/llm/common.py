@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keelson.session import checkpoint_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -68,12 +68,13 @@ def arrow_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[first:last], offsets - first
 
 
-def batch_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of every word, first word of every document + end)."""
+def batch_words(raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, first word of every document + end). ``fold``
+    maps a byte to its normal form; 0 stands between words."""
     n_docs = len(offsets) - 1
     if len(raw) == 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(n_docs + 1, dtype=np.int64)
-    folded = _FOLD[raw]
+    folded = fold[raw]
     inside = folded != 0
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
