@@ -68,9 +68,10 @@ def arrow_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[first:last], offsets - first
 
 
-def batch_words(raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+def batch_words(raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD, stem: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hash of every word, first word of every document + end). ``fold``
-    maps a byte to its normal form; 0 stands between words."""
+    maps a byte to its normal form; 0 stands between words. With ``stem``, hashes
+    are of the words' first so many bytes (a shorter word's is of the whole)."""
     n_docs = len(offsets) - 1
     if len(raw) == 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(n_docs + 1, dtype=np.int64)
@@ -88,6 +89,8 @@ def batch_words(raw: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD)
     # word length = inside bytes from this start to the next one
     before = count[starts] - 1
     lengths = np.diff(np.append(before, count[-1]))
+    if stem is not None:
+        lengths = np.minimum(lengths, stem)
     up, down = _powers(len(raw) + 1)
     prefix = np.empty(len(raw) + 1, dtype=np.uint64)
     prefix[0] = 0

@@ -519,6 +519,7 @@ def test_op10_held_out(spark):
     good, bad = out.where("grade = 2"), out.where("grade < 2")
     assert good.where("keep").count() / good.count() > 0.99
     assert bad.where("not keep").count() / bad.count() > 0.9
+    assert out.where("grade = 0 and not keep").count() / out.where("grade = 0").count() > 0.97
     assert out.where("expected_grade < 0 or expected_grade > 2 or tail_prob < 0 or tail_prob > 1").count() == 0
 
 
@@ -532,3 +533,72 @@ def test_op10_awkward(awkward, spark):
     none = quality.train(awkward, ratings.limit(0), 3)
     assert quality.grade(awkward.where("doc_id = 13"), none).where("keep").count() == 2
     assert quality.grade(empty(spark), none).count() == 0
+
+
+# --- pipeline ------------------------------------------------------------
+
+def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as cp
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen = {}
+
+    def watch(name, stage):
+        def run(spark, d, sf_dir):
+            before = {r["doc_id"]: r["text"] for r in d.collect()}
+            out = stage(spark, d, sf_dir)
+            if name != cp.STAGES[-1][0]:
+                assert out.columns == docs.columns and out.dtypes == docs.dtypes
+            out.write.mode("overwrite").parquet(str(tmp_path / name))
+            out = spark.read.parquet(str(tmp_path / name))
+            seen[name] = (before, [(r["doc_id"], r["text"]) for r in out.collect()])
+            return out
+        return run
+    names = [n for n, _ in cp.STAGES]
+    assert names == ["quality_classifier", "jaccard_join", "decontamination", "pii", "mixing"]
+    monkeypatch.setattr(cp, "STAGES", [(n, watch(n, f)) for n, f in cp.STAGES])
+    result = cp.run(spark, sf)
+    rows = result.collect()
+
+    before, after = seen["quality_classifier"]
+    grades = dict(pairs(quality.grades_of(spark.read.parquet(f"{sf}/labels.parquet")), "doc_id", "grade"))
+    kept = {i for i, _ in after}
+    assert all(before[i] == t for i, t in after) and len(kept) == len(after)
+    clean = [i for i in before if grades.get(i) == 2]
+    assert sum(i in kept for i in clean) / len(clean) > 0.99 and sum(i in kept for i in before if grades.get(i) == 0) <= 4
+
+    before, after = seen["jaccard_join"]
+    groups = {}
+    for i, g, _ in brute_links(list(before.items())):
+        groups.setdefault(g if shingles(before[i]) else ("none", i), []).append(i)
+    assert sorted(i for i, _ in after) == sorted(min(v) for v in groups.values())
+
+    before, after = seen["decontamination"]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    hits = {i: brute_hits(t, items) for i, t in before.items()}
+    assert {i for i, _ in after} == {i for i, h in hits.items() if h[1] <= decontaminate.MAX_COVERAGE * h[0]}
+    assert any(h[4] for h in hits.values()) and not any(brute_hits(t, items)[4] for _, t in after)
+    assert all(before[i] == t for i, t in after if not hits[i][4])
+
+    before, after = seen["pii"]
+    assert {i for i, _ in after} == set(before) and not any(brute_pii(t) for _, t in after)
+    assert all(before[i] == t for i, t in after if not re.search("[0-9]", before[i]))
+
+    before, after = seen["mixing"]
+    assert {i for i, _ in after} <= set(before) and all(before[i] == t for i, t in after)
+    source = dict(pairs(docs, "doc_id", "source"))
+    size = {}
+    for i in before:
+        size[source[i]] = size.get(source[i], 0) + 1
+    want = 0
+    for i in before:
+        rate = len(before) / len(size) / size[source[i]]
+        u = (int(hashlib.md5(f"{mixing.SEED}|{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        k, term, total = 0, math.exp(-rate), math.exp(-rate)
+        while total < u:
+            k += 1
+            term *= rate / k
+            total += term
+        want += k
+        assert sum(a == i for a, _ in after) == k
+    assert len(rows) == want
