@@ -20,7 +20,7 @@ add up in a long text; as a middle grade, they would have to stop half-way.)
 
 Cases: a text that is null or has no word has nothing to grade: expected grade 0
 and tail 0; a rating with a null grade or doc_id is not used; of several ratings
-of one doc_id the least counts; without ratings, or of one grade alone, that grade
+of one doc_id the least counts, and of several texts the least; without ratings, or of one grade alone, that grade
 (else the highest) is given to every text; repeated documents are scored each;
 other columns are ignored (``select`` keeps them).
 """
@@ -184,7 +184,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int =
     rated = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # bounded by sample_rows, hence fit to broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id").select("grade", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min("text").alias("text")).select("grade", "text")
 
     def run(batches):
         for whole in batches:
