@@ -8,7 +8,8 @@ still spread over many tasks because rows hash on (project, task_id).
 Iterative jobs are frontier loops: only nodes that changed in a round send
 messages in the next one; every round cuts lineage with a reliable
 ``checkpoint()`` into the session's checkpoint folder, and only a boolean
-("frontier empty?") reaches the driver.
+("frontier empty?") reaches the driver. Loops run until nothing changes; no round
+limit can end one with a partial result.
 
 Formulas marked *ours* are definitions fixed by this library (the source only
 names the question).
@@ -16,6 +17,8 @@ names the question).
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,7 +145,7 @@ def priority_distribution(tasks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G17 cycles
 
-def cycle_members(deps: DataFrame, max_rounds: int = 100000, method: str = "closure") -> DataFrame:
+def cycle_members(deps: DataFrame, method: str = "closure") -> DataFrame:
     """Tasks that lie on a dependency cycle.
 
     1. Peel (Kahn both ways): drop edges touching a node without incoming or
@@ -158,7 +161,7 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000, method: str = "clos
     e = deps.select("project", "child", "parent").distinct()
     e = _cut(e)
     n = e.count()
-    for _ in range(max_rounds):
+    while True:
         has_out = e.select("project", F.col("child").alias("node")).distinct()
         has_in = e.select("project", F.col("parent").alias("node")).distinct()
         both = has_out.join(has_in, ["project", "node"], "left_semi")
@@ -170,11 +173,11 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000, method: str = "clos
             break
         e, n = e2, n2
     if method == "coloring":
-        return _scc_members(e, max_rounds)
+        return _scc_members(e)
     # reachability among survivors: (src, dst) pairs, frontier-expanded
     reach = _cut(e.select("project", F.col("child").alias("src"), F.col("parent").alias("dst")))
     frontier = reach
-    for _ in range(max_rounds):
+    while True:
         step = (frontier.join(e.withColumnRenamed("child", "dst").withColumnRenamed("parent", "nxt"),
                               ["project", "dst"])
                 .select("project", "src", F.col("nxt").alias("dst")).distinct())
@@ -187,12 +190,12 @@ def cycle_members(deps: DataFrame, max_rounds: int = 100000, method: str = "clos
             .select("project", F.col("src").alias("task_id")).distinct())
 
 
-def _propagate_min(label: DataFrame, edges: DataFrame, src: str, dst: str, max_rounds: int) -> DataFrame:
+def _propagate_min(label: DataFrame, edges: DataFrame, src: str, dst: str) -> DataFrame:
     """Frontier loop: label(dst) = min(label(dst), label(src)) along edges
     (project, src, dst) until nothing changes. ``label(project, node, l)``."""
     label = _cut(label)
     frontier = label
-    for _ in range(max_rounds):
+    while True:
         msg = (frontier.select("project", F.col("node").alias(src), "l").join(edges, ["project", src])
                .filter(F.col("l").isNotNull())
                .groupBy("project", F.col(dst).alias("node")).agg(F.min("l").alias("nl")))
@@ -206,7 +209,7 @@ def _propagate_min(label: DataFrame, edges: DataFrame, src: str, dst: str, max_r
     return label
 
 
-def _scc_members(e: DataFrame, max_rounds: int) -> DataFrame:
+def _scc_members(e: DataFrame) -> DataFrame:
     """Tasks in a strongly connected component of more than one task (or
     with a self edge), by forward/backward colouring — no node pairs:
     colour = smallest id that reaches a task; each colour's root collects,
@@ -218,18 +221,18 @@ def _scc_members(e: DataFrame, max_rounds: int) -> DataFrame:
     nodes = _cut(e.select("project", F.col("child").alias("node"))
                  .unionByName(e.select("project", F.col("parent").alias("node"))).distinct())
     found = selfloop
-    for _ in range(max_rounds):
+    while True:
         if nodes.isEmpty():
             break
         # colour: smallest id among tasks that reach this one (child reaches parent)
-        col = _propagate_min(nodes.withColumn("l", F.col("node")), e, "child", "parent", max_rounds)
+        col = _propagate_min(nodes.withColumn("l", F.col("node")), e, "child", "parent")
         col = _cut(col.withColumnRenamed("l", "c"))
         same = (e.join(col.select("project", F.col("node").alias("child"), F.col("c").alias("cc")), ["project", "child"])
                 .join(col.select("project", F.col("node").alias("parent"), F.col("c").alias("cp")), ["project", "parent"])
                 .filter(F.col("cc") == F.col("cp")).select("project", "child", "parent"))
         # back from each root (colour == own id) over same-colour edges: who reaches the root
         start = col.select("project", "node", F.when(F.col("c") == F.col("node"), F.col("node")).alias("l"))
-        back = _propagate_min(start, same, "parent", "child", max_rounds)
+        back = _propagate_min(start, same, "parent", "child")
         comp = _cut(back.filter(F.col("l").isNotNull()).select("project", "node", F.col("l").alias("root")))
         big = comp.groupBy("project", "root").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
         found = found.unionByName(comp.join(big, ["project", "root"], "left_semi")
@@ -242,13 +245,13 @@ def _scc_members(e: DataFrame, max_rounds: int) -> DataFrame:
 
 # ---------------------------------------------------------------- levels
 
-def _longest_levels(level: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
+def _longest_levels(level: DataFrame, edges: DataFrame) -> DataFrame:
     """Raise lower-bound levels to longest-path levels over an acyclic edge
     set: level(child) >= 1 + level(parent); only raised nodes send again."""
     edges = _cut(edges.repartition("project", "parent"))
     level = _cut(level)
     frontier = level
-    for _ in range(max_rounds):
+    while True:
         cand = (frontier.select("project", F.col("task_id").alias("parent"), "level")
                 .join(edges, ["project", "parent"])
                 .groupBy("project", F.col("child").alias("task_id"))
@@ -262,7 +265,7 @@ def _longest_levels(level: DataFrame, edges: DataFrame, max_rounds: int) -> Data
     return level
 
 
-def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def task_levels(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     """Level of every not-closed task: 1 for a task without open parents,
     else 1 + max(level of open parents). Cycle members are left out.
 
@@ -279,7 +282,7 @@ def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
     rem = _cut(nodes.join(indeg, KEY, "left").fillna(0, ["indeg"]))
     frontier = _cut(rem.filter(F.col("indeg") == 0).select(*KEY, F.lit(1).cast("bigint").alias("level")))
     assigned = frontier
-    for r in range(2, max_rounds):
+    for r in itertools.count(2):
         dec = (frontier.select("project", F.col("task_id").alias("parent")).join(e, ["project", "parent"])
                .groupBy("project", F.col("child").alias("task_id")).agg(F.count(F.lit(1)).alias("d")))
         touched = _cut(rem.join(dec, KEY).select(*KEY, (F.col("indeg") - F.col("d")).alias("indeg")))
@@ -288,7 +291,9 @@ def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
         if frontier.isEmpty():
             break
         rem = _cut(rem.join(touched.select(*KEY), KEY, "left_anti").unionByName(touched))
-        assigned = assigned.unionByName(frontier)  # union of checkpoint scans: shallow lineage
+        assigned = assigned.unionByName(frontier)
+        if r % 8 == 0:                             # keep the union's plan short on deep graphs
+            assigned = _cut(assigned)
     assigned = _cut(assigned)
     rest = nodes.join(assigned.select(*KEY), KEY, "left_anti")
     if rest.isEmpty():
@@ -302,7 +307,7 @@ def task_levels(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
              .select(*KEY, F.coalesce("level", F.lit(1)).cast("bigint").alias("level")))
     acyclic = (e.join(cyc.withColumnRenamed("task_id", "child"), ["project", "child"], "left_anti")
                .join(cyc.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_anti"))
-    return _longest_levels(start, acyclic, max_rounds)
+    return _longest_levels(start, acyclic)
 
 
 def _with_pred(level: DataFrame, deps_open: DataFrame) -> DataFrame:
@@ -327,7 +332,7 @@ def graph_tree(tasks: DataFrame, deps: DataFrame) -> DataFrame:
             .withColumn("n_parents", F.size("parents").cast("bigint")))
 
 
-def critical_path(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def critical_path(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     """G9 (*ours*: unit weights): the longest chain of not-closed tasks per
     project, ordered from its root (pos 1). End node: highest level, ties by
     smallest task_id; each step back takes the smallest-id parent one level up.
@@ -337,7 +342,7 @@ def critical_path(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -
     and expanding take about 2*log2(depth) rounds over the tasks, instead of
     one scan of all tasks per step of the longest chain.
     """
-    lv = _cut(_with_pred(task_levels(tasks, deps, max_rounds), open_edges(tasks, deps)))
+    lv = _cut(_with_pred(task_levels(tasks, deps), open_edges(tasks, deps)))
     w = Window.partitionBy("project").orderBy(F.desc("level"), "task_id")
     ends = _cut(lv.withColumn("r", F.row_number().over(w)).filter("r = 1")
                 .select("project", "task_id", F.col("level").alias("length")))
@@ -354,7 +359,7 @@ def critical_path(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -
     return chain.join(lv.select(*KEY, "level"), KEY).select("project", F.col("level").alias("pos"), "task_id", "length")
 
 
-def weak_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def weak_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest node id of every node's weakly connected component.
 
     Min-label propagation with pointer jumping: each round a node takes the
@@ -367,7 +372,7 @@ def weak_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100000
                .unionByName(edges.select("project", F.col("b").alias("a"), F.col("a").alias("b")))
                .distinct())
     label = _cut(nodes.select(*KEY, F.col("task_id").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         nb = (und.join(label.select("project", F.col("task_id").alias("b"), F.col("label").alias("lb")),
                        ["project", "b"])
               .groupBy("project", F.col("a").alias("task_id")).agg(F.min("lb").alias("nb")))
@@ -383,7 +388,7 @@ def weak_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100000
     return label
 
 
-def parallel_tracks(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def parallel_tracks(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     """G8 (*ours*): level and track of every not-closed, non-cyclic task.
 
     track = smallest task_id of the weakly connected component of the open
@@ -392,21 +397,22 @@ def parallel_tracks(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000)
     lv = task_levels(tasks, deps).select(*KEY, "level")
     e = open_edges(tasks, deps).join(lv.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi") \
         .join(lv.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi")
-    comp = weak_components(lv.select(*KEY), e.select("project", F.col("child").alias("a"), F.col("parent").alias("b")),
-                           max_rounds)
+    comp = weak_components(lv.select(*KEY), e.select("project", F.col("child").alias("a"), F.col("parent").alias("b")))
     return lv.join(comp.withColumnRenamed("label", "track"), KEY)
 
 
 # ---------------------------------------------------------------- G10, G11
 
-def descendants(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) -> DataFrame:
+def descendants(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """Transitive open dependents: (project, task_id, dependent) pairs over the
-    open graph (cycle members included; a node never counts itself)."""
+    open graph (cycle members included; a node never counts itself), of all
+    tasks or only of those in ``sources`` (project, task_id)."""
     e = _cut(open_edges(tasks, deps).distinct())
-    reach = _cut(e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent")))
+    first = e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent"))
+    reach = _cut(first if sources is None else first.join(sources.select(*KEY).distinct(), KEY, "left_semi"))
     frontier = reach
     nxt_edges = e.select("project", F.col("parent").alias("dependent"), F.col("child").alias("nxt"))
-    for _ in range(max_rounds):
+    while True:
         step = (frontier.join(nxt_edges, ["project", "dependent"])
                 .select("project", "task_id", F.col("nxt").alias("dependent")).distinct())
         new = _cut(step.join(reach, ["project", "task_id", "dependent"], "left_anti"))
@@ -417,11 +423,12 @@ def descendants(tasks: DataFrame, deps: DataFrame, max_rounds: int = 100000) ->
     return reach.filter(F.col("task_id") != F.col("dependent"))
 
 
-def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12,
-                            max_rounds: int = 100000) -> DataFrame:
+def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12) -> DataFrame:
     """Approximate number of transitive open dependents per task, for graphs
     where the exact (task, dependent) pairs would be too many.
 
+    On a cycle a task counts itself, too.
+
     Each task holds an HLL sketch of its dependents, the union over its
     children of (child id + child's sketch); only tasks whose sketch changed
     send it on in the next round. State is one fixed-size sketch per task
@@ -434,7 +441,7 @@ def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12,
     sk = _cut(own.select(*KEY, F.col("own").alias("s")))
     own = _cut(own)
     frontier = sk
-    for _ in range(max_rounds):
+    while True:
         msg = (frontier.select("project", F.col("task_id").alias("child"), "s")
                .join(e, ["project", "child"])
                .groupBy("project", F.col("parent").alias("task_id")).agg(F.hll_union_agg("s").alias("m")))
@@ -460,7 +467,7 @@ def blockers_to_clear(tasks: DataFrame, deps: DataFrame, method: str = "exact")
         trans = dependent_counts_sketch(tasks, deps)
     else:
         trans = (descendants(tasks, deps).groupBy(*KEY)
-                 .agg(F.countDistinct("dependent").alias("transitive_dependents")))
+                 .agg(F.count(F.lit(1)).alias("transitive_dependents")))   # pairs are distinct
     out = (not_closed(tasks).select(*KEY, "status", "priority")
            .join(direct, KEY, "left").join(trans, KEY, "left")
            .fillna(0, ["direct_dependents", "transitive_dependents"])
@@ -473,28 +480,38 @@ def pagerank(tasks: DataFrame, deps: DataFrame, d: float = 0.85, iters: int = 20
     """G11 (*ours*): PageRank per project over all tasks, edge child -> parent
     (rank flows to what others depend on). Dangling mass is spread evenly
     inside the project; fixed iteration count; ranks sum to 1 per project.
+
+    Spreading mass evenly is linear, so the loop only pushes the even start
+    vector along the edges, ``v[j+1] = d * P' v[j]``: one join of co-partitioned
+    frames and one aggregation per round, without a join on the project. The
+    rank after ``iters`` rounds is ``v[iters] + sum(s[iters-1-j] * v[j])``; as
+    ranks sum to 1, the spread ``s[k]`` follows from the vectors' sums per
+    project, which meet the vectors once at the end.
     """
     nodes = tasks.select(*KEY).distinct()
     n = nodes.groupBy("project").agg(F.count(F.lit(1)).cast("double").alias("n"))
     e = (deps.select("project", "child", "parent").distinct()
          .join(nodes.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi")
          .join(nodes.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi"))
-    outdeg = e.groupBy("project", "child").agg(F.count(F.lit(1)).cast("double").alias("outdeg"))
+    outdeg = e.groupBy("project", "child").agg((F.lit(d) / F.count(F.lit(1))).alias("share"))
     e = _cut(e.join(outdeg, ["project", "child"]).repartition("project", "child"))
-    nodes = _cut(nodes.join(n, "project").join(
-        outdeg.withColumnRenamed("child", "task_id"), KEY, "left").repartition("project", "task_id"))
-    rank = _cut(nodes.select(*KEY, (F.lit(1.0) / F.col("n")).alias("rank")))
-    for _ in range(iters):
-        contrib = (rank.withColumnRenamed("task_id", "child").join(e, ["project", "child"])
-                   .groupBy("project", F.col("parent").alias("task_id"))
-                   .agg(F.sum(F.col("rank") / F.col("outdeg")).alias("c")))
-        dangling = (rank.join(nodes, KEY).filter(F.col("outdeg").isNull())
-                    .groupBy("project").agg(F.sum("rank").alias("dm")))
-        rank = _cut(nodes.join(rank, KEY).join(contrib, KEY, "left").join(dangling, "project", "left")
-                    .select(*KEY, ((1 - d) / F.col("n") +
-                                   d * (F.coalesce(F.col("c"), F.lit(0.0)) +
-                                        F.coalesce(F.col("dm"), F.lit(0.0)) / F.col("n"))).alias("rank")))
-    return rank
+    v = _cut(nodes.join(n, "project").select(*KEY, (F.lit(1.0) / F.col("n")).alias("v")))
+    vectors = v.withColumn("j", F.lit(0))
+    for j in range(1, iters + 1):
+        v = (e.join(v.withColumnRenamed("task_id", "child"), ["project", "child"])
+             .groupBy("project", F.col("parent").alias("task_id")).agg(F.sum(F.col("v") * F.col("share")).alias("v")))
+        v = _cut(v)
+        vectors = vectors.unionByName(v.withColumn("j", F.lit(j)))
+    vectors = _cut(vectors)
+    sums = vectors.groupBy("project", "j").agg(F.sum("v").alias("v")).groupBy("project").agg(
+        F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m")).select(   # one entry per round
+        "project", F.expr(f"transform(sequence(0, {iters}), j -> coalesce(m[j], 0D))").alias("sums"))
+    spread = F.expr(f"""aggregate(sequence(0, {iters - 1}), cast(array() as array<double>), (s, k) -> concat(s, array(
+        1 - sums[k + 1] - if(k = 0, 0D, aggregate(sequence(0, greatest(k - 1, 0)), 0D, (a, j) -> a + s[k - 1 - j] * sums[j + 1])))))""")
+    weight = sums.select("project", spread.alias("s")).select(
+        "project", F.posexplode(F.expr("concat(reverse(s), array(1D))")).alias("j", "w"))
+    return (vectors.join(weight, ["project", "j"]).groupBy(*KEY)
+            .agg(F.sum(F.col("v") * F.col("w")).alias("rank")))
 
 
 # ---------------------------------------------------------------- G12 .. G15, G18
@@ -503,8 +520,8 @@ def triage(tasks: DataFrame, deps: DataFrame, k: int = 5) -> DataFrame:
     """G12 (*ours*): ready tasks ranked by
     0.4*transitive/max + 0.3*pagerank/max + 0.3*(3-priority)/3, top k."""
     ready = ready_tasks(tasks, deps).select(*KEY, "priority", "seq")
-    trans = (descendants(tasks, deps).groupBy(*KEY)
-             .agg(F.countDistinct("dependent").cast("double").alias("unblocks")))
+    trans = (descendants(tasks, deps, ready).groupBy(*KEY)
+             .agg(F.count(F.lit(1)).cast("double").alias("unblocks")))   # pairs are distinct
     pr = pagerank(tasks, deps)
     t = ready.join(trans, KEY, "left").join(pr, KEY).fillna(0.0, ["unblocks"])
     # per-project maxima as a partial aggregate joined back (a hot project is
