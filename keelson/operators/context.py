@@ -152,12 +152,14 @@ def relative_age(ts: Column, as_of: Column) -> Column:
             .otherwise(F.concat(unit(F.floor((d + 183) / 365), "year"), ago)))
 
 
-def recent_commit(commits: DataFrame, as_of) -> DataFrame:
-    """Latest commit per project with '<subject> (<age>)'."""
-    last = (commits.groupBy("project")
+def recent_commit(commits: DataFrame, checkouts: DataFrame, as_of) -> DataFrame:
+    """Latest commit of the checked-out branch of every project with
+    '<subject> (<age>)'."""
+    last = (commits.join(checkouts.select("project", "branch"), ["project", "branch"])
+            .groupBy("project", "branch")
             .agg(F.max_by(F.struct("subject", "sha", "ts"), F.struct("ts", "sha")).alias("c")))
     age = relative_age(F.col("c.ts"), F.lit(as_of))
-    return last.select("project", F.col("c.sha").alias("sha"), F.col("c.subject").alias("subject"),
+    return last.select("project", "branch", F.col("c.sha").alias("sha"), F.col("c.subject").alias("subject"),
                        F.col("c.ts").alias("ts"), age.alias("age"),
                        F.concat(F.col("c.subject"), F.lit(" ("), age, F.lit(")")).alias("summary"))
 
@@ -239,6 +241,32 @@ def log_digest(logs: DataFrame, max_lines: int = 50) -> DataFrame:
                     F.concat(heading, F.lit("\n"), X.truncate_lines(F.col("output"), max_lines)).alias("excerpt"))
 
 
+def error_digest(logs: DataFrame, max_lines: int = 50) -> DataFrame:
+    """Per project, all failed tool runs with output, each under its
+    heading, joined by a blank line in tool order and cut once, after joining, to
+    ``max_lines`` lines. Only a project's first ``max_lines`` runs can reach the
+    text (each has two lines at least); the line count covers all of them."""
+    heading = X._lookup(F.col("tool"), X.ERROR_HEADINGS, F.concat(F.col("tool"), F.lit(":")))
+    order = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(t) for t in X.ERROR_HEADINGS]), F.col("tool")), F.lit(0)),
+                       F.lit(len(X.ERROR_HEADINGS) + 1))
+    f = logs.filter((F.col("exit_code") != 0) & (F.col("output") != "")).select(
+        "project", "log_id", order.alias("place"), heading.alias("heading"), "output",
+        F.size(F.split("output", "\n")).alias("lines"))
+    totals = f.groupBy("project").agg(F.count(F.lit(1)).alias("failed_runs"),
+                                      (F.sum(F.col("lines") + 2) - 1).alias("n_lines"))
+    w = Window.partitionBy("project").orderBy("place", "log_id")
+    first = (f.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_lines)
+             .withColumn("text", F.concat("heading", F.lit("\n"), F.array_join(F.slice(F.split("output", "\n"), 1, max_lines), "\n")))
+             .groupBy("project").agg(F.array_sort(F.collect_list(F.struct("r", "text", "lines"))).alias("runs")))
+    # a run of more lines than fit ends the text anyway
+    text = F.array_join(F.transform("runs", lambda x: x["text"]), "\n\n")
+    shown = F.array_join(F.slice(F.split(text, "\n"), 1, max_lines), "\n")
+    return totals.join(first, "project").select(
+        "project", "failed_runs", "n_lines",
+        F.when(F.col("n_lines") <= max_lines, text).otherwise(
+            F.concat(shown, F.lit("\n... ("), (F.col("n_lines") - max_lines).cast("string"), F.lit(" more lines)"))).alias("errors"))
+
+
 # marker file -> command, in precedence order (fixed values)
 TEST_COMMANDS = [
     ("go.mod", "go test ./... && go build ./..."),
@@ -275,66 +303,92 @@ def context_next(current: DataFrame, counts: DataFrame, recent: DataFrame, nxt:
     (or per checkout), so the joins never fan out."""
     return (current.select("project", "branch", "task_id", "title")
             .join(counts.select("project", "status_text"), "project", "left")
-            .join(recent.select("project", F.col("summary").alias("recent_commit")), "project", "left")
+            .join(recent.select("project", "branch", F.col("summary").alias("recent_commit")), ["project", "branch"], "left")
             .join(nxt.select("project", F.col("task_id").alias("recommended_task"),
                              F.col("title").alias("recommended_title")), "project", "left")
             .fillna("", ["status_text"]))
 
 
-def context_feedback(current: DataFrame, base: DataFrame, diff: DataFrame) -> DataFrame:
-    """W24 'feedback': review thread of the current task (W22), base branch
-    (W12) and the diff summary of the checked-out branch (W13)."""
-    return (current.select("project", "branch", "task_id")
+def context_feedback(current: DataFrame, base: DataFrame, diff: DataFrame, counts: DataFrame,
+                     branch_rows: DataFrame) -> DataFrame:
+    """W24 'feedback': current task and its review thread (W22), working-tree
+    text, base branch (W12), diff summary of the checked-out branch (W13) and the
+    number of its commits."""
+    return (current.select("project", "branch", "task_id", "title")
             .withColumn("review_thread", X.review_thread(F.col("task_id")))
             .join(base, "project", "left")
+            .join(counts.select("project", "status_text"), "project", "left")
             .join(diff.select("project", "branch", "files", "insertions", "deletions", "summary"),
-                  ["project", "branch"], "left"))
-
-
-def context_loop(nxt: DataFrame, ready_counts: DataFrame, test_cmd: DataFrame,
-                 goal: str | None = None, autopilot: bool = False) -> DataFrame:
-    """W24 'loop' + W25: objective mode (goal text > autopilot > single task),
-    the task of a single-task loop with a shell-safe title (W20), the number
-    of ready tasks an autopilot loop would walk, and the test command (W19)."""
-    mode = "goal" if goal else ("autopilot" if autopilot else "single")
-    return (nxt.select("project", "task_id", X.sanitize(F.col("title")).alias("safe_title"))
-            .join(ready_counts, "project", "left")
-            .join(test_cmd, "project", "left")
-            .select("project", F.lit(mode).alias("mode"),
-                    F.when(F.lit(mode == "single"), F.col("task_id")).alias("task_id"),
-                    F.when(F.lit(mode == "single"), F.col("safe_title")).alias("safe_title"),
+                  ["project", "branch"], "left")
+            .join(_commit_counts(branch_rows), ["project", "branch"], "left")
+            .fillna(0, ["commits_on_branch"]).fillna("", ["status_text"]))
+
+
+def context_loop(checkouts: DataFrame, modes: DataFrame, ready: DataFrame, nxt: DataFrame,
+                 test_cmd: DataFrame) -> DataFrame:
+    """W24 'loop' + W25, one row per checkout: objective mode (goal text >
+    autopilot > single task), the goal, the task of a single-task loop with a
+    shell-safe title (W20; none if nothing is ready), the number of ready tasks
+    and the test command (W19). ``modes(project, goal, autopilot)``; the tasks
+    an autopilot loop walks are ``autopilot_tasks``."""
+    counts = ready.groupBy("project").agg(F.count(F.lit(1)).alias("ready_tasks"))
+    goal = F.coalesce("goal", F.lit(""))
+    mode = (F.when(goal != "", F.lit("goal")).when(F.coalesce("autopilot", F.lit(False)), F.lit("autopilot"))
+            .otherwise(F.lit("single")))
+    return (checkouts.select("project", "branch").join(modes, "project", "left").withColumn("mode", mode)
+            .join(nxt.select("project", "task_id", X.sanitize(F.col("title")).alias("safe_title")), "project", "left")
+            .join(counts, "project", "left").join(test_cmd, "project", "left")
+            .select("project", "branch", "mode", F.when(F.col("mode") == "goal", F.col("goal")).alias("goal"),
+                    F.when(F.col("mode") == "single", F.col("task_id")).alias("task_id"),
+                    F.when(F.col("mode") == "single", F.col("safe_title")).alias("safe_title"),
                     F.coalesce("ready_tasks", F.lit(0)).cast("bigint").alias("ready_tasks"),
                     F.coalesce("test_command", F.lit(X.NO_TEST_RUNNER)).alias("test_command"),
                     F.lit(X.COMPLETION_PROMISE).alias("completion_promise")))
 
 
+def autopilot_tasks(modes: DataFrame, ready: DataFrame) -> DataFrame:
+    """The ready tasks of every autopilot loop in the order it takes them
+    (priority, seq, task_id), one row per task."""
+    on = modes.filter((F.coalesce("goal", F.lit("")) == "") & F.col("autopilot")).select("project")
+    w = Window.partitionBy("project").orderBy("priority", "seq", "task_id")
+    return (ready.join(on, "project", "left_semi")
+            .select("project", F.row_number().over(w).cast("bigint").alias("pos"), "task_id",
+                    X.sanitize(F.col("title")).alias("safe_title"), "priority"))
+
+
 def diff_sections(porcelain: DataFrame, max_lines: int = 100) -> DataFrame:
-    """W15 (+W16): per project, 'Staged:' and 'Unstaged:' path lists joined
-    by a blank line, empty parts skipped. Each list keeps its first
-    ``max_lines`` paths (the source cuts the digest to 100 lines) and notes
-    how many were left out; the cut is a partial top-k before the shuffle."""
+    """W15 (+W16): per project, the staged paths under 'Staged:', the unstaged
+    ones under 'Unstaged:' and a header line per changed tracked file, joined by a
+    blank line (empty parts skipped) and cut once, after joining, to
+    ``max_lines`` lines. No part can show more than ``max_lines`` lines, so each
+    is reduced to them by a partial top-k before the shuffle; the count of lines
+    left out covers all."""
     x = F.substring("xy", 1, 1)
     y = F.substring("xy", 2, 1)
     rows = porcelain.filter(F.length("xy") >= 2).select(
-        "project", "path", ((x != "?") & (x != " ")).alias("staged"), ((y != " ") & (y != "?")).alias("unstaged"))
-    parts = []
-    for kind in ("staged", "unstaged"):
-        r = rows.filter(F.col(kind)).select("project", "path").distinct()
+        "project", "path", ((x != "?") & (x != " ")).alias("staged"), ((y != " ") & (y != "?")).alias("unstaged"),
+        (x != "?").alias("content"))
+    parts = None
+    for kind in ("staged", "unstaged", "content"):
+        line = F.concat(F.lit("diff --git a/"), "path", F.lit(" b/"), "path") if kind == "content" else F.col("path")
+        r = rows.filter(F.col(kind)).select("project", line.alias("path")).distinct()
         n = r.groupBy("project").agg(F.count(F.lit(1)).alias(f"n_{kind}"))
         w = Window.partitionBy("project").orderBy("path")
         top = (r.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max_lines)
                .groupBy("project").agg(F.array_join(F.array_sort(F.collect_list("path")), "\n").alias(f"l_{kind}")))
-        parts.append(n.join(top, "project"))
-    s = parts[0].join(parts[1], "project", "full").fillna(0, ["n_staged", "n_unstaged"])
+        part = n.join(top, "project")
+        parts = part if parts is None else parts.join(part, "project", "full")
+    s = parts.fillna(0, ["n_staged", "n_unstaged", "n_content"])
 
     def section(kind, title):
-        more = F.when(F.col(f"n_{kind}") > max_lines,
-                      F.concat(F.lit("\n... ("), (F.col(f"n_{kind}") - max_lines).cast("string"), F.lit(" more lines)")))
-        return F.when(F.col(f"n_{kind}") > 0,
-                      F.concat(F.lit(title + ":\n"), F.col(f"l_{kind}"), F.coalesce(more, F.lit(""))))
-
-    return s.select("project", "n_staged", "n_unstaged",
-                    F.concat_ws("\n\n", section("staged", "Staged"), section("unstaged", "Unstaged")).alias("diff"))
+        return F.when(F.col(f"n_{kind}") > 0, F.concat(F.lit(title), F.col(f"l_{kind}")))
+    text = F.concat_ws("\n\n", section("staged", "Staged:\n"), section("unstaged", "Unstaged:\n"), section("content", ""))
+    some = [F.when(F.col(f"n_{k}") > 0, F.lit(extra) + F.col(f"n_{k}")).otherwise(F.lit(0)) for k, extra in (("staged", 2), ("unstaged", 2), ("content", 1))]
+    total = some[0] + some[1] + some[2] - 1        # titles, paths and a blank line between parts
+    shown = F.array_join(F.slice(F.split(text, "\n"), 1, max_lines), "\n")
+    return s.select("project", "n_staged", "n_unstaged", total.cast("bigint").alias("n_lines"),
+                    F.when(total <= max_lines, text).otherwise(
+                        F.concat(shown, F.lit("\n... ("), (total - max_lines).cast("string"), F.lit(" more lines)"))).alias("diff"))
 
 
 def _commit_counts(branch_rows: DataFrame) -> DataFrame:
@@ -380,9 +434,9 @@ def context_prfix(checkouts: DataFrame, open_pr: DataFrame, check_counts: DataFr
     without a PR keep a row with ``has_pr`` false."""
     pr = open_pr.select("project", F.col("head_ref").alias("branch"), "number")
     return (checkouts.select("project", "branch").join(pr, ["project", "branch"], "left")
-            .join(check_counts.select("number", "passing", "failing", "pending"), "number", "left")
-            .join(review_counts.select("number", "reviews"), "number", "left")
-            .join(issues.select("number", "mergeable_label", "issues", "merge_ready"), "number", "left")
+            .join(check_counts.select("project", "number", "passing", "failing", "pending"), ["project", "number"], "left")
+            .join(review_counts.select("project", "number", "reviews"), ["project", "number"], "left")
+            .join(issues.select("project", "number", "mergeable_label", "issues", "merge_ready"), ["project", "number"], "left")
             .withColumn("has_pr", F.col("number").isNotNull())
             .fillna(0, ["passing", "failing", "pending", "reviews"]))
 
@@ -390,12 +444,10 @@ def context_prfix(checkouts: DataFrame, open_pr: DataFrame, check_counts: DataFr
 def context_stuck(current: DataFrame, counts: DataFrame, sections: DataFrame, branch_rows: DataFrame,
                   errors: DataFrame) -> DataFrame:
     """W24 'stuck': task, working-tree text, diff sections, commits and the
-    failed tool runs of the project (count and the first excerpt)."""
-    err = errors.groupBy("project").agg(F.count(F.lit(1)).alias("failed_runs"),
-                                        F.min_by("excerpt", "log_id").alias("first_error"))
+    error digest of the project (``error_digest``)."""
     return (current.select("project", "branch", "task_id", "title")
             .join(counts.select("project", "status_text"), "project", "left")
             .join(sections.select("project", "diff"), "project", "left")
             .join(_commit_counts(branch_rows), ["project", "branch"], "left")
-            .join(err, "project", "left")
-            .fillna(0, ["commits_on_branch", "failed_runs"]).fillna("", ["status_text", "diff"]))
+            .join(errors.select("project", "failed_runs", "errors"), "project", "left")
+            .fillna(0, ["commits_on_branch", "failed_runs"]).fillna("", ["status_text", "diff", "errors"]))

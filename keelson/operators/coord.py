@@ -72,11 +72,14 @@ def thread_messages(messages: DataFrame) -> DataFrame:
 
 
 def glob_regex(glob: Column) -> Column:
-    """Glob -> anchored regex: '**' any text, '*' one segment, '?' one char."""
-    r = F.replace(glob, F.lit("."), F.lit("\\."))
+    """Glob -> anchored regex: '**/' any folders or none, '**' any text, '*'
+    within one segment, '?' one character; all else stands for itself."""
+    r = F.regexp_replace(glob, r"([\\.+^$(){}|\[\]])", r"\\$1")
+    r = F.replace(r, F.lit("**/"), F.lit("\u0002"))
     r = F.replace(r, F.lit("**"), F.lit("\u0001"))
     r = F.replace(r, F.lit("*"), F.lit("[^/]*"))
     r = F.replace(r, F.lit("?"), F.lit("[^/]"))
+    r = F.replace(r, F.lit("\u0002"), F.lit("(?:.*/)?"))
     r = F.replace(r, F.lit("\u0001"), F.lit(".*"))
     return F.concat(F.lit("^"), r, F.lit("$"))
 
@@ -187,13 +190,13 @@ VERDICT_APPROVED = "Approved"
 def feedback_items(posts: DataFrame) -> DataFrame:
     """M6/M7: numbered items of review Markdown with their section, category
     and priority. The heading is carried down with ``last(ignorenulls)``."""
-    lines = posts.select("thread_id", "msg_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
+    lines = posts.select("project", "thread_id", "msg_id", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
     head = F.regexp_extract("line", r"^#{2,3}\s+(.+?)\s*$", 1)
-    w = Window.partitionBy("msg_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("project", "thread_id", "msg_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     t = lines.withColumn("heading", F.last(F.when(head != "", head), ignorenulls=True).over(w))
     item = r"^\s*(\d+)\.\s+(.*)$"
     items = t.filter(F.col("line").rlike(item)).select(
-        "thread_id", "msg_id", F.col("pos").cast("bigint").alias("pos"), "heading",
+        "project", "thread_id", "msg_id", F.col("pos").cast("bigint").alias("pos"), "heading",
         F.regexp_extract("line", item, 1).cast("bigint").alias("item_no"),
         F.regexp_extract("line", item, 2).alias("text"))
     cat = X._lookup(F.col("heading"), SECTION_CATEGORY, None)
@@ -203,45 +206,97 @@ def feedback_items(posts: DataFrame) -> DataFrame:
 
 def verdicts(posts: DataFrame, items: DataFrame) -> DataFrame:
     """M8: verdict written in the review and the verdict its items imply."""
-    counts = items.groupBy("msg_id").agg(
+    counts = items.groupBy("project", "thread_id", "msg_id").agg(
         F.sum(F.when(F.col("category") == "blocking", 1).otherwise(0)).cast("bigint").alias("blocking"),
         F.sum(F.when(F.col("category").isin("suggestion", "question", "nitpick"), 1).otherwise(0)).cast("bigint")
         .alias("other_items"))
-    p = (posts.select("thread_id", "msg_id",
+    p = (posts.select("project", "thread_id", "msg_id",
                       F.trim(F.regexp_extract("body", r"\*\*Verdict\*\*:\s*([^\n]+)", 1)).alias("stated"))
-         .join(counts, "msg_id", "left").fillna(0, ["blocking", "other_items"]))
+         .join(counts, ["project", "thread_id", "msg_id"], "left").fillna(0, ["blocking", "other_items"]))
     derived = (F.when(F.col("blocking") > 0, F.lit(VERDICT_CHANGES))
                .when(F.col("other_items") > 0, F.lit(VERDICT_COMMENTS)).otherwise(F.lit(VERDICT_APPROVED)))
     return p.withColumn("derived", derived).withColumn("consistent", F.col("stated") == F.col("derived"))
 
 
 def resolutions(posts: DataFrame) -> DataFrame:
-    """'- [x] #n' lines of follow-up messages -> (thread_id, item_no)."""
-    lines = posts.select("thread_id", F.explode(F.split("body", "\n")).alias("line"))
+    """'- [x] #n' lines of follow-up messages -> (project, thread_id, item_no)."""
+    lines = posts.select("project", "thread_id", F.explode(F.split("body", "\n")).alias("line"))
     pat = r"^\s*-\s*\[[xX]\]\s*#(\d+)"
     return (lines.filter(F.col("line").rlike(pat))
-            .select("thread_id", F.regexp_extract("line", pat, 1).cast("bigint").alias("item_no")).distinct())
+            .select("project", "thread_id", F.regexp_extract("line", pat, 1).cast("bigint").alias("item_no")).distinct())
 
 
 def unresolved_feedback(items: DataFrame, resolved: DataFrame) -> DataFrame:
     """M9: actionable items (not praise) with no resolution line in their thread."""
     return (items.filter(F.col("category") != "praise")
-            .join(resolved, ["thread_id", "item_no"], "left_anti"))
+            .join(resolved, ["project", "thread_id", "item_no"], "left_anti"))
 
 
 # ---------------------------------------------------------------- reservations
 
 def _prefix_dir(pattern: Column) -> Column:
-    """Directory part of the literal prefix of a glob ('src/a/**' -> 'src/a')."""
-    lit = F.regexp_extract(pattern, r"^([^*?\[]*)", 1)
+    """Directory part of the literal prefix of a glob ('src/a/**' -> 'src/a',
+    '*.md' -> '', the root)."""
+    lit = F.regexp_extract(pattern, r"^([^*?]*)", 1)
     return F.regexp_replace(lit, r"/?[^/]*$", "")
 
 
 def _ancestors(dir_col: Column) -> Column:
-    """All ancestor directories of a path, itself included ('a/b' -> [a, a/b])."""
+    """All ancestor directories of a path, the root ('') and itself included
+    ('a/b' -> ['', a, a/b])."""
     parts = F.split(dir_col, "/")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    return F.when(dir_col == "", F.array(F.lit(""))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.size(parts)),
+                    lambda i: F.when(i == 0, F.lit("")).otherwise(F.array_join(F.slice(parts, 1, F.greatest(i, F.lit(1))), "/"))))
+
+
+def segments_overlap(x: str, y: str) -> str:
+    """SQL: can two path segments (with '*' and '?') name the same file? Literals
+    by equality, else by the literal text before the first and after the last
+    wildcard."""
+    def pre(s):
+        return f"regexp_extract({s}, '^([^*?]*)', 1)"
+
+    def suf(s):
+        return f"regexp_extract({s}, '([^*?]*)$', 1)"
+
+    def wild(s):
+        return f"({s} like '%*%' or {s} like '%?%')"
+    return (f"case when not {wild(x)} and not {wild(y)} then {x} = {y}"
+            f" when not {wild(x)} then starts_with({x}, {pre(y)}) and ends_with({x}, {suf(y)}) and length({x}) >= length({pre(y)}) + length({suf(y)})"
+            f" when not {wild(y)} then starts_with({y}, {pre(x)}) and ends_with({y}, {suf(x)}) and length({y}) >= length({pre(x)}) + length({suf(x)})"
+            f" else (starts_with({pre(x)}, {pre(y)}) or starts_with({pre(y)}, {pre(x)}))"
+            f" and (ends_with({suf(x)}, {suf(y)}) or ends_with({suf(y)}, {suf(x)})) end")
+
+
+def patterns_overlap(a: str, b: str) -> Column:
+    """Can the globs in columns ``a`` and ``b`` name a common path? Without '**',
+    segment by segment; with it, the segments before the first and after the last
+    '**' are compared and the other pattern must be long enough for both (what
+    stands between two '**' is not compared)."""
+    seg = segments_overlap("p.x", "p.y").replace("starts_with", "startswith").replace("ends_with", "endswith")
+
+    def head(c):                                   # segments before the first '**'
+        return f"if(array_position(split({c}, '/'), '**') = 0, split({c}, '/'), slice(split({c}, '/'), 1, cast(array_position(split({c}, '/'), '**') as int) - 1))"
+
+    def tail(c):                                   # segments after the last '**', last first
+        rev = f"reverse(split({c}, '/'))"
+        return f"if(array_position({rev}, '**') = 0, {rev}, slice({rev}, 1, cast(array_position({rev}, '**') as int) - 1))"
+
+    def agree(x, y):
+        return f"forall(zip_with({x}, {y}, (x, y) -> named_struct('x', x, 'y', y)), p -> p.x is null or p.y is null or ({seg}))"
+
+    def fixed(c):
+        return f"(array_position(split({c}, '/'), '**') = 0)"
+
+    def n(c):
+        return f"size(split({c}, '/'))"
+
+    def least(c):
+        return f"(size({head(c)}) + size({tail(c)}))"
+    length = (f"case when {fixed(a)} and {fixed(b)} then {n(a)} = {n(b)} when {fixed(a)} then {n(a)} >= {least(b)}"
+              f" when {fixed(b)} then {n(b)} >= {least(a)} else true end")
+    return F.expr(f"({length}) and {agree(head(a), head(b))} and {agree(tail(a), tail(b))}")
 
 
 def active_reservations(r: DataFrame, as_of) -> DataFrame:
@@ -253,60 +308,68 @@ def active_reservations(r: DataFrame, as_of) -> DataFrame:
             .filter((F.col("start_ts") <= t) & (t < F.col("end_ts")) & (rel.isNull() | (rel > t))))
 
 
-def reservation_conflicts(r: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """M11 (*ours*: patterns overlap when one literal directory prefix is an
-    ancestor of, or equal to, the other). Pairs of reservations of different
-    agents, at least one exclusive, whose [start, start+ttl) intervals overlap.
+def reservation_conflicts(r: DataFrame) -> DataFrame:
+    """M11 (*ours*: ``patterns_overlap`` decides whether two patterns can name a
+    common path). Pairs of reservations of different agents, at least one
+    exclusive, whose patterns and intervals [start, min(start + ttl, release))
+    overlap.
 
-    Join keys: (project, directory, time bucket). Each reservation is listed
-    under every bucket its interval touches; a pair is kept only in the bucket
-    holding the later of the two starts, so it appears once.
+    Join keys: (project, directory, time level, time bucket). A reservation's
+    level is the least power of two of seconds that holds its interval, so it
+    touches two buckets of its level at most, whatever its ttl; the shorter one
+    of a pair is also listed at the longer one's level. Either directory must be
+    an ancestor of the other (the root included).
     """
-    b = F.lit(bucket_seconds)
-    base = (r.withColumn("end_ts", F.col("start_ts") + F.make_interval(secs=F.col("ttl_seconds")))
-            .withColumn("dir", _prefix_dir(F.col("pattern")))
-            .withColumn("b0", F.floor(F.unix_timestamp(F.col("start_ts").cast("timestamp")) / b))
-            .withColumn("b1", F.floor(F.unix_timestamp(F.col("end_ts").cast("timestamp")) / b))
-            .filter(F.col("ttl_seconds") > 0))
-    a = (base.withColumn("bucket", F.explode(F.sequence("b0", "b1")))
-         .select("project", "dir", "bucket", F.col("reservation_id").alias("id_a"), F.col("agent").alias("agent_a"),
-                 F.col("pattern").alias("pattern_a"), F.col("exclusive").alias("excl_a"),
-                 F.col("start_ts").alias("start_a"), F.col("end_ts").alias("end_a")))
-    bb = (base.withColumn("bucket", F.explode(F.sequence("b0", "b1")))
-          .withColumn("dir", F.explode(_ancestors(F.col("dir"))))
-          .select("project", "dir", "bucket", F.col("reservation_id").alias("id_b"), F.col("agent").alias("agent_b"),
-                  F.col("pattern").alias("pattern_b"), F.col("exclusive").alias("excl_b"),
-                  F.col("start_ts").alias("start_b"), F.col("end_ts").alias("end_b")))
-    later = F.greatest("start_a", "start_b")
-    j = (a.join(bb, ["project", "dir", "bucket"])
-         .filter((F.col("id_a") != F.col("id_b")) & (F.col("agent_a") != F.col("agent_b")) &
-                 (F.col("excl_a") | F.col("excl_b")) &
-                 (F.col("start_a") < F.col("end_b")) & (F.col("start_b") < F.col("end_a")) &
-                 (F.floor(F.unix_timestamp(later.cast("timestamp")) / b) == F.col("bucket"))))
-    lo = F.col("id_a") < F.col("id_b")
+    rel = F.col("released_ts") if "released_ts" in r.columns else F.lit(None).cast("timestamp_ntz")
+    end = F.least(F.col("start_ts") + F.make_interval(secs=F.col("ttl_seconds")), rel)
+    s0, s1 = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("start_ts", "end_ts"))
+    base = (r.withColumn("end_ts", end).filter(F.col("start_ts") < F.col("end_ts"))
+            .select("project", "reservation_id", "agent", "pattern", "exclusive", "start_ts", "end_ts",
+                    _prefix_dir(F.col("pattern")).alias("dir"), s0.alias("s0"), s1.alias("s1"))
+            .withColumn("level", F.greatest(F.ceil(F.log2(F.col("s1") - F.col("s0"))), F.lit(0)).cast("int")))
+    top = base.agg(F.max("level")).first()[0]      # one number
+
+    def side(tag, levels, dirs):
+        x = base.withColumn("l", levels).withColumn("w", F.expr("shiftleft(1L, l)"))
+        x = x.withColumn("bucket", F.explode(F.expr("sequence(s0 div w, (s1 - 1) div w)"))).withColumn("d", dirs)
+        return x.select("project", "d", "l", "bucket", *[F.col(c).alias(f"{c}_{tag}") for c in (
+            "reservation_id", "agent", "pattern", "exclusive", "start_ts", "end_ts", "level", "s0")])
+    own, all_levels = F.col("level"), F.explode(F.expr(f"sequence(level, {top or 0})"))
+    above = F.explode(_ancestors(F.col("dir")))
+    joined = side("a", own, F.col("dir")).join(side("b", all_levels, above), ["project", "d", "l", "bucket"])
+    joined = joined.unionByName(side("a", own, above).join(side("b", all_levels, F.col("dir")), ["project", "d", "l", "bucket"]))
+    j = joined.filter(
+        (F.col("reservation_id_a") != F.col("reservation_id_b")) & (F.col("agent_a") != F.col("agent_b"))
+        & (F.col("exclusive_a") | F.col("exclusive_b"))
+        & (F.col("start_ts_a") < F.col("end_ts_b")) & (F.col("start_ts_b") < F.col("end_ts_a"))
+        & (F.expr("greatest(s0_a, s0_b) div shiftleft(1L, l)") == F.col("bucket"))
+        & patterns_overlap("pattern_a", "pattern_b"))
+    lo = F.col("reservation_id_a") < F.col("reservation_id_b")
+
+    def pick(c, first):
+        x, y = (F.col(f"{c}_a"), F.col(f"{c}_b")) if first else (F.col(f"{c}_b"), F.col(f"{c}_a"))
+        return F.when(lo, x).otherwise(y)
     out = j.select(
-        "project",
-        F.when(lo, F.col("id_a")).otherwise(F.col("id_b")).alias("res_a"),
-        F.when(lo, F.col("id_b")).otherwise(F.col("id_a")).alias("res_b"),
-        F.when(lo, F.col("agent_a")).otherwise(F.col("agent_b")).alias("agent_a"),
-        F.when(lo, F.col("agent_b")).otherwise(F.col("agent_a")).alias("agent_b"),
-        F.greatest("start_a", "start_b").alias("overlap_start"),
-        F.least("end_a", "end_b").alias("overlap_end"))
-    # equal directories meet twice (a under b and b under a): keep one
+        "project", pick("reservation_id", True).alias("res_a"), pick("reservation_id", False).alias("res_b"),
+        pick("agent", True).alias("agent_a"), pick("agent", False).alias("agent_b"),
+        F.greatest("start_ts_a", "start_ts_b").alias("overlap_start"), F.least("end_ts_a", "end_ts_b").alias("overlap_end"))
+    # equal directories or levels meet twice: keep one
     return out.dropDuplicates(["project", "res_a", "res_b"])
 
 
 def file_conflicts(files: DataFrame, active: DataFrame) -> DataFrame:
-    """Changed files covered by an active reservation's glob. Each path
-    is listed under its ancestor directories and meets reservations on
-    (project, directory); the glob is checked afterwards."""
-    f = (files.select("project", "path").distinct()
-         .withColumn("dir", F.explode(_ancestors(F.regexp_replace("path", r"/[^/]*$", "")))))
+    """Changed files covered by an active reservation of another agent than
+    the one who changed them. Each path is listed under its ancestor directories,
+    the root included, and meets reservations on (project, directory); the glob
+    is checked afterwards."""
+    agent = F.col("agent") if "agent" in files.columns else F.lit(None).cast("string")
+    f = (files.select("project", "path", agent.alias("changed_by")).distinct()
+         .withColumn("dir", F.explode(_ancestors(F.regexp_replace("path", r"/?[^/]*$", "")))))
     r = active.select("project", _prefix_dir(F.col("pattern")).alias("dir"), "reservation_id", "agent",
                       "pattern", "exclusive")
     return (f.join(r, ["project", "dir"])
-            .filter(F.regexp_like(F.col("path"), glob_regex(F.col("pattern"))))
-            .select("project", "path", "reservation_id", "agent", "pattern", "exclusive"))
+            .filter(~F.col("agent").eqNullSafe(F.col("changed_by")) & F.regexp_like(F.col("path"), glob_regex(F.col("pattern"))))
+            .select("project", "path", "changed_by", "reservation_id", "agent", "pattern", "exclusive"))
 
 
 # ---------------------------------------------------------------- agent loops

@@ -1,7 +1,8 @@
 """Pull-request and CI analytics.
 
-Per-PR facts are pre-aggregated on ``number`` before they meet the PR table,
-so the multi-way join in ``pr_issues`` never fans out.
+A PR is identified by (project, number): numbers repeat across projects. Per-PR
+facts are pre-aggregated on that key before they meet the PR table, so the
+multi-way join in ``pr_issues`` never fans out.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ ISSUE_CHANGES = "**Changes requested** by @"
 ISSUE_COMMENTS = " review comment(s)** to address"
 ISSUE_PENDING = " check(s) still running** - Wait for completion"
 
+PR = ["project", "number"]
+
 PR_JSON_SCHEMA = ("number BIGINT, title STRING, url STRING, state STRING, mergeable STRING, "
                   "baseRefName STRING, headRefName STRING")
 CHECKS_JSON_SCHEMA = "ARRAY<STRUCT<name: STRING, status: STRING, conclusion: STRING, detailsUrl: STRING>>"
@@ -66,7 +69,7 @@ def categorized_checks(checks: DataFrame) -> DataFrame:
 def check_counts(checks: DataFrame) -> DataFrame:
     """P5: passing / failing / pending counts per PR."""
     c = categorized_checks(checks)
-    return c.groupBy("number").agg(
+    return c.groupBy(*PR).agg(
         *[F.sum(F.when(F.col("category") == k, 1).otherwise(0)).cast("bigint").alias(k)
           for k in ("passing", "failing", "pending")],
         F.count(F.lit(1)).alias("total"))
@@ -81,7 +84,7 @@ def check_details(checks: DataFrame) -> DataFrame:
                             F.when(F.coalesce(F.col("details_url"), F.lit("")) != "",
                                    F.concat(F.lit("\n   "), F.col("details_url"))).otherwise(F.lit(""))))
             .otherwise(F.concat(F.lit("⏳ "), F.col("name"))))
-    return c.select("number", "category", "seq", "name", line.alias("line"))
+    return c.select(*PR, "category", "seq", "name", line.alias("line"))
 
 
 def check_failure_rate(checks: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def check_failure_rate(checks: DataFrame) -> DataFrame:
 def comment_rows(comments: DataFrame) -> DataFrame:
     """Comments of both shapes with one author, location and quoted body."""
     return comments.select(
-        "number", F.coalesce(F.col("author_login"), F.col("user_login"), F.lit("")).alias("author"),
+        *PR, F.coalesce(F.col("author_login"), F.col("user_login"), F.lit("")).alias("author"),
         "path", "line", X.comment_location(F.col("path"), F.col("line")).alias("location"),
         X.quoted_body(F.col("body")).alias("quoted"))
 
@@ -107,7 +110,7 @@ def review_summary(reviews: DataFrame) -> DataFrame:
     """Per PR — review counts by state and the first reviewer (source
     order) who requested changes, plus the state marks line."""
     r = reviews.withColumn("u", F.upper("state"))
-    return r.groupBy("number").agg(
+    return r.groupBy(*PR).agg(
         F.count(F.lit(1)).alias("reviews"),
         F.sum(F.when(F.col("u") == "APPROVED", 1).otherwise(0)).cast("bigint").alias("approved"),
         F.sum(F.when(F.col("u") == "CHANGES_REQUESTED", 1).otherwise(0)).cast("bigint").alias("changes_requested"),
@@ -132,17 +135,17 @@ def pr_issues(prs: DataFrame, checks: DataFrame, reviews: DataFrame, comments: D
     reviewer; comment count; pending checks only when nothing else applies.
     """
     cat = categorized_checks(checks)
-    chk = cat.groupBy("number").agg(
+    chk = cat.groupBy(*PR).agg(
         F.sum(F.when(F.col("category") == "failing", 1).otherwise(0)).alias("n_failing"),
         F.sum(F.when(F.col("category") == "pending", 1).otherwise(0)).alias("n_pending"),
         F.array_join(F.transform(F.array_sort(F.collect_list(
             F.when(F.col("category") == "failing", F.struct("seq", "name")))), lambda s: s["name"]), ", ")
         .alias("failing_names"))
-    rev = reviews.withColumn("u", F.upper("state")).filter(F.col("u") == "CHANGES_REQUESTED").groupBy("number") \
+    rev = reviews.withColumn("u", F.upper("state")).filter(F.col("u") == "CHANGES_REQUESTED").groupBy(*PR) \
         .agg(F.min_by("author", "seq").alias("requester"))
-    com = comments.groupBy("number").agg(F.count(F.lit(1)).alias("n_comments"))
+    com = comments.groupBy(*PR).agg(F.count(F.lit(1)).alias("n_comments"))
     p = (prs.select("project", "number", "head_ref", "mergeable")
-         .join(chk, "number", "left").join(rev, "number", "left").join(com, "number", "left")
+         .join(chk, PR, "left").join(rev, PR, "left").join(com, PR, "left")
          .fillna(0, ["n_failing", "n_pending", "n_comments"]))
     base = F.array_compact(F.array(
         F.when(F.upper("mergeable") == "CONFLICTING", F.lit(ISSUE_CONFLICTS)),

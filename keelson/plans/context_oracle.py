@@ -26,52 +26,71 @@ SELECT c.project, c.branch, c.task_id, c.title, coalesce(s.status_text, '') AS s
        r.summary AS recent_commit, n.task_id AS recommended_task, n.title AS recommended_title
 FROM ({WO["current_task"]}) c
 LEFT JOIN ({oracle_with(["porcelain_lines"], STATUS_TEXT)}) s ON s.project = c.project
-LEFT JOIN ({WO["recent_commit"]}) r ON r.project = c.project
+LEFT JOIN ({WO["recent_commit"]}) r ON r.project = c.project AND r.branch = c.branch
 LEFT JOIN ({G["next_tasks"]}) n ON n.project = c.project"""
 
+COMMITS_ON_BRANCH = f"SELECT project, branch, count(*) AS n FROM ({WO['branch_commits']}) GROUP BY project, branch"
+STATUS = oracle_with(["porcelain_lines"], STATUS_TEXT)
+
 ORACLES["context_feedback"] = f"""
-SELECT c.project, c.branch, c.task_id, coalesce(nullif(c.task_id, ''), '<task-id>') || '-review' AS review_thread,
-       b.base_branch, d.files, d.insertions, d.deletions, d.summary
+SELECT c.project, c.branch, c.task_id, c.title, coalesce(nullif(c.task_id, ''), '<task-id>') || '-review' AS review_thread,
+       b.base_branch, coalesce(s.status_text, '') AS status_text, d.files, d.insertions, d.deletions, d.summary,
+       coalesce(bc.n, 0) AS commits_on_branch
 FROM ({WO["current_task"]}) c
 LEFT JOIN ({oracle_with(["tasks", "base_branches"], BASE)}) b ON b.project = c.project
+LEFT JOIN ({STATUS}) s ON s.project = c.project
+LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch
 LEFT JOIN ({WO["branch_diff_stats"]}) d ON d.project = c.project AND d.branch = c.branch"""
 
+_SAFE = "replace(replace(replace(replace({0}.title, '(', '['), ')', ']'), '`', chr(39)), '$', '')"
+_MODES = oracle_with(["loop_modes"], "SELECT * FROM loop_modes")
+
 ORACLES["context_loop"] = f"""
-SELECT n.project, 'single' AS mode, n.task_id,
-       replace(replace(replace(replace(n.title, '(', '['), ')', ']'), '`', chr(39)), '$', '') AS safe_title,
+SELECT k.project, k.branch, m.mode, CASE WHEN m.mode = 'goal' THEN m.goal END AS goal,
+       CASE WHEN m.mode = 'single' THEN n.task_id END AS task_id,
+       CASE WHEN m.mode = 'single' THEN {_SAFE.format('n')} END AS safe_title,
        CAST(coalesce(rc.k, 0) AS BIGINT) AS ready_tasks,
        coalesce(tc.test_command, '# No test runner detected - verify manually or add tests') AS test_command,
        '<promise>COMPLETE</promise>' AS completion_promise
-FROM ({G["next_tasks"]}) n
+FROM ({oracle_with(["checkouts"], "SELECT project, branch FROM checkouts")}) k
+JOIN (SELECT p.project, l.goal, CASE WHEN coalesce(l.goal, '') <> '' THEN 'goal' WHEN coalesce(l.autopilot, false) THEN 'autopilot'
+             ELSE 'single' END AS mode
+      FROM ({oracle_with(["checkouts"], "SELECT project FROM checkouts")}) p LEFT JOIN ({_MODES}) l ON l.project = p.project) m
+  ON m.project = k.project
+LEFT JOIN ({G["next_tasks"]}) n ON n.project = k.project
 LEFT JOIN ({oracle_with(T, "SELECT project, count(*) AS k FROM (" + READY + ") GROUP BY project")}) rc
-  ON rc.project = n.project
-LEFT JOIN ({WO["test_command_by_repo"]}) tc ON tc.project = n.project"""
-
+  ON rc.project = k.project
+LEFT JOIN ({WO["test_command_by_repo"]}) tc ON tc.project = k.project"""
 
-def _kind(cond):
-    return f"""SELECT project, count(*) AS n,
-        string_agg(path, chr(10) ORDER BY path) FILTER (WHERE rn <= 100) AS l
-      FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY path) AS rn
-            FROM (SELECT DISTINCT project, path FROM porcelain_lines WHERE length(xy) >= 2 AND {cond}))
-      GROUP BY project"""
+ORACLES["autopilot_tasks"] = f"""
+SELECT r.project, row_number() OVER (PARTITION BY r.project ORDER BY priority, seq, task_id) AS pos, task_id,
+       {_SAFE.format('r')} AS safe_title, priority
+FROM ({oracle_with(T, READY)}) r
+WHERE r.project IN (SELECT project FROM ({_MODES}) WHERE goal IS NULL AND autopilot)"""
 
 
-def _section(alias, title):
-    return (f"CASE WHEN coalesce({alias}.n, 0) > 0 THEN '{title}:' || chr(10) || {alias}.l || "
-            f"CASE WHEN {alias}.n > 100 THEN chr(10) || '... (' || CAST({alias}.n - 100 AS VARCHAR) || ' more lines)' "
-            f"ELSE '' END END")
+def _kind(cond, line="path", title=""):
+    """One part of the digest: its line count with the title, and its text."""
+    return f"""SELECT project, count(*) AS n, {title} string_agg(line, chr(10) ORDER BY line) AS l
+      FROM (SELECT DISTINCT project, {line} AS line FROM porcelain_lines WHERE length(xy) >= 2 AND {cond})
+      GROUP BY project"""
 
 
 DIFF = oracle_with(["porcelain_lines"], f"""
-SELECT coalesce(sa.project, ua.project) AS project, coalesce(sa.n, 0) AS n_staged, coalesce(ua.n, 0) AS n_unstaged,
-       concat_ws(chr(10) || chr(10), {_section("sa", "Staged")}, {_section("ua", "Unstaged")}) AS diff
-FROM ({_kind("substr(xy, 1, 1) NOT IN ('?', ' ')")}) sa
-FULL JOIN ({_kind("substr(xy, 2, 1) NOT IN (' ', '?')")}) ua ON sa.project = ua.project""")
+SELECT project, n_staged, n_unstaged, CAST(len(parts) AS BIGINT) AS n_lines,
+       CASE WHEN len(parts) <= 100 THEN joined
+            ELSE array_to_string(parts[1:100], chr(10)) || chr(10) || '... (' || CAST(len(parts) - 100 AS VARCHAR) || ' more lines)' END AS diff
+FROM (SELECT *, string_split(joined, chr(10)) AS parts FROM (
+  SELECT p.project, coalesce(sa.n, 0) AS n_staged, coalesce(ua.n, 0) AS n_unstaged,
+         concat_ws(chr(10) || chr(10), sa.l, ua.l, ca.l) AS joined
+  FROM (SELECT DISTINCT project FROM porcelain_lines) p
+  LEFT JOIN ({_kind("substr(xy, 1, 1) NOT IN ('?', ' ')", title="'Staged:' || chr(10) ||")}) sa ON sa.project = p.project
+  LEFT JOIN ({_kind("substr(xy, 2, 1) NOT IN (' ', '?')", title="'Unstaged:' || chr(10) ||")}) ua ON ua.project = p.project
+  LEFT JOIN ({_kind("substr(xy, 1, 1) <> '?'", line="'diff --git a/' || path || ' b/' || path")}) ca ON ca.project = p.project))
+WHERE joined <> ''""")
 
 ORACLES["diff_sections"] = DIFF
 
-COMMITS_ON_BRANCH = f"SELECT project, branch, count(*) AS n FROM ({WO['branch_commits']}) GROUP BY project, branch"
-STATUS = oracle_with(["porcelain_lines"], STATUS_TEXT)
 
 ORACLES["context_done"] = f"""
 SELECT c.project, c.branch, c.task_id, c.title, c.status, coalesce(bc.n, 0) AS commits_on_branch,
@@ -106,17 +125,16 @@ SELECT k.project, k.branch, p.number, coalesce(cc.passing, 0) AS passing, coales
        i.merge_ready, p.number IS NOT NULL AS has_pr
 FROM ({oracle_with(["checkouts"], "SELECT project, branch FROM checkouts")}) k
 LEFT JOIN ({WO["open_pr_by_branch"]}) p ON p.project = k.project AND p.head_ref = k.branch
-LEFT JOIN ({WO["check_counts"]}) cc ON cc.number = p.number
-LEFT JOIN ({WO["review_summary"]}) rs ON rs.number = p.number
-LEFT JOIN ({WO["pr_issues"]}) i ON i.number = p.number"""
+LEFT JOIN ({WO["check_counts"]}) cc ON cc.project = p.project AND cc.number = p.number
+LEFT JOIN ({WO["review_summary"]}) rs ON rs.project = p.project AND rs.number = p.number
+LEFT JOIN ({WO["pr_issues"]}) i ON i.project = p.project AND i.number = p.number"""
 
 ORACLES["context_stuck"] = f"""
 SELECT c.project, c.branch, c.task_id, c.title, coalesce(s.status_text, '') AS status_text,
        coalesce(d.diff, '') AS diff, coalesce(bc.n, 0) AS commits_on_branch,
-       coalesce(e.failed_runs, 0) AS failed_runs, e.first_error
+       coalesce(e.failed_runs, 0) AS failed_runs, coalesce(e.errors, '') AS errors
 FROM ({WO["current_task"]}) c
 LEFT JOIN ({STATUS}) s ON s.project = c.project
 LEFT JOIN ({DIFF}) d ON d.project = c.project
 LEFT JOIN ({COMMITS_ON_BRANCH}) bc ON bc.project = c.project AND bc.branch = c.branch
-LEFT JOIN (SELECT project, count(*) AS failed_runs, arg_min(excerpt, log_id) AS first_error
-           FROM ({WO["log_digest"]}) GROUP BY project) e ON e.project = c.project"""
+LEFT JOIN ({WO["error_digest"]}) e ON e.project = c.project"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from keelson.operators.coord import segments_overlap
 from keelson.sources.bind import oracle_with
 
 ORACLES: dict[str, str] = {}
@@ -91,14 +92,14 @@ FROM (SELECT s.project, s.task_id,
 GROUP BY GROUPING SETS ((project), ())""")
 
 ITEMS = [
-    ("ln", """SELECT thread_id, msg_id, pos, line,
+    ("ln", """SELECT project, thread_id, msg_id, pos, line,
                 last_value(CASE WHEN h <> '' THEN h END IGNORE NULLS) OVER (
-                  PARTITION BY msg_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading
-              FROM (SELECT thread_id, msg_id, pos, line, regexp_extract(line, '^#{2,3}\\s+(.+?)\\s*$', 1) AS h FROM (
-                      SELECT thread_id, msg_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line
-                      FROM (SELECT thread_id, msg_id, string_split(body, chr(10)) AS parts FROM review_posts)))"""),
+                  PARTITION BY project, thread_id, msg_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading
+              FROM (SELECT project, thread_id, msg_id, pos, line, regexp_extract(line, '^#{2,3}\\s+(.+?)\\s*$', 1) AS h FROM (
+                      SELECT project, thread_id, msg_id, unnest(range(len(parts))) AS pos, unnest(parts) AS line
+                      FROM (SELECT project, thread_id, msg_id, string_split(body, chr(10)) AS parts FROM review_posts)))"""),
     ("items", """SELECT * FROM (
-                   SELECT thread_id, msg_id, CAST(pos AS BIGINT) AS pos, heading,
+                   SELECT project, thread_id, msg_id, CAST(pos AS BIGINT) AS pos, heading,
                      CAST(regexp_extract(line, '^\\s*(\\d+)\\.\\s+(.*)$', 1) AS BIGINT) AS item_no,
                      regexp_extract(line, '^\\s*(\\d+)\\.\\s+(.*)$', 2) AS text,
                      CASE heading WHEN 'Blocking Issues' THEN 'blocking' WHEN 'Suggestions' THEN 'suggestion'
@@ -113,44 +114,58 @@ ITEMS = [
 ORACLES["feedback_items"] = oracle_with(["review_posts"], "SELECT * FROM fi", ctes=ITEMS)
 
 ORACLES["verdicts"] = oracle_with(["review_posts"], """
-SELECT p.msg_id, p.thread_id, p.stated, coalesce(c.blocking, 0) AS blocking, coalesce(c.other_items, 0) AS other_items,
+SELECT p.project, p.msg_id, p.thread_id, p.stated, coalesce(c.blocking, 0) AS blocking, coalesce(c.other_items, 0) AS other_items,
   CASE WHEN coalesce(c.blocking, 0) > 0 THEN 'Changes Requested'
        WHEN coalesce(c.other_items, 0) > 0 THEN 'Approved with Comments' ELSE 'Approved' END AS derived,
   p.stated = CASE WHEN coalesce(c.blocking, 0) > 0 THEN 'Changes Requested'
        WHEN coalesce(c.other_items, 0) > 0 THEN 'Approved with Comments' ELSE 'Approved' END AS consistent
-FROM (SELECT thread_id, msg_id, trim(regexp_extract(body, '\\*\\*Verdict\\*\\*:\\s*([^\\n]+)', 1)) AS stated
+FROM (SELECT project, thread_id, msg_id, trim(regexp_extract(body, '\\*\\*Verdict\\*\\*:\\s*([^\\n]+)', 1)) AS stated
       FROM review_posts) p
-LEFT JOIN (SELECT msg_id, CAST(sum(CASE WHEN category = 'blocking' THEN 1 ELSE 0 END) AS BIGINT) AS blocking,
+LEFT JOIN (SELECT project, thread_id, msg_id, CAST(sum(CASE WHEN category = 'blocking' THEN 1 ELSE 0 END) AS BIGINT) AS blocking,
              CAST(sum(CASE WHEN category IN ('suggestion', 'question', 'nitpick') THEN 1 ELSE 0 END) AS BIGINT) AS other_items
-           FROM fi GROUP BY msg_id) c ON c.msg_id = p.msg_id""", ctes=ITEMS)
+           FROM fi GROUP BY project, thread_id, msg_id) c ON c.project = p.project AND c.thread_id = p.thread_id AND c.msg_id = p.msg_id""", ctes=ITEMS)
 
 ORACLES["unresolved_feedback"] = oracle_with(["review_posts", "resolution_posts"], """
 SELECT * FROM fi WHERE category <> 'praise' AND NOT EXISTS (
-  SELECT 1 FROM (SELECT thread_id, unnest(string_split(body, chr(10))) AS line FROM resolution_posts) r
-  WHERE regexp_matches(r.line, '^\\s*-\\s*\\[[xX]\\]\\s*#(\\d+)') AND r.thread_id = fi.thread_id
+  SELECT 1 FROM (SELECT project, thread_id, unnest(string_split(body, chr(10))) AS line FROM resolution_posts) r
+  WHERE regexp_matches(r.line, '^\\s*-\\s*\\[[xX]\\]\\s*#(\\d+)') AND r.project = fi.project AND r.thread_id = fi.thread_id
     AND CAST(regexp_extract(r.line, '^\\s*-\\s*\\[[xX]\\]\\s*#(\\d+)', 1) AS BIGINT) = fi.item_no)""", ctes=ITEMS)
 
 ACTIVE = """SELECT *, start_ts + to_seconds(ttl_seconds) AS end_ts FROM reservations
-WHERE start_ts <= TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 00:00:00' < start_ts + to_seconds(ttl_seconds)"""
+WHERE (released_ts IS NULL OR released_ts > TIMESTAMP '2024-01-10 00:00:00') AND start_ts <= TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 00:00:00' < start_ts + to_seconds(ttl_seconds)"""
 
 ORACLES["active_reservations"] = oracle_with(["reservations"], ACTIVE)
 
-ORACLES["reservation_conflicts"] = oracle_with(["reservations"], """
+def _agree(x, y):
+    """Segments compared pairwise as far as both go."""
+    return (f"len(list_filter(list_zip({x}, {y}), lambda p: p[1] IS NOT NULL AND p[2] IS NOT NULL "
+            f"AND NOT ({segments_overlap('p[1]', 'p[2]')}))) = 0")
+
+
+# no directory condition here: the join keys of the job must not lose a pair
+ORACLES["reservation_conflicts"] = oracle_with(["reservations"], f"""
 SELECT a.project, a.reservation_id AS res_a, b.reservation_id AS res_b, a.agent AS agent_a, b.agent AS agent_b,
        greatest(a.start_ts, b.start_ts) AS overlap_start, least(a.end_ts, b.end_ts) AS overlap_end
 FROM r a JOIN r b ON a.project = b.project AND a.reservation_id < b.reservation_id
-  AND (a.dir = b.dir OR starts_with(b.dir, a.dir || '/') OR starts_with(a.dir, b.dir || '/'))
   AND a.agent <> b.agent AND (a.exclusive OR b.exclusive)
-  AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts""",
-    ctes=[("r", """SELECT *, start_ts + to_seconds(ttl_seconds) AS end_ts,
-                     regexp_replace(regexp_extract(pattern, '^([^*?\\[]*)', 1), '/?[^/]*$', '') AS dir
-                   FROM reservations WHERE ttl_seconds > 0""")])
-
-ORACLES["file_conflicts"] = oracle_with(["porcelain_lines", "reservations"], """
-SELECT f.project, f.path, a.reservation_id, a.agent, a.pattern, a.exclusive
-FROM (SELECT DISTINCT project, path FROM porcelain_lines) f JOIN act a ON a.project = f.project
-WHERE regexp_matches(f.path, '^' || replace(replace(replace(replace(replace(a.pattern, '.', '\\.'), '**', chr(1)),
-                                  '*', '[^/]*'), '?', '[^/]'), chr(1), '.*') || '$')""", ctes=[("act", ACTIVE)])
+  AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts
+WHERE CASE WHEN a.dd = 0 AND b.dd = 0 THEN len(a.segs) = len(b.segs)
+           WHEN a.dd = 0 THEN len(a.segs) >= len(b.head) + len(b.tail)
+           WHEN b.dd = 0 THEN len(b.segs) >= len(a.head) + len(a.tail) ELSE true END
+  AND {_agree("a.head", "b.head")} AND {_agree("a.tail", "b.tail")}""",
+    ctes=[("r0", """SELECT *, least(start_ts + to_seconds(ttl_seconds), released_ts) AS end_ts, string_split(pattern, '/') AS segs,
+                      coalesce(list_position(string_split(pattern, '/'), '**'), 0) AS dd FROM reservations"""),
+          ("r", """SELECT *, CASE WHEN dd = 0 THEN segs ELSE segs[1:dd - 1] END AS head,
+                     CASE WHEN dd = 0 THEN list_reverse(segs)
+                          ELSE list_reverse(segs)[1:list_position(list_reverse(segs), '**') - 1] END AS tail
+                   FROM r0 WHERE start_ts < end_ts""")])
+
+_REGEX = r"""replace(replace(replace(replace(replace(regexp_replace(a.pattern, '([\\.+^$(){}|\[\]])', '\\\1', 'g'),
+    '**/', chr(2)), '**', chr(1)), '*', '[^/]*'), '?', '[^/]'), chr(2), '(?:.*/)?')"""
+ORACLES["file_conflicts"] = oracle_with(["porcelain_lines", "reservations"], f"""
+SELECT f.project, f.path, f.agent AS changed_by, a.reservation_id, a.agent, a.pattern, a.exclusive
+FROM (SELECT DISTINCT project, path, agent FROM porcelain_lines) f JOIN act a ON a.project = f.project AND a.agent <> f.agent
+WHERE regexp_matches(f.path, '^' || replace({_REGEX}, chr(1), '.*') || '$')""", ctes=[("act", ACTIVE)])
 
 ORACLES["loop_iterations"] = oracle_with(["loop_commits"], """
 SELECT * FROM (

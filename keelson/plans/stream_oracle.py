@@ -63,3 +63,10 @@ SELECT agent, msg_id, ts, load FROM (
     CAST(sum(CASE WHEN msg_kind = 'review_claimed' THEN 1 ELSE -1 END)
          OVER (PARTITION BY from_agent ORDER BY ts, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS load
   FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete')) WHERE load > 3""", ctes=[("cm", CLASSIFY)])
+
+ORACLES["stream_check_failures"] = oracle_with(["check_runs"], """
+SELECT *, round(failures / runs, 6) AS failure_rate FROM (
+  SELECT name, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+         count(*) AS runs, CAST(sum(CASE WHEN conclusion IN ('SUCCESS', 'SKIPPED', 'NEUTRAL') THEN 0 ELSE 1 END) AS BIGINT) AS failures
+  FROM check_runs WHERE status = 'COMPLETED' GROUP BY ALL)
+WHERE window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM check_runs)""")

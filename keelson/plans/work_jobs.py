@@ -8,7 +8,7 @@ from keelson.operators import context as W
 from keelson.operators import pulls as P
 from keelson.sources.bind import Fleet
 
-AS_OF = "1999-01-01 00:00:00"
+AS_OF = "2002-01-01 00:00:00"   # after the last commit of the tables
 
 
 def _current(f: Fleet):
@@ -34,7 +34,8 @@ def branch_commits_job(spark, sf_dir):
 
 
 def recent_commit_job(spark, sf_dir):
-    return W.recent_commit(Fleet(spark, sf_dir).commits, AS_OF)
+    f = Fleet(spark, sf_dir)
+    return W.recent_commit(f.commits, f.checkouts, AS_OF)
 
 
 def commit_task_links_job(spark, sf_dir):
@@ -122,21 +123,30 @@ def context_next_job(spark, sf_dir):
     from keelson.operators import graph as g
     f = Fleet(spark, sf_dir)
     nxt = g.next_tasks(g.ready_tasks(f.tasks, f.task_deps), 1)
-    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, AS_OF), nxt)
+    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, f.checkouts, AS_OF), nxt)
 
 
 def context_feedback_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
     diff = W.branch_diff_stats(f.file_changes, _base(f)).drop("base_branch")
-    return W.context_feedback(_current(f), _base(f), diff)
+    return W.context_feedback(_current(f), _base(f), diff, W.status_counts(f.porcelain_lines), _branch_rows(f))
 
 
 def context_loop_job(spark, sf_dir):
     from keelson.operators import graph as g
     f = Fleet(spark, sf_dir)
     ready = g.ready_tasks(f.tasks, f.task_deps)
-    counts = ready.groupBy("project").agg(F.count(F.lit(1)).alias("ready_tasks"))
-    return W.context_loop(g.next_tasks(ready, 1), counts, W.detect_test_command(f.repo_files))
+    return W.context_loop(f.checkouts, f.loop_modes, ready, g.next_tasks(ready, 1), W.detect_test_command(f.repo_files))
+
+
+def autopilot_tasks_job(spark, sf_dir):
+    from keelson.operators import graph as g
+    f = Fleet(spark, sf_dir)
+    return W.autopilot_tasks(f.loop_modes, g.ready_tasks(f.tasks, f.task_deps))
+
+
+def error_digest_job(spark, sf_dir):
+    return W.error_digest(Fleet(spark, sf_dir).log_blobs)
 
 
 def _branch_rows(f: Fleet):
@@ -175,10 +185,12 @@ def context_prfix_job(spark, sf_dir):
 def context_stuck_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
     return W.context_stuck(_current(f), W.status_counts(f.porcelain_lines), W.diff_sections(f.porcelain_lines),
-                           _branch_rows(f), W.log_digest(f.log_blobs))
+                           _branch_rows(f), W.error_digest(f.log_blobs))
 
 
 JOBS = {
+    "autopilot_tasks": autopilot_tasks_job,
+    "error_digest": error_digest_job,
     "diff_sections": diff_sections_job,
     "context_done": context_done_job,
     "context_resume": context_resume_job,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from keelson.sources.bind import oracle_with
 
-AS_OF = "TIMESTAMP '1999-01-01 00:00:00'"
+AS_OF = "TIMESTAMP '2002-01-01 00:00:00'"
 
 ORACLES: dict[str, str] = {}
 
@@ -87,15 +87,16 @@ CASE WHEN s < 0 THEN 'in the future'
      WHEN d < 1825 THEN CAST(tm // 12 AS VARCHAR) || ' year' || CASE WHEN tm // 12 = 1 THEN '' ELSE 's' END || ' ago'
      ELSE CAST((d + 183) // 365 AS VARCHAR) || ' year' || CASE WHEN (d + 183) // 365 = 1 THEN '' ELSE 's' END || ' ago' END"""
 
-ORACLES["recent_commit"] = oracle_with(["commits"], f"""
-SELECT project, sha, subject, ts, {_AGE} AS age, subject || ' (' || {_AGE} || ')' AS summary
+ORACLES["recent_commit"] = oracle_with(["commits", "checkouts"], f"""
+SELECT project, branch, sha, subject, ts, {_AGE} AS age, subject || ' (' || {_AGE} || ')' AS summary
 FROM (SELECT *, (d * 24 + 365) // 730 AS tm FROM (
   SELECT *, (h + 12) // 24 AS d FROM (
     SELECT *, (m + 30) // 60 AS h FROM (
       SELECT *, (s + 30) // 60 AS m FROM (
-        SELECT project, sha, subject, ts,
+        SELECT project, branch, sha, subject, ts,
                CAST(floor(epoch({AS_OF})) AS BIGINT) - CAST(floor(epoch(ts)) AS BIGINT) AS s
-        FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY ts DESC, sha DESC) AS r FROM commits)
+        FROM (SELECT *, row_number() OVER (PARTITION BY project ORDER BY ts DESC, sha DESC) AS r
+              FROM commits WHERE (project, branch) IN (SELECT (project, branch) FROM checkouts))
         WHERE r = 1)))))""")
 
 ORACLES["commit_task_links"] = oracle_with(["commits", "tasks"], """
@@ -149,6 +150,16 @@ FROM (SELECT log_id, project, tool, output, {_HEAD} AS heading, string_split(out
              ELSE len(string_split(regexp_replace(output, '^\\s+|\\s+$', '', 'g'), chr(10))) END AS BIGINT) AS n_lines
       FROM log_blobs WHERE exit_code <> 0 AND output <> '')""")
 
+ORACLES["error_digest"] = oracle_with(["log_blobs"], f"""
+SELECT project, failed_runs, CAST(len(parts) AS BIGINT) AS n_lines,
+  CASE WHEN len(parts) <= 50 THEN joined
+       ELSE array_to_string(parts[1:50], chr(10)) || chr(10) || '... (' || CAST(len(parts) - 50 AS VARCHAR) || ' more lines)' END AS errors
+FROM (SELECT *, string_split(joined, chr(10)) AS parts FROM (
+  SELECT project, count(*) AS failed_runs,
+         string_agg({_HEAD} || chr(10) || output, chr(10) || chr(10)
+                    ORDER BY CASE tool WHEN 'go build' THEN 1 WHEN 'go vet' THEN 2 WHEN 'tsc' THEN 3 ELSE 4 END, log_id) AS joined
+  FROM log_blobs WHERE exit_code <> 0 AND output <> '' GROUP BY project))""")
+
 ORACLES["test_command_by_repo"] = oracle_with(["repo_files"], """
 SELECT project, CASE WHEN go THEN 'go test ./... && go build ./...'
   WHEN pkg THEN CASE WHEN yarn THEN 'yarn test' WHEN pnpm THEN 'pnpm test' ELSE 'npm test' END
@@ -175,15 +186,15 @@ _CAT = """CASE WHEN coalesce(status, '') <> 'COMPLETED' THEN 'pending'
   WHEN conclusion IN ('SUCCESS', 'SKIPPED', 'NEUTRAL') THEN 'passing' ELSE 'failing' END"""
 
 ORACLES["check_counts"] = oracle_with(["pr_checks"], f"""
-SELECT number,
+SELECT project, number,
   CAST(sum(CASE WHEN cat = 'passing' THEN 1 ELSE 0 END) AS BIGINT) AS passing,
   CAST(sum(CASE WHEN cat = 'failing' THEN 1 ELSE 0 END) AS BIGINT) AS failing,
   CAST(sum(CASE WHEN cat = 'pending' THEN 1 ELSE 0 END) AS BIGINT) AS pending,
   count(*) AS total
-FROM (SELECT number, {_CAT} AS cat FROM pr_checks) GROUP BY number""")
+FROM (SELECT project, number, {_CAT} AS cat FROM pr_checks) GROUP BY project, number""")
 
 ORACLES["check_details"] = oracle_with(["pr_checks"], f"""
-SELECT number, category, seq, name,
+SELECT project, number, category, seq, name,
   CASE WHEN category = 'failing' THEN '❌ ' || name ||
        CASE WHEN coalesce(details_url, '') <> '' THEN chr(10) || '   ' || details_url ELSE '' END
        ELSE '⏳ ' || name END AS line
@@ -196,12 +207,12 @@ SELECT *, rank() OVER (ORDER BY failure_rate DESC, name) AS rank FROM (
   FROM (SELECT name, {_CAT} AS cat FROM pr_checks) WHERE cat <> 'pending' GROUP BY name)""")
 
 ORACLES["review_summary"] = oracle_with(["pr_reviews"], """
-SELECT number, count(*) AS reviews,
+SELECT project, number, count(*) AS reviews,
   CAST(sum(CASE WHEN upper(state) = 'APPROVED' THEN 1 ELSE 0 END) AS BIGINT) AS approved,
   CAST(sum(CASE WHEN upper(state) = 'CHANGES_REQUESTED' THEN 1 ELSE 0 END) AS BIGINT) AS changes_requested,
   CAST(sum(CASE WHEN upper(state) = 'COMMENTED' THEN 1 ELSE 0 END) AS BIGINT) AS commented,
   arg_min(author, seq) FILTER (WHERE upper(state) = 'CHANGES_REQUESTED') AS first_change_requester
-FROM pr_reviews GROUP BY number""")
+FROM pr_reviews GROUP BY project, number""")
 
 ORACLES["review_share"] = oracle_with(["pr_reviews"], """
 SELECT *, round(approvals / reviews, 6) AS approval_share, rank() OVER (ORDER BY reviews DESC, author) AS rank FROM (
@@ -209,7 +220,7 @@ SELECT *, round(approvals / reviews, 6) AS approval_share, rank() OVER (ORDER BY
   FROM pr_reviews GROUP BY author)""")
 
 ORACLES["comment_digest"] = oracle_with(["pr_comments"], """
-SELECT number, coalesce(author_login, user_login, '') AS author, path, line,
+SELECT project, number, coalesce(author_login, user_login, '') AS author, path, line,
   CASE WHEN coalesce(line, 0) > 0 THEN path || ':' || CAST(line AS VARCHAR) ELSE path END AS location,
   array_to_string(list_transform(string_split(body, chr(10)), lambda l: '> ' || l), chr(10)) AS quoted
 FROM pr_comments""")
@@ -229,13 +240,13 @@ FROM (
       CASE WHEN coalesce(m.n, 0) > 0 THEN '**' || CAST(m.n AS VARCHAR) || ' review comment(s)** to address' END
     ], lambda x: x IS NOT NULL) AS base
   FROM pull_requests p
-  LEFT JOIN (SELECT number, sum(CASE WHEN cat = 'failing' THEN 1 ELSE 0 END) AS n_failing,
+  LEFT JOIN (SELECT project, number, sum(CASE WHEN cat = 'failing' THEN 1 ELSE 0 END) AS n_failing,
                sum(CASE WHEN cat = 'pending' THEN 1 ELSE 0 END) AS n_pending,
                string_agg(name, ', ' ORDER BY seq) FILTER (WHERE cat = 'failing') AS failing_names
-             FROM (SELECT *, {_CAT} AS cat FROM pr_checks) GROUP BY number) c ON c.number = p.number
-  LEFT JOIN (SELECT number, arg_min(author, seq) AS requester FROM pr_reviews
-             WHERE upper(state) = 'CHANGES_REQUESTED' GROUP BY number) r ON r.number = p.number
-  LEFT JOIN (SELECT number, count(*) AS n FROM pr_comments GROUP BY number) m ON m.number = p.number)
+             FROM (SELECT *, {_CAT} AS cat FROM pr_checks) GROUP BY project, number) c ON c.project = p.project AND c.number = p.number
+  LEFT JOIN (SELECT project, number, arg_min(author, seq) AS requester FROM pr_reviews
+             WHERE upper(state) = 'CHANGES_REQUESTED' GROUP BY project, number) r ON r.project = p.project AND r.number = p.number
+  LEFT JOIN (SELECT project, number, count(*) AS n FROM pr_comments GROUP BY project, number) m ON m.project = p.project AND m.number = p.number)
 """
 
 _PRS = ["pull_requests", "pr_checks", "pr_reviews", "pr_comments"]

@@ -72,7 +72,9 @@ SELECT 'p' || CAST(l_suppkey AS STRING) AS project,
             WHEN l_returnflag = 'N' THEN '??'
             WHEN l_linestatus = 'F' THEN ' D'
             ELSE 'R ' END AS xy,
-       'src/m' || CAST(l_partkey % 100 AS STRING) || '/f' || CAST(l_partkey AS STRING) || '.py' AS path
+       CASE l_linenumber WHEN 6 THEN 'README.md' WHEN 7 THEN 'docs/notes' || CAST(l_partkey AS STRING) || '.md'
+            ELSE 'src/m' || CAST(l_partkey % 100 AS STRING) || '/f' || CAST(l_partkey AS STRING) || '.py' END AS path,
+       'u' || CAST(l_partkey % 40 AS STRING) AS agent
 FROM {lineitem}
 """
 
@@ -84,65 +86,79 @@ SELECT 'p' || CAST(o_custkey AS STRING) AS project,
        l_linestatus = 'F' AS on_base,
        'src/m' || CAST(l_partkey % 100 AS STRING) || '/f' || CAST(l_partkey AS STRING) || '.py' AS path,
        CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'N' THEN 'M' ELSE 'D' END AS change_type,
-       CAST(l_quantity AS BIGINT) AS insertions,
+       CAST(l_quantity * 4 AS BIGINT) AS insertions,
        CAST(round(l_discount * 100) AS BIGINT) AS deletions
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
 
+# PR numbers count from 1 in every project, as in real repositories: a job that
+# forgets ``project`` in a key mixes projects up.
 BINDINGS["pull_requests"] = """
-SELECT 'p' || CAST(o_custkey AS STRING) AS project,
-       o_orderkey AS number,
-       'Task ' || CAST(o_orderkey AS STRING) AS title,
-       'feature/bd-' || CAST(o_orderkey AS STRING) || '-work' AS head_ref,
-       'main' AS base_ref,
-       CASE o_orderstatus WHEN 'O' THEN 'OPEN' ELSE 'MERGED' END AS state,
-       CASE o_orderkey % 4 WHEN 0 THEN 'CONFLICTING' WHEN 1 THEN 'UNKNOWN' ELSE 'MERGEABLE' END AS mergeable
-FROM {orders} WHERE o_orderstatus <> 'F'
+SELECT project, seq AS number, title, 'feature/' || task_id || '-work' AS head_ref, 'main' AS base_ref,
+       CASE status WHEN 'in_progress' THEN 'OPEN' WHEN 'closed' THEN 'MERGED' ELSE 'CLOSED' END AS state,
+       CASE priority WHEN 0 THEN 'CONFLICTING' WHEN 1 THEN 'UNKNOWN' ELSE 'MERGEABLE' END AS mergeable
+FROM {tasks}
 """
 
 BINDINGS["pr_checks"] = """
-SELECT number,
+SELECT t.project AS project, t.seq AS number,
        'ci-' || CAST(l_linenumber AS STRING) AS name,
        CASE l_linestatus WHEN 'F' THEN 'COMPLETED' ELSE 'IN_PROGRESS' END AS status,
        CASE WHEN l_linestatus = 'O' THEN '' WHEN l_returnflag = 'A' THEN 'SUCCESS'
             WHEN l_returnflag = 'N' THEN 'FAILURE' ELSE 'SKIPPED' END AS conclusion,
-       'https://ci.example/' || CAST(number AS STRING) || '/' || CAST(l_linenumber AS STRING) AS details_url,
+       'https://ci.example/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) AS details_url,
        CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
                                 l_quantity, l_extendedprice) AS BIGINT) AS seq
-FROM {lineitem} JOIN {pull_requests} ON l_orderkey = number
+FROM {lineitem} JOIN {tasks} t ON t.task_id = 'bd-' || CAST(l_orderkey AS STRING)
 """
 
 BINDINGS["pr_reviews"] = """
-SELECT CAST(floor(event_id / 4) AS BIGINT) AS number,
+SELECT t.project AS project, t.seq AS number,
        'u' || CAST(user_id AS STRING) AS author,
        CASE event_type WHEN 'click' THEN 'APPROVED' WHEN 'view' THEN 'COMMENTED'
             WHEN 'error' THEN 'CHANGES_REQUESTED' WHEN 'signup' THEN 'PENDING' ELSE 'DISMISSED' END AS state,
        event_id AS seq,
        ts
+FROM {events} JOIN {tasks} t ON t.task_id = 'bd-' || CAST(CAST(floor(event_id / 4) AS BIGINT) AS STRING)
+"""
+
+# Check runs as they finish (the stream behind the hourly failure rate).
+BINDINGS["check_runs"] = """
+SELECT 'p' || CAST(user_id AS STRING) AS project,
+       'ci-' || CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 5 AS STRING) AS name,
+       CASE event_type WHEN 'view' THEN 'IN_PROGRESS' ELSE 'COMPLETED' END AS status,
+       CASE event_type WHEN 'view' THEN '' WHEN 'error' THEN 'FAILURE' WHEN 'click' THEN 'SKIPPED'
+            WHEN 'signup' THEN 'CANCELLED' ELSE 'SUCCESS' END AS conclusion,
+       event_id AS run_id,
+       ts
 FROM {events}
 """
 
 BINDINGS["pr_comments"] = """
-SELECT conv_id AS number,
+SELECT t.project AS project, t.seq AS number,
        CASE WHEN conv_id % 2 = 0 THEN 'u' || CAST(turn AS STRING) END AS author_login,
        CASE WHEN conv_id % 2 = 1 THEN 'u' || CAST(turn AS STRING) END AS user_login,
        'src/c' || CAST(turn AS STRING) || '.py' AS path,
        turn AS line,
        text AS body
-FROM {conversations} WHERE role = 'user'
+FROM {conversations} JOIN {tasks} t ON t.task_id = 'bd-' || CAST(conv_id AS STRING)
+WHERE role = 'user'
 """
 
+# Thread and message ids repeat across projects (each project counts its own).
 BINDINGS["messages"] = """
 SELECT 'p' || CAST(conv_id % 20 AS STRING) AS project,
-       conv_id * 8 + turn AS msg_id,
-       'bd-' || CAST(conv_id AS STRING) ||
+       CAST(floor(conv_id / 20) AS BIGINT) * 8 + turn AS msg_id,
+       'bd-' || CAST(CAST(floor(conv_id / 20) AS BIGINT) AS STRING) ||
          CASE conv_id % 4 WHEN 1 THEN '-review' WHEN 2 THEN '-blocked' WHEN 3 THEN '-handoff' ELSE '' END AS thread_id,
-       'u' || CAST(user_id AS STRING) AS from_agent,
-       CASE turn WHEN 0 THEN 'Review Request: work'
+       CASE WHEN turn = 1 THEN 'u' || CAST(conv_id % 10 AS STRING) ELSE 'u' || CAST(user_id AS STRING) END AS from_agent,
+       CASE turn WHEN 0 THEN CASE conv_id % 5 WHEN 4 THEN 'Starting: work' ELSE 'Review Request: work' END
                  WHEN 1 THEN CASE WHEN conv_id % 3 = 0 THEN 'Progress: waiting' ELSE 'Review In Progress' END
-                 WHEN 2 THEN 'Review Complete: Approved'
+                 WHEN 2 THEN CASE conv_id % 5 WHEN 3 THEN 'BLOCKED: on review' ELSE 'Review Complete: Approved' END
+                 WHEN 3 THEN CASE conv_id % 3 WHEN 0 THEN 'Feedback Addressed' WHEN 1 THEN 'Re-Review: work' ELSE 'COMPLETE: work' END
+                 WHEN 4 THEN 'Question about the work'
                  ELSE 'Progress: turn' END AS subject,
-       text AS body,
+       text || CASE WHEN event_type = 'click' THEN ' @u' || CAST(user_id % 10 AS STRING) || ' please look' ELSE '' END AS body,
        ts
 FROM {conversations} JOIN {events} ON event_id = conv_id * 8 + turn
 """
@@ -151,35 +167,44 @@ BINDINGS["status_events"] = """
 SELECT 'p' || CAST(user_id AS STRING) AS project,
        'bd-' || CAST(event_id % 500 AS STRING) AS task_id,
        CASE event_type WHEN 'signup' THEN 'open' WHEN 'purchase' THEN 'closed' ELSE 'in_progress' END AS status,
+       'u' || CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 7 AS STRING) AS agent,
+       CASE event_id % 500 % 3 WHEN 0 THEN 'feature' WHEN 1 THEN 'bug' ELSE 'docs' END AS label,
        event_id,
        ts
 FROM {events}
 """
 
 BINDINGS["reservations"] = """
-SELECT 'p' || CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 10 AS STRING) AS project,
+SELECT 'p' || CAST(k % 10 AS STRING) AS project,
        'u' || CAST(user_id AS STRING) AS agent,
-       'src/m' || regexp_extract(props, '([0-9]+)', 1) || '/**' AS pattern,
+       CASE event_type WHEN 'click' THEN 'src/m' || CAST(k AS STRING) || '/f' || CAST(100 + k AS STRING) || '.py'
+            WHEN 'signup' THEN CASE k % 4 WHEN 0 THEN 'README.md' WHEN 1 THEN '*.md' WHEN 2 THEN '**/*.md' ELSE 'docs/*.md' END
+            WHEN 'purchase' THEN CASE k % 3 WHEN 0 THEN 'src/m' || CAST(k AS STRING) || '/*.go' WHEN 1 THEN 'src/*/f1*.py'
+                                            ELSE 'src/m' || CAST(k AS STRING) || '/f?.py' END
+            ELSE 'src/m' || CAST(k AS STRING) || '/**' END AS pattern,
        ts AS start_ts,
        CAST(floor(value * 60) AS BIGINT) AS ttl_seconds,
+       CASE WHEN event_type = 'error' THEN ts + INTERVAL 20 MINUTE END AS released_ts,
        event_type <> 'view' AS exclusive,
        event_id AS reservation_id
-FROM {events}
+FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM {events}) e
 """
 
 BINDINGS["loop_runs"] = """
 SELECT 'p' || CAST(user_id AS STRING) AS project,
        CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS iteration,
        CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS exit_code,
-       CASE event_type WHEN 'purchase' THEN 'done <promise>COMPLETE</promise>' ELSE 'working' END AS output
+       CASE WHEN event_type = 'purchase' AND user_id % 5 > 0 THEN 'done <promise>COMPLETE</promise>'
+            WHEN event_type = 'error' AND user_id % 3 = 0 THEN 'tried <promise>COMPLETE</promise>' ELSE 'working' END AS output,
+       CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS noise
 FROM {events}
 """
 
 BINDINGS["log_blobs"] = """
 SELECT doc_id AS log_id,
-       'p' || CAST(doc_id % 1500 + 1 AS STRING) AS project,
+       'p' || CAST(doc_id % 250 + 1 AS STRING) AS project,
        CASE doc_id % 4 WHEN 0 THEN 'go build' WHEN 1 THEN 'go vet' WHEN 2 THEN 'tsc' ELSE 'py_compile' END AS tool,
-       CAST(doc_id % 3 = 0 AS INT) AS exit_code,
+       CASE WHEN text LIKE '%o%' OR text LIKE '%e%' THEN 1 ELSE 0 END AS exit_code,
        text AS output
 FROM {documents}
 """
@@ -195,11 +220,14 @@ FROM {tasks} WHERE seq = 1 AND label <> 'not specified'
 # Root-level marker files per project (W19 input), derived from the task
 # labels so every project has a deterministic, data-driven file set.
 BINDINGS["repo_files"] = """
-SELECT DISTINCT project,
-       CASE label WHEN 'urgent' THEN 'go.mod' WHEN 'high' THEN 'package.json'
-                  WHEN 'medium' THEN 'pyproject.toml' WHEN 'not specified' THEN 'Cargo.toml'
-                  ELSE 'Makefile' END AS path
-FROM {tasks}
+SELECT DISTINCT project, path FROM (
+  SELECT project, CASE label WHEN 'urgent' THEN 'go.mod' WHEN 'high' THEN 'package.json'
+                    WHEN 'medium' THEN CASE WHEN seq = 2 THEN 'setup.py' ELSE 'pyproject.toml' END
+                    WHEN 'not specified' THEN 'Cargo.toml' ELSE 'Makefile' END AS path
+  FROM {tasks} WHERE seq <= 2
+  UNION ALL SELECT project, CASE status WHEN 'closed' THEN 'yarn.lock' WHEN 'open' THEN 'pnpm-lock.yaml' ELSE 'notes.txt' END AS path
+  FROM {tasks} WHERE seq = 3
+  UNION ALL SELECT project, 'LICENSE' AS path FROM {tasks} WHERE seq = 1) f
 """
 
 # Commit rows (one per commit) derived from file changes.
@@ -216,6 +244,13 @@ FROM (SELECT project, branch, sha,
 """
 
 
+# Objective of every project's agent loop: a goal text, the whole task graph
+# (autopilot) or, for the rest, a single task.
+BINDINGS["loop_modes"] = """
+SELECT project, CASE WHEN priority = 0 THEN 'Finish ' || title END AS goal, priority = 1 AS autopilot
+FROM {tasks} WHERE seq = 1 AND priority < 3
+"""
+
 # The current checkout of every project: the branch of its latest task, with
 # the tracking header line `git status -sb` would print (ahead/behind derived
 # from the task's position and priority).
@@ -255,8 +290,9 @@ FROM {tasks}
 # Review documents (Markdown in the protocol's section layout) posted on the
 # review thread of each conversation; items are words of the reply text.
 BINDINGS["review_posts"] = """
-SELECT 'bd-' || CAST(conv_id AS STRING) || '-review' AS thread_id,
-       conv_id * 8 + turn AS msg_id,
+SELECT 'p' || CAST(conv_id % 20 AS STRING) AS project,
+       'bd-' || CAST(CAST(floor(conv_id / 20) AS BIGINT) AS STRING) || '-review' AS thread_id,
+       CAST(floor(conv_id / 20) AS BIGINT) * 8 + turn AS msg_id,
        '## Code Review: bd-' || CAST(conv_id AS STRING) || chr(10) ||
        '**Reviewer**: u' || CAST(turn AS STRING) || chr(10) ||
        '**Verdict**: ' || CASE conv_id % 3 WHEN 0 THEN 'Changes Requested' WHEN 1 THEN 'Approved with Comments'
@@ -274,8 +310,9 @@ FROM {conversations} WHERE role = 'assistant'
 
 # Follow-up messages that tick off review items ('- [x] #n').
 BINDINGS["resolution_posts"] = """
-SELECT 'bd-' || CAST(conv_id AS STRING) || '-review' AS thread_id,
-       conv_id * 8 + turn AS msg_id,
+SELECT 'p' || CAST(conv_id % 20 AS STRING) AS project,
+       'bd-' || CAST(CAST(floor(conv_id / 20) AS BIGINT) AS STRING) || '-review' AS thread_id,
+       CAST(floor(conv_id / 20) AS BIGINT) * 8 + turn AS msg_id,
        'Feedback Addressed' || chr(10) || '- [x] #' || CAST(turn AS STRING) || ' done' || chr(10) ||
        '- [ ] #' || CAST(turn + 1 AS STRING) || ' later' AS body
 FROM {conversations} WHERE role = 'user' AND turn > 0
@@ -284,7 +321,8 @@ FROM {conversations} WHERE role = 'user' AND turn > 0
 # Checkpoint commits of agent loops: one per passing run.
 BINDINGS["loop_commits"] = """
 SELECT project, iteration AS seq,
-       'ralph: iteration ' || CAST(iteration AS STRING) || ' - ' || output AS subject
+       'ralph: iteration ' || CAST(CASE WHEN noise < 5 THEN iteration - 1 WHEN noise < 8 THEN iteration - 3 ELSE iteration END AS STRING)
+         || ' - ' || output AS subject
 FROM {loop_runs} WHERE exit_code = 0
 """
 
@@ -300,7 +338,7 @@ FROM {events}
 # Approved contacts: reviewers who reviewed the same PR one after the other.
 BINDINGS["agent_contacts"] = """
 SELECT DISTINCT a.author AS agent, b.author AS contact
-FROM {pr_reviews} a JOIN {pr_reviews} b ON a.number = b.number AND b.seq = a.seq + 1
+FROM {pr_reviews} a JOIN {pr_reviews} b ON a.project = b.project AND a.number = b.number AND b.seq = a.seq + 1
 """
 
 

@@ -3,18 +3,25 @@
 Sources are file streams over the fleet tables; the bindings of
 ``keelson.sources.bind`` apply unchanged to a streaming ``events`` frame
 (stateless projections and stream-static joins). Each job has a batch twin
-with equal output on a finished input; ``run_stream`` drives a stream to the
-end of its input (``availableNow``) with checkpoint and sink in the session's
-shared checkpoint folder, so a restarted driver resumes instead of recomputing.
+with equal output on a finished input that arrives in event order. Append-mode
+twins (S3, S4, S6) apply the stream's final watermark; S1, S2, S5 and the review
+outcomes have no bound in the twin: rows later than the watermark are dropped by
+the stream alone.
+
+``run_stream`` drives a stream to the end of its input (``availableNow``). Given a
+stable ``home`` folder, a later run resumes where the last one ended; without one,
+each run is its own, in a new folder under the session's checkpoint folder.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.functions import expr as X
 from keelson.operators import coord as M
 from keelson.session import checkpoint_dir
 from keelson.sources.bind import Fleet
@@ -38,29 +45,44 @@ def streaming_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     return Fleet(spark, sf_dir, overrides={"events": event_stream(spark, sf_dir)})
 
 
+MERGE_BUCKETS = 64
+
+
 def _merge_by_key(keys: list[str], sink: str):
-    """foreachBatch body: upsert the batch's updated rows into the sink table
-    (copy-on-write: previous version minus updated keys, plus the batch)."""
+    """foreachBatch body: upsert the batch's updated rows into the sink table.
+
+    The table is dealt to buckets by key; only buckets that the batch touches are
+    read, merged and rewritten (dynamic partition overwrite), so a batch costs
+    what it touches. The first batch creates the table; later ones must find it,
+    and a failed read fails the batch. A replayed batch gives the same table.
+    """
     def fn(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        out = f"{sink}/v{batch_id:09d}"
-        prev = f"{sink}/v{batch_id - 1:09d}"
-        try:
-            old = spark.read.parquet(prev)
-            merged = old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-        except Exception:  # noqa: BLE001 - first batch: no previous version
-            merged = batch
-        merged.write.mode("overwrite").parquet(out)
+        new = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(MERGE_BUCKETS)).cast("int"))
+        if batch_id > 0:
+            new = _cut(new)
+            touched = [r[0] for r in new.select("_bucket").distinct().collect()]   # MERGE_BUCKETS at most
+            old = batch.sparkSession.read.parquet(sink).where(F.col("_bucket").isin(touched))
+            new = _cut(old.join(new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new))
+        mode = "dynamic" if batch_id > 0 else "static"
+        new.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("_bucket").parquet(sink)
     return fn
 
 
-def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
+               home: str | None = None) -> DataFrame:
     """Run a streaming frame to the end of its input; return the result table.
 
     append -> parquet file sink; update -> foreachBatch merge by ``keys``.
+    ``home``: folder (on shared storage) that identifies the query; a second run
+    with the same one reads only new input.
     """
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    base = f"{home.rstrip('/')}/{name}" if home else f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
     sink, ckpt = f"{base}/out", f"{base}/_checkpoint"
     w = df.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
     if mode == "append":
@@ -69,12 +91,12 @@ def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list[str] |
         return spark.read.schema(df.schema).parquet(sink)
     q = w.outputMode("update").foreachBatch(_merge_by_key(keys or [], sink)).start()
     q.awaitTermination()
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sink)
-    fs = files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(files) if s.getPath().getName().startswith("v"))
-    if not versions:
-        return spark.createDataFrame([], df.schema)
-    return spark.read.schema(df.schema).parquet(f"{sink}/{versions[-1]}")
+    try:
+        return spark.read.parquet(sink).select(*df.columns)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], df.schema)   # no batch ran: the input is empty
 
 
 # ---------------------------------------------------------------- S1..S6 (frame builders; work on batch or stream)
@@ -93,13 +115,14 @@ def current_status(status_events: DataFrame) -> DataFrame:
 
 
 def review_requests(messages: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
-    """Review requests on '*-review' threads, deduplicated on msg_id."""
+    """Review requests on '*-review' threads, deduplicated on
+    (project, thread_id, msg_id)."""
     c = M.classify_messages(messages).filter((F.col("thread_kind") == "review") &
                                              (F.col("msg_kind") == "review_request"))
     c = c.select("project", "thread_id", "msg_id", "from_agent", _event_time("ts"))
     if messages.isStreaming:
-        return c.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["msg_id"])
-    return c.dropDuplicates(["msg_id"])
+        return c.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["project", "thread_id", "msg_id"])
+    return c.dropDuplicates(["project", "thread_id", "msg_id"])
 
 
 def agent_sessions(reservations: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
@@ -193,8 +216,8 @@ def message_volume(messages: DataFrame, slide: str | None = None) -> DataFrame:
 
 
 def review_outcomes_per_hour(reviews: DataFrame) -> DataFrame:
-    """Reviews and changes-requested share per hour (event time), late
-    rows beyond the watermark dropped."""
+    """Reviews and changes requested per hour (event time), late rows beyond
+    the watermark dropped."""
     r = reviews.withColumn("ts", _event_time("ts"))
     r = r.withWatermark("ts", WATERMARK) if reviews.isStreaming else r
     a = r.groupBy(F.window("ts", "1 hour").alias("w")).agg(
@@ -204,6 +227,25 @@ def review_outcomes_per_hour(reviews: DataFrame) -> DataFrame:
                     "changes_requested")
 
 
+def check_failures_per_hour(runs: DataFrame) -> DataFrame:
+    """Finished check runs, failures and failure rate per check name and
+    hour (append mode: an hour is emitted once the watermark passes its end)."""
+    r = runs.withColumn("ts", _event_time("ts")).withColumn("category", X.check_category(F.col("status"), F.col("conclusion")))
+    r = r.withWatermark("ts", WATERMARK) if runs.isStreaming else r
+    a = r.filter(F.col("category") != "pending").groupBy("name", F.window("ts", "1 hour").alias("w")).agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.sum(F.when(F.col("category") == "failing", 1).otherwise(0)).cast("bigint").alias("failures"))
+    return a.select("name", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "runs", "failures",
+                    F.round(F.col("failures") / F.col("runs"), 6).alias("failure_rate"))
+
+
+def closed_check_hours(runs: DataFrame) -> DataFrame:
+    """Batch twin of S6: the hours that end at or before the final watermark."""
+    bound = runs.agg((F.max(_event_time("ts")) - F.expr(f"INTERVAL {WATERMARK}")).alias("wm")).withColumn("_k", F.lit(1))
+    a = check_failures_per_hour(runs).withColumn("_k", F.lit(1))
+    return a.join(F.broadcast(bound), "_k").filter(F.col("window_end") <= F.col("wm")).drop("_k", "wm")
+
+
 # ---------------------------------------------------------------- registered stream jobs (run to completion)
 
 def stream_current_status_job(spark, sf_dir):
@@ -248,7 +290,13 @@ def stream_review_outcomes_job(spark, sf_dir):
     return run_stream(review_outcomes_per_hour(f.pr_reviews), "review_outcomes", "update", ["window_start"])
 
 
+def stream_check_failures_job(spark, sf_dir):
+    f = streaming_fleet(spark, sf_dir)
+    return run_stream(check_failures_per_hour(f.check_runs), "check_failures", "append")
+
+
 JOBS = {
+    "stream_check_failures": stream_check_failures_job,
     "stream_current_status": stream_current_status_job,
     "stream_review_requests": stream_review_requests_job,
     "stream_agent_sessions": stream_agent_sessions_job,
@@ -261,6 +309,7 @@ JOBS = {
 
 # Batch twins (same frame builders on the finished tables).
 BATCH_TWINS = {
+    "stream_check_failures": lambda spark, d: closed_check_hours(Fleet(spark, d).check_runs),
     "stream_current_status": lambda spark, d: current_status(Fleet(spark, d).status_events),
     "stream_review_requests": lambda spark, d: review_requests(Fleet(spark, d).messages),
     "stream_agent_sessions": lambda spark, d: closed_sessions(Fleet(spark, d).reservations),
