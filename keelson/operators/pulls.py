@@ -44,6 +44,33 @@ def decode_checks(raw: DataFrame, col: str = "raw") -> DataFrame:
                     F.col("c.detailsUrl").alias("details_url")))
 
 
+REVIEWS_JSON_SCHEMA = "reviews ARRAY<STRUCT<author: STRUCT<login: STRING>, state: STRING, body: STRING>>"
+COMMENTS_JSON_SCHEMA = ("ARRAY<STRUCT<author: STRUCT<login: STRING>, user: STRUCT<login: STRING>, body: STRING, "
+                        "path: STRING, line: BIGINT>>")
+
+
+def decode_reviews(raw: DataFrame, col: str = "raw") -> DataFrame:
+    """Nested reviews -> rows with their position, the flattened
+    author, the upper-case state and the state's mark."""
+    keep = [c for c in raw.columns if c != col]
+    r = raw.select(*keep, F.posexplode(F.from_json(F.col(col), REVIEWS_JSON_SCHEMA)["reviews"]).alias("seq", "r"))
+    return r.select(*keep, (F.col("seq") + 1).cast("bigint").alias("seq"), F.coalesce("r.author.login", F.lit("")).alias("author"),
+                    F.col("r.state").alias("state"), X.review_state_mark(F.col("r.state")).alias("mark"),
+                    F.col("r.body").alias("body"))
+
+
+def decode_comments(raw: DataFrame, col: str = "raw") -> DataFrame:
+    """Comment lists of both shapes (``author.login`` or ``user.login``) ->
+    rows with one author, location and quoted body."""
+    keep = [c for c in raw.columns if c != col]
+    c = raw.select(*keep, F.posexplode(F.from_json(F.col(col), COMMENTS_JSON_SCHEMA)).alias("seq", "c"))
+    return c.select(*keep, (F.col("seq") + 1).cast("bigint").alias("seq"),
+                    F.coalesce("c.author.login", "c.user.login", F.lit("")).alias("author"),
+                    F.col("c.path").alias("path"), F.col("c.line").alias("line"),
+                    X.comment_location(F.col("c.path"), F.col("c.line")).alias("location"),
+                    X.quoted_body(F.col("c.body")).alias("quoted"))
+
+
 def existing_pr(prs: DataFrame) -> DataFrame:
     """One PR per (project, head branch): the open one with the highest
     number (``gh pr list --head b --limit 1`` lists open PRs)."""
@@ -108,7 +135,7 @@ def comment_rows(comments: DataFrame) -> DataFrame:
 
 def review_summary(reviews: DataFrame) -> DataFrame:
     """Per PR — review counts by state and the first reviewer (source
-    order) who requested changes, plus the state marks line."""
+    order) who requested changes. The mark of each state is in ``decode_reviews``."""
     r = reviews.withColumn("u", F.upper("state"))
     return r.groupBy(*PR).agg(
         F.count(F.lit(1)).alias("reviews"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import context as W
 from keelson.operators import pulls as P
+from keelson.sources import pull_json as R
 from keelson.sources.bind import Fleet
 
 AS_OF = "2002-01-01 00:00:00"   # after the last commit of the tables
@@ -101,6 +102,22 @@ def comment_digest_job(spark, sf_dir):
     return P.comment_rows(Fleet(spark, sf_dir).pr_comments)
 
 
+def decoded_prs_job(spark, sf_dir):
+    return P.decode_prs(R.raw_prs(Fleet(spark, sf_dir).pull_requests))
+
+
+def decoded_checks_job(spark, sf_dir):
+    return P.decode_checks(R.raw_checks(Fleet(spark, sf_dir).pr_checks))
+
+
+def decoded_reviews_job(spark, sf_dir):
+    return P.decode_reviews(R.raw_reviews(Fleet(spark, sf_dir).pr_reviews))
+
+
+def decoded_comments_job(spark, sf_dir):
+    return P.decode_comments(R.raw_comments(Fleet(spark, sf_dir).pr_comments))
+
+
 def pr_issues_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
     return P.pr_issues(f.pull_requests, f.pr_checks, f.pr_reviews, f.pr_comments)
@@ -189,6 +206,10 @@ def context_stuck_job(spark, sf_dir):
 
 
 JOBS = {
+    "decoded_prs": decoded_prs_job,
+    "decoded_checks": decoded_checks_job,
+    "decoded_reviews": decoded_reviews_job,
+    "decoded_comments": decoded_comments_job,
     "autopilot_tasks": autopilot_tasks_job,
     "error_digest": error_digest_job,
     "diff_sections": diff_sections_job,

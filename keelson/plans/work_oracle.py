@@ -185,6 +185,26 @@ WHERE b.branch NOT IN ('main', 'master') AND b.branch <> coalesce(bb.base_branch
 _CAT = """CASE WHEN coalesce(status, '') <> 'COMPLETED' THEN 'pending'
   WHEN conclusion IN ('SUCCESS', 'SKIPPED', 'NEUTRAL') THEN 'passing' ELSE 'failing' END"""
 
+ORACLES["decoded_prs"] = oracle_with(["pull_requests"], """
+SELECT project, number, title, 'https://git.example/' || project || '/' || CAST(number AS VARCHAR) AS url, state, mergeable,
+       base_ref AS baseRefName, head_ref AS headRefName FROM pull_requests""")
+
+ORACLES["decoded_checks"] = oracle_with(["pr_checks"], """
+SELECT project, number, seq, name, status, conclusion, details_url FROM pr_checks""")
+
+ORACLES["decoded_reviews"] = oracle_with(["pr_reviews"], """
+SELECT project, number, row_number() OVER (PARTITION BY project, number ORDER BY seq) AS seq, author, state,
+       CASE state WHEN 'APPROVED' THEN '✅' WHEN 'CHANGES_REQUESTED' THEN '❌' WHEN 'COMMENTED' THEN '💬'
+                  WHEN 'PENDING' THEN '⏳' WHEN 'DISMISSED' THEN '🚫' ELSE '•' END AS mark,
+       'review ' || CAST(seq AS VARCHAR) AS body FROM pr_reviews""")
+
+ORACLES["decoded_comments"] = oracle_with(["pr_comments"], """
+SELECT project, number, row_number() OVER (PARTITION BY project, number ORDER BY line) AS seq,
+  coalesce(author_login, user_login, '') AS author, path, CAST(line AS BIGINT) AS line,
+  CASE WHEN coalesce(line, 0) > 0 THEN path || ':' || CAST(line AS VARCHAR) ELSE path END AS location,
+  array_to_string(list_transform(string_split(body, chr(10)), lambda l: '> ' || l), chr(10)) AS quoted
+FROM pr_comments""")
+
 ORACLES["check_counts"] = oracle_with(["pr_checks"], f"""
 SELECT project, number,
   CAST(sum(CASE WHEN cat = 'passing' THEN 1 ELSE 0 END) AS BIGINT) AS passing,
