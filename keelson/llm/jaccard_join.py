@@ -41,7 +41,7 @@ TREES = 20
 DEPTH = 8
 TARGET_RECALL = 0.999
 BLOCK = 512            # classes of one comparison block
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 19
 
 
 def recall_at(prefix: int, similarity: float = THRESHOLD, trees: int = TREES) -> float:
@@ -149,25 +149,22 @@ def _span(n_values: int, agree: int, absorb: int):
         for t in _whole_units(batches):
             unit, keys = t.column(0).to_numpy(), t.column(1).to_pylist()
             sig = np.frombuffer(b"".join(t.column(2).to_pylist()), dtype=np.uint8).reshape(-1, n_values)
-            left, right = [], []
-            alive = np.arange(len(unit))
-            k = 1
+            # rows k apart, k = 1, 2, ...; pairs already joined need no look, and
+            # nothing is kept of a pair but its effect on the roots
+            root = np.arange(len(unit))
+            alive, k = np.arange(len(unit)), 1
             while True:
                 alive = alive[alive + k < len(unit)]
                 alive = alive[unit[alive] == unit[alive + k]]
                 if len(alive) == 0:
                     break
-                for at in range(0, len(alive), 1 << 15):
-                    i = alive[at:at + (1 << 15)]
-                    same = (sig[i] == sig[i + k]).sum(axis=1)
-                    hit = i[same >= agree]
-                    left.append(hit)
-                    right.append(hit + k)
+                apart = alive[root[alive] != root[alive + k]]
+                for at in range(0, len(apart), 1 << 13):
+                    i = apart[at:at + (1 << 13)]
+                    hit = i[(sig[i] == sig[i + k]).sum(axis=1) >= agree]
+                    if len(hit):
+                        root = _roots(len(unit), root[hit], root[hit + k])[root]
                 k += 1
-            if not left:
-                continue
-            i, j = np.concatenate(left), np.concatenate(right)
-            root = _roots(len(unit), i, j)
             moved = np.flatnonzero(root != np.arange(len(unit)))
             if len(moved) == 0:
                 continue
