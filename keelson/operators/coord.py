@@ -161,21 +161,22 @@ def review_load(messages: DataFrame, cap: int = 3) -> DataFrame:
 
 def task_cycle_time(status_events: DataFrame) -> DataFrame:
     """M20 (*ours*): per task, first in_progress event to the first closed
-    event after it, in hours; summarised by project with a grand total row
-    (grouping sets)."""
+    event after it, in hours; count, mean, extremes, median and 90th percentile
+    by (project, label), project, label and in total (grouping sets)."""
     starts = (status_events.filter(F.col("status") == "in_progress")
-              .groupBy("project", "task_id").agg(F.min("ts").alias("start_ts")))
-    ends = (status_events.filter(F.col("status") == "closed").join(starts, ["project", "task_id"])
+              .groupBy("project", "task_id").agg(F.min("ts").alias("start_ts"), F.min("label").alias("label")))
+    ends = (status_events.filter(F.col("status") == "closed").select("project", "task_id", "ts").join(starts, ["project", "task_id"])
             .filter(F.col("ts") >= F.col("start_ts"))
-            .groupBy("project", "task_id", "start_ts").agg(F.min("ts").alias("end_ts")))
+            .groupBy("project", "task_id", "label", "start_ts").agg(F.min("ts").alias("end_ts")))
     hours = (F.unix_timestamp(F.col("end_ts").cast("timestamp")) -
              F.unix_timestamp(F.col("start_ts").cast("timestamp"))) / 3600.0
     per = ends.withColumn("hours", hours)
     return per.sparkSession.sql("""
-        SELECT project, count(*) AS tasks, round(avg(hours), 4) AS avg_hours,
+        SELECT project, label, count(*) AS tasks, round(avg(hours), 4) AS avg_hours,
                round(min(hours), 4) AS min_hours, round(max(hours), 4) AS max_hours,
-               CAST(grouping_id() AS INT) AS level
-        FROM {per} GROUP BY GROUPING SETS ((project), ())""", per=per)
+               round(percentile(hours, 0.5), 4) AS median_hours, round(percentile(hours, 0.9), 4) AS p90_hours,
+               CAST(grouping_id(project, label) AS INT) AS level
+        FROM {per} GROUP BY GROUPING SETS ((project, label), (project), (label), ())""", per=per)
 
 
 # ---------------------------------------------------------------- review documents

@@ -104,19 +104,19 @@ def oversized_tasks(file_changes: DataFrame, limit: int = 750) -> DataFrame:
 
 
 def multi_claims(status_events: DataFrame) -> DataFrame:
-    """An owner (project) holding a new claim while an earlier claim is
+    """An agent who claims a task while an earlier claim of theirs is
     still open. A claim runs from an in_progress event of a task to that
     task's next event (open-ended when there is none)."""
     wt = Window.partitionBy("project", "task_id").orderBy("ts", "event_id")
     ev = status_events.withColumn("next_ts", F.lead("ts").over(wt))
     claims = ev.filter(F.col("status") == "in_progress").select(
-        "project", "task_id", "event_id", F.col("ts").alias("start_ts"), F.col("next_ts").alias("end_ts"))
+        "agent", "project", "task_id", "event_id", F.col("ts").alias("start_ts"), F.col("next_ts").alias("end_ts"))
     far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
-    wa = (Window.partitionBy("project").orderBy("start_ts", "event_id")
+    wa = (Window.partitionBy("agent").orderBy("start_ts", "event_id")
           .rowsBetween(Window.unboundedPreceding, -1))
     c = claims.withColumn("prev_end", F.max(F.coalesce("end_ts", far)).over(wa))
     return (c.filter(F.col("prev_end") > F.col("start_ts"))
-            .select("project", "task_id", "event_id", "start_ts", "end_ts"))
+            .select("agent", "project", "task_id", "event_id", "start_ts", "end_ts"))
 
 
 def new_task_status(file_tasks: DataFrame, tracker: DataFrame) -> DataFrame:

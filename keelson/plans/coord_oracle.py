@@ -80,16 +80,17 @@ SELECT agent, msg_id, ts, load FROM (
   FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete')) WHERE load > 3""", ctes=CM)
 
 ORACLES["task_cycle_time"] = oracle_with(["status_events"], """
-SELECT project, count(*) AS tasks, round(avg(hours), 4) AS avg_hours, round(min(hours), 4) AS min_hours,
-       round(max(hours), 4) AS max_hours, CAST(GROUPING(project) AS INT) AS level
-FROM (SELECT s.project, s.task_id,
+SELECT project, label, count(*) AS tasks, round(avg(hours), 4) AS avg_hours, round(min(hours), 4) AS min_hours,
+       round(max(hours), 4) AS max_hours, round(quantile_cont(hours, 0.5), 4) AS median_hours,
+       round(quantile_cont(hours, 0.9), 4) AS p90_hours, CAST(GROUPING(project, label) AS INT) AS level
+FROM (SELECT s.project, s.task_id, s.label,
         (CAST(floor(epoch(min(e.ts))) AS BIGINT) - CAST(floor(epoch(s.start_ts)) AS BIGINT)) / 3600.0 AS hours
-      FROM (SELECT project, task_id, min(ts) AS start_ts FROM status_events WHERE status = 'in_progress'
+      FROM (SELECT project, task_id, min(label) AS label, min(ts) AS start_ts FROM status_events WHERE status = 'in_progress'
             GROUP BY project, task_id) s
       JOIN status_events e ON e.project = s.project AND e.task_id = s.task_id
         AND e.status = 'closed' AND e.ts >= s.start_ts
-      GROUP BY s.project, s.task_id, s.start_ts)
-GROUP BY GROUPING SETS ((project), ())""")
+      GROUP BY s.project, s.task_id, s.label, s.start_ts)
+GROUP BY GROUPING SETS ((project, label), (project), (label), ())""")
 
 ITEMS = [
     ("ln", """SELECT project, thread_id, msg_id, pos, line,

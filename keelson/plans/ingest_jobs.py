@@ -7,10 +7,13 @@ directory of real YAML files takes (``scan_task_docs`` reads those).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from keelson.operators import validate as V
 from keelson.operators.graph import _cut
+from keelson.session import checkpoint_dir
 from keelson.sources import taskfiles as TF
 from keelson.sources.bind import Fleet
 
@@ -36,6 +39,37 @@ def normalize_tasks_job(spark, sf_dir):
     return _normalized(Fleet(spark, sf_dir))
 
 
+def _home(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def scanned_tasks_job(spark, sf_dir):
+    """The task files written to shared storage, scanned, decoded, flattened."""
+    home = _home(spark, "task-files")
+    TF.write_task_bundles(_files(Fleet(spark, sf_dir)), home)
+    return TF.flatten_tasks(_cut(TF.decode_task_docs(TF.scan_task_bundles(spark, home))))
+
+
+def written_tasks_job(spark, sf_dir):
+    """Flattened tasks written by the sink and read back."""
+    home = _home(spark, "tasks")
+    TF.write_tasks(TF.flatten_tasks(_decoded(Fleet(spark, sf_dir))), home)
+    return TF.read_tasks(spark, home)
+
+
+def validate_drafts_job(spark, sf_dir):
+    """V1, V3, V8 on draft task lists, which hold repeated ids, texts outside the
+    enums and ids that are not kebab-case."""
+    t = Fleet(spark, sf_dir).draft_tasks
+    return V.duplicate_ids(t).unionByName(V.bad_enums(t)).unionByName(V.non_kebab_ids(t))
+
+
+def draft_reconcile_job(spark, sf_dir):
+    """T13 on drafts: repeated ids, missing and extra tasks, status mismatches."""
+    f = Fleet(spark, sf_dir)
+    return TF.migration_reconcile(f.draft_tasks, f.tasks)
+
+
 def file_dependency_edges_job(spark, sf_dir):
     return TF.dependency_edges(_normalized(Fleet(spark, sf_dir)))
 
@@ -113,6 +147,10 @@ def new_task_status_job(spark, sf_dir):
 
 
 JOBS = {
+    "scanned_tasks": scanned_tasks_job,
+    "written_tasks": written_tasks_job,
+    "validate_drafts": validate_drafts_job,
+    "draft_reconcile": draft_reconcile_job,
     "new_task_status": new_task_status_job,
     "normalize_tasks": normalize_tasks_job,
     "dependency_edges": file_dependency_edges_job,

@@ -53,6 +53,30 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["normalize_tasks"] = oracle_with(T, f"SELECT {NORM_COLS} FROM norm", ctes=NORM)
 
+ORACLES["scanned_tasks"] = ORACLES["written_tasks"] = ORACLES["normalize_tasks"]
+
+ORACLES["validate_drafts"] = oracle_with(["draft_tasks"], """
+SELECT project, 'V1_duplicate_id' AS rule, task_id, path || ' x' || CAST(count(*) AS VARCHAR) AS detail
+FROM draft_tasks GROUP BY project, path, task_id HAVING count(*) > 1
+UNION ALL
+SELECT project, 'V3_priority', task_id, raw_priority FROM draft_tasks WHERE raw_priority = 'someday'
+UNION ALL
+SELECT project, 'V3_status', task_id, raw_status FROM draft_tasks WHERE raw_status = 'done?'
+UNION ALL
+SELECT project, 'V8_not_kebab_case', task_id, task_id FROM draft_tasks WHERE starts_with(task_id, 'BD_')""")
+
+ORACLES["draft_reconcile"] = oracle_with(["draft_tasks", "tasks"], """
+SELECT coalesce(s.project, t.project) AS project,
+  CAST(sum(coalesce(s.n_src, 0)) AS BIGINT) AS source_tasks, CAST(sum(coalesce(t.n_tgt, 0)) AS BIGINT) AS target_tasks,
+  CAST(sum(CASE WHEN t.n_tgt IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+  CAST(sum(CASE WHEN s.n_src IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS extra,
+  CAST(sum(CASE WHEN s.n_src > 1 OR t.n_tgt > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicates,
+  CAST(sum(CASE WHEN s.s_status <> t.t_status THEN 1 ELSE 0 END) AS BIGINT) AS status_mismatch
+FROM (SELECT project, task_id, count(*) AS n_src, max(status) AS s_status FROM draft_tasks GROUP BY 1, 2) s
+FULL JOIN (SELECT project, task_id, count(*) AS n_tgt, max(status) AS t_status FROM tasks GROUP BY 1, 2) t
+  ON s.project = t.project AND s.task_id = t.task_id
+GROUP BY coalesce(s.project, t.project)""")
+
 ORACLES["dependency_edges"] = oracle_with(T, "SELECT path, parent, project, child, idx, dep_pos FROM edges", ctes=NORM)
 
 ORACLES["migration_actions"] = oracle_with(T, """
@@ -158,10 +182,10 @@ SELECT project, task_id, lines FROM (
   FROM file_changes WHERE regexp_extract(branch, '(bd-\\d+)', 1) <> '' GROUP BY 1, 2) WHERE lines > 750""")
 
 ORACLES["multi_claims"] = oracle_with(["status_events"], """
-SELECT project, task_id, event_id, start_ts, end_ts FROM (
+SELECT agent, project, task_id, event_id, start_ts, end_ts FROM (
   SELECT *, max(coalesce(end_ts, TIMESTAMP '9999-12-31 00:00:00')) OVER (
-      PARTITION BY project ORDER BY start_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
-  FROM (SELECT project, task_id, event_id, ts AS start_ts, next_ts AS end_ts FROM (
+      PARTITION BY agent ORDER BY start_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
+  FROM (SELECT agent, project, task_id, event_id, ts AS start_ts, next_ts AS end_ts FROM (
           SELECT *, lead(ts) OVER (PARTITION BY project, task_id ORDER BY ts, event_id) AS next_ts FROM status_events)
         WHERE status = 'in_progress'))
 WHERE prev_end > start_ts""")

@@ -49,7 +49,7 @@ JOBS = {k: _wrap(v) for k, v in _JOBS.items()}
 # the same conversion on the oracle side, for the columns that are lists / dates there
 _ORACLE_LISTS = {
     "graph_tree": ["parents"], "worktree_summary": ["pending_items"], "pr_issues": ["issues"],
-    "normalize_tasks": ["dependencies"], "context_resume": ["pending_items"], "context_prfix": ["issues"],
+    "normalize_tasks": ["dependencies"], "scanned_tasks": ["dependencies"], "written_tasks": ["dependencies"], "context_resume": ["pending_items"], "context_prfix": ["issues"],
 }
 _ORACLE_DATES = {"update_log": ["date"]}
 

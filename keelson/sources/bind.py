@@ -244,6 +244,17 @@ FROM (SELECT project, branch, sha,
 """
 
 
+# Draft task lists with the faults that validation looks for: ids used twice, ids
+# that are not kebab-case, and texts outside the enums.
+BINDINGS["draft_tasks"] = """
+SELECT project, 'drafts/' || project || '.yaml' AS path,
+       CASE WHEN label = 'urgent' THEN 'BD_' || CAST(seq AS STRING) WHEN label = 'high' THEN 'bd-draft' ELSE task_id END AS task_id,
+       CASE priority WHEN 0 THEN 'CRITICAL' WHEN 3 THEN 'someday' ELSE 'medium' END AS raw_priority,
+       CASE status WHEN 'closed' THEN 'completed' WHEN 'open' THEN 'done?' ELSE 'In-Progress' END AS raw_status,
+       CASE WHEN status = 'open' AND label = 'medium' THEN 'closed' ELSE status END AS status
+FROM {tasks}
+"""
+
 # Objective of every project's agent loop: a goal text, the whole task graph
 # (autopilot) or, for the rest, a single task.
 BINDINGS["loop_modes"] = """

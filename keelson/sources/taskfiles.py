@@ -36,6 +36,22 @@ def scan_task_docs(spark: SparkSession, path: str) -> DataFrame:
             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
+DOC_SEPARATOR = "\n---\n"
+
+
+def write_task_bundles(docs: DataFrame, path: str) -> None:
+    """Write (path, text) as YAML streams: each document starts with its path as a
+    comment, documents are set apart by ``---``."""
+    docs.select(F.concat(F.lit("# path: "), "path", F.lit("\n"), "text")).write.option("lineSep", DOC_SEPARATOR).text(path)
+
+
+def scan_task_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """T1 for YAML streams: one row (path, text) per document; files are split
+    between tasks at document bounds."""
+    rows = spark.read.option("lineSep", DOC_SEPARATOR).text(path).filter(F.trim("value") != "")
+    return rows.select(F.regexp_extract("value", r"^# path: ([^\n]*)", 1).alias("path"), F.col("value").alias("text"))
+
+
 def _decode_batches(it):
     import yaml  # imported on the executor
 
@@ -51,7 +67,7 @@ def _decode_batches(it):
                 errs.append(None)
             except Exception as e:  # noqa: BLE001 - bad files go to the error column
                 docs.append(None)
-                errs.append(f"{type(e).__name__}: {e}"[:500])
+                errs.append(f"{type(e).__name__}: {e}")
         yield pdf[["path"]].assign(doc=docs, error=errs)
 
 
@@ -266,9 +282,16 @@ def agent_capabilities(agent_json: DataFrame) -> DataFrame:
     return a.select("a.name", "a.scope", F.explode("a.profile.capabilities").alias("capability"))
 
 
-def write_tasks(tasks: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """T18 sink: flattened tasks, partitioned by project (parquet or JSON)."""
-    tasks.write.mode(mode).partitionBy("project").format(fmt).save(path)
+def write_tasks(tasks: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", buckets: int = 64) -> None:
+    """T18 sink: flattened tasks (parquet or JSON), partitioned by a hash bucket
+    of the project, so that the number of folders doesn't follow the projects."""
+    bucket = F.pmod(F.xxhash64("project"), F.lit(buckets)).cast("int")
+    tasks.withColumn("project_bucket", bucket).repartition("project_bucket").write.mode(mode).partitionBy("project_bucket").format(fmt).save(path)
+
+
+def read_tasks(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The tasks that ``write_tasks`` wrote."""
+    return spark.read.format(fmt).load(path).drop("project_bucket")
 
 
 # ---------------------------------------------------------------- rendering (data derived from the fleet tables)
