@@ -29,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import partitions, text_or_empty
@@ -151,6 +151,19 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
 
+def _bounds_up_to(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most ``value``: the group of bounds
+    first, then the place in it (work with the root of their number)."""
+    if not bounds:
+        return F.lit(0)
+    width = max(1, round(len(bounds) ** 0.5))
+    groups = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    longs = [F.array(*[F.lit(b).cast("long") for b in g]) for g in groups]
+    group = F.size(F.filter(F.array(*[F.lit(g[0]).cast("long") for g in groups]), lambda b: b <= value))
+    inside = F.size(F.filter(F.element_at(F.array(*longs), F.greatest(group, F.lit(1))), lambda b: b <= value))
+    return F.when(group == 0, F.lit(0)).otherwise((group - 1) * width + inside)
+
+
 def edited_pairs(docs: DataFrame, *, k: int = K, w: int = W, ranges_per_partition: int = 4) -> DataFrame:
     """Fingerprint of every text and of its edited text (the last half of its
     code points replaced by the first as many of the next document in descending
@@ -161,10 +174,9 @@ def edited_pairs(docs: DataFrame, *, k: int = K, w: int = W, ranges_per_partitio
     # bounded: one number per range, whatever the table's size
     marks = [i / n for i in range(1, n)]
     bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", marks, 100 * n)).first()[0] or []))
-    held = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
     # range 0 holds the greatest ids; nulls come last
     part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
-        F.lit(len(bounds)) - F.size(F.filter(held, lambda b: b <= F.col("doc_id")))).cast("int")
+        F.lit(len(bounds)) - _bounds_up_to(F.col("doc_id"), bounds)).cast("int")
     rows = rows.withColumn("part", part)
     # the first row of each range that has one: its greatest id, then the least text
     top = rows.groupBy("part").agg(F.max("doc_id").alias("top"))
