@@ -19,7 +19,7 @@ from keelson.session import build_session  # noqa: E402
 
 HEADLINE = [
     "ready_tasks", "next_tasks", "blocked_tasks", "progress_report", "cycle_members", "critical_path",
-    "pagerank", "triage", "current_task", "worktree_summary", "branch_diff_stats", "pr_issues",
+    "pagerank", "triage", "blockers_to_clear", "parallel_tracks", "project_health", "current_task", "worktree_summary", "branch_diff_stats", "pr_issues",
     "check_failure_rate", "reservation_conflicts", "feedback_items", "normalize_tasks", "validate_tasks",
     "stream_current_status",
 ]

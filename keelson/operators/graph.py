@@ -403,13 +403,10 @@ def parallel_tracks(tasks: DataFrame, deps: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G10, G11
 
-def descendants(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """Transitive open dependents: (project, task_id, dependent) pairs over the
-    open graph (cycle members included; a node never counts itself), of all
-    tasks or only of those in ``sources`` (project, task_id)."""
-    e = _cut(open_edges(tasks, deps).distinct())
-    first = e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent"))
-    reach = _cut(first if sources is None else first.join(sources.select(*KEY).distinct(), KEY, "left_semi"))
+def _reach(e: DataFrame, first: DataFrame) -> DataFrame:
+    """Transitive closure of the pairs ``first`` (project, task_id, dependent)
+    along the edges ``e``; a node never counts itself."""
+    reach = _cut(first)
     frontier = reach
     nxt_edges = e.select("project", F.col("parent").alias("dependent"), F.col("child").alias("nxt"))
     while True:
@@ -423,6 +420,36 @@ def descendants(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = N
     return reach.filter(F.col("task_id") != F.col("dependent"))
 
 
+def descendants(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Transitive open dependents: (project, task_id, dependent) pairs over the
+    open graph (cycle members included; a node never counts itself), of all
+    tasks or only of those in ``sources`` (project, task_id)."""
+    e = _cut(open_edges(tasks, deps).distinct())
+    first = e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent"))
+    return _reach(e, first if sources is None else first.join(sources.select(*KEY).distinct(), KEY, "left_semi"))
+
+
+def dependent_counts(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = None,
+                     edges_per_range: int = 20_000_000) -> DataFrame:
+    """Number of transitive open dependents per task that has any (project,
+    task_id, transitive_dependents), exact. Sources are taken in hash ranges, all
+    of them one after the other, so the pairs held at once stay in proportion to
+    ``edges_per_range``; the result does not depend on it."""
+    e = _cut(open_edges(tasks, deps).distinct())
+    first = e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent"))
+    if sources is not None:
+        first = first.join(sources.select(*KEY).distinct(), KEY, "left_semi")
+    ranges = max(1, -(-e.count() // edges_per_range))
+    out = None
+    for k in range(ranges):
+        part = first.filter(F.pmod(F.xxhash64(*KEY), F.lit(ranges)) == k)
+        counts = _reach(e, part).groupBy(*KEY).agg(F.count(F.lit(1)).alias("transitive_dependents"))
+        if ranges > 1:
+            counts = _cut(counts)
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12) -> DataFrame:
     """Approximate number of transitive open dependents per task, for graphs
     where the exact (task, dependent) pairs would be too many.
@@ -466,8 +493,7 @@ def blockers_to_clear(tasks: DataFrame, deps: DataFrame, method: str = "exact")
     if method == "sketch":
         trans = dependent_counts_sketch(tasks, deps)
     else:
-        trans = (descendants(tasks, deps).groupBy(*KEY)
-                 .agg(F.count(F.lit(1)).alias("transitive_dependents")))   # pairs are distinct
+        trans = dependent_counts(tasks, deps)
     out = (not_closed(tasks).select(*KEY, "status", "priority")
            .join(direct, KEY, "left").join(trans, KEY, "left")
            .fillna(0, ["direct_dependents", "transitive_dependents"])
@@ -520,8 +546,7 @@ def triage(tasks: DataFrame, deps: DataFrame, k: int = 5) -> DataFrame:
     """G12 (*ours*): ready tasks ranked by
     0.4*transitive/max + 0.3*pagerank/max + 0.3*(3-priority)/3, top k."""
     ready = ready_tasks(tasks, deps).select(*KEY, "priority", "seq")
-    trans = (descendants(tasks, deps, ready).groupBy(*KEY)
-             .agg(F.count(F.lit(1)).cast("double").alias("unblocks")))   # pairs are distinct
+    trans = dependent_counts(tasks, deps, ready).select(*KEY, F.col("transitive_dependents").cast("double").alias("unblocks"))
     pr = pagerank(tasks, deps)
     t = ready.join(trans, KEY, "left").join(pr, KEY).fillna(0.0, ["unblocks"])
     # per-project maxima as a partial aggregate joined back (a hot project is

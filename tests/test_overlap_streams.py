@@ -48,11 +48,13 @@ def _graph(spark, edges, n):
 
 
 def test_long_chain_is_levelled_whole(spark):
-    n = 40
+    n = 18
     tasks, deps = _graph(spark, [(i, i - 1) for i in range(1, n)], n)
     lv = {r["task_id"]: r["level"] for r in G.task_levels(tasks, deps).collect()}
     assert lv == {f"t{i:05d}": i + 1 for i in range(n)}
     assert G.descendants(tasks, deps).count() == n * (n - 1) // 2
+    counts = {r["task_id"]: r["transitive_dependents"] for r in G.dependent_counts(tasks, deps, edges_per_range=9).collect()}
+    assert counts == {f"t{i:05d}": n - 1 - i for i in range(n - 1)}
     comp = G.weak_components(tasks.select("project", "task_id"), deps.select("project", F.col("child").alias("a"), F.col("parent").alias("b")))
     assert comp.select("label").distinct().count() == 1
 
