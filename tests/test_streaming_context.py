@@ -24,7 +24,10 @@ def test_diff_sections_truncate(spark):
     df = spark.createDataFrame(rows, "project string, xy string, path string")
     out = {r.project: r for r in W.diff_sections(df, max_lines=100).collect()}
     p = out["p"].diff
-    assert p.startswith("Staged:\nf000.py") and "... (5 more lines)" in p and p.endswith("Unstaged:\ng.py")
+    # joined first (106 + 1 + 2 + 1 + 106 lines), then cut once
+    assert p.startswith("Staged:\nf000.py") and p.endswith("f098.py\n... (116 more lines)") and out["p"].n_lines == 216
+    whole = W.diff_sections(df, max_lines=300).filter("project = 'p'").first().diff
+    assert "f104.py\n\nUnstaged:\ng.py\n\ndiff --git a/f000.py b/f000.py" in whole and whole.count("\n") == 215
     assert "q" not in out  # untracked files are neither staged nor modified
 
 
