@@ -8,9 +8,10 @@ labels gives the tree's prefix trie. The forest is descended from full labels to
 shorter prefixes: a round at prefix length p gathers the classes under one trie
 node; the rounds stop at the longest p whose recall for a pair at the threshold,
 ``1 - (1 - threshold**p)**trees``, reaches ``target_recall``. In a round, classes
-of one node whose signatures agree are joined by spanning edges only; a class
-that agrees almost wholly with the least class of its node is absorbed, so that
-later, shorter prefixes do not meet a large group of copies again.
+of one node whose signatures agree are joined by spanning edges only. A class whose
+signature equals that of another class of its node is absorbed by it: whatever meets
+the one at a shorter prefix meets the other there with the same agreement, so nothing
+is lost, and shorter prefixes do not meet a large group of copies again.
 
 Verification is exact. The classes of one candidate component are compared by
 their shingle sets in blocks of bounded size (all block pairs of a component, as
@@ -143,7 +144,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _span(n_values: int, agree: int, absorb: int):
+def _span(n_values: int, agree: int):
     """Spanning edges among the classes of a unit whose signatures agree."""
     def run(batches):
         for t in _whole_units(batches):
@@ -165,17 +166,21 @@ def _span(n_values: int, agree: int, absorb: int):
                     if len(hit):
                         root = _roots(len(unit), root[hit], root[hit + k])[root]
                 k += 1
-            moved = np.flatnonzero(root != np.arange(len(unit)))
-            if len(moved) == 0:
+            # equal signatures: the first class of a unit that has it stands for the rest
+            seen: dict[tuple, int] = {}
+            first = np.array([seen.setdefault((u, x.tobytes()), at) for at, (u, x) in enumerate(zip(unit.tolist(), sig))])
+            equal = np.flatnonzero(first != np.arange(len(unit)))
+            joined = np.flatnonzero((root != np.arange(len(unit))) & (first == np.arange(len(unit))))
+            if len(equal) + len(joined) == 0:
                 continue
-            near = (sig[moved] == sig[root[moved]]).sum(axis=1) >= absorb
+            a, b = np.concatenate([equal, joined]), np.concatenate([first[equal], root[joined]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[x] for x in moved], pa.binary()), pa.array([keys[x] for x in root[moved]], pa.binary()),
-                 pa.array(near)], names=["a", "b", "absorbed"])
+                [pa.array([keys[x] for x in a], pa.binary()), pa.array([keys[x] for x in b], pa.binary()),
+                 pa.array(np.arange(len(a)) < len(equal))], names=["a", "b", "absorbed"])
     return run
 
 
-def _candidate_edges(classes: DataFrame, prefix: int, trees: int, depth: int, agree: int, absorb: int) -> DataFrame:
+def _candidate_edges(classes: DataFrame, prefix: int, trees: int, depth: int, agree: int) -> DataFrame:
     """Spanning edges of one round of the forest at a prefix length."""
     labels = classes.where("n_shingles > 0").select(
         "key", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig").select(
@@ -190,7 +195,7 @@ def _candidate_edges(classes: DataFrame, prefix: int, trees: int, depth: int, ag
         F.xxhash64("node", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"), "key")
     units = members.join(classes.select("key", "sig"), "key").select("unit", "key", "sig")
     units = units.repartition("unit").sortWithinPartitions("unit", "key")
-    return units.mapInArrow(_span(trees * depth, agree, absorb), "a binary, b binary, absorbed boolean")
+    return units.mapInArrow(_span(trees * depth, agree), "a binary, b binary, absorbed boolean")
 
 
 def _verify(shingle: int, threshold: float):
@@ -283,11 +288,10 @@ def _linked(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGL
         F.min("sig").alias("sig")))
     # candidates: signatures that agree to four standard deviations below the threshold
     agree = int(n_values * (threshold - 4 * (threshold * (1 - threshold) / n_values) ** 0.5))
-    absorb = int(0.985 * n_values)
     edges, alive = None, classes
     schedule = prefix_schedule(threshold, trees, depth, target_recall)
     for prefix in schedule:
-        found = cut(_candidate_edges(alive, prefix, trees, depth, agree, absorb))
+        found = cut(_candidate_edges(alive, prefix, trees, depth, agree))
         edges = found if edges is None else edges.unionByName(found)
         if prefix != schedule[-1]:
             gone = found.where("absorbed").select(F.col("a").alias("key")).distinct()

@@ -339,6 +339,11 @@ def test_op5_matches_plain_kneser_ney(spark):
     assert [round(float(x), 4) for x in got[:, 0]] == [round(x, 4) for x in brute_kn(texts, asked)]
 
 
+def test_op5_letters_beyond_the_basic_plane():
+    packed, first, has = language_id.grams(["\U00010020", "\u00e9", "1 2", "\U0001F600", "", "a\0b"])
+    assert has.tolist() == [True, True, False, False, False, True] and len(packed) == first[-1]
+
+
 def test_op5_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")
