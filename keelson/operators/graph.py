@@ -145,6 +145,33 @@ def priority_distribution(tasks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G17 cycles
 
+def _peel(deps: DataFrame) -> DataFrame:
+    """The edges between tasks that keep an incoming and an outgoing edge when
+    tasks without one are removed again and again. Degrees are kept per task and
+    lowered by the edges of the tasks just removed, so a round's work follows the
+    removed tasks; the edge set itself is filtered once, at the end."""
+    e = _cut(deps.select("project", "child", "parent").distinct())
+
+    def ends(edges):                               # an edge's two ends with what it counts there
+        return (edges.select("project", F.col("child").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
+                .unionByName(edges.select("project", F.col("parent").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
+    deg = _cut(ends(e).groupBy("project", "node").agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
+    while True:
+        gone = deg.filter("o = 0 or i = 0").select("project", "node")
+        if gone.isEmpty():
+            break
+        lost = (e.join(gone.withColumnRenamed("node", "child"), ["project", "child"]).select(
+            "project", F.col("parent").alias("node"), F.lit(0).alias("lo"), F.lit(1).alias("li"))
+            .unionByName(e.join(gone.withColumnRenamed("node", "parent"), ["project", "parent"]).select(
+                "project", F.col("child").alias("node"), F.lit(1).alias("lo"), F.lit(0).alias("li")))
+            .groupBy("project", "node").agg(F.sum("lo").alias("lo"), F.sum("li").alias("li")))
+        deg = _cut(deg.filter("o > 0 and i > 0").join(lost, ["project", "node"], "left").select(
+            "project", "node", (F.col("o") - F.coalesce("lo", F.lit(0))).alias("o"), (F.col("i") - F.coalesce("li", F.lit(0))).alias("i")))
+    stay = deg.select("project", "node")
+    return _cut(e.join(stay.withColumnRenamed("node", "child"), ["project", "child"], "left_semi")
+                .join(stay.withColumnRenamed("node", "parent"), ["project", "parent"], "left_semi"))
+
+
 def cycle_members(deps: DataFrame, method: str = "closure") -> DataFrame:
     """Tasks that lie on a dependency cycle.
 
@@ -158,33 +185,22 @@ def cycle_members(deps: DataFrame, method: str = "closure") -> DataFrame:
        forward/backward colouring (``_scc_members``) with O(1) state per
        task, for graphs with large cycles.
     """
-    e = deps.select("project", "child", "parent").distinct()
-    e = _cut(e)
-    n = e.count()
-    while True:
-        has_out = e.select("project", F.col("child").alias("node")).distinct()
-        has_in = e.select("project", F.col("parent").alias("node")).distinct()
-        both = has_out.join(has_in, ["project", "node"], "left_semi")
-        e2 = (e.join(both.withColumnRenamed("node", "child"), ["project", "child"], "left_semi")
-              .join(both.withColumnRenamed("node", "parent"), ["project", "parent"], "left_semi"))
-        e2 = _cut(e2)
-        n2 = e2.count()
-        if n2 == n:
-            break
-        e, n = e2, n2
+    e = _peel(deps)
     if method == "coloring":
         return _scc_members(e)
     # reachability among survivors: (src, dst) pairs, frontier-expanded
     reach = _cut(e.select("project", F.col("child").alias("src"), F.col("parent").alias("dst")))
     frontier = reach
-    while True:
+    for r in itertools.count(1):
         step = (frontier.join(e.withColumnRenamed("child", "dst").withColumnRenamed("parent", "nxt"),
                               ["project", "dst"])
                 .select("project", "src", F.col("nxt").alias("dst")).distinct())
         new = _cut(step.join(reach, ["project", "src", "dst"], "left_anti"))
         if new.isEmpty():
             break
-        reach = _cut(reach.unionByName(new))
+        reach = reach.unionByName(new)             # a union of cut frames, itself cut now and then
+        if r % 6 == 0:
+            reach = _cut(reach)
         frontier = new
     return (reach.filter(F.col("src") == F.col("dst"))
             .select("project", F.col("src").alias("task_id")).distinct())
@@ -409,13 +425,15 @@ def _reach(e: DataFrame, first: DataFrame) -> DataFrame:
     reach = _cut(first)
     frontier = reach
     nxt_edges = e.select("project", F.col("parent").alias("dependent"), F.col("child").alias("nxt"))
-    while True:
+    for r in itertools.count(1):
         step = (frontier.join(nxt_edges, ["project", "dependent"])
                 .select("project", "task_id", F.col("nxt").alias("dependent")).distinct())
         new = _cut(step.join(reach, ["project", "task_id", "dependent"], "left_anti"))
         if new.isEmpty():
             break
-        reach = _cut(reach.unionByName(new))
+        reach = reach.unionByName(new)             # a union of cut frames, itself cut now and then
+        if r % 6 == 0:
+            reach = _cut(reach)
         frontier = new
     return reach.filter(F.col("task_id") != F.col("dependent"))
 
