@@ -13,8 +13,8 @@ and block, and the distance is checked. It is a semi join, so a part is kept onc
 however many partners it has. Texts are read once; only parts are shuffled.
 
 Cases: a null text is empty; a null doc_id joins itself; rows equal in doc_id and
-text are judged alike, each keeps its row; other columns are ignored (``redact``
-keeps them); an empty table gives no rows.
+text are judged alike, each keeps its row; other columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
