@@ -361,6 +361,26 @@ def test_op5_awkward(awkward, small, spark):
     assert language_id.identify(empty(spark)).count() == 0
 
 
+def test_op5_sharded_model_keeps_every_count(spark, awkward, small):
+    texts = [("en", "the cat sat on the mat, the end"), ("en", "a cat; a hat; that cat"), ("xx", "qoq"), ("zz", "\u4e2d\u6587 \U00020000")]
+    df = spark.createDataFrame(texts, "lang string, text string")
+    whole, sharded = language_id.fit(df), language_id.fit(df, max_entries=1)
+    assert whole.langs == sharded.langs == ["en", "xx", "zz"]      # a rare language stays, whatever the bound
+    docs = awkward.select("doc_id", "text", "lang").unionByName(small.select(F.col("doc_id") + 1000, "text", "lang").toDF("doc_id", "text", "lang"))
+    for model in ((whole, sharded), tuple(language_id.fit(docs.where("text is not null and lang is not null"), k) for k in (10**6, 100))):
+        one, two = (language_id.predict(docs, m, {}).select("doc_id", "lang_pred", "n_letters", "entropy", "score").collect()
+                    for m in (spark.sparkContext.broadcast(model[0]), model[1]))
+        one, two = (sorted(map(tuple, rows), key=repr) for rows in (one, two))
+        assert [r[:3] for r in one] == [r[:3] for r in two]
+        for a, b in zip(one, two):
+            assert (a[3] is None) == (b[3] is None) and abs((a[3] or 0) - (b[3] or 0)) < 1e-4 and abs(a[4] - b[4]) < 1e-3
+
+
+def test_op5_same_answer_beyond_the_bound(spark, small):
+    one, two = (language_id.identify(small, max_entries=n).select("doc_id", "held_out", "lang_pred", "accepted") for n in (10**6, 100))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
 # --- 6 secrets, 8 personal data ------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
