@@ -381,6 +381,24 @@ def test_op5_same_answer_beyond_the_bound(spark, small):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
 
 
+def test_op5_learns_from_remainder_three(spark):
+    import zlib
+    fold = {k: [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == k] for k in range(4)}
+    rows = [(i, "the cat sat on the mat", "en") for k in (0, 1, 2) for i in fold[k][:20]]
+    # all labelled texts of xx are in remainder 3; qq has one more in 0, without a letter
+    rows += [(i, "zyx qoq wvu", "xx") for i in fold[3][:3]] + [(fold[2][30], "zyx qoq wvu", "xx")]
+    rows += [(i, "jjk hgf kkj", "qq") for i in fold[3][3:6]] + [(fold[0][30], "123", "qq")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language_id.identify(docs).join(docs.select("doc_id", "text", "lang"), "doc_id")
+    assert out.where("text <> '123' and lang <> lang_pred").count() == 0
+    # rows of remainder 3 beyond the sample are counted
+    rows = [(i, "the cat sat on the mat", "en") for i in fold[0][:20]] + [(i, "the " + "zq" * 9, "en") for i in fold[3][:20]]
+    rows += [(i, "une fois que", "fr") for i in fold[0][20:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few, all_ = (language_id.identify(docs, calibration_rows=n).agg({"entropy": "max"}).first()[0] for n in (1, 1000))
+    assert few < 1 < 2 < all_
+
+
 # --- 6 secrets, 8 personal data ------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
