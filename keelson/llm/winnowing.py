@@ -3,8 +3,10 @@
 Every text is hashed by a rolling polynomial over ``K``-grams of code points; in
 every window of ``W`` consecutive hashes the least is chosen, the rightmost of
 equal ones. A chosen hash is kept with its position, so two texts that share a
-passage of ``W + K - 1`` code points or more share a fingerprint entry whose
-positions locate it (the match guarantee). A text of fewer than ``K`` code points,
+passage of ``W + K - 1`` (17) code points or more share a fingerprint entry whose
+positions locate it (the match guarantee); a text of 34 or more keeps an entry
+with its edit, which leaves half of it. There are about two entries per ``W + 1``
+code points, so the string is about 3.5 times as long as its text. A text of fewer than ``K`` code points,
 but not none, has one gram of all of them; fewer than ``W`` grams are one window.
 
 The fingerprint string is a run of 16 hex digits per entry, in text order: 8 of
@@ -35,8 +37,8 @@ from pyspark.sql import functions as F
 from keelson.llm.common import partitions, text_or_empty
 from keelson.llm.text import mix64
 
-K = 24
-W = 64
+K = 10
+W = 8
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 

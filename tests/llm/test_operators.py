@@ -141,6 +141,13 @@ def test_op1_small(spark):
     assert key(got) == key(brute_edited(rows))
 
 
+def test_op1_short_texts_are_like_their_edit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cut = docs.select("doc_id", F.expr("substring(text, 1, 34 + cast(doc_id % 140 as int))").alias("text")).where("length(text) >= 34")
+    out = winnowing.edited_pairs(cut)
+    assert out.count() > 900 and out.where("near_edited = 0").count() == 0
+
+
 # --- 2 URL filter --------------------------------------------------------
 
 URLS = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q=1", "https://example.com/en/a", "https://a.example.com/en/#t",
