@@ -7,9 +7,11 @@ patterns around it: its two words before, its two words after, and one of each
 bipartite graph over all documents. In each of ``ROUNDS`` rounds a pattern's
 confidence is the sum of its instances' scores over their number plus ``PRIOR``
 (seeds score 1), and an unseen instance's score is one minus the product of its
-patterns' doubts. A mention is found if one of its patterns ends with at least
-``MIN_CONFIDENCE`` and ``MIN_SEEDS`` distinct seeds, or if its text is itself a seed
-elsewhere or a valid card number (two that stand side by side fail as one base
+patterns' doubts. The instances of every pattern that ends with at least
+``MIN_CONFIDENCE`` and ``MIN_SEEDS`` distinct seeds are discovered: they are seeds of
+the next rounds, which go on until nothing more is discovered. A mention is found
+if one of its patterns is such a pattern, or if its text is a base seed elsewhere
+or a valid card number (two that stand side by side fail as one base
 match); its span has the kind ``context``.
 
 Both steps of a round are partial aggregations and many-to-one joins of the
@@ -78,21 +80,30 @@ def _mentions(docs: DataFrame) -> DataFrame:
 
 
 def _confident(mentions: DataFrame, rounds: int, min_confidence: float, min_seeds: int) -> DataFrame:
-    """The patterns that end with enough confidence and seeds."""
+    """The patterns that reach enough confidence and seeds, discovered ones included."""
     edges = mentions.groupBy("pattern", "t").agg(F.max("seed").alias("seed"))
     # a pattern without unseen instances can discover nothing and no score depends on it
-    useful = edges.groupBy("pattern").agg(F.min("seed").alias("all_seeds"), F.sum(F.col("seed").cast("int")).alias("seeds")).where(
-        "not all_seeds").select("pattern", "seeds")
-    edges = cut(edges.join(useful, "pattern").select("pattern", "t", "seed", "seeds", F.col("seed").cast("double").alias("score")))
-    patterns = None
-    for k in range(rounds):
-        patterns = edges.groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(PRIOR))).alias("confidence"), F.max("seeds").alias("seeds"))
-        if k < rounds - 1:
-            unseen = edges.where("not seed").join(patterns.select("pattern", "confidence"), "pattern").groupBy("t").agg(
-                (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score"))
-            edges = cut(edges.drop("score").join(unseen, "t", "left").select(
-                "pattern", "t", "seed", "seeds", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score")))
-    return patterns.where((F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds)).select("pattern")
+    useful = edges.groupBy("pattern").agg(F.min("seed").alias("all_seeds")).where("not all_seeds")
+    edges = cut(edges.join(useful.select("pattern"), "pattern").select("pattern", "t", "seed"))
+    while True:
+        scored = edges.withColumn("score", F.col("seed").cast("double"))
+        patterns = None
+        for k in range(rounds):
+            patterns = scored.groupBy("pattern").agg((F.sum("score") / (F.count("*") + F.lit(PRIOR))).alias("confidence"),
+                                                     F.sum(F.col("seed").cast("int")).alias("seeds"))
+            if k < rounds - 1:
+                unseen = scored.where("not seed").join(patterns.select("pattern", "confidence"), "pattern").groupBy("t").agg(
+                    (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("score"))
+                scored = cut(scored.drop("score").join(unseen, "t", "left").select(
+                    "pattern", "t", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score")))
+        good = cut(patterns.where((F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds)).select("pattern"))
+        # what the good patterns hold are seeds from now on: seeds only grow, so a good pattern stays good and this ends
+        more = cut(edges.where("not seed").join(good, "pattern", "left_semi").select("t").distinct())
+        if more.isEmpty():
+            break
+        edges = cut(edges.join(more.withColumn("more", F.lit(True)), "t", "left").select(
+            "pattern", "t", (F.col("seed") | F.coalesce("more", F.lit(False))).alias("seed")))
+    return good
 
 
 def _found(docs: DataFrame, rounds: int, min_confidence: float, min_seeds: int) -> tuple[DataFrame, DataFrame]:

@@ -488,6 +488,18 @@ def test_op8_finds_unseen_identifiers(spark):
     assert clean[3] == "some words before reach me at [EMAIL] today and then more words" and "[CONTEXT]" in clean[100] and clean[101] == rows[13][1]
 
 
+def test_op8_discovered_identifiers_are_seeds(spark):
+    """The base seeds reach member numbers by one pattern, and those are the seeds of
+    another, in which no base seed stands."""
+    rows = [(i, f"words here reach me at user{i}@mail.example today and then") for i in range(60)]
+    rows += [(100 + i, f"words here reach me at m-{70001 + i}-a today and then") for i in range(10)]
+    rows += [(200 + i, f"our members list says m-{70001 + i}-a joined last year") for i in range(10)]
+    rows += [(300, "our members list says m-80001-b joined last year"), (301, "our members list says m-80002-b joined last year")]
+    rows += [(500, "the year 20231 was fine")]
+    out = {r["doc_id"]: r["spans"] for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(spans for i, spans in out.items() if i != 500) and out[500] == ""
+
+
 def test_op8_finds_known_and_valid_neighbours(spark):
     rows = [(1, "pay 4111111111111111 now"), (2, "two 4111111111111111 4242424242424242 here"), (3, "run 4111111111111112 4242424242424241 on")]
     out = {r["doc_id"]: r["spans"] for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
