@@ -182,6 +182,8 @@ def fit(slots: np.ndarray, value: np.ndarray, first: np.ndarray, grades: np.ndar
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int = SAMPLE_ROWS) -> Ordinal:
     """Fit on at most ``sample_rows`` rated documents; ``ratings`` is (doc_id, grade)."""
     rated = ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    # ratings of absent documents would use up the bound
+    rated = rated.join(docs.select("doc_id"), "doc_id", "left_semi")
     rated = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # bounded by sample_rows, hence fit to broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(rated), "doc_id")
@@ -236,8 +238,8 @@ def select(docs: DataFrame, model: Ordinal, min_tail: float = MIN_TAIL) -> DataF
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
-    """Ratings of the labels table: 0 toxic, 1 low quality, 2 good."""
+    """Ratings of the labels table: 0 toxic (whatever the quality), 1 low quality, 2 good."""
     good: Column = F.col("quality") > 0
     toxic: Column = F.coalesce(F.col("toxic"), F.lit(0)) > 0
-    return labels.where("quality is not null").select(
+    return labels.where(toxic | F.col("quality").isNotNull()).select(
         "doc_id", F.when(toxic, 0).when(good, 2).otherwise(1).cast("int").alias("grade"))

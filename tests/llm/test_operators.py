@@ -597,6 +597,21 @@ def test_op10_awkward(awkward, spark):
     assert quality.grade(empty(spark), none).count() == 0
 
 
+def test_op10_keeps_toxic_labels_without_quality(spark):
+    labels = spark.createDataFrame([(1, None, 1), (2, None, 0), (3, 1, None), (4, 0, 0), (5, 1, 1), (6, None, None)],
+                                   "doc_id long, quality int, toxic int")
+    assert sorted(pairs(quality.grades_of(labels), "doc_id", "grade")) == [(1, 0), (3, 2), (4, 1), (5, 0)]
+
+
+def test_op10_absent_documents_take_no_place_in_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(10)], "doc_id long, text string")
+    ratings = spark.range(10_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("grade"))
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda slots, value, first, grade, n: seen.append(sorted(grade.tolist())))
+    quality.train(docs, ratings, 3, sample_rows=10)
+    assert seen == [[0, 0, 0, 0, 1, 1, 1, 2, 2, 2]]
+
+
 # --- pipeline ------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
