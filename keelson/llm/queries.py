@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import (decontaminate, jaccard_join, language_id, mixing, pii, quality, secret_scan, url_filter,
-                         warc_audit, winnowing)
+from keelson.llm import (centroids, decontaminate, filter_audit, jaccard_join, language_id, mixing, pii, quality,
+                         secret_scan, toxicity, url_filter, warc_audit, winnowing)
 from keelson.llm.common import table
 
 QUERIES: dict = {}
@@ -72,5 +72,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade(docs, model)
 
 
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 ORACLES["op4_warc_audit"] = warc_audit.ORACLE
 ORACLES["op7_mixing"] = mixing.ORACLE
+ORACLES["op11_filter_audit"] = filter_audit.ORACLE
+ORACLES["op12_centroids"] = centroids.ORACLE
