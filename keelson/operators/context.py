@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions import expr as X
+from keelson.operators.scan import ranked
 
 # Fixed values (text of the source's attention items and headings).
 STASH_ITEM = "⚠️ {n} stashed change(s) - consider applying or dropping"
@@ -350,10 +351,9 @@ def autopilot_tasks(modes: DataFrame, ready: DataFrame) -> DataFrame:
     """The ready tasks of every autopilot loop in the order it takes them
     (priority, seq, task_id), one row per task."""
     on = modes.filter((F.coalesce("goal", F.lit("")) == "") & F.col("autopilot")).select("project")
-    w = Window.partitionBy("project").orderBy("priority", "seq", "task_id")
-    return (ready.join(on, "project", "left_semi")
-            .select("project", F.row_number().over(w).cast("bigint").alias("pos"), "task_id",
-                    X.sanitize(F.col("title")).alias("safe_title"), "priority"))
+    ready = ready.join(on, "project", "left_semi")
+    return ranked(ready, ["project"], ["priority", "seq", "task_id"], "pos").select(
+        "project", "pos", "task_id", X.sanitize(F.col("title")).alias("safe_title"), "priority")
 
 
 def diff_sections(porcelain: DataFrame, max_lines: int = 100) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions import expr as X
+from keelson.operators import globs
+from keelson.operators.scan import cut, percentiles, running
 
 # ---------------------------------------------------------------- messages
 
@@ -71,19 +73,6 @@ def thread_messages(messages: DataFrame) -> DataFrame:
                 "thread_kind", "msg_kind", "ts")
 
 
-def glob_regex(glob: Column) -> Column:
-    """Glob -> anchored regex: '**/' any folders or none, '**' any text, '*'
-    within one segment, '?' one character; all else stands for itself."""
-    r = F.regexp_replace(glob, r"([\\.+^$(){}|\[\]])", r"\\$1")
-    r = F.replace(r, F.lit("**/"), F.lit("\u0002"))
-    r = F.replace(r, F.lit("**"), F.lit("\u0001"))
-    r = F.replace(r, F.lit("*"), F.lit("[^/]*"))
-    r = F.replace(r, F.lit("?"), F.lit("[^/]"))
-    r = F.replace(r, F.lit("\u0002"), F.lit("(?:.*/)?"))
-    r = F.replace(r, F.lit("\u0001"), F.lit(".*"))
-    return F.concat(F.lit("^"), r, F.lit("$"))
-
-
 def search_messages(messages: DataFrame, query: str, thread_glob: str = "*") -> DataFrame:
     """M3: case-insensitive text search in subject or body within threads
     matching a glob."""
@@ -147,16 +136,22 @@ def overdue_reviews(messages: DataFrame, as_of, hours: int = 24) -> DataFrame:
                     "hours_waiting"))
 
 
-def review_load(messages: DataFrame, cap: int = 3) -> DataFrame:
+def review_load(messages: DataFrame, cap: int = 3, idle_days: int | None = None) -> DataFrame:
     """Reviewer concurrency. +1 at a claim, -1 at a completion, running
-    sum per reviewer in time order; rows where the load exceeds ``cap``."""
+    sum per reviewer in time order; rows where the load exceeds ``cap``. With
+    ``idle_days``, a reviewer without an event for longer starts anew from 0.
+    The sum runs over ranges (``scan.running``), so a reviewer with a third of
+    the messages is no single task."""
     c = classify_messages(messages).filter(F.col("msg_kind").isin("review_claimed", "review_complete"))
-    delta = F.when(F.col("msg_kind") == "review_claimed", 1).otherwise(-1)
-    w = (Window.partitionBy("from_agent").orderBy("ts", "msg_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (c.withColumn("load", F.sum(delta).over(w).cast("bigint"))
-            .filter(F.col("load") > cap)
-            .select(F.col("from_agent").alias("agent"), "msg_id", "ts", "load"))
+    delta = F.when(F.col("msg_kind") == "review_claimed", 1).otherwise(-1).cast("bigint")
+    c = c.select(F.col("from_agent").alias("agent"), "msg_id", "ts", delta.alias("delta"))
+    keys, order = ["agent"], ["ts", "msg_id"]
+    if idle_days is not None:
+        c = running(c, keys, order, before=("last_before", F.col("ts")))
+        anew = F.coalesce((F.col("ts") > F.col("before") + F.make_interval(days=F.lit(idle_days))).cast("bigint"), F.lit(0))
+        c = running(c.withColumn("anew", anew), keys, order, spell=("sum", F.col("anew")))
+        keys = ["agent", "spell"]
+    return running(c, keys, order, load=("sum", F.col("delta"))).filter(F.col("load") > cap).select("agent", "msg_id", "ts", "load")
 
 
 def task_cycle_time(status_events: DataFrame) -> DataFrame:
@@ -168,15 +163,22 @@ def task_cycle_time(status_events: DataFrame) -> DataFrame:
     ends = (status_events.filter(F.col("status") == "closed").select("project", "task_id", "ts").join(starts, ["project", "task_id"])
             .filter(F.col("ts") >= F.col("start_ts"))
             .groupBy("project", "task_id", "label", "start_ts").agg(F.min("ts").alias("end_ts")))
-    hours = (F.unix_timestamp(F.col("end_ts").cast("timestamp")) -
-             F.unix_timestamp(F.col("start_ts").cast("timestamp"))) / 3600.0
-    per = ends.withColumn("hours", hours)
-    return per.sparkSession.sql("""
-        SELECT project, label, count(*) AS tasks, round(avg(hours), 4) AS avg_hours,
-               round(min(hours), 4) AS min_hours, round(max(hours), 4) AS max_hours,
-               round(percentile(hours, 0.5), 4) AS median_hours, round(percentile(hours, 0.9), 4) AS p90_hours,
-               CAST(grouping_id(project, label) AS INT) AS level
-        FROM {per} GROUP BY GROUPING SETS ((project, label), (project), (label), ())""", per=per)
+    seconds = F.unix_timestamp(F.col("end_ts").cast("timestamp")) - F.unix_timestamp(F.col("start_ts").cast("timestamp"))
+    per = ends.withColumn("seconds", seconds)
+    # distinct values with their counts, in each of the four sets: all that is needed from here on
+    counts = per.sparkSession.sql("""
+        SELECT project, label, CAST(grouping_id(project, label) AS INT) AS level, seconds, count(*) AS tasks
+        FROM {per} GROUP BY GROUPING SETS ((project, label, seconds), (project, seconds), (label, seconds), (seconds))""", per=per)
+    counts = cut(counts)
+    sets = ["project", "label", "level"]
+    ranks = percentiles(counts, sets, "seconds", "tasks", {"median_hours": 0.5, "p90_hours": 0.9})
+    rest = counts.groupBy(*sets).agg((F.sum(F.col("seconds") * F.col("tasks")) / F.sum("tasks")).alias("avg_hours"),
+                                     F.min("seconds").alias("min_hours"), F.max("seconds").alias("max_hours"))
+    same = F.col("a.level") == F.col("b.level")
+    for c in ("project", "label"):
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    hours = [F.round(F.col(c) / 3600.0, 4).alias(c) for c in ("avg_hours", "min_hours", "max_hours", "median_hours", "p90_hours")]
+    return ranks.alias("a").join(rest.alias("b"), same).select("a.project", "a.label", "a.level", "tasks", *hours)
 
 
 # ---------------------------------------------------------------- review documents
@@ -251,55 +253,6 @@ def _ancestors(dir_col: Column) -> Column:
                     lambda i: F.when(i == 0, F.lit("")).otherwise(F.array_join(F.slice(parts, 1, F.greatest(i, F.lit(1))), "/"))))
 
 
-def segments_overlap(x: str, y: str) -> str:
-    """SQL: can two path segments (with '*' and '?') name the same file? Literals
-    by equality, else by the literal text before the first and after the last
-    wildcard."""
-    def pre(s):
-        return f"regexp_extract({s}, '^([^*?]*)', 1)"
-
-    def suf(s):
-        return f"regexp_extract({s}, '([^*?]*)$', 1)"
-
-    def wild(s):
-        return f"({s} like '%*%' or {s} like '%?%')"
-    return (f"case when not {wild(x)} and not {wild(y)} then {x} = {y}"
-            f" when not {wild(x)} then starts_with({x}, {pre(y)}) and ends_with({x}, {suf(y)}) and length({x}) >= length({pre(y)}) + length({suf(y)})"
-            f" when not {wild(y)} then starts_with({y}, {pre(x)}) and ends_with({y}, {suf(x)}) and length({y}) >= length({pre(x)}) + length({suf(x)})"
-            f" else (starts_with({pre(x)}, {pre(y)}) or starts_with({pre(y)}, {pre(x)}))"
-            f" and (ends_with({suf(x)}, {suf(y)}) or ends_with({suf(y)}, {suf(x)})) end")
-
-
-def patterns_overlap(a: str, b: str) -> Column:
-    """Can the globs in columns ``a`` and ``b`` name a common path? Without '**',
-    segment by segment; with it, the segments before the first and after the last
-    '**' are compared and the other pattern must be long enough for both (what
-    stands between two '**' is not compared)."""
-    seg = segments_overlap("p.x", "p.y").replace("starts_with", "startswith").replace("ends_with", "endswith")
-
-    def head(c):                                   # segments before the first '**'
-        return f"if(array_position(split({c}, '/'), '**') = 0, split({c}, '/'), slice(split({c}, '/'), 1, cast(array_position(split({c}, '/'), '**') as int) - 1))"
-
-    def tail(c):                                   # segments after the last '**', last first
-        rev = f"reverse(split({c}, '/'))"
-        return f"if(array_position({rev}, '**') = 0, {rev}, slice({rev}, 1, cast(array_position({rev}, '**') as int) - 1))"
-
-    def agree(x, y):
-        return f"forall(zip_with({x}, {y}, (x, y) -> named_struct('x', x, 'y', y)), p -> p.x is null or p.y is null or ({seg}))"
-
-    def fixed(c):
-        return f"(array_position(split({c}, '/'), '**') = 0)"
-
-    def n(c):
-        return f"size(split({c}, '/'))"
-
-    def least(c):
-        return f"(size({head(c)}) + size({tail(c)}))"
-    length = (f"case when {fixed(a)} and {fixed(b)} then {n(a)} = {n(b)} when {fixed(a)} then {n(a)} >= {least(b)}"
-              f" when {fixed(b)} then {n(b)} >= {least(a)} else true end")
-    return F.expr(f"({length}) and {agree(head(a), head(b))} and {agree(tail(a), tail(b))}")
-
-
 def active_reservations(r: DataFrame, as_of) -> DataFrame:
     """Start <= as_of < start + ttl and not released before as_of."""
     t = F.lit(as_of).cast("timestamp_ntz")
@@ -310,16 +263,17 @@ def active_reservations(r: DataFrame, as_of) -> DataFrame:
 
 
 def reservation_conflicts(r: DataFrame) -> DataFrame:
-    """M11 (*ours*: ``patterns_overlap`` decides whether two patterns can name a
-    common path). Pairs of reservations of different agents, at least one
-    exclusive, whose patterns and intervals [start, min(start + ttl, release))
-    overlap.
+    """M11 (*ours*: ``globs.overlap`` decides whether two patterns can name a
+    common path, in the sense of ``globs.regex``). Pairs of reservations of
+    different agents, at least one exclusive, whose patterns and intervals
+    [start, min(start + ttl, release)) overlap.
 
     Join keys: (project, directory, time level, time bucket). A reservation's
     level is the least power of two of seconds that holds its interval, so it
     touches two buckets of its level at most, whatever its ttl; the shorter one
-    of a pair is also listed at the longer one's level. Either directory must be
-    an ancestor of the other (the root included).
+    of a pair is also listed at the longer levels that its project has. Either
+    directory must be an ancestor of the other (the root included). Conflicting
+    literal beginnings and endings are dropped before patterns are compared.
     """
     rel = F.col("released_ts") if "released_ts" in r.columns else F.lit(None).cast("timestamp_ntz")
     end = F.least(F.col("start_ts") + F.make_interval(secs=F.col("ttl_seconds")), rel)
@@ -328,23 +282,25 @@ def reservation_conflicts(r: DataFrame) -> DataFrame:
             .select("project", "reservation_id", "agent", "pattern", "exclusive", "start_ts", "end_ts",
                     _prefix_dir(F.col("pattern")).alias("dir"), s0.alias("s0"), s1.alias("s1"))
             .withColumn("level", F.greatest(F.ceil(F.log2(F.col("s1") - F.col("s0"))), F.lit(0)).cast("int")))
-    top = base.agg(F.max("level")).first()[0]      # one number
+    held = base.groupBy("project").agg(F.collect_set("level").alias("levels"))   # 63 levels at most
 
-    def side(tag, levels, dirs):
-        x = base.withColumn("l", levels).withColumn("w", F.expr("shiftleft(1L, l)"))
+    def side(x, tag, levels, dirs):
+        x = x.withColumn("l", levels).withColumn("w", F.expr("shiftleft(1L, l)"))
         x = x.withColumn("bucket", F.explode(F.expr("sequence(s0 div w, (s1 - 1) div w)"))).withColumn("d", dirs)
         return x.select("project", "d", "l", "bucket", *[F.col(c).alias(f"{c}_{tag}") for c in (
             "reservation_id", "agent", "pattern", "exclusive", "start_ts", "end_ts", "level", "s0")])
-    own, all_levels = F.col("level"), F.explode(F.expr(f"sequence(level, {top or 0})"))
+    own, longer = F.col("level"), F.explode(F.filter("levels", lambda l: l >= F.col("level")))
     above = F.explode(_ancestors(F.col("dir")))
-    joined = side("a", own, F.col("dir")).join(side("b", all_levels, above), ["project", "d", "l", "bucket"])
-    joined = joined.unionByName(side("a", own, above).join(side("b", all_levels, F.col("dir")), ["project", "d", "l", "bucket"]))
+    copied = base.join(held, "project")
+    key = ["project", "d", "l", "bucket"]
+    joined = side(base, "a", own, F.col("dir")).join(side(copied, "b", longer, above), key)
+    joined = joined.unionByName(side(base.filter("dir <> ''"), "a", own, above).join(side(copied, "b", longer, F.col("dir")), key))
     j = joined.filter(
         (F.col("reservation_id_a") != F.col("reservation_id_b")) & (F.col("agent_a") != F.col("agent_b"))
         & (F.col("exclusive_a") | F.col("exclusive_b"))
         & (F.col("start_ts_a") < F.col("end_ts_b")) & (F.col("start_ts_b") < F.col("end_ts_a"))
         & (F.expr("greatest(s0_a, s0_b) div shiftleft(1L, l)") == F.col("bucket"))
-        & patterns_overlap("pattern_a", "pattern_b"))
+        & globs.affixes_agree("pattern_a", "pattern_b"))
     lo = F.col("reservation_id_a") < F.col("reservation_id_b")
 
     def pick(c, first):
@@ -353,9 +309,10 @@ def reservation_conflicts(r: DataFrame) -> DataFrame:
     out = j.select(
         "project", pick("reservation_id", True).alias("res_a"), pick("reservation_id", False).alias("res_b"),
         pick("agent", True).alias("agent_a"), pick("agent", False).alias("agent_b"),
-        F.greatest("start_ts_a", "start_ts_b").alias("overlap_start"), F.least("end_ts_a", "end_ts_b").alias("overlap_end"))
-    # equal directories or levels meet twice: keep one
-    return out.dropDuplicates(["project", "res_a", "res_b"])
+        F.greatest("start_ts_a", "start_ts_b").alias("overlap_start"), F.least("end_ts_a", "end_ts_b").alias("overlap_end"),
+        pick("pattern", True).alias("x"), pick("pattern", False).alias("y"))
+    # equal directories or levels meet twice: keep one, then compare its patterns
+    return out.dropDuplicates(["project", "res_a", "res_b"]).filter(globs.overlap_column("x", "y")).drop("x", "y")
 
 
 def file_conflicts(files: DataFrame, active: DataFrame) -> DataFrame:
@@ -369,7 +326,7 @@ def file_conflicts(files: DataFrame, active: DataFrame) -> DataFrame:
     r = active.select("project", _prefix_dir(F.col("pattern")).alias("dir"), "reservation_id", "agent",
                       "pattern", "exclusive")
     return (f.join(r, ["project", "dir"])
-            .filter(~F.col("agent").eqNullSafe(F.col("changed_by")) & F.regexp_like(F.col("path"), glob_regex(F.col("pattern"))))
+            .filter(~F.col("agent").eqNullSafe(F.col("changed_by")) & F.regexp_like(F.col("path"), globs.regex(F.col("pattern"))))
             .select("project", "path", "changed_by", "reservation_id", "agent", "pattern", "exclusive"))
 
 
@@ -382,8 +339,7 @@ def loop_iterations(commits: DataFrame) -> DataFrame:
     c = (commits.filter(F.col("subject").rlike(X.LOOP_COMMIT_PATTERN))
          .select("project", n.cast("bigint").alias("iteration"),
                  F.regexp_extract("subject", X.LOOP_COMMIT_PATTERN, 2).alias("summary"), "seq"))
-    w = Window.partitionBy("project").orderBy("seq")
-    c = c.withColumn("prev_iteration", F.lag("iteration").over(w))
+    c = running(c, ["project"], ["seq"], prev_iteration=("last_before", F.col("iteration")))
     issue = (F.when(F.col("prev_iteration").isNull(), F.lit(None))
              .when(F.col("iteration") == F.col("prev_iteration"), F.lit("repeat"))
              .when(F.col("iteration") > F.col("prev_iteration") + 1, F.lit("gap"))

@@ -5,11 +5,11 @@
 of every key, so a single loop serves the whole fleet, and a huge project is
 still spread over many tasks because rows hash on (project, task_id).
 
-Iterative jobs are frontier loops: only nodes that changed in a round send
-messages in the next one; every round cuts lineage with a reliable
-``checkpoint()`` into the session's checkpoint folder, and only a boolean
-("frontier empty?") reaches the driver. Loops run until nothing changes; no round
-limit can end one with a partial result.
+Iterative jobs are frontier loops (most of them in ``operators.paths``): only
+nodes that changed in a round send messages in the next one; every round cuts
+lineage with a reliable ``checkpoint()`` into the session's checkpoint folder, and
+only counts reach the driver. Loops run until nothing changes; no round limit can
+end one with a partial result.
 
 Formulas marked *ours* are definitions fixed by this library (the source only
 names the question).
@@ -22,17 +22,13 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.session import checkpoint_dir
+from keelson.operators import paths as P
+from keelson.operators.scan import cut as _cut
+from keelson.operators.scan import cut_round, ranked, settled
 
 KEY = ["project", "task_id"]
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Reliable lineage cut (survives executor loss, unlike a local cut)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def not_closed(tasks: DataFrame) -> DataFrame:
     return tasks.filter(F.col("status") != "closed")
 
@@ -145,65 +141,23 @@ def priority_distribution(tasks: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G17 cycles
 
-def _peel(deps: DataFrame) -> DataFrame:
-    """The edges between tasks that keep an incoming and an outgoing edge when
-    tasks without one are removed again and again. Degrees are kept per task and
-    lowered by the edges of the tasks just removed, so a round's work follows the
-    removed tasks; the edge set itself is filtered once, at the end."""
-    e = _cut(deps.select("project", "child", "parent").distinct())
-
-    def ends(edges):                               # an edge's two ends with what it counts there
-        return (edges.select("project", F.col("child").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
-                .unionByName(edges.select("project", F.col("parent").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))))
-    deg = _cut(ends(e).groupBy("project", "node").agg(F.sum("o").alias("o"), F.sum("i").alias("i")))
-    while True:
-        gone = deg.filter("o = 0 or i = 0").select("project", "node")
-        if gone.isEmpty():
-            break
-        lost = (e.join(gone.withColumnRenamed("node", "child"), ["project", "child"]).select(
-            "project", F.col("parent").alias("node"), F.lit(0).alias("lo"), F.lit(1).alias("li"))
-            .unionByName(e.join(gone.withColumnRenamed("node", "parent"), ["project", "parent"]).select(
-                "project", F.col("child").alias("node"), F.lit(1).alias("lo"), F.lit(0).alias("li")))
-            .groupBy("project", "node").agg(F.sum("lo").alias("lo"), F.sum("li").alias("li")))
-        deg = _cut(deg.filter("o > 0 and i > 0").join(lost, ["project", "node"], "left").select(
-            "project", "node", (F.col("o") - F.coalesce("lo", F.lit(0))).alias("o"), (F.col("i") - F.coalesce("li", F.lit(0))).alias("i")))
-    stay = deg.select("project", "node")
-    return _cut(e.join(stay.withColumnRenamed("node", "child"), ["project", "child"], "left_semi")
-                .join(stay.withColumnRenamed("node", "parent"), ["project", "parent"], "left_semi"))
-
-
-def cycle_members(deps: DataFrame, method: str = "closure") -> DataFrame:
+def cycle_members(deps: DataFrame, method: str = "words") -> DataFrame:
     """Tasks that lie on a dependency cycle.
 
-    1. Peel (Kahn both ways): drop edges touching a node without incoming or
-       without outgoing edges, until nothing changes. Survivors lie on cycles
-       or on paths between cycles.
-    2. On the survivors only, keep the tasks that reach themselves:
-       ``method="closure"`` (default) expands (source, target) pairs, cheapest
-       when cycles are small (the usual case: a cycle is a planning error);
-       ``method="coloring"`` finds strongly connected components by
-       forward/backward colouring (``_scc_members``) with O(1) state per
-       task, for graphs with large cycles.
+    ``method="words"`` (default, ``paths.cycle_ids``): runs of tasks become one
+    node, what is on no cycle is peeled off, and what is left is on a cycle if its
+    own bit comes back when the tasks' bits are sent along the edges; no pairs are
+    held. ``method="coloring"`` finds strongly connected components of what is
+    left by forward/backward colouring (``_scc_members``) with O(1) state per
+    task, for very large cycles of many branches.
     """
-    e = _peel(deps)
+    ids = P.numbered(P.nodes_of(deps))
+    e = P.edge_ids(ids, deps)
     if method == "coloring":
-        return _scc_members(e)
-    # reachability among survivors: (src, dst) pairs, frontier-expanded
-    reach = _cut(e.select("project", F.col("child").alias("src"), F.col("parent").alias("dst")))
-    frontier = reach
-    for r in itertools.count(1):
-        step = (frontier.join(e.withColumnRenamed("child", "dst").withColumnRenamed("parent", "nxt"),
-                              ["project", "dst"])
-                .select("project", "src", F.col("nxt").alias("dst")).distinct())
-        new = _cut(step.join(reach, ["project", "src", "dst"], "left_anti"))
-        if new.isEmpty():
-            break
-        reach = reach.unionByName(new)             # a union of cut frames, itself cut now and then
-        if r % 6 == 0:
-            reach = _cut(reach)
-        frontier = new
-    return (reach.filter(F.col("src") == F.col("dst"))
-            .select("project", F.col("src").alias("task_id")).distinct())
+        core = (P.peel(e).join(ids.select("project", F.col("task_id").alias("child"), F.col("id").alias("c")), "c")
+                .join(ids.select(F.col("task_id").alias("parent"), F.col("id").alias("p")), "p"))
+        return _scc_members(core.select("project", "child", "parent"))
+    return ids.join(P.cycle_ids(ids, e), "id", "left_semi").select(*KEY)
 
 
 def _propagate_min(label: DataFrame, edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -261,69 +215,29 @@ def _scc_members(e: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- levels
 
-def _longest_levels(level: DataFrame, edges: DataFrame) -> DataFrame:
-    """Raise lower-bound levels to longest-path levels over an acyclic edge
-    set: level(child) >= 1 + level(parent); only raised nodes send again."""
-    edges = _cut(edges.repartition("project", "parent"))
-    level = _cut(level)
-    frontier = level
-    while True:
-        cand = (frontier.select("project", F.col("task_id").alias("parent"), "level")
-                .join(edges, ["project", "parent"])
-                .groupBy("project", F.col("child").alias("task_id"))
-                .agg((F.max("level") + 1).alias("nlevel")))
-        upd = _cut(cand.join(level, KEY).filter(F.col("nlevel") > F.col("level"))
-                   .select(*KEY, F.col("nlevel").alias("level")))
-        if upd.isEmpty():
-            break
-        level = _cut(level.join(upd, KEY, "left_anti").unionByName(upd))
-        frontier = upd
-    return level
-
-
 def task_levels(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     """Level of every not-closed task: 1 for a task without open parents,
-    else 1 + max(level of open parents). Cycle members are left out.
-
-    Layer peeling (Kahn): a task gets level r when its last open parent was
-    levelled in round r-1, so one loop both levels an acyclic graph and
-    proves it acyclic. Only when tasks remain (cycles and what depends on
-    them) does cycle detection run, on that remainder alone; the tasks below
-    a cycle are then levelled by ``_longest_levels`` from the known levels.
-    Returns (project, task_id, level).
+    else 1 + max(level of open parents). Cycle members are left out, and so are
+    the edges from them. Returns (project, task_id, level).
+
+    ``paths.levels`` levels an acyclic graph and proves it acyclic; long chains
+    take rounds in the log of their length. Only when tasks remain (cycles and
+    what depends on them) does cycle detection run, on that remainder alone.
     """
-    nodes = not_closed(tasks).select(*KEY)
-    e = _cut(open_edges(tasks, deps).distinct())
-    indeg = e.groupBy("project", F.col("child").alias("task_id")).agg(F.count(F.lit(1)).alias("indeg"))
-    rem = _cut(nodes.join(indeg, KEY, "left").fillna(0, ["indeg"]))
-    frontier = _cut(rem.filter(F.col("indeg") == 0).select(*KEY, F.lit(1).cast("bigint").alias("level")))
-    assigned = frontier
-    for r in itertools.count(2):
-        dec = (frontier.select("project", F.col("task_id").alias("parent")).join(e, ["project", "parent"])
-               .groupBy("project", F.col("child").alias("task_id")).agg(F.count(F.lit(1)).alias("d")))
-        touched = _cut(rem.join(dec, KEY).select(*KEY, (F.col("indeg") - F.col("d")).alias("indeg")))
-        # a filter of the cut frame: reads the checkpoint, needs no cut of its own
-        frontier = touched.filter(F.col("indeg") == 0).select(*KEY, F.lit(r).cast("bigint").alias("level"))
-        if frontier.isEmpty():
-            break
-        rem = _cut(rem.join(touched.select(*KEY), KEY, "left_anti").unionByName(touched))
-        assigned = assigned.unionByName(frontier)
-        if r % 8 == 0:                             # keep the union's plan short on deep graphs
-            assigned = _cut(assigned)
-    assigned = _cut(assigned)
-    rest = nodes.join(assigned.select(*KEY), KEY, "left_anti")
-    if rest.isEmpty():
-        return assigned
-    # cycles: detect them among the remaining tasks only, then level what lies below them
-    rest_edges = (e.join(rest.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi")
-                  .join(rest.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi"))
-    cyc = cycle_members(rest_edges)
-    keep = nodes.join(cyc, KEY, "left_anti")
-    start = (keep.join(assigned, KEY, "left")
-             .select(*KEY, F.coalesce("level", F.lit(1)).cast("bigint").alias("level")))
-    acyclic = (e.join(cyc.withColumnRenamed("task_id", "child"), ["project", "child"], "left_anti")
-               .join(cyc.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_anti"))
-    return _longest_levels(start, acyclic)
+    ids = P.numbered(not_closed(tasks))
+    e = P.edge_ids(ids, deps)
+    lv = P.levels(ids, e)
+    rest = ids.select("id").join(lv, "id", "left_anti")
+    if not rest.isEmpty():
+        keep = _cut(ids.join(P.cycle_ids(ids, _within(e, rest)), "id", "left_anti"))
+        lv = P.levels(keep, _cut(_within(e, keep)))
+    return ids.join(lv, "id").select(*KEY, "level")
+
+
+def _within(e: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges between ``nodes`` (id)."""
+    return (e.join(nodes.select(F.col("id").alias("c")), "c", "left_semi")
+            .join(nodes.select(F.col("id").alias("p")), "p", "left_semi").select("c", "p"))
 
 
 def _with_pred(level: DataFrame, deps_open: DataFrame) -> DataFrame:
@@ -384,11 +298,11 @@ def weak_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     that grows with the log of the chain length instead of its length.
     ``nodes(project, task_id)``, ``edges(project, a, b)`` (either direction).
     """
-    und = _cut(edges.select("project", "a", "b")
-               .unionByName(edges.select("project", F.col("b").alias("a"), F.col("a").alias("b")))
-               .distinct())
-    label = _cut(nodes.select(*KEY, F.col("task_id").alias("label")))
-    while True:
+    und = settled(edges.select("project", "a", "b")
+                  .unionByName(edges.select("project", F.col("b").alias("a"), F.col("a").alias("b")))
+                  .distinct())
+    label = settled(nodes.select(*KEY, F.col("task_id").alias("label")))
+    for r in itertools.count(1):
         nb = (und.join(label.select("project", F.col("task_id").alias("b"), F.col("label").alias("lb")),
                        ["project", "b"])
               .groupBy("project", F.col("a").alias("task_id")).agg(F.min("lb").alias("nb")))
@@ -397,7 +311,7 @@ def weak_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         jump = (hop.join(hop.select("project", F.col("task_id").alias("m"), F.col("m").alias("mm")),
                          ["project", "m"], "left")
                 .select(*KEY, F.least("m", F.coalesce("mm", "m")).alias("new")))
-        new = _cut(jump.join(label, KEY).select(*KEY, "new", "label"))
+        new = cut_round(jump.join(label, KEY).select(*KEY, "new", "label"), r, every=3)
         if new.filter(F.col("new") != F.col("label")).isEmpty():
             break
         label = new.select(*KEY, F.col("new").alias("label"))  # already cut with ``new``
@@ -448,24 +362,16 @@ def descendants(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = N
 
 
 def dependent_counts(tasks: DataFrame, deps: DataFrame, sources: DataFrame | None = None,
-                     edges_per_range: int = 20_000_000) -> DataFrame:
+                     max_words: int = P.MAX_WORDS) -> DataFrame:
     """Number of transitive open dependents per task that has any (project,
-    task_id, transitive_dependents), exact. Sources are taken in hash ranges, all
-    of them one after the other, so the pairs held at once stay in proportion to
-    ``edges_per_range``; the result does not depend on it."""
-    e = _cut(open_edges(tasks, deps).distinct())
-    first = e.select("project", F.col("parent").alias("task_id"), F.col("child").alias("dependent"))
-    if sources is not None:
-        first = first.join(sources.select(*KEY).distinct(), KEY, "left_semi")
-    ranges = max(1, -(-e.count() // edges_per_range))
-    out = None
-    for k in range(ranges):
-        part = first.filter(F.pmod(F.xxhash64(*KEY), F.lit(ranges)) == k)
-        counts = _reach(e, part).groupBy(*KEY).agg(F.count(F.lit(1)).alias("transitive_dependents"))
-        if ranges > 1:
-            counts = _cut(counts)
-        out = counts if out is None else out.unionByName(counts)
-    return out
+    task_id, transitive_dependents), exact, of all tasks or those in ``sources``.
+    No pairs: dependents are bits, 64 tasks to a row, and at most ``max_words``
+    rows are held in one pass over a block of them (``paths.dependent_totals``);
+    the result does not depend on it."""
+    ids = P.numbered(not_closed(tasks))
+    counts = P.dependent_totals(ids, P.edge_ids(ids, deps), max_words)
+    out = ids.join(counts, "id").select(*KEY, F.col("n").alias("transitive_dependents"))
+    return out if sources is None else out.join(sources.select(*KEY).distinct(), KEY, "left_semi")
 
 
 def dependent_counts_sketch(tasks: DataFrame, deps: DataFrame, lg_k: int = 12) -> DataFrame:
@@ -505,7 +411,8 @@ def blockers_to_clear(tasks: DataFrame, deps: DataFrame, method: str = "exact")
     """Not-closed tasks with direct and transitive open dependents,
     ranked per project (most transitive dependents first, then task_id).
     ``method="sketch"`` counts transitive dependents with HLL sketches
-    (``dependent_counts_sketch``) instead of exact pairs."""
+    (``dependent_counts_sketch``) instead of exactly. Ranks are found in ranges,
+    so a project with a third of the tasks is no single task."""
     direct = (open_edges(tasks, deps).groupBy("project", F.col("parent").alias("task_id"))
               .agg(F.countDistinct("child").alias("direct_dependents")))
     if method == "sketch":
@@ -516,8 +423,7 @@ def blockers_to_clear(tasks: DataFrame, deps: DataFrame, method: str = "exact")
            .join(direct, KEY, "left").join(trans, KEY, "left")
            .fillna(0, ["direct_dependents", "transitive_dependents"])
            .filter(F.col("transitive_dependents") > 0))
-    w = Window.partitionBy("project").orderBy(F.desc("transitive_dependents"), "task_id")
-    return out.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    return ranked(out, ["project"], [F.desc("transitive_dependents"), F.asc("task_id")])
 
 
 def pagerank(tasks: DataFrame, deps: DataFrame, d: float = 0.85, iters: int = 20) -> DataFrame:
@@ -563,6 +469,8 @@ def pagerank(tasks: DataFrame, deps: DataFrame, d: float = 0.85, iters: int = 20
 def triage(tasks: DataFrame, deps: DataFrame, k: int = 5) -> DataFrame:
     """G12 (*ours*): ready tasks ranked by
     0.4*transitive/max + 0.3*pagerank/max + 0.3*(3-priority)/3, top k."""
+    # read once: ready tasks, dependents and ranks all use both
+    tasks, deps = settled(tasks.select(*KEY, "title", "status", "priority", "label", "seq")), settled(deps.select("project", "child", "parent"))
     ready = ready_tasks(tasks, deps).select(*KEY, "priority", "seq")
     trans = dependent_counts(tasks, deps, ready).select(*KEY, F.col("transitive_dependents").cast("double").alias("unblocks"))
     pr = pagerank(tasks, deps)
@@ -601,7 +509,8 @@ def quick_wins(tasks: DataFrame, deps: DataFrame) -> DataFrame:
 def project_health(tasks: DataFrame, deps: DataFrame, cyclic_deps: DataFrame | None = None) -> DataFrame:
     """G14 (*ours*): one row per project — sizes, density, cycle members,
     ready/blocked/closed ratios, depth of the open graph."""
-    cyc_src = cyclic_deps if cyclic_deps is not None else deps
+    # read once: both are used by every part below
+    tasks, deps = settled(tasks.select(*KEY, "title", "status", "priority", "label", "seq")), settled(deps.select("project", "child", "parent"))
     node = tasks.groupBy("project").agg(
         F.count(F.lit(1)).alias("n_tasks"),
         F.sum(F.when(F.col("status") == "closed", 1).otherwise(0)).alias("n_closed"))
@@ -609,7 +518,7 @@ def project_health(tasks: DataFrame, deps: DataFrame, cyclic_deps: DataFrame | N
     ready = ready_tasks(tasks, deps).groupBy("project").agg(F.count(F.lit(1)).alias("n_ready"))
     blocked = (blocked_tasks(tasks, deps).select(*KEY).distinct()
                .groupBy("project").agg(F.count(F.lit(1)).alias("n_blocked")))
-    cyc = cycle_members(cyc_src).groupBy("project").agg(F.count(F.lit(1)).alias("cycle_members"))
+    cyc = cycle_members(deps if cyclic_deps is None else cyclic_deps).groupBy("project").agg(F.count(F.lit(1)).alias("cycle_members"))
     depth = task_levels(tasks, deps).groupBy("project").agg(F.max("level").alias("depth"))
     h = (node.join(edge, "project", "left").join(ready, "project", "left").join(blocked, "project", "left")
          .join(cyc, "project", "left").join(depth, "project", "left")

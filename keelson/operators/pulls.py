@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions import expr as X
-from keelson.session import checkpoint_dir
+from keelson.operators.scan import ranked
 
 # Issue texts of the source.
 ISSUE_CONFLICTS = "**Merge conflicts** - Resolve conflicts with the base branch"
@@ -72,21 +72,6 @@ def decode_comments(raw: DataFrame, col: str = "raw") -> DataFrame:
                     X.quoted_body(F.col("c.body")).alias("quoted"))
 
 
-def global_rank(rows: DataFrame, *order) -> DataFrame:
-    """``rows`` with their place (``rank``, from 1) in a total order, without one
-    task that sorts them all: rows are dealt to ranges, numbered within their
-    range, and shifted by the rows of the ranges before (one small row each)."""
-    checkpoint_dir(rows.sparkSession)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")   # a row per range
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return (dealt.withColumn("_at", place).join(F.broadcast(before), "_part")
-            .withColumn("rank", (F.col("_at") + F.col("_before")).cast("bigint")).drop("_part", "_at", "_before"))
-
-
 def existing_pr(prs: DataFrame) -> DataFrame:
     """One PR per (project, head branch): the open one with the highest
     number (``gh pr list --head b --limit 1`` lists open PRs)."""
@@ -137,7 +122,7 @@ def check_failure_rate(checks: DataFrame) -> DataFrame:
     agg = c.groupBy("name").agg(F.count(F.lit(1)).alias("runs"),
                                 F.sum(F.when(F.col("category") == "failing", 1).otherwise(0)).cast("bigint").alias("failures"))
     agg = agg.withColumn("failure_rate", F.round(F.col("failures") / F.col("runs"), 6))
-    return global_rank(agg, F.desc("failure_rate"), F.asc("name"))
+    return ranked(agg, [], [F.desc("failure_rate"), F.asc("name")])
 
 
 def comment_rows(comments: DataFrame) -> DataFrame:
@@ -167,7 +152,7 @@ def review_share(reviews: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("reviews"),
         F.sum(F.when(F.upper("state") == "APPROVED", 1).otherwise(0)).cast("bigint").alias("approvals"))
     a = a.withColumn("approval_share", F.round(F.col("approvals") / F.col("reviews"), 6))
-    return global_rank(a, F.desc("reviews"), F.asc("author"))
+    return ranked(a, [], [F.desc("reviews"), F.asc("author")])
 
 
 def pr_issues(prs: DataFrame, checks: DataFrame, reviews: DataFrame, comments: DataFrame) -> DataFrame:

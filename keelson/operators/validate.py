@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.operators.scan import running
+
 # Enums of the task-file format.
 PRIORITY_ENUM = ["critical", "high", "medium", "low"]
 STATUS_ENUM = ["pending", "in-progress", "completed", "blocked"]
@@ -112,9 +114,8 @@ def multi_claims(status_events: DataFrame) -> DataFrame:
     claims = ev.filter(F.col("status") == "in_progress").select(
         "agent", "project", "task_id", "event_id", F.col("ts").alias("start_ts"), F.col("next_ts").alias("end_ts"))
     far = F.lit("9999-12-31 00:00:00").cast("timestamp_ntz")
-    wa = (Window.partitionBy("agent").orderBy("start_ts", "event_id")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    c = claims.withColumn("prev_end", F.max(F.coalesce("end_ts", far)).over(wa))
+    # the latest end of the agent's earlier claims, over ranges: an agent's whole history is no single task
+    c = running(claims, ["agent"], ["start_ts", "event_id"], prev_end=("max_before", F.coalesce("end_ts", far)))
     return (c.filter(F.col("prev_end") > F.col("start_ts"))
             .select("agent", "project", "task_id", "event_id", "start_ts", "end_ts"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from keelson.operators.coord import segments_overlap
 from keelson.sources.bind import oracle_with
 
 ORACLES: dict[str, str] = {}
@@ -137,29 +136,43 @@ WHERE (released_ts IS NULL OR released_ts > TIMESTAMP '2024-01-10 00:00:00') AND
 
 ORACLES["active_reservations"] = oracle_with(["reservations"], ACTIVE)
 
-def _agree(x, y):
-    """Segments compared pairwise as far as both go."""
-    return (f"len(list_filter(list_zip({x}, {y}), lambda p: p[1] IS NOT NULL AND p[2] IS NOT NULL "
-            f"AND NOT ({segments_overlap('p[1]', 'p[2]')}))) = 0")
-
-
-# no directory condition here: the join keys of the job must not lose a pair
-ORACLES["reservation_conflicts"] = oracle_with(["reservations"], f"""
-SELECT a.project, a.reservation_id AS res_a, b.reservation_id AS res_b, a.agent AS agent_a, b.agent AS agent_b,
-       greatest(a.start_ts, b.start_ts) AS overlap_start, least(a.end_ts, b.end_ts) AS overlap_end
-FROM r a JOIN r b ON a.project = b.project AND a.reservation_id < b.reservation_id
-  AND a.agent <> b.agent AND (a.exclusive OR b.exclusive)
-  AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts
-WHERE CASE WHEN a.dd = 0 AND b.dd = 0 THEN len(a.segs) = len(b.segs)
-           WHEN a.dd = 0 THEN len(a.segs) >= len(b.head) + len(b.tail)
-           WHEN b.dd = 0 THEN len(b.segs) >= len(a.head) + len(a.tail) ELSE true END
-  AND {_agree("a.head", "b.head")} AND {_agree("a.tail", "b.tail")}""",
-    ctes=[("r0", """SELECT *, least(start_ts + to_seconds(ttl_seconds), released_ts) AS end_ts, string_split(pattern, '/') AS segs,
-                      coalesce(list_position(string_split(pattern, '/'), '**'), 0) AS dd FROM reservations"""),
-          ("r", """SELECT *, CASE WHEN dd = 0 THEN segs ELSE segs[1:dd - 1] END AS head,
-                     CASE WHEN dd = 0 THEN list_reverse(segs)
-                          ELSE list_reverse(segs)[1:list_position(list_reverse(segs), '**') - 1] END AS tail
-                   FROM r0 WHERE start_ts < end_ts""")])
+# Two globs name a common path if their automata can read one text to both ends: all reachable
+# (place in a, place in b), found step by step. gi / gj: inside the folders that '**/' stands for.
+_READS = """CASE WHEN {g} THEN [{{'c': 'ANY', 'p': {p}, 'g': true}}, {{'c': '/', 'p': {p} + 1, 'g': false}}]
+      WHEN {x} = '*' THEN [{{'c': 'SEG', 'p': {p}, 'g': false}}] WHEN {x} = chr(1) THEN [{{'c': 'ANY', 'p': {p}, 'g': false}}]
+      WHEN {x} = '?' THEN [{{'c': 'SEG', 'p': {p} + 1, 'g': false}}]
+      WHEN {x} NOT IN ('', chr(2)) THEN [{{'c': {x}, 'p': {p} + 1, 'g': false}}] END"""
+_GLOB_WALK = [
+    ("pp", """SELECT DISTINCT x, y, replace(replace(x, '**/', chr(2)), '**', chr(1)) AS pa,
+                replace(replace(y, '**/', chr(2)), '**', chr(1)) AS pb FROM cand"""),
+    ("walk", f"""
+SELECT DISTINCT pa, pb, CAST(1 AS BIGINT) AS i, false AS gi, CAST(1 AS BIGINT) AS j, false AS gj FROM pp
+UNION
+SELECT pa, pb, m.i, m.gi, m.j, m.gj FROM (
+  SELECT pa, pb, unnest(list_concat(
+      CASE WHEN NOT gi AND x IN ('*', chr(1), chr(2)) THEN [{{'i': i + 1, 'gi': false, 'j': j, 'gj': gj}}] ELSE [] END,
+      CASE WHEN NOT gi AND x = chr(2) THEN [{{'i': i, 'gi': true, 'j': j, 'gj': gj}}] ELSE [] END,
+      CASE WHEN NOT gj AND y IN ('*', chr(1), chr(2)) THEN [{{'i': i, 'gi': gi, 'j': j + 1, 'gj': false}}] ELSE [] END,
+      CASE WHEN NOT gj AND y = chr(2) THEN [{{'i': i, 'gi': gi, 'j': j, 'gj': true}}] ELSE [] END,
+      flatten(list_transform(ra, lambda r: list_transform(
+        list_filter(rb, lambda s: r.c = s.c OR r.c = 'ANY' OR s.c = 'ANY' OR (r.c = 'SEG' AND s.c <> '/') OR (s.c = 'SEG' AND r.c <> '/')),
+        lambda s: {{'i': r.p, 'gi': r.g, 'j': s.p, 'gj': s.g}}))))) AS m
+  FROM (SELECT *, {_READS.format(g="gi", x="x", p="i")} AS ra, {_READS.format(g="gj", x="y", p="j")} AS rb
+        FROM (SELECT *, substr(pa, i, 1) AS x, substr(pb, j, 1) AS y FROM walk)))"""),
+    ("meet", """SELECT DISTINCT pp.x, pp.y FROM pp JOIN walk w ON w.pa = pp.pa AND w.pb = pp.pb
+                WHERE NOT gi AND NOT gj AND i = length(w.pa) + 1 AND j = length(w.pb) + 1"""),
+]
+ORACLES["reservation_conflicts"] = oracle_with(["reservations"], """
+SELECT c.project, res_a, res_b, agent_a, agent_b, overlap_start, overlap_end
+FROM cand c JOIN meet m ON m.x = c.x AND m.y = c.y""",
+    ctes=[("r", """SELECT *, least(start_ts + to_seconds(ttl_seconds), released_ts) AS end_ts FROM reservations"""),
+          ("cand", """SELECT a.project, a.reservation_id AS res_a, b.reservation_id AS res_b, a.agent AS agent_a, b.agent AS agent_b,
+                        greatest(a.start_ts, b.start_ts) AS overlap_start, least(a.end_ts, b.end_ts) AS overlap_end,
+                        a.pattern AS x, b.pattern AS y
+                      FROM r a JOIN r b ON a.project = b.project AND a.reservation_id < b.reservation_id
+                        AND a.agent <> b.agent AND (a.exclusive OR b.exclusive)
+                        AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts
+                        AND a.start_ts < a.end_ts AND b.start_ts < b.end_ts""")] + _GLOB_WALK, recursive=True)
 
 _REGEX = r"""replace(replace(replace(replace(replace(regexp_replace(a.pattern, '([\\.+^$(){}|\[\]])', '\\\1', 'g'),
     '**/', chr(2)), '**', chr(1)), '*', '[^/]*'), '?', '[^/]'), chr(2), '(?:.*/)?')"""
