@@ -20,8 +20,9 @@ a third of all mentions share is pre-aggregated, and its edges are split by the
 adaptive skew join.
 
 Cases: a null text is empty; a null doc_id joins itself; rows equal in doc_id and
-text are judged alike, each keeps its row; equal scores need no order; other
-columns are ignored (``redact`` keeps all); an empty table gives no rows.
+text are judged alike, each keeps its row; equal scores need no order; a text of very many
+matches takes time about in proportion (``spans``); other columns are ignored (``redact`` keeps
+all); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, text_or_empty
-from keelson.llm.spans import matches, redacted, shown, with_pieces
+from keelson.llm.spans import chunks, let, matches, outside, part, redacted, shown, with_pieces
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 ROUNDS = 3
@@ -54,24 +55,25 @@ def _mentions(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     rows = with_pieces(rows, PATTERNS).select(
         "doc_id", "text", F.xxhash64("doc_id", "text").alias("rid"), *[matches(k).alias(k) for k in PATTERNS])
-    part = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)"
+    octet = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)"
     rows = rows.select("doc_id", "text", "rid", "token",
                        F.col("email"),
-                       F.expr(f"filter(ip, x -> x.t rlike '^{part}(?:\\\\.{part}){{3}}$')").alias("ip"),
+                       F.expr(f"filter(ip, x -> x.t rlike '^{octet}(?:\\\\.{octet}){{3}}$')").alias("ip"),
                        F.expr("""filter(card, x -> x.e - x.s >= 13 and length(translate(x.t, ' -', '')) between 13 and 19
                                  and luhn_check(translate(x.t, ' -', '')))""").alias("card"),
                        F.expr("filter(phone, x -> length(regexp_replace(x.t, '[^0-9]', '')) between 9 and 15)").alias("phone"))
     rows = rows.withColumn("base", F.expr("concat(" + ", ".join(
         f"transform({kind}, x -> named_struct('k', {k}, 's', x.s, 'e', x.e))" for k, kind in enumerate(KINDS[:4])) + ")"))
+    rows = rows.withColumn("token", F.expr(outside("token", "base")))
     rows = rows.withColumn("found", F.expr(
         "concat(" + ", ".join(f"transform({kind}, x -> named_struct('seed', true, 's', x.s, 'e', x.e, 't', x.t))" for kind in KINDS[:4])
-        + """, transform(filter(token, x -> not exists(base, b -> b.s < x.e and x.s < b.e)),
-               x -> named_struct('seed', false, 's', x.s, 'e', x.e, 't', x.t)))"""))
+        + """, transform(token, x -> named_struct('seed', false, 's', x.s, 'e', x.e, 't', x.t)))"""))
     # words around a mention, from a bounded reach of text
-    rows = rows.withColumn("found", F.expr(f"""if(size(found) = 0, array(), transform(found, x -> named_struct(
+    around = let("cs", chunks("text"), f"""transform(found, x -> named_struct(
         'seed', x.seed, 's', x.s, 'e', x.e, 't', lower(x.t),
-        'l', split(trim(lower(regexp_replace(substring(text, greatest(x.s - {REACH}, 0) + 1, least(x.s, {REACH})), '[0-9]', '9'))), '\\\\s+'),
-        'r', split(trim(lower(regexp_replace(substring(text, x.e + 1, {REACH}), '[0-9]', '9'))), '\\\\s+'))))"""))
+        'l', split(trim(lower(regexp_replace({part("cs", f"greatest(x.s - {REACH}, 0)", "x.s")}, '[0-9]', '9'))), '\\\\s+'),
+        'r', split(trim(lower(regexp_replace({part("cs", "x.e", f"x.e + {REACH}")}, '[0-9]', '9'))), '\\\\s+')))""")
+    rows = rows.withColumn("found", F.expr(f"if(size(found) = 0, array(), {around})"))
     return rows.select("doc_id", "rid", "base", F.expr("""transform(found, x -> named_struct(
         'seed', x.seed, 's', x.s, 'e', x.e, 't', x.t, 'patterns', array(
           concat('< ', array_join(slice(x.l, greatest(size(x.l) - 1, 1), 2), ' ')),
@@ -130,11 +132,12 @@ def _with_all(rows: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, *, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_context."""
+    """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_context, n_spans."""
     out = _with_all(*_found(docs, rounds, min_confidence, min_seeds))
     count = [F.expr(f"size(filter(base, x -> x.k = {k}))").cast("long").alias(f"n_{KINDS[k]}") for k in range(4)]
     return out.select("doc_id", *count, F.sha2(shown("base", KINDS, False), 256).alias("base_sha256"),
-                      shown("spans", KINDS, False).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_context"))
+                      shown("spans", KINDS, False).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_context"),
+                      F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, *, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE, min_seeds: int = MIN_SEEDS) -> DataFrame:

@@ -13,8 +13,9 @@ and block, and the distance is checked. It is a semi join, so a part is kept onc
 however many partners it has. Texts are read once; only parts are shuffled.
 
 Cases: a null text is empty; a null doc_id joins itself; rows equal in doc_id and
-text are judged alike, each keeps its row; other columns are ignored; an empty table
-gives no rows.
+text are judged alike, each keeps its row; parts that begin at one place are each judged;
+a text of very many matches takes time about in proportion (``spans``); other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, text_or_empty
-from keelson.llm.spans import matches, shown, with_pieces
+from keelson.llm.spans import matches, outside, shown, with_pieces
 
 SCOPE = 256
 KINDS = ["assign", "access", "hex", "weak_access", "weak_secret"]
@@ -49,13 +50,13 @@ def _parts(docs: DataFrame) -> DataFrame:
         transform(filter(assign, x -> x.n >= 12), x -> named_struct('k', 0, 's', x.s, 'e', x.e)),
         transform(filter(access, x -> x.e - x.s >= 18), x -> named_struct('k', 1, 's', x.s, 'e', x.e)),
         transform(filter(hex, x -> x.e - x.s >= 16), x -> named_struct('k', 2, 's', x.s, 'e', x.e)))"""))
-    rows = rows.withColumn("weak", F.expr("""filter(concat(
+    rows = rows.withColumn("weak", F.expr("""concat(
         transform(filter(access, x -> x.e - x.s between 8 and 17), x -> named_struct('c', 'a', 'w', 3, 's', x.s, 'e', x.e)),
         transform(login, x -> named_struct('c', 'a', 'w', 3, 's', x.s, 'e', x.e)),
         transform(filter(assign, x -> x.n between 6 and 11), x -> named_struct('c', 's', 'w', 4, 's', x.s, 'e', x.e)),
         transform(filter(hex, x -> x.e - x.s < 16 and x.t rlike '[0-9]' and x.t rlike '[a-f]'),
-                  x -> named_struct('c', 's', 'w', 4, 's', x.s, 'e', x.e))),
-        x -> not exists(base, b -> b.s < x.e and x.s < b.e))"""))
+                  x -> named_struct('c', 's', 'w', 4, 's', x.s, 'e', x.e)))"""))
+    rows = rows.withColumn("weak", F.expr(outside("weak", "base")))
     return rows.select("doc_id", "rid", "base", F.expr("""if(size(weak) = 0, cast(array() as array<struct<c:string,w:int,s:int,e:int>>),
         concat(weak,
           transform(base, x -> named_struct('c', if(x.k = 1, 'a', 's'), 'w', cast(null as int), 's', x.s, 'e', x.e)),

@@ -9,12 +9,11 @@ import zlib
 from collections import Counter
 from itertools import permutations
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import centroids, filter_audit, queries, toxicity
+from keelson.llm import centroids, filter_audit, toxicity
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"Word{i % 4999}" for i in range(40_000))
@@ -29,14 +28,6 @@ ROWS = [
 MARKS = [(3, 1, 0), (4, 1, 1), (4, 0, None), (5, None, 1), (9, 1, 0), (99, 1, 1), (None, 1, 1), (10, 0, 0)]
 
 
-@pytest.fixture(scope="module")
-def con():
-    c = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    return c
-
-
 def frame(spark, rows, fields):
     width = len(fields.split(","))
     return spark.createDataFrame([(*r, *(("x", 1, 1, 1, "x") + ("x",) * 9)[:width - len(r)]) for r in rows], fields)
@@ -47,16 +38,6 @@ def tuples(df):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("name", ["op11_filter_audit", "op12_centroids"])
-def test_sql_twins(spark, con, name):
-    cur = con.execute(queries.ORACLES[name])
-    names = [d[0] for d in cur.description]
-    df = queries.QUERIES[name](spark, SF)
-    assert sorted(names) == sorted(df.columns)
-    order = [names.index(c) for c in sorted(names)]
-    assert tuples(df) == sorted((tuple(r[i] for i in order) for r in cur.fetchall()), key=str)
-
-
 # --- 11 filter audit -----------------------------------------------------
 
 def brute_fails(rows):

@@ -3,6 +3,7 @@ accuracy, on the small tables and on a table of awkward rows."""
 
 import hashlib
 import math
+import random
 import re
 
 import duckdb
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import (decontaminate, jaccard_join, language_id, mixing, pii, quality, queries, secret_scan, url_filter,
                          warc_audit, winnowing)
+from keelson.llm import spans as spans_sql
 from keelson.llm.common import components
 
 SF = "/root/testdata/sf0.001"
@@ -46,7 +48,7 @@ def small(spark):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -477,6 +479,67 @@ def test_op8(awkward, small, spark):
     assert pii.scan(empty(spark)).count() == 0
 
 
+def timed(fn):
+    import time
+
+    start = time.time()
+    out = fn()
+    return out, time.time() - start
+
+
+def test_spans_of_very_many_matches(spark):
+    """10^5 matches in one text, in seconds (they took hours when arrays grew match by match)."""
+    n = 100_000
+    secrets = " ".join(f"{i:016x}" for i in range(n)) + " secret=abc1234 user=bob"
+    out, took = timed(lambda: secret_scan.scan(spark.createDataFrame([(1, secrets)], "doc_id long, text string")).collect())
+    assert out[0]["n_hex"] == n and out[0]["n_linked"] >= 2 and took < 90
+    want = [f"hex:{17 * i}:{17 * i + 16}" for i in range(n)]
+    assert out[0]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+    half = n // 2
+    numbers = " ".join(f"a{i}@b.c" if i % 2 else f"n-{i:06d}-x" for i in range(half))
+    df = spark.createDataFrame([(1, numbers)], "doc_id long, text string")
+    out, took = timed(lambda: pii.scan(df).collect())
+    assert out[0]["n_email"] == half // 2 and took < 120
+    clean, took = timed(lambda: pii.redact(df).collect())
+    assert clean[0]["text"].count("[EMAIL]") == half // 2 and "@" not in clean[0]["text"] and took < 150
+
+
+def test_outside_and_parts_agree_with_plain_code(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in (0, 3, 150):
+        spans = [(a, a + rng.randint(1, 9)) for a in sorted(rng.sample(range(2000), k))]
+        items = [(a, a + rng.randint(1, 5)) for a in sorted(rng.sample(range(2000), 140))]
+        rows.append((items, spans, "".join(rng.choice("ab\u00e9\U0001F600") for _ in range(2500))))
+    df = spark.createDataFrame(rows, "items array<struct<s:int,e:int>>, spans array<struct<s:int,e:int>>, text string")
+    cut_out = F.expr(f"transform(items, v -> {spans_sql.part('cs', 'v.s', 'v.e + 1000')})")
+    got = df.select("*", F.expr(spans_sql.outside("items", "spans")).alias("free"), F.expr(spans_sql.chunks("text")).alias("cs")).withColumn("parts", cut_out)
+    for r in got.withColumn("red", spans_sql.redacted("text", "transform(spans, x -> named_struct('k', x.s % 2, 's', x.s, 'e', x.e))", ["a", "b"])).collect():
+        spans = [tuple(x) for x in r["spans"]]
+        assert [tuple(x) for x in r["free"]] == [tuple(x) for x in r["items"] if not any(s < x[1] and x[0] < e for s, e in spans)]
+        assert r["parts"] == [r["text"][s:e + 1000] for s, e in r["items"]]
+        pos, out = 0, []
+        for s, e in sorted(spans):
+            if s >= pos:
+                out += [r["text"][pos:s], "[B]" if s % 2 else "[A]"]
+            pos = max(pos, e)
+        assert r["red"] == "".join(out) + r["text"][pos:]
+
+
+def test_op7_large_means(spark):
+    """A mean of 10^6 is split into draws of bounded means."""
+    rows = [(i, "common", "t") for i in range(4)] + [(9, "rare", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out, took = timed(lambda: {r["source"]: r["n"] for r in mixing.replicate(docs, total=2_000_000).groupBy("source").agg(F.count("*").alias("n")).collect()})
+    assert abs(out["rare"] - 1_000_000) < 6_000 and abs(out["common"] - 1_000_000) < 6_000 and took < 60
+    many = spark.range(3000).selectExpr("id as doc_id", "'s' as source", "'t' as text")
+    rate = mixing.replicate(many, total=3000 * 100).groupBy("doc_id").agg(F.first("n_copies").alias("n"), F.count("*").alias("k")).collect()
+    assert len(rate) == 3000 and all(r["n"] == r["k"] for r in rate)
+    mean = sum(r["n"] for r in rate) / 3000
+    spread = sum((r["n"] - mean) ** 2 for r in rate) / 3000
+    assert abs(mean - 100) < 1 and abs(spread - 100) < 12
+
+
 def test_op8_finds_unseen_identifiers(spark):
     rows = [(i, f"some words before reach me at user{i}@mail.example today and then more words") for i in range(12)]
     rows += [(100, "some words before reach me at id-99421-x today and then more words"), (101, "the year 20231 was fine")]
@@ -566,6 +629,8 @@ def test_op9_removes_spans(awkward, small, spark):
     docs = spark.createDataFrame([(1, f"Before, the {item} after it " + "and on " * 20), (2, item), (3, None)], "doc_id long, text string")
     got = dict(id_text(decontaminate.decontaminate(docs, spark.createDataFrame(ITEMS[:1], "item_id long, text string"))))
     assert got == {1: "Before, the  after it " + "and on " * 20, 3: None}
+    blocks = decontaminate.decontaminate(small, bench, block_words=2000)       # several, one at a time
+    assert key(map(tuple, blocks.collect())) == key(map(tuple, out.collect()))
     assert decontaminate.decontaminate(awkward, bench.limit(0)).count() == awkward.count()
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
