@@ -61,8 +61,19 @@ ORACLES["stream_review_load"] = oracle_with(["messages"], """
 SELECT agent, msg_id, ts, load FROM (
   SELECT from_agent AS agent, msg_id, ts,
     CAST(sum(CASE WHEN msg_kind = 'review_claimed' THEN 1 ELSE -1 END)
-         OVER (PARTITION BY from_agent ORDER BY ts, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS load
-  FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete')) WHERE load > 3""", ctes=[("cm", CLASSIFY)])
+         OVER (PARTITION BY from_agent, spell ORDER BY ts, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS load
+  FROM (SELECT *, sum(anew) OVER (PARTITION BY from_agent ORDER BY ts, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS spell
+        FROM (SELECT *, CASE WHEN ts > lag(ts) OVER (PARTITION BY from_agent ORDER BY ts, msg_id) + INTERVAL 30 DAY THEN 1 ELSE 0 END AS anew
+              FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete'))))
+WHERE load > 3 AND ts < (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM cm WHERE msg_kind IN ('review_claimed', 'review_complete'))""",
+    ctes=[("cm", CLASSIFY)])
+
+ORACLES["stream_reservation_expiry"] = oracle_with(["reservations"], """
+SELECT project, reservation_id, agent, pattern, exclusive, start_ts, start_ts + to_seconds(ttl_seconds) AS expired_ts
+FROM reservations
+WHERE start_ts + to_seconds(ttl_seconds) < (
+    SELECT date_trunc('millisecond', greatest(max(start_ts), max(released_ts))) - INTERVAL 1 DAY FROM reservations)
+  AND (released_ts IS NULL OR released_ts >= start_ts + to_seconds(ttl_seconds))""")
 
 ORACLES["stream_check_failures"] = oracle_with(["check_runs"], """
 SELECT *, round(failures / runs, 6) AS failure_rate FROM (

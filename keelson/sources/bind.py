@@ -190,6 +190,14 @@ SELECT 'p' || CAST(k % 10 AS STRING) AS project,
 FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM {events}) e
 """
 
+# Reservations as events: the reserving, and the release of those that were given back.
+BINDINGS["reservation_events"] = """
+SELECT 'reserve' AS kind, project, reservation_id, agent, pattern, exclusive, start_ts AS ts, ttl_seconds FROM {reservations}
+UNION ALL
+SELECT 'release' AS kind, project, reservation_id, agent, pattern, exclusive, released_ts AS ts, CAST(NULL AS BIGINT) AS ttl_seconds
+FROM {reservations} WHERE released_ts IS NOT NULL
+"""
+
 BINDINGS["loop_runs"] = """
 SELECT 'p' || CAST(user_id AS STRING) AS project,
        CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS iteration,

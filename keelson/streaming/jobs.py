@@ -1,12 +1,12 @@
-"""Structured Streaming versions of the coordination questions.
+"""Structured Streaming versions of the coordination questions.
 
 Sources are file streams over the fleet tables; the bindings of
 ``keelson.sources.bind`` apply unchanged to a streaming ``events`` frame
 (stateless projections and stream-static joins). Each job has a batch twin
-with equal output on a finished input that arrives in event order. Append-mode
-twins (S3, S4, S6) apply the stream's final watermark; S1, S2, S5 and the review
-outcomes have no bound in the twin: rows later than the watermark are dropped by
-the stream alone.
+with equal output on a finished input. Append-mode twins (S3, S4, S6, S7) apply
+the stream's final watermark; S2, S5 and the review outcomes have no bound in the
+twin: rows later than the watermark are dropped by the stream alone. S1 keeps no
+state and drops nothing.
 
 ``run_stream`` drives a stream to the end of its input (``availableNow``). Given a
 stable ``home`` folder, a later run resumes where the last one ended; without one,
@@ -17,14 +17,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from keelson.functions import expr as X
 from keelson.operators import coord as M
 from keelson.session import checkpoint_dir
 from keelson.sources.bind import Fleet
+from keelson.streaming.versions import VersionedTable
 
 WATERMARK = "1 hour"
 SESSION_GAP = "30 minutes"
@@ -45,41 +47,14 @@ def streaming_fleet(spark: SparkSession, sf_dir: str) -> Fleet:
     return Fleet(spark, sf_dir, overrides={"events": event_stream(spark, sf_dir)})
 
 
-MERGE_BUCKETS = 64
-
-
-def _merge_by_key(keys: list[str], sink: str):
-    """foreachBatch body: upsert the batch's updated rows into the sink table.
-
-    The table is dealt to buckets by key; only buckets that the batch touches are
-    read, merged and rewritten (dynamic partition overwrite), so a batch costs
-    what it touches. The first batch creates the table; later ones must find it,
-    and a failed read fails the batch. A replayed batch gives the same table.
-    """
-    def fn(batch: DataFrame, batch_id: int):
-        new = batch.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(MERGE_BUCKETS)).cast("int"))
-        if batch_id > 0:
-            new = _cut(new)
-            touched = [r[0] for r in new.select("_bucket").distinct().collect()]   # MERGE_BUCKETS at most
-            old = batch.sparkSession.read.parquet(sink).where(F.col("_bucket").isin(touched))
-            new = _cut(old.join(new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new))
-        mode = "dynamic" if batch_id > 0 else "static"
-        new.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("_bucket").parquet(sink)
-    return fn
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list[str] | None = None,
-               home: str | None = None) -> DataFrame:
+               home: str | None = None, combine=None) -> DataFrame:
     """Run a streaming frame to the end of its input; return the result table.
 
-    append -> parquet file sink; update -> foreachBatch merge by ``keys``.
-    ``home``: folder (on shared storage) that identifies the query; a second run
-    with the same one reads only new input.
+    append -> parquet file sink; update -> versioned upsert table by ``keys``
+    (``streaming.versions``), whose rows the batch's replace or, with ``combine``, are
+    aggregated with. ``home``: folder (on shared storage) that identifies the query;
+    a second run with the same one reads only new input.
     """
     spark = df.sparkSession
     base = f"{home.rstrip('/')}/{name}" if home else f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
@@ -89,17 +64,34 @@ def run_stream(df: DataFrame, name: str, mode: str = "append", keys: list[str] |
         q = w.outputMode("append").format("parquet").option("path", sink).start()
         q.awaitTermination()
         return spark.read.schema(df.schema).parquet(sink)
-    q = w.outputMode("update").foreachBatch(_merge_by_key(keys or [], sink)).start()
+    table = VersionedTable(spark, sink, keys or [])
+    # with ``combine`` the stream itself keeps no state, so its rows come as they are
+    q = (w.outputMode("append" if combine else "update")
+         .foreachBatch(lambda batch, batch_id: table.upsert(batch, batch_id, combine)).start())
     q.awaitTermination()
+    out = table.read()
+    if out is None:                                # no batch ran: the input is empty
+        out = spark.createDataFrame([], df.schema)
+        return combine(out) if combine else out
+    return out if combine else out.select(*df.columns)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_state_store(spark: SparkSession, run):
+    """``run()`` with the state store that timers and several states of one key need; a
+    query keeps the store it was started with."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
     try:
-        return spark.read.parquet(sink).select(*df.columns)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], df.schema)   # no batch ran: the input is empty
+        return run()
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
 
 
-# ---------------------------------------------------------------- S1..S6 (frame builders; work on batch or stream)
+# ---------------------------------------------------------------- S1..S7 (frame builders; work on batch or stream)
 
 def _event_time(c: str):
     """Event-time column as TIMESTAMP (watermarks need it; the tables store
@@ -109,9 +101,23 @@ def _event_time(c: str):
 
 def current_status(status_events: DataFrame) -> DataFrame:
     """Latest status per task (ties by event id)."""
-    return status_events.groupBy("project", "task_id").agg(
-        F.max_by("status", F.struct("ts", "event_id")).alias("status"),
-        F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("events"))
+    return merge_status(status_rows(status_events)).drop("last_event")
+
+
+def status_rows(status_events: DataFrame) -> DataFrame:
+    """S1 as a stream: every event as a table row of its task. The stream keeps no state,
+    so no watermark has to bound it and no event is late."""
+    return status_events.select("project", "task_id", "status", F.col("ts").alias("last_ts"), F.col("event_id").alias("last_event"),
+                                F.lit(1).cast("bigint").alias("events"))
+
+
+def merge_status(rows: DataFrame) -> DataFrame:
+    """One row per task of any number (``status_rows`` or earlier results): the batch's rows
+    are combined with the table's, whatever the order in which they come."""
+    last = F.struct("last_ts", "last_event")
+    return rows.groupBy("project", "task_id").agg(
+        F.max_by("status", last).alias("status"), F.max("last_ts").alias("last_ts"), F.max_by("last_event", last).alias("last_event"),
+        F.sum("events").alias("events"))
 
 
 def review_requests(messages: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
@@ -126,7 +132,8 @@ def review_requests(messages: DataFrame, watermark: str | None = WATERMARK) -> D
 
 
 def agent_sessions(reservations: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
-    """Reservation sessions per agent (activity separated by > gap)."""
+    """Reservation sessions per agent (activity separated by > gap); what runs out is
+    ``reservation_expiry``."""
     r = reservations.withColumn("start_ts", _event_time("start_ts"))
     r = r.withWatermark("start_ts", "1 day") if reservations.isStreaming else r
     s = r.groupBy("agent", F.session_window("start_ts", gap).alias("s")).agg(
@@ -177,32 +184,170 @@ def unclaimed_after_twin(messages: DataFrame, hours: int = 24) -> DataFrame:
             .filter(F.col("requested_ts") + F.expr(f"INTERVAL {hours} HOURS") < F.col("wm")).drop("_k", "wm"))
 
 
-def _load_alarm(cap: int):
-    def fn(key, pdfs, state):
-        import pandas as pd
-
-        load = state.get[0] if state.exists else 0
-        # rows of one agent in one micro-batch (bounded by the trigger size), in event order
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "msg_id"], kind="mergesort")
-        loads = load + pdf["delta"].cumsum()
-        state.update((int(loads.iloc[-1]) if len(loads) else load,))
-        hit = pdf.assign(load=loads)[loads > cap]
-        yield hit[["agent", "msg_id", "ts", "load"]]
-    return fn
-
-
-def review_load_alarm(messages: DataFrame, cap: int = 3) -> DataFrame:
-    """Reviewer load (+1 claim, -1 completion) carried across
-    micro-batches in per-agent state; emits the events where the load
-    exceeds ``cap``. Batch twin: ``coord.review_load``."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
+def _frame(rows: list, columns: list[str]) -> pd.DataFrame:
+    # plain objects: a string column of pandas' own kind may come in chunks, which Spark does not take here
+    return pd.DataFrame(rows, columns=columns, dtype="object")
+
+
+class LoadAlarm(StatefulProcessor):
+    """S7 per agent: events wait in a list until the watermark has passed them, are then
+    taken in event order and added to the agent's load. State: the waiting events (as many as
+    the watermark's delay holds), the load unless it is 0, and the time of the last event.
+    An agent without an event for ``idle_days`` starts anew, so an idle agent leaves none."""
+
+    def __init__(self, cap: int, idle_days: int):
+        self.cap, self.idle = cap, idle_days * 86_400_000_000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "ts bigint, msg_id bigint, delta bigint")
+        self.load = handle.getValueState("load", "load bigint, last bigint")
+
+    def _wake(self, micros: int) -> None:
+        # timers have milliseconds; the next one is after the event's own
+        self.handle.registerTimer(micros // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues):
+        least, mark = None, timerValues.getCurrentWatermarkInMs() * 1000
+        for pdf in rows:
+            # what comes after the watermark has passed it is late: its place in the order is gone
+            events = [(int(t), int(m), int(d)) for t, m, d in zip(pdf["micros"], pdf["msg_id"], pdf["delta"]) if t >= mark]
+            if events:
+                self.waiting.appendList(events)
+            least = min([e[0] for e in events] + ([least] if least is not None else []), default=None)
+        if least is not None:
+            self._wake(least)
+        yield _frame([], ["agent", "msg_id", "micros", "load"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        load, last = self.load.get() if self.load.exists() else (0, None)
+        events = sorted(tuple(int(x) for x in r) for r in self.waiting.get())
+        passed = [e for e in events if e[0] < mark]
+        left = events[len(passed):]
+        out = []
+        for ts, msg_id, delta in passed:
+            if last is not None and ts > last + self.idle:
+                load = 0
+            load, last = load + delta, ts
+            if load > self.cap:
+                out.append((key[0], msg_id, ts, load))
+        if left:
+            self.waiting.put(left)
+            self._wake(left[0][0])
+        else:
+            self.waiting.clear()
+        if load == 0 or (not left and last is not None and last + self.idle < mark):
+            self.load.clear()                      # as if it had never been seen
+        else:
+            self.load.update((load, last))
+            if not left:
+                self._wake(last + self.idle)
+        yield _frame(out, ["agent", "msg_id", "micros", "load"])
+
+    def close(self) -> None:
+        pass
+
+
+IDLE_DAYS = 30
+
+
+def review_load_alarm(messages: DataFrame, cap: int = 3, idle_days: int = IDLE_DAYS) -> DataFrame:
+    """Reviewer load (+1 claim, -1 completion) in event order, whatever the order and
+    the files in which events come (within the watermark); emits the events where the load
+    exceeds ``cap`` once the watermark has passed them."""
     c = (M.classify_messages(messages).filter(F.col("msg_kind").isin("review_claimed", "review_complete"))
          .select(F.col("from_agent").alias("agent"), "msg_id", _event_time("ts"),
-                 F.when(F.col("msg_kind") == "review_claimed", 1).otherwise(-1).cast("bigint").alias("delta")))
-    return c.groupBy("agent").applyInPandasWithState(
-        _load_alarm(cap), "agent string, msg_id bigint, ts timestamp, load bigint", "load bigint",
-        "append", GroupStateTimeout.NoTimeout)
+                 F.when(F.col("msg_kind") == "review_claimed", 1).otherwise(-1).cast("bigint").alias("delta"))
+         .withWatermark("ts", WATERMARK).withColumn("micros", F.unix_micros("ts")))
+    out = c.groupBy("agent").transformWithStateInPandas(
+        LoadAlarm(cap, idle_days), "agent string, msg_id bigint, micros bigint, load bigint", "append", "EventTime")
+    return out.select("agent", "msg_id", F.timestamp_micros("micros").alias("ts"), "load")
+
+
+def passed_load_alarms(messages: DataFrame, cap: int = 3, idle_days: int = IDLE_DAYS) -> DataFrame:
+    """Batch twin of S7: ``coord.review_load`` up to the final watermark."""
+    c = M.classify_messages(messages).filter(F.col("msg_kind").isin("review_claimed", "review_complete"))
+    bound = c.agg(_final(F.max(_event_time("ts")), WATERMARK).alias("wm"), F.lit(1).alias("_k"))
+    out = M.review_load(messages, cap, idle_days).withColumn("ts", F.col("ts").cast("timestamp")).withColumn("_k", F.lit(1))
+    return out.join(F.broadcast(bound), "_k").filter("ts < wm").drop("_k", "wm")
+
+
+def _final(latest, delay: str):
+    """The watermark that a stream ends with: whole milliseconds of the latest event, less the delay."""
+    return F.date_trunc("MILLISECOND", latest) - F.expr(f"INTERVAL {delay}")
+
+
+class ReservationExpiry(StatefulProcessor):
+    """S4 per reservation: a timer at its end. A release before the end stops it; one that
+    comes before its reservation waits for it no longer than until the watermark passes the
+    release (a reservation starts before its release, so a later one would be late itself)."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "agent string, pattern string, exclusive boolean, start bigint, end bigint, released bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        agent, pattern, exclusive, start, end, released = self.held.get() if self.held.exists() else (None, None, None, None, None, None)
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        for pdf in rows:
+            for kind, who, what, excl, t, till in zip(pdf["kind"], pdf["agent"], pdf["pattern"], pdf["exclusive"], pdf["micros"], pdf["until"]):
+                if t < mark:                       # late
+                    continue
+                if kind == "release":
+                    released = int(t) if released is None else min(released, int(t))
+                elif end is None or int(till) > end:                 # a repeated reservation counts with its latest end
+                    agent, pattern, exclusive, start, end = who, what, bool(excl), int(t), int(till)
+        old = [t for t in self.handle.listTimers()]
+        for t in old:
+            self.handle.deleteTimer(t)
+        if (end is None and released is None) or (end is not None and released is not None and released < end):
+            self.held.clear()                      # nothing but late rows, or given back in time: nothing expires
+        else:
+            self.held.update((agent, pattern, exclusive, start, end, released))
+            self.handle.registerTimer((end if end is not None else released) // 1000 + 1)
+        yield _frame([], ["project", "reservation_id", "agent", "pattern", "exclusive", "start", "end"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        agent, pattern, exclusive, start, end, _ = self.held.get()
+        self.held.clear()
+        rows = [] if end is None else [(key[0], key[1], agent, pattern, exclusive, start, end)]
+        yield _frame(rows, ["project", "reservation_id", "agent", "pattern", "exclusive", "start", "end"])
+
+    def close(self) -> None:
+        pass
+
+
+RESERVATION_DELAY = "1 day"
+
+
+def reservation_expiry(reservation_events: DataFrame) -> DataFrame:
+    """One row per reservation that ran out, when the watermark passes start + ttl;
+    reservations released before that have none. ``reservation_events`` (kind 'reserve' or
+    'release', project, reservation_id, agent, pattern, exclusive, ts, ttl_seconds)."""
+    e = (reservation_events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", RESERVATION_DELAY)
+         .withColumn("micros", F.unix_micros("ts"))
+         .withColumn("until", F.col("micros") + F.coalesce("ttl_seconds", F.lit(0)) * 1_000_000))
+    out = e.groupBy("project", "reservation_id").transformWithStateInPandas(
+        ReservationExpiry(), "project string, reservation_id bigint, agent string, pattern string, exclusive boolean, start bigint, end bigint",
+        "append", "EventTime")
+    return out.select("project", "reservation_id", "agent", "pattern", "exclusive", F.timestamp_micros("start").alias("start_ts"),
+                      F.timestamp_micros("end").alias("expired_ts"))
+
+
+def expired_reservations(reservation_events: DataFrame) -> DataFrame:
+    """Batch twin of S4: the reservations whose end the final watermark has passed and that
+    were not released before it."""
+    e = reservation_events.withColumn("ts", F.col("ts").cast("timestamp"))
+    bound = e.agg(_final(F.max("ts"), RESERVATION_DELAY).alias("wm"), F.lit(1).alias("_k"))
+    end = F.col("ts") + F.make_interval(secs=F.col("ttl_seconds"))
+    key = ["project", "reservation_id"]
+    r = e.filter("kind = 'reserve'").withColumn("end", end).groupBy(*key).agg(
+        F.max_by(F.struct("agent", "pattern", "exclusive", "ts", "end"), "end").alias("r"))
+    back = e.filter("kind = 'release'").groupBy(*key).agg(F.min("ts").alias("released"))
+    out = r.join(back, key, "left").withColumn("_k", F.lit(1)).join(F.broadcast(bound), "_k")
+    return out.filter((F.col("r.end") < F.col("wm")) & (F.col("released").isNull() | (F.col("released") >= F.col("r.end")))).select(
+        *key, "r.agent", "r.pattern", "r.exclusive", F.col("r.ts").alias("start_ts"), F.col("r.end").alias("expired_ts"))
 
 
 def message_volume(messages: DataFrame, slide: str | None = None) -> DataFrame:
@@ -250,7 +395,12 @@ def closed_check_hours(runs: DataFrame) -> DataFrame:
 
 def stream_current_status_job(spark, sf_dir):
     f = streaming_fleet(spark, sf_dir)
-    return run_stream(current_status(f.status_events), "current_status", "update", ["project", "task_id"])
+    return run_stream(status_rows(f.status_events), "current_status", "update", ["project", "task_id"], combine=merge_status).drop("last_event")
+
+
+def stream_reservation_expiry_job(spark, sf_dir):
+    f = streaming_fleet(spark, sf_dir)
+    return with_state_store(spark, lambda: run_stream(reservation_expiry(f.reservation_events), "reservation_expiry", "append"))
 
 
 def stream_review_requests_job(spark, sf_dir):
@@ -270,7 +420,7 @@ def stream_unclaimed_reviews_job(spark, sf_dir):
 
 def stream_review_load_job(spark, sf_dir):
     f = streaming_fleet(spark, sf_dir)
-    return run_stream(review_load_alarm(f.messages, cap=3), "review_load", "append")
+    return with_state_store(spark, lambda: run_stream(review_load_alarm(f.messages, cap=3), "review_load", "append"))
 
 
 def stream_message_volume_job(spark, sf_dir):
@@ -300,6 +450,7 @@ JOBS = {
     "stream_current_status": stream_current_status_job,
     "stream_review_requests": stream_review_requests_job,
     "stream_agent_sessions": stream_agent_sessions_job,
+    "stream_reservation_expiry": stream_reservation_expiry_job,
     "stream_unclaimed_reviews": stream_unclaimed_reviews_job,
     "stream_review_load": stream_review_load_job,
     "stream_message_volume": stream_message_volume_job,
@@ -314,8 +465,8 @@ BATCH_TWINS = {
     "stream_review_requests": lambda spark, d: review_requests(Fleet(spark, d).messages),
     "stream_agent_sessions": lambda spark, d: closed_sessions(Fleet(spark, d).reservations),
     "stream_unclaimed_reviews": lambda spark, d: unclaimed_after_twin(Fleet(spark, d).messages),
-    "stream_review_load": lambda spark, d: M.review_load(Fleet(spark, d).messages, cap=3)
-    .withColumn("ts", F.col("ts").cast("timestamp")),
+    "stream_review_load": lambda spark, d: passed_load_alarms(Fleet(spark, d).messages, cap=3),
+    "stream_reservation_expiry": lambda spark, d: expired_reservations(Fleet(spark, d).reservation_events),
     "stream_message_volume": lambda spark, d: message_volume(Fleet(spark, d).messages),
     "stream_message_volume_sliding": lambda spark, d: message_volume(Fleet(spark, d).messages, "15 minutes"),
     "stream_review_outcomes": lambda spark, d: review_outcomes_per_hour(Fleet(spark, d).pr_reviews),
