@@ -298,16 +298,57 @@ def detect_test_command(repo_files: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- W24, W25 context tables
 
-def context_next(current: DataFrame, counts: DataFrame, recent: DataFrame, nxt: DataFrame) -> DataFrame:
-    """W24 'next': per checkout — current task, working-tree text, latest
-    commit and the recommended next task. All inputs are one row per project
-    (or per checkout), so the joins never fan out."""
-    return (current.select("project", "branch", "task_id", "title")
-            .join(counts.select("project", "status_text"), "project", "left")
-            .join(recent.select("project", "branch", F.col("summary").alias("recent_commit")), ["project", "branch"], "left")
-            .join(nxt.select("project", F.col("task_id").alias("recommended_task"),
-                             F.col("title").alias("recommended_title")), "project", "left")
-            .fillna("", ["status_text"]))
+def context_next(current: DataFrame, counts: DataFrame, recent: DataFrame, top: DataFrame, nxt: DataFrame) -> DataFrame:
+    """W24 'next': per checkout — current task, working-tree text, latest commit
+    and the recommended task: the first of the triage (``top``) with its score and
+    reason, else the first ready task. All inputs are one row per project (or per
+    checkout), so the joins never fan out."""
+    first = top.filter("rank_in_project = 1").select("project", F.col("task_id").alias("top_task"), "score", "reason")
+    ready = nxt.select("project", F.col("task_id").alias("ready_task"))
+    out = (current.select("project", "branch", "task_id", "title")
+           .join(counts.select("project", "status_text"), "project", "left")
+           .join(recent.select("project", "branch", F.col("summary").alias("recent_commit")), ["project", "branch"], "left")
+           .join(first, "project", "left").join(ready, "project", "left"))
+    return out.select("project", "branch", "task_id", "title", F.coalesce("status_text", F.lit("")).alias("status_text"), "recent_commit",
+                      F.coalesce("top_task", "ready_task").alias("recommended_task"),
+                      F.when(F.col("top_task").isNotNull(), F.lit("triage")).when(F.col("ready_task").isNotNull(), F.lit("ready")).alias("recommended_by"),
+                      "score", "reason")
+
+
+def context_commits(branch_rows: DataFrame) -> DataFrame:
+    """The commits that done, resume, feedback, stuck and pr list, newest first,
+    one row per line ('<short sha> <first line of the message>')."""
+    line = F.concat(F.substring("sha", 1, 7), F.lit(" "), F.split("subject", "\n")[0])
+    return ranked(branch_rows, ["project", "branch"], [F.desc("ts"), F.desc("sha")], "pos").select("project", "branch", "pos", "kind", line.alias("line"))
+
+
+def context_pr_files(checkouts: DataFrame, changed: DataFrame) -> DataFrame:
+    """W24 'pr': the changed files of every checked-out branch, one row per line."""
+    return changed.join(checkouts.select("project", "branch"), ["project", "branch"], "left_semi").select("project", "branch", "path", "line")
+
+
+def _open_prs(checkouts: DataFrame, open_pr: DataFrame) -> DataFrame:
+    return checkouts.select("project", "branch").join(
+        open_pr.select("project", F.col("head_ref").alias("branch"), "number"), ["project", "branch"])
+
+
+def context_prfix_checks(checkouts: DataFrame, open_pr: DataFrame, details: DataFrame) -> DataFrame:
+    """W24 'pr-fix': failing and pending checks (name, URL) of every checkout's PR."""
+    return _open_prs(checkouts, open_pr).join(details.select("project", "number", "category", "seq", "name", "line"), ["project", "number"])
+
+
+def context_prfix_reviews(checkouts: DataFrame, open_pr: DataFrame, reviews: DataFrame) -> DataFrame:
+    """W24 'pr-fix': the reviews of every checkout's PR with their state, one line each."""
+    mark = X.review_state_mark(F.col("state"))
+    line = F.concat(F.lit("- "), mark, F.lit(" **"), "author", F.lit("**: "), "state")
+    return _open_prs(checkouts, open_pr).join(reviews.select("project", "number", "seq", "author", "state"), ["project", "number"]).withColumn("line", line)
+
+
+def context_prfix_comments(checkouts: DataFrame, open_pr: DataFrame, comments: DataFrame) -> DataFrame:
+    """W24 'pr-fix': the quoted review comments of every checkout's PR."""
+    text = F.concat(F.lit("**@"), "author", F.lit("** on `"), "location", F.lit("`:\n"), "quoted")
+    return _open_prs(checkouts, open_pr).join(
+        comments.select("project", "number", "author", "location", "quoted"), ["project", "number"]).withColumn("text", text)
 
 
 def context_feedback(current: DataFrame, base: DataFrame, diff: DataFrame, counts: DataFrame,
@@ -356,35 +397,59 @@ def autopilot_tasks(modes: DataFrame, ready: DataFrame) -> DataFrame:
         "project", "pos", "task_id", X.sanitize(F.col("title")).alias("safe_title"), "priority")
 
 
-def diff_sections(porcelain: DataFrame, max_lines: int = 100) -> DataFrame:
-    """W15 (+W16): per project, the staged paths under 'Staged:', the unstaged
-    ones under 'Unstaged:' and a header line per changed tracked file, joined by a
-    blank line (empty parts skipped) and cut once, after joining, to
-    ``max_lines`` lines. No part can show more than ``max_lines`` lines, so each
-    is reduced to them by a partial top-k before the shuffle; the count of lines
-    left out covers all."""
-    x = F.substring("xy", 1, 1)
-    y = F.substring("xy", 2, 1)
-    rows = porcelain.filter(F.length("xy") >= 2).select(
-        "project", "path", ((x != "?") & (x != " ")).alias("staged"), ((y != " ") & (y != "?")).alias("unstaged"),
-        (x != "?").alias("content"))
-    parts = None
-    for kind in ("staged", "unstaged", "content"):
-        line = F.concat(F.lit("diff --git a/"), "path", F.lit(" b/"), "path") if kind == "content" else F.col("path")
-        r = rows.filter(F.col(kind)).select("project", line.alias("path")).distinct()
-        n = r.groupBy("project").agg(F.count(F.lit(1)).alias(f"n_{kind}"))
-        w = Window.partitionBy("project").orderBy("path")
-        top = (r.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= max_lines)
-               .groupBy("project").agg(F.array_join(F.array_sort(F.collect_list("path")), "\n").alias(f"l_{kind}")))
-        part = n.join(top, "project")
+STAT_WIDTH = 60        # signs of a --stat line at most
+
+
+def diff_stat(hunks: DataFrame) -> DataFrame:
+    """Per project, side ('staged', 'unstaged') and path the changed lines and the line that
+    ``git diff --stat`` prints (one sign per line, in proportion beyond ``STAT_WIDTH``)."""
+    sides = hunks.withColumn("side", F.explode(F.array_compact(F.array(F.when(F.col("staged"), F.lit("staged")), F.when(F.col("unstaged"), F.lit("unstaged"))))))
+    s = sides.groupBy("project", "side", "path").agg(F.sum("insertions").alias("insertions"), F.sum("deletions").alias("deletions"))
+    total = F.col("insertions") + F.col("deletions")
+    plus = F.when(total <= STAT_WIDTH, F.col("insertions")).otherwise(F.floor(F.col("insertions") * STAT_WIDTH / total)).cast("int")
+    minus = F.when(total <= STAT_WIDTH, F.col("deletions")).otherwise(F.floor(F.col("deletions") * STAT_WIDTH / total)).cast("int")
+    line = F.concat(F.lit(" "), "path", F.lit(" | "), total.cast("string"), F.lit(" "), F.repeat(F.lit("+"), plus), F.repeat(F.lit("-"), minus))
+    return s.withColumn("line", line)
+
+
+def _stat_summary() -> Column:
+    def some(n, one, many):
+        return F.concat(F.col(n).cast("string"), F.when(F.col(n) == 1, F.lit(one)).otherwise(F.lit(many)))
+    return F.concat(F.lit(" "), F.concat_ws(
+        ", ", some("files", " file changed", " files changed"),
+        F.when(F.col("insertions") > 0, some("insertions", " insertion(+)", " insertions(+)")),
+        F.when(F.col("deletions") > 0, some("deletions", " deletion(-)", " deletions(-)"))))
+
+
+def diff_sections(hunks: DataFrame, max_lines: int = 100) -> DataFrame:
+    """W15 (+W16): per project, the ``--stat`` of the staged changes under 'Staged:', of the
+    unstaged ones under 'Unstaged:' and the diff itself (a head per file, its hunks in order),
+    joined by a blank line (empty parts skipped) and cut once, after joining, to ``max_lines``
+    lines. No part can show more lines than that, so each is reduced by a partial top-k
+    before the shuffle (every file has a line, every hunk two); the count of lines left out
+    covers all. ``hunks(project, path, staged, unstaged, hunk_no, insertions, deletions, hunk)``."""
+    def first(rows, order, line):
+        w = Window.partitionBy("project").orderBy(*order)
+        return (rows.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_lines)
+                .groupBy("project").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", line.alias("l")))), lambda x: x["l"]), "\n").alias("l")))
+    stat, parts = diff_stat(hunks), None
+    for side in ("staged", "unstaged"):
+        r = stat.filter(F.col("side") == side)
+        sums = r.groupBy("project").agg(F.count(F.lit(1)).alias("files"), F.sum("insertions").alias("insertions"), F.sum("deletions").alias("deletions"))
+        part = sums.join(first(r, ["path"], F.col("line")).withColumnRenamed("l", "lines"), "project").select(
+            "project", F.col("files").alias(f"n_{side}"), F.concat(F.lit(f"{side.title()}:\n"), "lines", F.lit("\n"), _stat_summary()).alias(f"l_{side}"))
         parts = part if parts is None else parts.join(part, "project", "full")
+    # the first hunk of a file carries the file's head
+    file = Window.partitionBy("project", "path").orderBy("hunk_no")
+    head = F.concat(F.lit("diff --git a/"), "path", F.lit(" b/"), "path", F.lit("\n--- a/"), "path", F.lit("\n+++ b/"), "path", F.lit("\n"))
+    top = hunks.withColumn("_r", F.row_number().over(file)).filter(F.col("_r") <= max_lines).select(
+        "project", "path", "hunk_no", F.when(F.col("_r") == 1, F.concat(head, "hunk")).otherwise(F.col("hunk")).alias("text"))
+    lines = hunks.groupBy("project", "path").agg(F.sum(F.size(F.split("hunk", "\n"))).alias("k")).groupBy("project").agg((F.sum("k") + 3 * F.count(F.lit(1))).alias("n_content"))
+    parts = parts.join(lines.join(first(top, ["path", "hunk_no"], F.col("text")).withColumnRenamed("l", "l_content"), "project"), "project", "full")
     s = parts.fillna(0, ["n_staged", "n_unstaged", "n_content"])
-
-    def section(kind, title):
-        return F.when(F.col(f"n_{kind}") > 0, F.concat(F.lit(title), F.col(f"l_{kind}")))
-    text = F.concat_ws("\n\n", section("staged", "Staged:\n"), section("unstaged", "Unstaged:\n"), section("content", ""))
-    some = [F.when(F.col(f"n_{k}") > 0, F.lit(extra) + F.col(f"n_{k}")).otherwise(F.lit(0)) for k, extra in (("staged", 2), ("unstaged", 2), ("content", 1))]
-    total = some[0] + some[1] + some[2] - 1        # titles, paths and a blank line between parts
+    text = F.concat_ws("\n\n", "l_staged", "l_unstaged", "l_content")
+    some = [F.when(F.col(f"n_{k}") > 0, F.lit(extra) + F.col(f"n_{k}")).otherwise(F.lit(0)) for k, extra in (("staged", 3), ("unstaged", 3), ("content", 1))]
+    total = some[0] + some[1] + some[2] - 1        # titles, summaries and a blank line between parts
     shown = F.array_join(F.slice(F.split(text, "\n"), 1, max_lines), "\n")
     return s.select("project", "n_staged", "n_unstaged", total.cast("bigint").alias("n_lines"),
                     F.when(total <= max_lines, text).otherwise(
@@ -414,12 +479,13 @@ def context_resume(current: DataFrame, worktree: DataFrame, branch_rows: DataFra
 def context_pr(current: DataFrame, base: DataFrame, open_pr: DataFrame, branch_rows: DataFrame,
                diff: DataFrame, changed: DataFrame, counts: DataFrame) -> DataFrame:
     """W24 'pr': base branch, existing PR, commits, diff summary, files
-    changed and working-tree text of every checkout."""
+    changed and working-tree text of every checkout; the lists are
+    ``context_commits`` and ``context_pr_files``."""
     files = changed.groupBy("project", "branch").agg(F.count(F.lit(1)).alias("files_changed"))
     return (current.select("project", "branch", "task_id", "title")
             .join(base, "project", "left")
-            .join(open_pr.select("project", F.col("head_ref").alias("branch"), F.col("number").alias("pr_number")),
-                  ["project", "branch"], "left")
+            .join(open_pr.select("project", F.col("head_ref").alias("branch"), F.col("number").alias("pr_number"), F.col("title").alias("pr_title"),
+                                 F.col("state").alias("pr_state"), F.col("url").alias("pr_url")), ["project", "branch"], "left")
             .join(_commit_counts(branch_rows), ["project", "branch"], "left")
             .join(diff.select("project", "branch", F.col("summary").alias("diff_summary")), ["project", "branch"], "left")
             .join(files, ["project", "branch"], "left")
@@ -427,13 +493,15 @@ def context_pr(current: DataFrame, base: DataFrame, open_pr: DataFrame, branch_r
             .fillna(0, ["commits_on_branch", "files_changed"]).fillna("", ["status_text"]))
 
 
-def context_prfix(checkouts: DataFrame, open_pr: DataFrame, check_counts: DataFrame, issues: DataFrame,
+def context_prfix(current: DataFrame, open_pr: DataFrame, check_counts: DataFrame, issues: DataFrame,
                   review_counts: DataFrame) -> DataFrame:
-    """W24 'pr-fix': the open PR of each checkout with check counts, review
-    count, mergeable label, ordered issues and merge readiness; checkouts
-    without a PR keep a row with ``has_pr`` false."""
-    pr = open_pr.select("project", F.col("head_ref").alias("branch"), "number")
-    return (checkouts.select("project", "branch").join(pr, ["project", "branch"], "left")
+    """W24 'pr-fix': the open PR of each checkout (title, URL, state, base) with the
+    current task, check counts, review count, mergeable label, ordered issues and
+    merge readiness; checkouts without a PR keep a row with ``has_pr`` false. The
+    lists are ``context_prfix_checks``, ``_reviews`` and ``_comments``."""
+    pr = open_pr.select("project", F.col("head_ref").alias("branch"), "number", F.col("title").alias("pr_title"), F.col("url").alias("pr_url"),
+                        F.col("state").alias("pr_state"), "base_ref")
+    return (current.select("project", "branch", "task_id", "title").join(pr, ["project", "branch"], "left")
             .join(check_counts.select("project", "number", "passing", "failing", "pending"), ["project", "number"], "left")
             .join(review_counts.select("project", "number", "reviews"), ["project", "number"], "left")
             .join(issues.select("project", "number", "mergeable_label", "issues", "merge_ready"), ["project", "number"], "left")

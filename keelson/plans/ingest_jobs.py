@@ -110,7 +110,9 @@ def agent_docs(f: Fleet):
         F.element_at(F.array(F.lit("open"), F.lit("auto"), F.lit("contacts_only"), F.lit("block_all")),
                      (uid % 4 + 1).cast("int")).alias("contact_policy"),
         F.struct(F.col("caps").alias("capabilities"), F.array(F.lit("python")).alias("languages")).alias("profile"),
-        F.create_map(F.lit("max_concurrent_reviews"), F.lit("3"), F.lit("review_timeout_hours"), F.lit("24")).alias("behavior"),
+        F.struct(F.lit(3).alias("max_concurrent_reviews"), F.lit(24).alias("review_timeout_hours"), (uid % 2 == 0).alias("auto_claim_reviews"),
+                 F.when(uid % 3 == 0, F.lit("structured-markdown")).alias("feedback_format"),
+                 F.when(uid % 5 == 0, F.struct((uid % 24).alias("from"), F.lit("utc").alias("zone"))).alias("quiet_hours")).alias("behavior"),
         F.date_format("first_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at")))
     return a.select(doc.alias("doc"))
 
@@ -123,6 +125,10 @@ def agent_capabilities_job(spark, sf_dir):
     return TF.agent_capabilities(agent_docs(Fleet(spark, sf_dir)))
 
 
+def agent_behavior_job(spark, sf_dir):
+    return TF.agent_behavior(agent_docs(Fleet(spark, sf_dir)))
+
+
 def validate_tasks_job(spark, sf_dir):
     """V1–V4, V6, V8 on the task files, V11 on the tracker, V5 via cycles."""
     f = Fleet(spark, sf_dir)
@@ -161,6 +167,7 @@ JOBS = {
     "update_log": update_log_job,
     "agent_registry": agent_registry_job,
     "agent_capabilities": agent_capabilities_job,
+    "agent_behavior": agent_behavior_job,
     "validate_tasks": validate_tasks_job,
     "duplicate_agent_names": duplicate_agent_names_job,
     "oversized_tasks": oversized_tasks_job,

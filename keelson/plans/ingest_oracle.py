@@ -139,6 +139,16 @@ SELECT 'u' || CAST(user_id % 120 AS VARCHAR) AS name,
   CASE WHEN user_id % 2 = 0 THEN 'global' ELSE 'per-repo' END AS scope, event_type AS capability
 FROM (SELECT DISTINCT user_id, event_type FROM events)""")
 
+ORACLES["agent_behavior"] = oracle_with(["events"], """
+SELECT 'u' || CAST(user_id % 120 AS VARCHAR) AS name, CASE WHEN user_id % 2 = 0 THEN 'global' ELSE 'per-repo' END AS scope, key, kind, value
+FROM (SELECT DISTINCT user_id FROM events) u, LATERAL (
+  SELECT 'max_concurrent_reviews' AS key, 'bigint' AS kind, '3' AS value
+  UNION ALL SELECT 'review_timeout_hours', 'bigint', '24'
+  UNION ALL SELECT 'auto_claim_reviews', 'boolean', CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END
+  UNION ALL SELECT 'feedback_format', 'string', 'structured-markdown' WHERE user_id % 3 = 0
+  UNION ALL SELECT 'quiet_hours', 'object<from: bigint, zone: string>',
+                   '{"from":' || CAST(user_id % 24 AS VARCHAR) || ',"zone":"utc"}' WHERE user_id % 5 = 0)""")
+
 ORACLES["duplicate_agent_names"] = oracle_with(["events"], f"""
 SELECT scope, coalesce(repo, '') AS repo, name, count(*) AS n FROM ({AGENTS})
 GROUP BY scope, coalesce(repo, ''), name HAVING count(*) > 1""")

@@ -140,7 +140,36 @@ def context_next_job(spark, sf_dir):
     from keelson.operators import graph as g
     f = Fleet(spark, sf_dir)
     nxt = g.next_tasks(g.ready_tasks(f.tasks, f.task_deps), 1)
-    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, f.checkouts, AS_OF), nxt)
+    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, f.checkouts, AS_OF),
+                          g.triage(f.tasks, f.task_deps, 1), nxt)
+
+
+def context_commits_job(spark, sf_dir):
+    return W.context_commits(_branch_rows(Fleet(spark, sf_dir)))
+
+
+def context_pr_files_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_pr_files(f.checkouts, W.files_changed(f.file_changes))
+
+
+def context_prfix_checks_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_prfix_checks(f.checkouts, P.existing_pr(f.pull_requests), P.check_details(f.pr_checks))
+
+
+def context_prfix_reviews_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_prfix_reviews(f.checkouts, P.existing_pr(f.pull_requests), f.pr_reviews)
+
+
+def context_prfix_comments_job(spark, sf_dir):
+    f = Fleet(spark, sf_dir)
+    return W.context_prfix_comments(f.checkouts, P.existing_pr(f.pull_requests), P.comment_rows(f.pr_comments))
+
+
+def diff_stat_job(spark, sf_dir):
+    return W.diff_stat(Fleet(spark, sf_dir).worktree_hunks)
 
 
 def context_feedback_job(spark, sf_dir):
@@ -171,7 +200,7 @@ def _branch_rows(f: Fleet):
 
 
 def diff_sections_job(spark, sf_dir):
-    return W.diff_sections(Fleet(spark, sf_dir).porcelain_lines)
+    return W.diff_sections(Fleet(spark, sf_dir).worktree_hunks)
 
 
 def context_done_job(spark, sf_dir):
@@ -195,13 +224,13 @@ def context_pr_job(spark, sf_dir):
 def context_prfix_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
     issues = P.pr_issues(f.pull_requests, f.pr_checks, f.pr_reviews, f.pr_comments)
-    return W.context_prfix(f.checkouts, P.existing_pr(f.pull_requests), P.check_counts(f.pr_checks), issues,
+    return W.context_prfix(_current(f), P.existing_pr(f.pull_requests), P.check_counts(f.pr_checks), issues,
                            P.review_summary(f.pr_reviews))
 
 
 def context_stuck_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    return W.context_stuck(_current(f), W.status_counts(f.porcelain_lines), W.diff_sections(f.porcelain_lines),
+    return W.context_stuck(_current(f), W.status_counts(f.porcelain_lines), W.diff_sections(f.worktree_hunks),
                            _branch_rows(f), W.error_digest(f.log_blobs))
 
 
@@ -219,6 +248,12 @@ JOBS = {
     "context_prfix": context_prfix_job,
     "context_stuck": context_stuck_job,
     "context_next": context_next_job,
+    "context_commits": context_commits_job,
+    "context_pr_files": context_pr_files_job,
+    "context_prfix_checks": context_prfix_checks_job,
+    "context_prfix_reviews": context_prfix_reviews_job,
+    "context_prfix_comments": context_prfix_comments_job,
+    "diff_stat": diff_stat_job,
     "context_feedback": context_feedback_job,
     "context_loop": context_loop_job,
     "current_task": current_task_job,

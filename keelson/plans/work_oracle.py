@@ -172,7 +172,7 @@ FROM (SELECT project, bool_or(path = 'go.mod') AS go, bool_or(path = 'package.js
       FROM repo_files WHERE path NOT LIKE '%/%' GROUP BY project)""")
 
 ORACLES["open_pr_by_branch"] = oracle_with(["pull_requests"], """
-SELECT project, number, title, head_ref, base_ref, state, mergeable FROM (
+SELECT project, number, title, head_ref, base_ref, state, mergeable, url FROM (
   SELECT *, row_number() OVER (PARTITION BY project, head_ref ORDER BY number DESC) AS r
   FROM pull_requests WHERE state = 'OPEN') WHERE r = 1""")
 

@@ -78,6 +78,28 @@ SELECT 'p' || CAST(l_suppkey AS STRING) AS project,
 FROM {lineitem}
 """
 
+# The changes behind the porcelain lines of tracked files: one hunk of a unified diff each,
+# on the staged side, the unstaged one or both.
+BINDINGS["worktree_hunks"] = """
+SELECT project, path, substr(xy, 1, 1) <> ' ' AS staged, substr(xy, 2, 1) <> ' ' AS unstaged, hunk_no, insertions, deletions,
+       '@@ -' || CAST(hunk_no AS STRING) || ',' || CAST(deletions AS STRING) || ' +' || CAST(hunk_no AS STRING) || ',' || CAST(insertions AS STRING)
+         || ' @@' || repeat(chr(10) || '-' || old_text, CAST(deletions AS INT)) || repeat(chr(10) || '+' || new_text, CAST(insertions AS INT)) AS hunk
+FROM (SELECT 'p' || CAST(l_suppkey AS STRING) AS project,
+             CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'A '
+                  WHEN l_returnflag = 'A' THEN 'MM'
+                  WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN ' M'
+                  WHEN l_returnflag = 'N' THEN '??'
+                  WHEN l_linestatus = 'F' THEN ' D'
+                  ELSE 'R ' END AS xy,
+             CASE l_linenumber WHEN 6 THEN 'README.md' WHEN 7 THEN 'docs/notes' || CAST(l_partkey AS STRING) || '.md'
+                  ELSE 'src/m' || CAST(l_partkey % 100 AS STRING) || '/f' || CAST(l_partkey AS STRING) || '.py' END AS path,
+             l_orderkey * 8 + l_linenumber AS hunk_no,
+             CAST(l_quantity AS BIGINT) % 4 + 1 AS insertions, l_partkey % 3 AS deletions,
+             'was ' || CAST(l_orderkey AS STRING) AS old_text, 'now ' || CAST(l_partkey AS STRING) AS new_text
+      FROM {lineitem}) h
+WHERE xy <> '??'
+"""
+
 BINDINGS["file_changes"] = """
 SELECT 'p' || CAST(o_custkey AS STRING) AS project,
        'feature/bd-' || CAST(l_orderkey AS STRING) || '-work' AS branch,
@@ -96,7 +118,8 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 BINDINGS["pull_requests"] = """
 SELECT project, seq AS number, title, 'feature/' || task_id || '-work' AS head_ref, 'main' AS base_ref,
        CASE status WHEN 'in_progress' THEN 'OPEN' WHEN 'closed' THEN 'MERGED' ELSE 'CLOSED' END AS state,
-       CASE priority WHEN 0 THEN 'CONFLICTING' WHEN 1 THEN 'UNKNOWN' ELSE 'MERGEABLE' END AS mergeable
+       CASE priority WHEN 0 THEN 'CONFLICTING' WHEN 1 THEN 'UNKNOWN' ELSE 'MERGEABLE' END AS mergeable,
+       'https://git.example/' || project || '/' || CAST(seq AS STRING) AS url
 FROM {tasks}
 """
 

@@ -261,25 +261,36 @@ def update_log(decoded: DataFrame) -> DataFrame:
                     .alias("text"))
 
 
-AGENT_SCHEMA = ("STRUCT<name: STRING, type: STRING, scope: STRING, repo: STRING, contact_policy: STRING, "
-                "profile: STRUCT<capabilities: ARRAY<STRING>, languages: ARRAY<STRING>>, "
-                "behavior: MAP<STRING, STRING>, created_at: STRING>")
-
-
 def agents_flat(agent_json: DataFrame) -> DataFrame:
-    """Agent registry rows (nested profile/behavior flattened)."""
-    a = agent_json.select(F.from_json("doc", AGENT_SCHEMA).alias("a"))
-    return a.select("a.name", "a.type", "a.scope", "a.repo", "a.contact_policy",
-                    F.size("a.profile.capabilities").cast("bigint").alias("n_capabilities"),
-                    F.element_at("a.behavior", F.lit("max_concurrent_reviews")).cast("int").alias("max_concurrent"),
-                    F.element_at("a.behavior", F.lit("review_timeout_hours")).cast("int").alias("timeout_hours"),
-                    F.to_timestamp("a.created_at").alias("created_at"))
+    """Agent registry rows (nested profile/behavior flattened). The document is
+    parsed once, to a VARIANT, whose fields are read by path and type; a text that is no
+    JSON, or a field of another type, gives nulls."""
+    a = agent_json.select(F.try_parse_json("doc").alias("v"))
+
+    def get(path, kind="string"):
+        return F.try_variant_get("v", f"$.{path}", kind)
+    return a.select(*[get(c).alias(c) for c in ("name", "type", "scope", "repo", "contact_policy")],
+                    F.size(get("profile.capabilities", "array<string>")).cast("bigint").alias("n_capabilities"),
+                    get("behavior.max_concurrent_reviews", "int").alias("max_concurrent"),
+                    get("behavior.review_timeout_hours", "int").alias("timeout_hours"),
+                    F.to_timestamp(get("created_at")).alias("created_at"))
 
 
 def agent_capabilities(agent_json: DataFrame) -> DataFrame:
     """One row per (agent, capability)."""
-    a = agent_json.select(F.from_json("doc", AGENT_SCHEMA).alias("a"))
-    return a.select("a.name", "a.scope", F.explode("a.profile.capabilities").alias("capability"))
+    a = agent_json.select(F.try_parse_json("doc").alias("v"))
+    return a.select(F.try_variant_get("v", "$.name", "string").alias("name"), F.try_variant_get("v", "$.scope", "string").alias("scope"),
+                    F.explode(F.try_variant_get("v", "$.profile.capabilities", "array<string>")).alias("capability"))
+
+
+def agent_behavior(agent_json: DataFrame) -> DataFrame:
+    """Every key of the agents' ``behavior``, known or not, whatever its type: one row
+    per (agent, key) with the value's type and its text."""
+    a = agent_json.select(F.try_parse_json("doc").alias("v"))
+    return agent_json.sparkSession.sql("""
+        SELECT try_variant_get(v, '$.name', 'string') AS name, try_variant_get(v, '$.scope', 'string') AS scope, b.key AS key,
+               lower(schema_of_variant(b.value)) AS kind, if(schema_of_variant(b.value) LIKE 'OBJECT%', to_json(b.value), cast(b.value AS string)) AS value
+        FROM {a}, LATERAL variant_explode(try_variant_get(v, '$.behavior', 'variant')) AS b""", a=a)
 
 
 def write_tasks(tasks: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", buckets: int = 64) -> None:
