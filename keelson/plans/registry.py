@@ -37,8 +37,8 @@ def scalar_output(df):
 
 
 def _wrap(fn):
-    def job(spark, sf_dir):
-        return scalar_output(fn(spark, sf_dir))
+    def job(spark, sf_dir, **options):
+        return scalar_output(fn(spark, sf_dir, **options))
     job.__name__ = getattr(fn, "__name__", "job")
     job.__doc__ = fn.__doc__
     return job

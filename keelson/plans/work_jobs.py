@@ -53,8 +53,8 @@ def files_changed_job(spark, sf_dir):
     return W.files_changed(Fleet(spark, sf_dir).file_changes)
 
 
-def hot_files_job(spark, sf_dir):
-    return W.hot_files(Fleet(spark, sf_dir).file_changes)
+def hot_files_job(spark, sf_dir, k: int = 10):
+    return W.hot_files(Fleet(spark, sf_dir).file_changes, k)
 
 
 def changed_python_files_job(spark, sf_dir):
