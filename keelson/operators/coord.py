@@ -167,17 +167,17 @@ def task_cycle_time(status_events: DataFrame) -> DataFrame:
     per = ends.withColumn("seconds", seconds)
     # distinct values with their counts, in each of the four sets: all that is needed from here on
     counts = per.sparkSession.sql("""
-        SELECT project, label, CAST(grouping_id(project, label) AS INT) AS level, seconds, count(*) AS tasks
+        SELECT project, label, CAST(grouping(project) * 2 + grouping(label) AS INT) AS level, seconds, count(*) AS tasks
         FROM {per} GROUP BY GROUPING SETS ((project, label, seconds), (project, seconds), (label, seconds), (seconds))""", per=per)
-    counts = cut(counts)
+    counts = cut(counts.withColumn("hours", F.col("seconds") / 3600.0))
     sets = ["project", "label", "level"]
-    ranks = percentiles(counts, sets, "seconds", "tasks", {"median_hours": 0.5, "p90_hours": 0.9})
-    rest = counts.groupBy(*sets).agg((F.sum(F.col("seconds") * F.col("tasks")) / F.sum("tasks")).alias("avg_hours"),
-                                     F.min("seconds").alias("min_hours"), F.max("seconds").alias("max_hours"))
+    ranks = percentiles(counts, sets, "hours", "tasks", {"median_hours": 0.5, "p90_hours": 0.9})
+    rest = counts.groupBy(*sets).agg((F.sum(F.col("seconds") * F.col("tasks")) / F.sum("tasks") / 3600.0).alias("avg_hours"),
+                                     F.min("hours").alias("min_hours"), F.max("hours").alias("max_hours"))
     same = F.col("a.level") == F.col("b.level")
     for c in ("project", "label"):
         same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    hours = [F.round(F.col(c) / 3600.0, 4).alias(c) for c in ("avg_hours", "min_hours", "max_hours", "median_hours", "p90_hours")]
+    hours = [F.round(c, 4).alias(c) for c in ("avg_hours", "min_hours", "max_hours", "median_hours", "p90_hours")]
     return ranks.alias("a").join(rest.alias("b"), same).select("a.project", "a.label", "a.level", "tasks", *hours)
 
 
