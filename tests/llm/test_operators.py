@@ -278,6 +278,36 @@ def test_op4_awkward(spark):
     assert {r["fault"] for r in warc_audit.audit(a, a.limit(0)).collect()} == {"missing"}
 
 
+def test_op4_clashing_names_long_payload(spark):
+    def replica(long):
+        rows = [(k, f"u{k}", long if k == 2 else "x" * k, 7, "d", 1, "r", "h") for k in range(4)]
+        return spark.createDataFrame(rows, "page_id long, url string, html string, slot long, digest string, part long, record string, hash string")
+    text = "longer text " * 100_000
+    assert warc_audit.audit(replica(text), replica(text)).count() == 0
+    (row,) = warc_audit.audit(replica(text), replica(text[:-1] + "!")).collect()
+    assert (row["slot"], row["fault"], row["bytes_a"] == row["bytes_b"] > len(text)) == (2, "altered", True)
+
+
+def test_op4_descent_reads_what_differs(spark, monkeypatch):
+    """Two faults: the leaves below them are joined, and only their folders (of 256 slots) are read."""
+    good = spark.range(5000).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.repeat(F.lit("x"), F.col("id").cast("int") % 50).alias("html"))
+    bad = good.where("page_id <> 1234").withColumn("html", F.expr("case when page_id = 1300 then 'other' else html end"))
+    seen = []
+    children = warc_audit.Tree.children
+
+    def watched(self, level, parents):
+        nodes = children(self, level, parents)
+        if level == 0:
+            seen.append((nodes.count(), self.folders(0, parents, warc_audit.FAN_BITS).count()))
+        return nodes
+    monkeypatch.setattr(warc_audit.Tree, "children", watched)
+    got = {(r["slot"], r["fault"], r["offset_start"]) for r in warc_audit.audit(good, bad).collect()}
+    sizes = {r["slot"]: r["n_bytes"] for r in warc_audit.records(good).collect()}
+    assert got == {(1234, "missing", sum(sizes[k] for k in range(1024, 1234))), (1300, "altered", sum(sizes[k] for k in range(1024, 1300)))}
+    assert seen == [(32, 512), (31, 511)]
+    assert warc_audit.audit(good, good).count() == 0 and seen[2:] == [(0, 0), (0, 0)]
+
+
 def test_op7_shares(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("source"), F.lit("t").alias("text"))
     weights = spark.createDataFrame([("hot", 1.0), ("s1", 3.0), ("s2", 0.0)], "source string, weight double")
