@@ -12,7 +12,10 @@ import os
 import sys
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+_HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, _HERE)
+# Python workers import the package too, whatever the working directory
+os.environ["PYTHONPATH"] = os.pathsep.join([_HERE, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 from keelson.plans.registry import JOBS  # noqa: E402
 from keelson.session import build_session  # noqa: E402
