@@ -7,6 +7,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -707,6 +708,33 @@ def test_op10_absent_documents_take_no_place_in_the_sample(spark, monkeypatch):
     assert seen == [[0, 0, 0, 0, 1, 1, 1, 2, 2, 2]]
 
 
+def test_op10_fit_reaches_the_maximum_of_another_solver():
+    """Newton steps with numeric derivatives on the plain likelihood of a small table."""
+    rng = np.random.default_rng(7)
+    n, true = 800, np.array([2.5, -2.5, 2.0, -2.0])
+    x = rng.integers(0, 2, (n, 4))
+    x[x.sum(axis=1) == 0, 0] = 1
+    score = x @ true + rng.logistic(size=n)
+    grades = np.digitize(score, [-0.8, 0.8])
+    slots = (np.nonzero(x)[1] + 100).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(x.sum(axis=1))])
+    model = quality.fit(slots, np.ones(len(slots), dtype=np.float32), first, grades, 3, l1=0.0, rounds=4000)
+
+    def loss(v):
+        below = 1 / (1 + np.exp(-(v[None, 4:] - (x @ v[:4])[:, None])))
+        p = np.diff(np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1), axis=1)
+        return -np.log(p[np.arange(n), grades]).mean()
+    v, h = np.array([0.0] * 4 + [-1.0, 1.0]), 1e-4
+    unit = np.eye(6) * h
+    for _ in range(30):
+        slope = np.array([(loss(v + a) - loss(v - a)) / (2 * h) for a in unit])
+        curve = np.array([[(loss(v + a + b) - loss(v + a - b) - loss(v - a + b) + loss(v - a - b)) / (4 * h * h) for a in unit] for b in unit])
+        v = v - np.linalg.solve(curve, slope)
+    ours = np.concatenate([model.weights[100:104], model.thresholds])
+    assert np.count_nonzero(model.weights) == 4
+    assert loss(ours) - loss(v) < 1e-6 and np.abs(ours - v).max() < 0.01
+
+
 # --- pipeline ------------------------------------------------------------
 
 def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
