@@ -21,8 +21,9 @@ add up in a long text; as a middle grade, they would have to stop half-way.)
 Cases: a text that is null or has no word has nothing to grade: expected grade 0
 and tail 0; a rating with a null grade or doc_id is not used; of several ratings
 of one doc_id the least counts, and of several texts the least; without ratings, or of one grade alone, that grade
-(else the highest) is given to every text; repeated documents are scored each;
-other columns are ignored (``select`` keeps them).
+(else the highest) is given to every text; of equal hashes in the sample the least doc_id
+comes first; a very long text is read whole, by one task; repeated documents are scored
+each; an empty ``documents`` table gives no rows; other columns are ignored (``select`` keeps them).
 """
 
 from __future__ import annotations

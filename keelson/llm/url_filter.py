@@ -14,7 +14,8 @@ or-ed per word, words collected per shard). If all shards together take at most
 ``MAX_BYTES``, they reach the scan as one scalar subquery; beyond that, pages are
 joined with their shard's row.
 
-Cases: a url that is null or has no ``://`` has an empty host and path and is judged
+Cases: of fitting rules of equal length the last one listed counts; a very long url is
+judged whole; a url that is null or has no ``://`` has an empty host and path and is judged
 like any other; letters outside A-Z keep their case; repeated urls and page_ids keep
 a row each; a key outside the universe can't occur (the universe is taken from the
 same pages); an empty list allows every url without a rule; other columns are

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -708,6 +709,26 @@ def test_op10_absent_documents_take_no_place_in_the_sample(spark, monkeypatch):
     assert seen == [[0, 0, 0, 0, 1, 1, 1, 2, 2, 2]]
 
 
+def test_op2_rules_of_equal_length_and_long_urls(spark):
+    long = "http://a.com/ab" + "x" * 200_000
+    pages = spark.createDataFrame([(1, "http://a.com/ab"), (2, long)], "page_id long, url string")
+    rules = [("com", "/ab", "allow"), ("a.com", "/", "block")]
+    for given, rule, verdict in ((rules, "a.com/", "block"), (rules[::-1], "com/ab", "allow")):
+        got = judged(url_filter.judge(pages, given, ()))
+        assert got == [(1, len("/ab"), rule, verdict), (2, 200_003, rule, verdict)]
+
+
+def judged(df):
+    return sorted(pairs(df.select("page_id", F.length("path").alias("n"), "rule", "verdict"), "page_id", "n", "rule", "verdict"))
+
+
+def test_op5_equal_languages_give_the_least_name(spark):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 in (0, 1)][:40]
+    rows = [(i, "the same words in both", "bb" if k < 20 else "aa") for k, i in enumerate(ids)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r["lang_pred"] for r in got.collect()} == {"aa"}
+
+
 def test_op10_fit_reaches_the_maximum_of_another_solver():
     """Newton steps with numeric derivatives on the plain likelihood of a small table."""
     rng = np.random.default_rng(7)
