@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions import expr as X
-from keelson.operators.scan import ranked
+from keelson.operators.scan import ranked, settled
 
 # Fixed values (text of the source's attention items and headings).
 STASH_ITEM = "⚠️ {n} stashed change(s) - consider applying or dropping"
@@ -112,12 +112,22 @@ def worktree_summary(checkouts: DataFrame, porcelain: DataFrame, stashes: DataFr
 
 # ---------------------------------------------------------------- W7, W8, W23
 
+def _among(commits: DataFrame, wanted: DataFrame, c: str) -> DataFrame:
+    """``commits`` whose (project, ``c``) is in ``wanted``. Asked by ``c`` alone first: where
+    commits are put together from several tables, the optimizer takes that down to the one that
+    ``c`` comes from, so that what is not wanted is neither joined nor grouped."""
+    return (commits.join(wanted.select(c), c, "left_semi")
+            .join(wanted.select("project", c), ["project", c], "left_semi"))
+
+
 def branch_commits(commits: DataFrame, checkouts: DataFrame, k: int = 5) -> DataFrame:
     """Commits of the checked-out branch that are not on the base branch;
-    when there are none, the latest k commits of the branch instead."""
-    c = commits.join(checkouts.select("project", "branch"), ["project", "branch"], "left_semi")
-    base = commits.filter("on_base").select("project", "sha").distinct()
-    ahead = c.join(base, ["project", "sha"], "left_anti")
+    when there are none, the latest k commits of the branch instead. Commits are
+    gone through twice, for those of the branches and for those of the base among
+    them; what is left is written and read from there on."""
+    c = settled(_among(commits, settled(checkouts.select("project", "branch")), "branch"))
+    base = _among(commits, c, "sha").filter("on_base").select("project", "sha").distinct()
+    ahead = settled(c.join(base, ["project", "sha"], "left_anti"))
     has_ahead = ahead.select("project", "branch").distinct()
     w = Window.partitionBy("project", "branch").orderBy(F.desc("ts"), F.desc("sha"))
     recent = (c.join(has_ahead, ["project", "branch"], "left_anti")
