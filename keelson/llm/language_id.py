@@ -13,12 +13,15 @@ A text gets the language of the lowest cross-entropy per character. ``score`` is
 the tempered posterior of that language. ``accepted`` is a calibrated rejection:
 the text's cross-entropy, centred on the language's mean and scaled by the square
 root of its length, is at most the ``QUANTILE`` of the same figure on calibration
-documents. Training rows are those with crc32(doc_id) mod 4 in (0, 1, 3). The
-calibration takes at most ``CALIBRATION_ROWS`` of remainder 3, the least by hash of
-doc_id, and the counts come from all other training rows. A language that would
-have no row with a letter left to count keeps its sampled ones for the counts: it
-is learned, but its rejection limit may have no documents, and then none of those
-predicted in it is accepted. Rows of remainder 2 are held out.
+documents. Training rows are those with crc32(doc_id) mod 4 in (0, 1, 3), and the
+counts come from all of them. The limits come from all of them, too: each remainder's
+rows are judged by a model of the other two remainders' counts, which has not seen
+them, where it knows their language. A language whose rows are all of one remainder
+is learned, but its rejection limit has no documents, and then none of those
+predicted in it is accepted. Rows of remainder 2 are held out. (With
+``calibration_rows``, at most so many rows of remainder 3, the least by hash of doc_id,
+set the limits in one pass, and the counts come from all other training rows and from
+those of a language that would have no row with a letter left.)
 
 ``MAX_ENTRIES`` bounds the model that is collected and broadcast (32 bytes an
 entry and language). A larger one stays on Spark with every count: log2 of a
@@ -43,10 +46,11 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, slices, text_or_empty
 from keelson.llm.text import mix64
+from keelson.operators.scan import percentiles
 
 ORDER = 4
 MAX_ENTRIES = 1_000_000
-CALIBRATION_ROWS = 4_000
+FOLDS = (0, 1, 3)
 QUANTILE = 0.999
 TEMPERATURE = 12.0
 _SPACE = 32
@@ -349,7 +353,10 @@ def _features(batches):
 
 def fit(train: DataFrame, max_entries: int = MAX_ENTRIES) -> Model | Sharded:
     """Model of the languages of ``train`` (lang, text), from all its rows."""
-    counts = cut(gram_counts(train))
+    return _model(cut(gram_counts(train)), max_entries)
+
+
+def _model(counts: DataFrame, max_entries: int) -> Model | Sharded:
     if counts.count() > max_entries:
         return Sharded(counts)
     rows = counts.toPandas()
@@ -407,22 +414,41 @@ def _predict_sharded(rows: DataFrame, model: Sharded, limits: dict[str, tuple[fl
     return out.select("doc_id", "lang_pred", "score", "entropy", F.col("n").alias("n_letters"), F.coalesce(ok, F.lit(False)).alias("accepted"))
 
 
-def calibrate(sample: DataFrame, model) -> dict[str, tuple[float, float]]:
-    """Per language (mean cross-entropy, limit of the centred and scaled figure)."""
-    found = predict(sample, model, {}).where("lang_pred <> 'und'")
+def calibrate(found: DataFrame) -> dict[str, tuple[float, float]]:
+    """Per language (mean cross-entropy, limit of the centred and scaled figure) of the
+    predictions ``found`` (``predict``). The limits are found over ranges, so no task holds
+    a language's rows."""
+    found = cut(found.where("lang_pred <> 'und'").select("lang_pred", "entropy", "n_letters"))
     means = {r[0]: r[1] for r in found.groupBy("lang_pred").agg((F.sum(F.col("entropy") * F.col("n_letters")) / F.sum("n_letters"))).collect()}
     if not means:
         return {}
     mean = F.element_at(F.create_map(*[F.lit(x) for kv in means.items() for x in kv]), F.col("lang_pred"))
-    tails = found.groupBy("lang_pred").agg(F.percentile((F.col("entropy") - mean) * F.sqrt("n_letters"), F.lit(QUANTILE)).alias("q"))
-    return {r[0]: (means[r[0]], r[1]) for r in tails.collect()}
+    scaled = found.groupBy("lang_pred", ((F.col("entropy") - mean) * F.sqrt("n_letters")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    tails = percentiles(cut(scaled), ["lang_pred"], "v", "n", {"q": QUANTILE})
+    return {r["lang_pred"]: (means[r["lang_pred"]], r["q"]) for r in tails.collect()}
 
 
-def identify(docs: DataFrame, *, max_entries: int = MAX_ENTRIES, calibration_rows: int = CALIBRATION_ROWS) -> DataFrame:
-    """Train on the rows of ``docs`` that are not held out and judge all rows."""
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    rows = docs.select("doc_id", "text", "lang", fold.alias("fold"))
-    known = rows.where("text is not null and lang is not null and fold in (0, 1, 3)")
+def _shared(docs: DataFrame, model):
+    return docs.sparkSession.sparkContext.broadcast(model) if isinstance(model, Model) else model
+
+
+def _learn(known: DataFrame, max_entries: int):
+    """(model, limits) from all rows of ``known`` (doc_id, text, lang, fold). Grams are
+    counted once, by remainder; the models are sums of these counts."""
+    apart = cut(gram_counts(known.select(F.concat(F.col("fold").cast("string"), "lang").alias("lang"), "text")).select(
+        F.substring("lang", 1, 1).cast("int").alias("fold"), F.expr("substr(lang, 2)").alias("lang"), "gram", "n"))
+
+    def summed(rows):
+        return _model(cut(rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))), max_entries)
+    found = []
+    for fold in FOLDS:
+        rest = summed(apart.where(F.col("fold") != fold))
+        unseen = known.where((F.col("fold") == fold) & F.col("lang").isin(rest.langs))
+        found.append(cut(predict(unseen, _shared(known, rest), {}).select("lang_pred", "entropy", "n_letters")))
+    return summed(apart), calibrate(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
+def _learn_by_sample(rows: DataFrame, known: DataFrame, max_entries: int, calibration_rows: int):
     # the sample is chosen by id alone: the texts of each partition's candidates stay where they are
     chosen = rows.where("fold = 3 and lang is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
     chosen = cut(chosen.distinct()).select("doc_id", F.lit(True).alias("sampled"))
@@ -432,9 +458,18 @@ def identify(docs: DataFrame, *, max_entries: int = MAX_ENTRIES, calibration_row
     known = known.join(F.broadcast(cut(learnable.where("bare"))), "lang", "left").withColumn(
         "sampled", F.col("sampled") & F.col("bare").isNull())
     model = fit(known.where("not sampled"), max_entries)
-    if isinstance(model, Model):
-        model = docs.sparkSession.sparkContext.broadcast(model)
-    sample = known.where("sampled")
-    out = predict(docs, model, calibrate(sample, model))
+    return model, calibrate(predict(known.where("sampled"), _shared(known, model), {}))
+
+
+def identify(docs: DataFrame, *, max_entries: int = MAX_ENTRIES, calibration_rows: int | None = None) -> DataFrame:
+    """Train on all rows of ``docs`` that are not held out and judge all rows."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    rows = docs.select("doc_id", "text", "lang", fold.alias("fold"))
+    known = rows.where("text is not null and lang is not null and fold in (0, 1, 3)")
+    if calibration_rows is None:
+        model, limits = _learn(known, max_entries)
+    else:
+        model, limits = _learn_by_sample(rows, known, max_entries, calibration_rows)
+    out = predict(docs, _shared(docs, model), limits)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "entropy", "accepted")
