@@ -224,14 +224,21 @@ def task_levels(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     take rounds in the log of their length. Only when tasks remain (cycles and
     what depends on them) does cycle detection run, on that remainder alone.
     """
+    ids, _, lv = _leveled(tasks, deps)
+    return ids.join(lv, "id").select(*KEY, "level")
+
+
+def _leveled(tasks: DataFrame, deps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``task_levels`` in numbers: the not-closed tasks (project, task_id, id), the edges
+    (c, p) between them, and (id, level)."""
     ids = P.numbered(not_closed(tasks))
     e = P.edge_ids(ids, deps)
     lv = P.levels(ids, e)
     rest = ids.select("id").join(lv, "id", "left_anti")
     if not rest.isEmpty():
-        keep = _cut(ids.join(P.cycle_ids(ids, _within(e, rest)), "id", "left_anti"))
+        keep = _cut(ids.select("id").join(P.cycle_ids(ids, _within(e, rest)), "id", "left_anti"))
         lv = P.levels(keep, _cut(_within(e, keep)))
-    return ids.join(lv, "id").select(*KEY, "level")
+    return ids, e, lv
 
 
 def _within(e: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -254,11 +261,11 @@ def _with_pred(level: DataFrame, deps_open: DataFrame) -> DataFrame:
 
 def graph_tree(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     """Every not-closed task with its depth from the roots and its open parents."""
-    lv = task_levels(tasks, deps)
-    parents = (open_edges(tasks, deps).groupBy("project", F.col("child").alias("task_id"))
+    ids, e, lv = _leveled(tasks, deps)
+    parents = (e.join(ids.select(F.col("id").alias("p"), F.col("task_id").alias("parent")), "p").groupBy(F.col("c").alias("id"))
                .agg(F.array_sort(F.collect_set("parent")).alias("parents")))
-    return (lv.select(*KEY, "level").join(parents, KEY, "left")
-            .withColumn("parents", F.coalesce(F.col("parents"), F.array().cast("array<string>")))
+    return (ids.join(lv, "id").join(parents, "id", "left")
+            .select(*KEY, "level", F.coalesce(F.col("parents"), F.array().cast("array<string>")).alias("parents"))
             .withColumn("n_parents", F.size("parents").cast("bigint")))
 
 
@@ -290,32 +297,17 @@ def critical_path(tasks: DataFrame, deps: DataFrame) -> DataFrame:
 
 
 def weak_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Smallest node id of every node's weakly connected component.
+    """Smallest node id of every node's weakly connected component (``paths.components``;
+    a smaller number is a smaller id). ``nodes(project, task_id)``, ``edges(project, a, b)``
+    (either direction)."""
+    ids = P.numbered(nodes.filter(F.col("project").isNotNull() & F.col("task_id").isNotNull()))
+    e = P.edge_ids(ids, edges.select("project", F.col("a").alias("child"), F.col("b").alias("parent")))
+    return _named(ids, P.components(ids, e)).select(*KEY, "label")
 
-    Min-label propagation with pointer jumping: each round a node takes the
-    smallest label among itself and its neighbours, then the label of that
-    label. Jumping collapses long dependency chains in a number of rounds
-    that grows with the log of the chain length instead of its length.
-    ``nodes(project, task_id)``, ``edges(project, a, b)`` (either direction).
-    """
-    und = settled(edges.select("project", "a", "b")
-                  .unionByName(edges.select("project", F.col("b").alias("a"), F.col("a").alias("b")))
-                  .distinct())
-    label = settled(nodes.select(*KEY, F.col("task_id").alias("label")))
-    for r in itertools.count(1):
-        nb = (und.join(label.select("project", F.col("task_id").alias("b"), F.col("label").alias("lb")),
-                       ["project", "b"])
-              .groupBy("project", F.col("a").alias("task_id")).agg(F.min("lb").alias("nb")))
-        hop = (label.join(nb, KEY, "left")
-               .select(*KEY, F.least("label", F.coalesce("nb", "label")).alias("m")))
-        jump = (hop.join(hop.select("project", F.col("task_id").alias("m"), F.col("m").alias("mm")),
-                         ["project", "m"], "left")
-                .select(*KEY, F.least("m", F.coalesce("mm", "m")).alias("new")))
-        new = cut_round(jump.join(label, KEY).select(*KEY, "new", "label"), r, every=3)
-        if new.filter(F.col("new") != F.col("label")).isEmpty():
-            break
-        label = new.select(*KEY, F.col("new").alias("label"))  # already cut with ``new``
-    return label
+
+def _named(ids: DataFrame, least: DataFrame) -> DataFrame:
+    """``least(id, least, ...)`` with the tasks' names and, as ``label``, the name of the smallest."""
+    return least.join(ids, "id").join(ids.select(F.col("id").alias("least"), F.col("task_id").alias("label")), "least")
 
 
 def parallel_tracks(tasks: DataFrame, deps: DataFrame) -> DataFrame:
@@ -324,11 +316,10 @@ def parallel_tracks(tasks: DataFrame, deps: DataFrame) -> DataFrame:
     track = smallest task_id of the weakly connected component of the open
     graph (``weak_components``).
     """
-    lv = task_levels(tasks, deps).select(*KEY, "level")
-    e = open_edges(tasks, deps).join(lv.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi") \
-        .join(lv.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi")
-    comp = weak_components(lv.select(*KEY), e.select("project", F.col("child").alias("a"), F.col("parent").alias("b")))
-    return lv.join(comp.withColumnRenamed("label", "track"), KEY)
+    ids, e, lv = _leveled(tasks, deps)
+    ids = ids.filter(F.col("project").isNotNull() & F.col("task_id").isNotNull())
+    comp = P.components(lv.select("id"), _within(e, lv))
+    return _named(ids, comp.join(lv, "id")).select(*KEY, "level", F.col("label").alias("track"))
 
 
 # ---------------------------------------------------------------- G10, G11
@@ -438,30 +429,28 @@ def pagerank(tasks: DataFrame, deps: DataFrame, d: float = 0.85, iters: int = 20
     ranks sum to 1, the spread ``s[k]`` follows from the vectors' sums per
     project, which meet the vectors once at the end.
     """
-    nodes = tasks.select(*KEY).distinct()
-    n = nodes.groupBy("project").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    e = (deps.select("project", "child", "parent").distinct()
-         .join(nodes.withColumnRenamed("task_id", "child"), ["project", "child"], "left_semi")
-         .join(nodes.withColumnRenamed("task_id", "parent"), ["project", "parent"], "left_semi"))
-    outdeg = e.groupBy("project", "child").agg((F.lit(d) / F.count(F.lit(1))).alias("share"))
-    e = _cut(e.join(outdeg, ["project", "child"]).repartition("project", "child"))
-    v = _cut(nodes.join(n, "project").select(*KEY, (F.lit(1.0) / F.col("n")).alias("v")))
+    ids = P.numbered(tasks.filter(F.col("project").isNotNull()))
+    n = ids.groupBy("project").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    e = P.edge_ids(ids, deps)
+    share = e.groupBy("c").agg((F.lit(d) / F.count(F.lit(1))).alias("share"))
+    e = settled(e.join(share, "c"))
+    v = settled(ids.join(n, "project").select("id", (F.lit(1.0) / F.col("n")).alias("v")))
     vectors = v.withColumn("j", F.lit(0))
     for j in range(1, iters + 1):
-        v = (e.join(v.withColumnRenamed("task_id", "child"), ["project", "child"])
-             .groupBy("project", F.col("parent").alias("task_id")).agg(F.sum(F.col("v") * F.col("share")).alias("v")))
-        v = _cut(v)
+        v = cut_round(e.join(v.withColumnRenamed("id", "c"), "c")
+                      .groupBy(F.col("p").alias("id")).agg(F.sum(F.col("v") * F.col("share")).alias("v")), j)
+        if v.isEmpty():                            # no way is longer: all later vectors are empty too
+            break
         vectors = vectors.unionByName(v.withColumn("j", F.lit(j)))
-    vectors = _cut(vectors)
-    sums = vectors.groupBy("project", "j").agg(F.sum("v").alias("v")).groupBy("project").agg(
-        F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m")).select(   # one entry per round
-        "project", F.expr(f"transform(sequence(0, {iters}), j -> coalesce(m[j], 0D))").alias("sums"))
+    # a task's vectors side by side, one entry per round
+    at = (vectors.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("j", "v"))).alias("m"))
+          .select("id", F.expr(f"transform(sequence(0, {iters}), j -> coalesce(m[j], 0D))").alias("v")))
+    at = settled(ids.join(at, "id").select(*KEY, "v"))
+    sums = at.groupBy("project").agg(F.array(*[F.sum(F.col("v")[j]) for j in range(iters + 1)]).alias("sums"))
     spread = F.expr(f"""aggregate(sequence(0, {iters - 1}), cast(array() as array<double>), (s, k) -> concat(s, array(
         1 - sums[k + 1] - if(k = 0, 0D, aggregate(sequence(0, greatest(k - 1, 0)), 0D, (a, j) -> a + s[k - 1 - j] * sums[j + 1])))))""")
-    weight = sums.select("project", spread.alias("s")).select(
-        "project", F.posexplode(F.expr("concat(reverse(s), array(1D))")).alias("j", "w"))
-    return (vectors.join(weight, ["project", "j"]).groupBy(*KEY)
-            .agg(F.sum(F.col("v") * F.col("w")).alias("rank")))
+    weight = sums.select("project", spread.alias("s")).select("project", F.expr("concat(reverse(s), array(1D))").alias("w"))
+    return at.join(weight, "project").select(*KEY, F.expr("aggregate(zip_with(v, w, (a, b) -> a * b), 0D, (a, b) -> a + b)").alias("rank"))
 
 
 # ---------------------------------------------------------------- G12 .. G15, G18
@@ -508,21 +497,26 @@ def quick_wins(tasks: DataFrame, deps: DataFrame) -> DataFrame:
 
 def project_health(tasks: DataFrame, deps: DataFrame, cyclic_deps: DataFrame | None = None) -> DataFrame:
     """G14 (*ours*): one row per project — sizes, density, cycle members,
-    ready/blocked/closed ratios, depth of the open graph."""
-    # read once: both are used by every part below
-    tasks, deps = settled(tasks.select(*KEY, "title", "status", "priority", "label", "seq")), settled(deps.select("project", "child", "parent"))
-    node = tasks.groupBy("project").agg(
-        F.count(F.lit(1)).alias("n_tasks"),
-        F.sum(F.when(F.col("status") == "closed", 1).otherwise(0)).alias("n_closed"))
+    ready/blocked/closed ratios, depth of the open graph. Every part reads ``tasks`` and
+    ``deps``: give frames that are read from storage (``Fleet.read_once``)."""
+    # a task's rows together, with what waits for a task that is not closed
+    waits = (deps.select("project", "child", "parent")
+             .join(not_closed(tasks).select("project", F.col("task_id").alias("parent")), ["project", "parent"], "left_semi")
+             .select("project", F.col("child").alias("task_id")).distinct().withColumn("waits", F.lit(True)))
+    one = tasks.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("status") == "closed", 1)).alias("closed"),
+        F.count(F.when(F.col("status") == "open", 1)).alias("open"), F.count(F.when(F.col("status") != "closed", 1)).alias("live"))
+    waiting = F.coalesce("waits", F.lit(False))
+    node = one.join(waits, KEY, "left").groupBy("project").agg(
+        F.sum("n").alias("n_tasks"), F.sum("closed").alias("n_closed"),
+        F.sum(F.when(F.col("project").isNotNull() & ~waiting, F.col("open")).otherwise(0)).alias("n_ready"),
+        F.count(F.when(waiting & (F.col("live") > 0), 1)).alias("n_blocked"))
     edge = deps.groupBy("project").agg(F.count(F.lit(1)).alias("n_edges"))
-    ready = ready_tasks(tasks, deps).groupBy("project").agg(F.count(F.lit(1)).alias("n_ready"))
-    blocked = (blocked_tasks(tasks, deps).select(*KEY).distinct()
-               .groupBy("project").agg(F.count(F.lit(1)).alias("n_blocked")))
     cyc = cycle_members(deps if cyclic_deps is None else cyclic_deps).groupBy("project").agg(F.count(F.lit(1)).alias("cycle_members"))
     depth = task_levels(tasks, deps).groupBy("project").agg(F.max("level").alias("depth"))
-    h = (node.join(edge, "project", "left").join(ready, "project", "left").join(blocked, "project", "left")
+    h = (node.join(edge, "project", "left")
          .join(cyc, "project", "left").join(depth, "project", "left")
-         .fillna(0, ["n_edges", "n_ready", "n_blocked", "cycle_members", "depth"]))
+         .fillna(0, ["n_edges", "cycle_members", "depth"]))
     return h.select(
         "project", F.col("n_tasks").cast("bigint"), F.col("n_edges").cast("bigint"),
         F.round(F.when(F.col("n_tasks") > 1, F.col("n_edges") / (F.col("n_tasks") * (F.col("n_tasks") - 1)))

@@ -28,9 +28,9 @@ MAX_WORDS = 4_000_000_000
 
 
 def numbered(nodes: DataFrame) -> DataFrame:
-    """(project, task_id, id): every distinct task with its number."""
+    """(project, task_id, id): every distinct task with its number. Equal tasks meet in one range."""
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return settled(nodes.select(*KEY).distinct().repartitionByRange(n, *KEY).sortWithinPartitions(*KEY)
+    return settled(nodes.select(*KEY).repartitionByRange(n, *KEY).distinct().sortWithinPartitions(*KEY)
                .withColumn("id", F.monotonically_increasing_id()))
 
 
@@ -39,12 +39,13 @@ def edge_ids(ids: DataFrame, deps: DataFrame) -> DataFrame:
     return settled(deps.select("project", "child", "parent")
                    .join(ids.select("project", F.col("task_id").alias("child"), F.col("id").alias("c")), ["project", "child"])
                    .join(ids.select("project", F.col("task_id").alias("parent"), F.col("id").alias("p")), ["project", "parent"])
-                   .select("c", "p").distinct())
+                   # distinct (c, p), named so that equal edges already are in one partition
+                   .dropDuplicates(["project", "parent", "c"]).select("c", "p"))
 
 
 def nodes_of(deps: DataFrame) -> DataFrame:
-    return deps.select("project", F.col("child").alias("task_id")).unionByName(
-        deps.select("project", F.col("parent").alias("task_id")))
+    """The tasks at the edges' ends, once each."""
+    return deps.select("project", F.explode(F.array("child", "parent")).alias("task_id")).distinct()
 
 
 def resolve(ptr: DataFrame) -> DataFrame:
@@ -71,6 +72,27 @@ def resolve(ptr: DataFrame) -> DataFrame:
             F.greatest("least", F.col("l2") + F.col("d")).alias("least"), F.col("fin2").alias("fin"))), r)
 
 
+def components(ids: DataFrame, e: DataFrame) -> DataFrame:
+    """(id, least): every task's smallest number in its weakly connected component.
+
+    A round sends the numbers found so far over the edges, both ways, then takes a number's
+    own number; by these jumps long chains take rounds in the log of their length. Only
+    tasks whose number fell in the last round send it on."""
+    both = settled(e.select("c", "p").unionByName(e.select(F.col("p").alias("c"), F.col("c").alias("p"))).filter("c <> p").distinct())
+    now = ids.select("id", F.col("id").alias("least"), F.lit(True).alias("fell"))
+    for r in itertools.count(1):
+        sent = now.filter("fell").select(F.col("id").alias("p"), "least").join(both, "p").select(F.col("c").alias("id"), "least", F.lit(None).cast("bigint").alias("own"))
+        hop = (sent.unionByName(now.select("id", "least", F.col("least").alias("own")))
+               .groupBy("id").agg(F.min("least").alias("least"), F.max("own").alias("own")))
+        hop = cut(hop)
+        # a task that is its own smallest has nothing to look up
+        far = hop.filter("least <> id").join(hop.filter("least <> id").select(F.col("id").alias("least"), F.col("least").alias("on")), "least", "left")
+        now = cut_round(hop.filter("least = id").select("id", "least", (F.col("least") < F.col("own")).alias("fell"))
+                        .unionByName(far.select("id", F.coalesce("on", "least").alias("least"), (F.coalesce("on", "least") < F.col("own")).alias("fell"))), r, every=3)
+        if now.filter("fell").isEmpty():
+            return now.select("id", "least")
+
+
 def ring_sizes(ptr: DataFrame) -> DataFrame:
     """(x, n): tasks of rings (x, t) with their ring's size. The least number of a ring goes
     around it by doubling; when a round changes none, all have it."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.operators import graph as g
+from keelson.operators.scan import settled
 from keelson.sources.bind import Fleet
 
 
@@ -12,8 +13,13 @@ def _fleet(spark, sf_dir):
     return Fleet(spark, sf_dir)
 
 
+def _graph(spark, sf_dir):
+    """The fleet with its tasks and their edges read once, for jobs that use them again and again."""
+    return Fleet(spark, sf_dir).read_once(deps=True)
+
+
 def _cyclic_deps(f: Fleet):
-    return f.task_deps.unionByName(f.back_edges)
+    return f.task_deps.unionByName(settled(f.back_edges))
 
 
 def ready_tasks_job(spark, sf_dir):
@@ -52,37 +58,37 @@ def priority_distribution_job(spark, sf_dir):
 
 
 def cycle_members_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.cycle_members(_cyclic_deps(f))
 
 
 def graph_tree_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.graph_tree(f.tasks, f.task_deps)
 
 
 def critical_path_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.critical_path(f.tasks, f.task_deps)
 
 
 def parallel_tracks_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.parallel_tracks(f.tasks, f.task_deps)
 
 
 def blockers_to_clear_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.blockers_to_clear(f.tasks, f.task_deps)
 
 
 def pagerank_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.pagerank(f.tasks, f.task_deps).withColumn("rank", F.round("rank", 9))
 
 
 def triage_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.triage(f.tasks, f.task_deps)
 
 
@@ -92,7 +98,7 @@ def quick_wins_job(spark, sf_dir):
 
 
 def project_health_job(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
+    f = _graph(spark, sf_dir)
     return g.project_health(f.tasks, f.task_deps, _cyclic_deps(f))
 
 
