@@ -120,12 +120,17 @@ def _among(commits: DataFrame, wanted: DataFrame, c: str) -> DataFrame:
             .join(wanted.select("project", c), ["project", c], "left_semi"))
 
 
+def of_branches(rows: DataFrame, checkouts: DataFrame) -> DataFrame:
+    """The rows (project, branch, ...) of checked-out branches."""
+    return _among(rows, settled(checkouts.select("project", "branch")), "branch")
+
+
 def branch_commits(commits: DataFrame, checkouts: DataFrame, k: int = 5) -> DataFrame:
     """Commits of the checked-out branch that are not on the base branch;
     when there are none, the latest k commits of the branch instead. Commits are
     gone through twice, for those of the branches and for those of the base among
     them; what is left is written and read from there on."""
-    c = settled(_among(commits, settled(checkouts.select("project", "branch")), "branch"))
+    c = settled(of_branches(commits, checkouts))
     base = _among(commits, c, "sha").filter("on_base").select("project", "sha").distinct()
     ahead = settled(c.join(base, ["project", "sha"], "left_anti"))
     has_ahead = ahead.select("project", "branch").distinct()

@@ -13,6 +13,8 @@ AS_OF = "2002-01-01 00:00:00"   # after the last commit of the tables
 
 
 def _current(f: Fleet):
+    """The checkouts, the tracker's list and its show texts all come from the tasks, which are read once."""
+    f.read_once()
     return W.current_task(f.checkouts, f.task_list_lines, f.task_show_blocks)
 
 
@@ -26,7 +28,8 @@ def current_task_job(spark, sf_dir):
 
 def worktree_summary_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    return W.worktree_summary(f.checkouts, f.porcelain_lines, f.stashes, _current(f))
+    current = _current(f)
+    return W.worktree_summary(f.checkouts, f.porcelain_lines, f.stashes, current)
 
 
 def branch_commits_job(spark, sf_dir):
@@ -139,8 +142,9 @@ def review_context_job(spark, sf_dir):
 def context_next_job(spark, sf_dir):
     from keelson.operators import graph as g
     f = Fleet(spark, sf_dir)
+    f.read_once(deps=True)
     nxt = g.next_tasks(g.ready_tasks(f.tasks, f.task_deps), 1)
-    return W.context_next(_current(f), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, f.checkouts, AS_OF),
+    return W.context_next(W.current_task(f.checkouts, f.task_list_lines, f.task_show_blocks), W.status_counts(f.porcelain_lines), W.recent_commit(f.commits, f.checkouts, AS_OF),
                           g.triage(f.tasks, f.task_deps, 1), nxt)
 
 
@@ -174,8 +178,10 @@ def diff_stat_job(spark, sf_dir):
 
 def context_feedback_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    diff = W.branch_diff_stats(f.file_changes, _base(f)).drop("base_branch")
-    return W.context_feedback(_current(f), _base(f), diff, W.status_counts(f.porcelain_lines), _branch_rows(f))
+    current = _current(f)
+    # only the diffs of checked-out branches are shown
+    diff = W.branch_diff_stats(W.of_branches(f.file_changes, f.checkouts), _base(f)).drop("base_branch")
+    return W.context_feedback(current, _base(f), diff, W.status_counts(f.porcelain_lines), _branch_rows(f))
 
 
 def context_loop_job(spark, sf_dir):
@@ -210,8 +216,9 @@ def context_done_job(spark, sf_dir):
 
 def context_resume_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
-    wt = W.worktree_summary(f.checkouts, f.porcelain_lines, f.stashes, _current(f))
-    return W.context_resume(_current(f), wt, _branch_rows(f))
+    current = _current(f)
+    wt = W.worktree_summary(f.checkouts, f.porcelain_lines, f.stashes, current)
+    return W.context_resume(current, wt, _branch_rows(f))
 
 
 def context_pr_job(spark, sf_dir):
@@ -223,8 +230,9 @@ def context_pr_job(spark, sf_dir):
 
 def context_prfix_job(spark, sf_dir):
     f = Fleet(spark, sf_dir)
+    current = _current(f)
     issues = P.pr_issues(f.pull_requests, f.pr_checks, f.pr_reviews, f.pr_comments)
-    return W.context_prfix(_current(f), P.existing_pr(f.pull_requests), P.check_counts(f.pr_checks), issues,
+    return W.context_prfix(current, P.existing_pr(f.pull_requests), P.check_counts(f.pr_checks), issues,
                            P.review_summary(f.pr_reviews))
 
 

@@ -71,3 +71,9 @@ def test_project_health_reads_edges_in_few_passes(spark):
     assert (p["n_tasks"], p["ready_ratio"], p["blocked_ratio"], p["depth"]) == (5, 0.2, 0.4, 3)
     assert got[None]["ready_ratio"] == 0.0
     assert seen.value <= 3 * 6                     # numbering is sampled and then read
+
+
+def test_only_checked_out_branches_are_summed_up(spark):
+    changes = spark.createDataFrame([("p", "a", 1), ("p", "b", 2), ("q", "a", 3), (None, "a", 4)], "project string, branch string, n int")
+    checkouts = spark.createDataFrame([("p", "a"), ("q", "b")], "project string, branch string")
+    assert [r["n"] for r in W.of_branches(changes, checkouts).collect()] == [1]
