@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,29 +54,50 @@ def scan_task_bundles(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_extract("value", r"^# path: ([^\n]*)", 1).alias("path"), F.col("value").alias("text"))
 
 
+#: bytes of text that a decoding task parses at a time: what it holds in Python objects follows this, not the Arrow batch
+SLICE_BYTES = 1 << 20
+
+
 def _decode_batches(it):
     import yaml  # imported on the executor
 
     loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)  # libyaml when present
-    for pdf in it:
-        docs, errs = [], []
-        for text in pdf["text"]:
-            try:
-                data = yaml.load(text, Loader=loader) if text is not None else None
-                if not isinstance(data, dict):
-                    raise ValueError("top level is not a mapping")
-                docs.append(json.dumps(data, default=str))
-                errs.append(None)
-            except Exception as e:  # noqa: BLE001 - bad files go to the error column
-                docs.append(None)
-                errs.append(f"{type(e).__name__}: {e}")
-        yield pdf[["path"]].assign(doc=docs, error=errs)
+    for batch in it:
+        for lo, hi in _slices(batch.column("text")):
+            yield _decode(batch.slice(lo, hi - lo), yaml, loader)
+
+
+def _slices(texts, most: int = SLICE_BYTES):
+    """Bounds of runs of rows with at most ``most`` bytes of text (or one row) each."""
+    lo = size = 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > lo and size + (n or 0) > most:
+            yield lo, i
+            lo, size = i, 0
+        size += n or 0
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
+def _decode(batch, yaml, loader):
+    docs, errs = [], []
+    for text in batch.column("text").to_pylist():
+        try:
+            data = yaml.load(text, Loader=loader) if text is not None else None
+            if not isinstance(data, dict):
+                raise ValueError("top level is not a mapping")
+            docs.append(json.dumps(data, default=str))
+            errs.append(None)
+        except Exception as e:  # noqa: BLE001 - bad files go to the error column
+            docs.append(None)
+            errs.append(f"{type(e).__name__}: {e}")
+    return pa.RecordBatch.from_arrays([batch.column("path"), pa.array(docs, pa.string()), pa.array(errs, pa.string())], ["path", "doc", "error"])
 
 
 def decode_task_docs(files: DataFrame) -> DataFrame:
     """T1 decode: YAML (or JSON) text -> canonical JSON ``doc``; files that do
     not parse keep a row with ``error`` set instead of stopping the job."""
-    return files.select("path", "text").mapInPandas(_decode_batches, "path STRING, doc STRING, error STRING")
+    return files.select("path", "text").mapInArrow(_decode_batches, "path STRING, doc STRING, error STRING")
 
 
 # ---------------------------------------------------------------- T2..T11 flatten

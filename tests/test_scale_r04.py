@@ -73,6 +73,16 @@ def test_project_health_reads_edges_in_few_passes(spark):
     assert seen.value <= 3 * 6                     # numbering is sampled and then read
 
 
+def test_decoding_holds_a_slice_of_a_batch(spark):
+    texts = ["a: " + "x" * 400_000, None, "b: [", "c: 1"] * 4
+    batch = pa.RecordBatch.from_pydict({"path": [str(i) for i in range(16)], "text": texts})
+    out = list(TF._decode_batches([batch]))
+    assert len(out) > 1 and sum(b.num_rows for b in out) == 16
+    docs = [d for b in out for d in b.column("doc").to_pylist()]
+    errors = [e for b in out for e in b.column("error").to_pylist()]
+    assert docs[3] == '{"c": 1}' and docs[1] is None and errors[1].startswith("ValueError") and errors[2] and errors[0] is None
+
+
 def test_only_checked_out_branches_are_summed_up(spark):
     changes = spark.createDataFrame([("p", "a", 1), ("p", "b", 2), ("q", "a", 3), (None, "a", 4)], "project string, branch string, n int")
     checkouts = spark.createDataFrame([("p", "a"), ("q", "b")], "project string, branch string")
