@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelson.functions import expr as X
+from keelson.operators.scan import settled
 
 TASK_SCHEMA = ("STRUCT<id: STRING, name: STRING, description: STRING, priority: STRING, "
                "status: STRING, dependencies: ARRAY<STRING>>")
@@ -347,11 +348,14 @@ def render_task_docs(tasks: DataFrame, deps: DataFrame, updated: DataFrame | Non
                                       F.col("file_no").cast("string"), F.lit(".yaml")))
     d = (deps.groupBy("project", F.col("child").alias("task_id"))
          .agg(F.array_sort(F.collect_list("parent")).alias("deps")))  # one task's parents
-    t = t.join(d, ["project", "task_id"], "left")
+    # written: the files' bodies, their external dependencies and their update logs all start here
+    t = settled(t.join(d, ["project", "task_id"], "left"))
+    # phases in the order of their first tasks; the rows of a file (``per_file`` tasks) meet once, for all that follows
     w = Window.partitionBy("path").orderBy("min_seq", "label")
-    phase_k = (t.groupBy("path", "label").agg(F.min("seq").alias("min_seq"))
-               .withColumn("k", F.row_number().over(w)))
-    t = t.join(phase_k.select("path", "label", "k"), ["path", "label"])
+    kept = F.col("path").isNotNull() & F.col("label").isNotNull()
+    named, t = t.repartition("path"), t.filter(kept)
+    named = (named.withColumn("min_seq", F.min("seq").over(Window.partitionBy("path", "label")))
+             .withColumn("k", F.dense_rank().over(w)).filter(kept))
     prio = X._lookup(F.col("priority"), PRIORITY_TEXT, "medium")
     stat = X._lookup(F.col("status"), STATUS_TEXT, "pending")
     deps_txt = F.concat(F.lit("["), F.array_join(F.transform(F.coalesce("deps", F.array().cast("array<string>")),
@@ -374,10 +378,10 @@ def render_task_docs(tasks: DataFrame, deps: DataFrame, updated: DataFrame | Non
     flat_block = item("  - ", "    ", True)
     keyed_block = F.concat(F.lit("    "), F.col("task_id"), F.lit(":\n"),
                            F.concat_ws("\n", *[F.concat(F.lit("      "), x) for x in fields]))
-    t = t.withColumn("tblock", F.when(F.col("shape") == 0, phases_block)
+    named = named.withColumn("tblock", F.when(F.col("shape") == 0, phases_block)
                      .when(F.col("shape") == 1, flat_block).otherwise(keyed_block))
     # phase sections (bounded by the tasks of one file)
-    ph = t.groupBy("path", "project", "shape", "k", "label").agg(
+    ph = named.groupBy("path", "project", "shape", "k", "label").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "tblock"))), lambda s: s["tblock"]), "\n")
         .alias("tasks_txt"))
     lab_title = F.initcap(F.col("label"))

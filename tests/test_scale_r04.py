@@ -73,6 +73,19 @@ def test_project_health_reads_edges_in_few_passes(spark):
     assert seen.value <= 3 * 6                     # numbering is sampled and then read
 
 
+def test_files_are_rendered_from_one_reading_of_the_tasks(spark):
+    rows = [("p", f"bd-{k}", "T", "closed", 1, ["high", "low", None][k % 3], k) for k in range(1, 13)]
+    tasks, seen = counted(spark, rows, TASKS)
+    deps = spark.createDataFrame([("p", "bd-12", "bd-1")], "project string, child string, parent string")
+    updated = spark.createDataFrame([("p", "bd-1", dt.date(2000, 1, 2))], "project string, task_id string, updated_on date")
+    docs = {r["path"]: r["text"] for r in TF.render_task_docs(tasks, deps, updated, per_file=6).collect()}
+    assert seen.value == len(rows)
+    first = yaml.safe_load(docs["tasks/p/0.yaml"])
+    # phases in the order of their first tasks; the phase without a label counts, but is not written
+    assert [ph["name"] for ph in first["phases"]] == ["Phase 1: Low", "Phase 3: High"]
+    assert first["updates"] == ["2000-01-02: closed bd-1"]
+
+
 def test_decoding_holds_a_slice_of_a_batch(spark):
     texts = ["a: " + "x" * 400_000, None, "b: [", "c: 1"] * 4
     batch = pa.RecordBatch.from_pydict({"path": [str(i) for i in range(16)], "text": texts})
