@@ -182,12 +182,17 @@ def recent_commit(commits: DataFrame, checkouts: DataFrame, as_of) -> DataFrame:
 
 COMMIT_REF_PATTERNS = [r"^(bd-\d+):", r"^\[([A-Za-z0-9._-]+)\]", r"(?m)^Bead: (bd-\d+)\s*$"]
 
+# what a subject that fits the pattern starts with or holds
+COMMIT_REF_SIGNS = [lambda c: c.startswith("bd-"), lambda c: c.startswith("["), lambda c: c.contains("Bead: bd-")]
+
 
 def commit_task_links(commits: DataFrame, tasks: DataFrame) -> DataFrame:
     """Commits whose message names a task (`bd-N: …`, `[id] …`,
     trailer `Bead: bd-N`), joined to that task."""
-    ref = F.coalesce(*[F.nullif(F.regexp_extract("subject", p, 1), F.lit("")) for p in COMMIT_REF_PATTERNS])
-    c = commits.select("project", "branch", "sha", "subject", ref.alias("task_id")).filter(F.col("task_id").isNotNull())
+    # a pattern is tried where its fixed text occurs; each is evaluated once, as explode drops commits without a task
+    found = [F.when(may(F.col("subject")), F.regexp_extract("subject", p, 1)) for p, may in zip(COMMIT_REF_PATTERNS, COMMIT_REF_SIGNS)]
+    ref = F.explode(F.slice(F.filter(F.array(*found), lambda x: x != ""), 1, 1))
+    c = commits.select("project", "branch", "sha", "subject", ref.alias("task_id"))
     return c.join(tasks.select("project", "task_id", "status", F.col("title").alias("task_title")),
                   ["project", "task_id"], "left") \
         .withColumn("task_found", F.col("status").isNotNull())

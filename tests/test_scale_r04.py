@@ -96,6 +96,15 @@ def test_decoding_holds_a_slice_of_a_batch(spark):
     assert docs[3] == '{"c": 1}' and docs[1] is None and errors[1].startswith("ValueError") and errors[2] and errors[0] is None
 
 
+def test_commit_references_are_matched_once_a_pattern(spark):
+    rows = [("p", "b", "1", "bd-1: x"), ("p", "b", "2", "[q.1] y"), ("p", "b", "3", "z\n\nBead: bd-2"), ("p", "b", "4", "no bd-3: "), ("p", "b", "5", None)]
+    commits = spark.createDataFrame(rows, "project string, branch string, sha string, subject string")
+    tasks = spark.createDataFrame([("p", "bd-1", "t", "open", 1, "l", 1)], TASKS)
+    out = W.commit_task_links(commits, tasks)
+    assert {(r["sha"], r["task_id"], r["task_found"]) for r in out.collect()} == {("1", "bd-1", True), ("2", "q.1", False), ("3", "bd-2", False)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") <= 2 * len(W.COMMIT_REF_PATTERNS)
+
+
 def test_only_checked_out_branches_are_summed_up(spark):
     changes = spark.createDataFrame([("p", "a", 1), ("p", "b", 2), ("q", "a", 3), (None, "a", 4)], "project string, branch string, n int")
     checkouts = spark.createDataFrame([("p", "a"), ("q", "b")], "project string, branch string")
