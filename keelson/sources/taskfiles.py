@@ -80,11 +80,34 @@ def _slices(texts, most: int = SLICE_BYTES):
         yield lo, len(texts)
 
 
+def _load(text, yaml, loader):
+    """``yaml.load``: texts, lists and mappings by text, which task files hold most of, are taken
+    from the composed nodes; the loader makes all else, and files with anchors as a whole."""
+    if "&" in text:
+        return yaml.load(text, Loader=loader)
+    made = loader(text)
+
+    def value(node):
+        if node.tag == "tag:yaml.org,2002:str" and isinstance(node, yaml.ScalarNode):
+            return node.value
+        if node.tag == "tag:yaml.org,2002:seq" and isinstance(node, yaml.SequenceNode):
+            return [value(x) for x in node.value]
+        if node.tag == "tag:yaml.org,2002:map" and isinstance(node, yaml.MappingNode) and all(
+                k.tag == "tag:yaml.org,2002:str" and isinstance(k, yaml.ScalarNode) for k, _ in node.value):
+            return {k.value: value(v) for k, v in node.value}
+        return made.construct_object(node, deep=True)
+    try:
+        node = made.get_single_node()
+        return None if node is None else value(node)
+    finally:
+        made.dispose()
+
+
 def _decode(batch, yaml, loader):
     docs, errs = [], []
     for text in batch.column("text").to_pylist():
         try:
-            data = yaml.load(text, Loader=loader) if text is not None else None
+            data = _load(text, yaml, loader) if text is not None else None
             if not isinstance(data, dict):
                 raise ValueError("top level is not a mapping")
             docs.append(json.dumps(data, default=str))

@@ -109,3 +109,17 @@ def test_only_checked_out_branches_are_summed_up(spark):
     changes = spark.createDataFrame([("p", "a", 1), ("p", "b", 2), ("q", "a", 3), (None, "a", 4)], "project string, branch string, n int")
     checkouts = spark.createDataFrame([("p", "a"), ("q", "b")], "project string, branch string")
     assert [r["n"] for r in W.of_branches(changes, checkouts).collect()] == [1]
+
+
+def test_files_load_as_yaml_loads_them():
+    texts = ["a: 1", "a: [x, 2, yes, 2001-01-01, ~, 1.5, {b: c, 3: d}]", "a: &x [1]\nb: *x", "<<: {a: 1}\nb: 2", "a: 1\na: b", "- x", "", "a: !!set {x, y}",
+             "? [k]\n: v", "? {k: v}\n: v", "a: !t x", "a: b\n---\nc: d", "a: !!str 5", "a: !!int '5'", "=: x", "a: {=: 3}", "b: [", "a: !!seq x", "x: !!binary aGk=",
+             "a: |\n  l1\n  l2\n", "a: \"q\\n\"", "\t", "a: *nope", "a: !!map [1]", "a: !!float 3", "2020-01-01: z", "a: &y\n  b: *y"]
+
+    def result(load):
+        try:
+            return repr(load())
+        except Exception as e:  # noqa: BLE001
+            return f"{type(e).__name__}: {e}"
+    for t in texts:
+        assert result(lambda: TF._load(t, yaml, yaml.CSafeLoader)) == result(lambda: yaml.load(t, Loader=yaml.CSafeLoader)), t
